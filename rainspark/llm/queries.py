@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainspark.llm import chat, sharding, url_filter
+from rainspark.llm import chat, decontaminate, quality, sharding, simhash, url_filter
 
 URL_RULES = [
     url_filter.Rule("allow", "com"),
@@ -20,6 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, errors=4)
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return got.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def op6_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.apply_rules(table(spark, sf_dir, "documents"))
+
+
 def op7_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = sharding.shard_rows(table(spark, sf_dir, "documents"), "doc_id", "text", shards=8)
     return got.select(
@@ -61,6 +71,20 @@ def op9_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    got = decontaminate.scan(docs, items, columns=["doc_id"], with_matches=False)
+    ids = F.array_sort(F.array_distinct("items"))
+    return got.select(
+        "doc_id",
+        "n_words",
+        decontaminate.n_hit().alias("n_hit"),
+        F.size(ids).cast("long").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
 OP8_SQL = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -86,7 +110,15 @@ FROM s GROUP BY conv_id
 
 
 def queries():
-    return {f.__name__: f for f in (op7_jump_sharding, op8_chat_format, op9_url_reputation)}
+    return {f.__name__: f for f in (
+            op5_simhash_pigeonring,
+            op6_quality_cascade,
+            op7_jump_sharding,
+            op8_chat_format,
+            op9_url_reputation,
+            op10_suffix_decontamination,
+        )
+    }
 
 
 def oracle_sql() -> dict[str, str]:
