@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainspark.llm import chat, decontaminate, quality, sharding, simhash, url_filter
+from rainspark.llm import chat, decontaminate, packing, quality, sharding, simhash, url_filter, warc
+from rainspark.llm.common import new_path, stage
 
 URL_RULES = [
     url_filter.Rule("allow", "com"),
@@ -20,6 +21,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = packing.pack(table(spark, sf_dir, "documents"), packing.public_vocabulary(), window=2048, end_id=1)
+    return got.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "archives")
+    warc.write_archives(warc.records(table(spark, sf_dir, "pages"), "page_id", "url", "html"), path)
+    got = stage(
+        warc.read_pages(spark, path).select(
+            "page_id",
+            "type",
+            "refers_to",
+            F.regexp_replace("digest", "^sha1:", "").alias("named"),
+            F.octet_length("payload").cast("long").alias("bytes"),
+            F.sha1("payload").alias("digest"),
+        ),
+        "pages",
+    )
+    originals = got.filter("type = 'response'").groupBy(F.col("page_id").alias("refers_to"), F.col("digest").alias("named"))
+    originals = originals.agg(F.first("bytes").alias("original_bytes"))
+    return got.join(originals, ["refers_to", "named"], "left").select(
+        "page_id",
+        F.coalesce("bytes", "original_bytes").alias("payload_bytes"),
+        F.when(F.col("type") == "response", F.col("digest"))
+        .when(F.col("original_bytes").isNotNull(), F.col("named"))
+        .alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        "refers_to",
+    )
+
+
 def op5_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, errors=4)
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -109,8 +142,23 @@ FROM s GROUP BY conv_id
 """
 
 
+OP3_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, octet_length(coalesce(html, '')::BLOB) AS n FROM pages
+), t AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload) AS top FROM p
+)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN n < 1000 OR page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN n < 1000 OR page_id = top THEN NULL ELSE top END AS refers_to
+FROM t
+"""
+
+
 def queries():
     return {f.__name__: f for f in (
+            op2_nnls_packing,
+            op3_warc_round_trip,
             op5_simhash_pigeonring,
             op6_quality_cascade,
             op7_jump_sharding,
@@ -122,4 +170,4 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat_format": OP8_SQL}
+    return {"op3_warc_round_trip": OP3_SQL, "op8_chat_format": OP8_SQL}
