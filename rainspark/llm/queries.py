@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainspark.llm import chat, decontaminate, packing, quality, sharding, simhash, url_filter, warc
+from rainspark.llm import chat, decontaminate, lm_score, packing, quality, sharding, simhash, url_filter, warc
 from rainspark.llm.common import new_path, stage
 
 URL_RULES = [
@@ -21,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 def op2_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = packing.pack(table(spark, sf_dir, "documents"), packing.public_vocabulary(), window=2048, end_id=1)
     return got.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -157,6 +161,7 @@ FROM t
 
 def queries():
     return {f.__name__: f for f in (
+            op1_deleted_interpolation,
             op2_nnls_packing,
             op3_warc_round_trip,
             op5_simhash_pigeonring,
