@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainspark.llm import chat, decontaminate, lm_score, packing, quality, sharding, simhash, url_filter, warc
+from rainspark.llm import chat, decontaminate, lm_score, packing, quality, sharding, simhash, suffix_dedup, url_filter, warc
 from rainspark.llm.common import new_path, stage
 
 URL_RULES = [
@@ -57,6 +57,17 @@ def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=50)
+    return got.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, errors=4)
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -164,6 +175,7 @@ def queries():
             op1_deleted_interpolation,
             op2_nnls_packing,
             op3_warc_round_trip,
+            op4_suffix_dedup,
             op5_simhash_pigeonring,
             op6_quality_cascade,
             op7_jump_sharding,
