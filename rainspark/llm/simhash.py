@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rainspark.llm.common import stage
+from rainspark.llm.common import partitions, stage
 from rainspark.llm.graph import components
 
 BITS = 64
@@ -57,9 +57,28 @@ def _part(fp: Column, first: int, width: int) -> Column:
     return F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
 
 
+def stars(fps: DataFrame, errors: int) -> DataFrame:
+    """Links (a, b) from the least of each group of distinct fingerprints that agree outside one run of `errors` bits.
+
+    Such fingerprints are all linked to one another, so a star stands for them; a group has 2^errors members at most.
+    """
+    width = min(errors, 8)
+    masks = [((1 << min(width, BITS - at)) - 1) << at for at in range(0, BITS, width)]
+    keys = F.array(*(F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(_signed(~m))).alias("key")) for i, m in enumerate(masks)))
+    groups = fps.select("fp", F.inline(keys)).groupBy("i", "key").agg(F.min("fp").alias("a"), F.collect_list("fp").alias("all"))
+    return groups.filter(F.size("all") > 1).select("a", F.explode("all").alias("b")).filter("a <> b")
+
+
+def _signed(bits: int) -> int:
+    bits &= (1 << 64) - 1
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
 def links(fps: DataFrame, errors: int) -> DataFrame:
     """All pairs a < b of distinct fingerprints (column fp) that differ in `errors` bits at most.
 
+    If fps has a column `label`, pairs with equal labels are known to be connected and are left out.
+
     Of m = errors + 1 segments on a ring, some chain that starts at segment i has at most floor(l * errors / m)
     differences in its first l segments, for every l. For l = 1 that is none and for l = 2 one: a fingerprint is
     listed once per i under the two segments, and looked up under their exact value and each value one bit away in
@@ -88,33 +107,39 @@ def links(fps: DataFrame, errors: int) -> DataFrame:
         return (F.col("start") == i) & ok
 
     flips = [(i, f) for i in range(m) for f in [0, *(1 << b for b in range(min(ring[(i + 1) % m][1], 28)))]]
-    looked = fps.select(F.col("fp").alias("a"), F.inline(F.array(*(key(i, f) for i, f in flips))))
-    listed = fps.select(F.col("fp").alias("b"), F.inline(F.array(*(key(i) for i in range(m))))).withColumnRenamed(
+    if "label" not in fps.columns:
+        fps = fps.select("fp", F.col("fp").alias("label"))
+    fps = fps.repartition(partitions(fps.sparkSession), "fp")  # few bytes now, many rows below
+    looked = fps.select(F.col("fp").alias("a"), F.col("label").alias("label_a"), F.inline(F.array(*(key(i, f) for i, f in flips))))
+    listed = fps.select(F.col("fp").alias("b"), F.col("label").alias("label_b"), F.inline(F.array(*(key(i) for i in range(m))))).withColumnRenamed(
         "start", "listed_start"
     )
     chain = budget(0)
     for i in range(1, m):
         chain = chain | budget(i)
-    near = (F.col("a") < F.col("b")) & chain & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= errors)
-    return looked.join(listed, (looked["key"] == listed["key"]) & near).select("a", "b")
+    near = (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & chain & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= errors)
+    return looked.join(listed, (looked["key"] == listed["key"]) & near).select("a", "b", "label_a", "label_b")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, errors: int = 4) -> DataFrame:
     """doc_id, fp and component_id (the least doc_id that links reach) of every row.
 
     Equal fingerprints are one node, so a group of copies costs one row in the search, and membership is joined back.
+    Dense groups are contracted by stars first, so that the search lists links between groups, not all pairs in one.
     Nulls: a null text has no words and fingerprint zero, linked like any other; a null id takes part, but names a
     component only if no other id is in it. Repeated rows share a component. An empty table gives no rows.
     """
     rows = stage(fingerprints(df, id_col, text_col, words), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    joined = components(links(nodes.select("fp"), errors)) if errors else None
-    if joined is None:
-        named = nodes.select("fp", F.col("least").alias("component_id"))
+    if errors:
+        nodes = stage(nodes, "distinct")
+        dense = components(stars(nodes, errors)).select(F.col("node").alias("fp"), F.col("component").alias("label"))
+        nodes = stage(nodes.join(dense, "fp", "left").withColumn("label", F.coalesce("label", "fp")), "labelled")
+        pairs = links(nodes.select("fp", "label"), errors).select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+        joined = components(pairs).withColumnRenamed("node", "label")
+        nodes = nodes.join(joined, "label", "left").withColumn("component", F.coalesce("component", "label"))
     else:
-        nodes = nodes.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-            "component", F.coalesce("component", "fp")
-        )
-        low = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
-        named = nodes.join(low, "component").select("fp", "component_id")
+        nodes = nodes.withColumn("component", F.col("fp"))
+    low = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = nodes.join(low, "component").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
