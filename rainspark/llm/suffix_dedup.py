@@ -105,7 +105,7 @@ def anchors(data: bytes, sizes: np.ndarray, length: int, chunk: int = 1 << 19) -
     broken = np.zeros(n + 1, np.int32)
     np.add.at(broken, np.maximum(ends - length + 1, ends - sizes), 1)
     np.add.at(broken, ends, -1)
-    at = np.flatnonzero(np.cumsum(broken[:n]) == 0)
+    at = np.flatnonzero(np.cumsum(broken[:n], dtype=np.int32) == 0)
     if not len(at):
         none = np.zeros(0, np.int64)
         return none, none, none, none.astype(np.uint64)
@@ -251,10 +251,12 @@ def _records(data: bytes, anchor: np.ndarray, first: np.ndarray, windows: np.nda
     right, left = first + windows - 1 + length - anchor, anchor - first
     out = np.zeros((len(anchor), length + span + 2), np.uint8)
     cols = np.arange(length)
-    out[:, :length] = np.where(cols < right[:, None], raw[(anchor + length)[:, None] + cols], 0)
+    for a in range(0, len(anchor), 1 << 14):
+        at = slice(a, a + (1 << 14))
+        base = (anchor[at] + length)[:, None]
+        out[at, :length] = np.where(cols < right[at, None], raw[base + cols], 0)
+        out[at, length + 1 : -1] = np.where(cols[:span] < left[at, None], raw[base - 1 - cols[:span]], 0)
     out[:, length] = right
-    cols = np.arange(span)
-    out[:, length + 1 : -1] = np.where(cols < left[:, None], raw[(anchor + length - 1)[:, None] - cols], 0)
     out[:, -1] = left
     return out
 
@@ -458,8 +460,8 @@ def remove_repeats(
     text_col: str = "text",
     length: int = 50,
     carry_col: str | None = None,
-    block_bytes: int = 8 << 20,
-    part_bytes: int = 16 << 20,
+    block_bytes: int = 4 << 20,
+    part_bytes: int = 8 << 20,
 ) -> DataFrame:
     """doc_id, carried (carry_col), n_bytes, kept (the bytes left) and spans (first and end of each removed run).
 
