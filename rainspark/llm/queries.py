@@ -159,7 +159,7 @@ FROM s GROUP BY conv_id
 
 OP3_SQL = """
 WITH p AS (
-  SELECT page_id, coalesce(html, '') AS payload, octet_length(coalesce(html, '')::BLOB) AS n FROM pages
+  SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS n FROM pages
 ), t AS (
   SELECT *, max(page_id) OVER (PARTITION BY payload) AS top FROM p
 )
