@@ -69,7 +69,7 @@ def _near(spark, d):
 
 @query(sql("station_day meta", f"WITH {NEAR} SELECT date, skn, skn_obs, place, dist, rf_obs FROM near"))
 def e8_c12_nearest_ten(spark, d):
-    return _near(spark, d).select("date", "skn", "skn_obs", "place", "dist", "rf_obs")
+    return _near(spark, d).select("date", "skn", "skn_obs", F.col("place").cast("long").alias("place"), "dist", "rf_obs")
 
 
 WIDE = ", ".join(f"max(CASE WHEN place = {i} THEN {v} END) AS {v}_{i}" for v in ("dist", "rf_obs") for i in range(1, 11))
@@ -85,7 +85,7 @@ def k10_qc_features(spark, d):
 @query(sql("station_month", f"WITH {POINTS} SELECT county, month, skn, row_number() OVER (PARTITION BY county, month ORDER BY is_fill, "
            "CASE WHEN skn % 3 = 0 THEN 1 WHEN skn % 3 = 1 THEN 2 ELSE 2147483647 END, skn) AS rank FROM pts"))
 def e14_source_rank(spark, d):
-    return _ranked(spark, d).select("county", F.col("date").alias("month"), "skn", "rank")
+    return _ranked(spark, d).select("county", F.col("date").alias("month"), "skn", F.col("rank").cast("long").alias("rank"))
 
 
 def _ranked(spark, d):
