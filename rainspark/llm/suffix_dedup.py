@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rainspark.llm.blobs import dump, dump_small, dump_sorted, load, load_sorted, range_cuts, squeeze, unsqueeze
-from rainspark.llm.common import mix64, new_path, partitions
+from rainspark.llm.common import bounded_batches, mix64, new_path, partitions
 
 KMER = 24
 LAST = (1 << 63) - 1  # stands for a null id: later than every document
@@ -87,11 +87,10 @@ def anchors(data: bytes, sizes: np.ndarray, length: int, chunk: int = 1 << 19) -
     span = length - KMER + 1
     chosen = np.empty(n, np.int32)
     low = np.uint64((1 << 24) - 1)
-    hashes = np.empty(n, np.uint64)
+    places, hashes = [], []
     for a in range(0, n, chunk):
         b = min(a + chunk, n)
         h = kmer_hashes(raw[a : b + length - 1])
-        hashes[a:b] = h[: b - a]
         least = (h & ~low) | np.arange(len(h), dtype=np.uint64)
         width = 1
         while 2 * width <= span:
@@ -100,19 +99,25 @@ def anchors(data: bytes, sizes: np.ndarray, length: int, chunk: int = 1 << 19) -
         rest = span - width
         if rest:
             least = np.minimum(least[:-rest], least[rest:])
-        chosen[a:b] = (least & low).astype(np.int32)[: b - a] + a
+        near = (least & low).astype(np.int32)[: b - a]
+        chosen[a:b] = near + a
+        near = near[np.concatenate([[True], near[1:] != near[:-1]])]
+        places.append(near + a)
+        hashes.append(h[near])
     ends = np.cumsum(sizes)
     broken = np.zeros(n + 1, np.int32)
     np.add.at(broken, np.maximum(ends - length + 1, ends - sizes), 1)
     np.add.at(broken, ends, -1)
-    at = np.flatnonzero(np.cumsum(broken[:n], dtype=np.int32) == 0)
-    if not len(at):
-        none = np.zeros(0, np.int64)
-        return none, none, none, none.astype(np.uint64)
-    picked = chosen[at]
-    new = np.flatnonzero(np.concatenate([[True], (picked[1:] != picked[:-1]) | (at[1:] != at[:-1] + 1)]))
-    anchor = picked[new].astype(np.int64)
-    return anchor, at[new], np.diff(np.append(new, len(at))), hashes[anchor]
+    valid = np.cumsum(broken[:n], dtype=np.int32) == 0
+    change = np.ones(n + 1, bool)
+    change[1:n] = (chosen[1:] != chosen[:-1]) | ~valid[1:] | ~valid[:-1]
+    first = np.flatnonzero(valid & change[:n])
+    last = np.flatnonzero(valid & change[1:])
+    anchor = chosen[first].astype(np.int64)
+    if not len(anchor):
+        return anchor, first, first, anchor.astype(np.uint64)
+    found = np.searchsorted(np.concatenate(places), anchor)
+    return anchor, first, last - first + 1, np.concatenate(hashes)[found]
 
 
 def _open(row: dict) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -475,6 +480,7 @@ def remove_repeats(
     if length < KMER + 1 or length > 200:
         raise ValueError(f"length must be between {KMER + 1} and 200")
     spark = docs.sparkSession
+    bounded_batches(spark)
     carried = F.col(carry_col).cast("long") if carry_col else F.lit(None).cast("long")
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), carried.alias("carried")
