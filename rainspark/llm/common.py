@@ -42,6 +42,13 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def bounded_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Texts can be long: unless the session sets its own number, hand them to Python in batches of a few rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":  # Spark's default
+        spark.conf.set(name, rows)
+
+
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the key and the text of a table, under fixed names; a null text is empty."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rainspark.llm.common import bounded_batches
+
 #: Bytes that make words: digits, letters (upper case is lowered first) and all bytes of non-ASCII characters.
 _FOLD = bytes(
     c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 0x20 if 0x41 <= c <= 0x5A else 0x20 for c in range(256)
@@ -141,13 +143,14 @@ def scan(
 ) -> DataFrame:
     """`columns` of docs with n_words, hits (first and last word of each covered run), items and matches.
 
-    Every Arrow batch of documents is a shard with its own suffix array; a shard never sees another's rows, and no
+    Every few megabytes of documents are a shard with its own suffix array; a shard never sees another's rows, and no
     row is shuffled. The benchmark passes by in blocks, one pipelined step for each. Nulls: a null text has no words;
     a null item id is named by the empty string. Repeated rows are marked one by one, repeated items count once.
     An empty benchmark marks nothing. A column of docs with the name of a result is replaced.
     """
     named = ["n_words", "hits", "items", "matches"]
     keep = [c for c in (columns or docs.columns) if c not in named]
+    bounded_batches(docs.sparkSession)
     rows = docs.select(
         F.col(text_col).alias("_text"),
         *keep,
@@ -164,11 +167,25 @@ def scan(
     return rows
 
 
+def shards(batches: Iterator[pa.RecordBatch], size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches put together to about `size` bytes of text (the first column), or what is left at the end."""
+    held: list[pa.RecordBatch] = []
+    total = 0
+    for batch in batches:
+        held.append(batch)
+        total += batch.column(0).nbytes
+        if total >= size:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, total = [], 0
+    if sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _marker(step: Broadcast, names: list[str], with_matches: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = step.value
         get = s.vocabulary.get
-        for batch in batches:
+        for batch in shards(batches):
             coded = [np.array([get(w, 0) for w in words_of(t)], np.int64) for t in batch.column(0).to_pylist()]
             counts = np.array([len(x) for x in coded], np.int64)
             starts = np.cumsum(counts + 1) - counts - 1  # a zero after each document keeps matches inside it

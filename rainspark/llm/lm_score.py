@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rainspark.llm.blobs import dump, dump_small, dump_sorted, load, load_sorted, range_cuts
-from rainspark.llm.common import mix64, new_path, partitions, texts
+from rainspark.llm.common import bounded_batches, mix64, new_path, partitions, texts
 
 #: Local number and key of the end of a text, which is also the context of its first word.
 END = 0
@@ -220,6 +220,7 @@ def score(
     time. If nothing is left to learn from, all estimates are uniform. An empty table gives no rows.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     part = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % sections
     rows = texts(docs, id_col, text_col).select("doc_id", "text", (part == held_out).alias("held"), (part == deleted).alias("deleted"))
     blocks = encode(rows, block_bytes)

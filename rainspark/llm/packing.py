@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rainspark.llm.common import new_path, partitions, texts
+from rainspark.llm.common import bounded_batches, new_path, partitions, texts
 
 
 @functools.cache
@@ -223,6 +223,7 @@ def pack(
     exist, so there is no padding.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rainspark.llm.common import bounded_batches
+
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
 BULLETS = (b"-", b"*", "•".encode())
@@ -193,6 +195,7 @@ def apply_rules(
     demand. No shuffle takes place. Nulls: a null text has no words and fails. Repeated rows are judged one by one;
     an empty table gives no rows; a column of df with the name of a result is replaced.
     """
+    bounded_batches(df.sparkSession)
     ordered = order_rules(rules, measure(df, rules, id_col, text_col, sample)) if rules else []
     named = ["base_failed", "kept"]
     keep = [c for c in (columns or [id_col]) if c not in (*BASE_FIELDS, *named)]
