@@ -29,15 +29,20 @@ def _weighted(pairs: DataFrame, keys: list[str], power: float) -> DataFrame:
     return pairs.groupBy(*keys).agg(F.coalesce(exact, F.sum(F.col("z") * w) / F.sum(w)).alias("value"))
 
 
-def idw(cells: DataFrame, stations: DataFrame, group: list[str], time: list[str], power: float = 2.0) -> DataFrame:
-    """Inverse-distance map of stations (group, time, lon, lat, rf) on the cells (group, row, col, lon, lat).
+CELL = ("row", "col")
 
-    Cells meet the stations of their own group only.
+
+def idw(
+    cells: DataFrame, stations: DataFrame, group: list[str], time: list[str], power: float = 2.0, cell: tuple[str, ...] = CELL
+) -> DataFrame:
+    """Inverse-distance map of stations (group, time, lon, lat, rf) on the cells (group, cell, lon, lat).
+
+    Cells meet the stations of their own group only. `cell` names the columns that tell cells apart.
     """
     s = stations.select(*group, *time, F.col("lon").alias("x"), F.col("lat").alias("y"), F.col("rf").alias("z"))
     d = S.planar(F.col("lon"), F.col("lat"), F.col("x"), F.col("y"))
     pairs = cells.join(s, group).withColumn("d", d)
-    return _weighted(pairs, [*group, *time, "row", "col"], power)
+    return _weighted(pairs, [*group, *time, *cell], power)
 
 
 def idw_loo(stations: DataFrame, group: list[str], power: float = 2.0) -> DataFrame:
@@ -64,10 +69,10 @@ def methods(stations: DataFrame, group: list[str], least: int = 3, least_varianc
     return got.select(*group, "n", "top_real", status.alias("status"))
 
 
-def no_rain(cells: DataFrame, groups: DataFrame, group: list[str]) -> DataFrame:
+def no_rain(cells: DataFrame, groups: DataFrame, group: list[str], cell: tuple[str, ...] = CELL) -> DataFrame:
     """Zero grids, with -9999 for the standard error, of groups without rain (K8)."""
     return cells.join(groups.filter("status = 'no_rain'"), group).select(
-        *[c for c in groups.columns if c not in ("n", "top_real", "status")], "row", "col", F.lit(0.0).alias("value"), F.lit(-9999.0).alias("se")
+        *[c for c in groups.columns if c not in ("n", "top_real", "status")], *cell, F.lit(0.0).alias("value"), F.lit(-9999.0).alias("se")
     )
 
 
@@ -121,7 +126,15 @@ def krige_loo(points: DataFrame, group: list[str], model: str = "exp") -> DataFr
     return points.groupBy(*group).applyInPandas(run, schema)
 
 
-def krige(points: DataFrame, cells: DataFrame, group: list[str], time: list[str], model: str = "exp") -> DataFrame:
+def krige(
+    points: DataFrame,
+    cells: DataFrame,
+    group: list[str],
+    time: list[str],
+    model: str = "exp",
+    cell: tuple[str, ...] = CELL,
+    block_cells: int = 400,
+) -> DataFrame:
     """Ordinary kriging of y to the cells of a group: pred and var (K3).
 
     The system of each (group, time) is solved once into dual weights; a block of cells meets them as a join on group,
@@ -142,9 +155,10 @@ def krige(points: DataFrame, cells: DataFrame, group: list[str], time: list[str]
         return pd.DataFrame([row], columns=[*keys, "xs", "ys", "weights", "inverse", "params"])
 
     solved = points.groupBy(*keys).applyInPandas(solve, schema)
-    block = F.floor(F.col("row") / 8)
-    tiles = cells.groupBy(*group, block.alias("block")).agg(F.collect_list(F.struct("row", "col", "lon", "lat")).alias("cells"))
-    out_schema = ", ".join(f"{c} {kinds[c]}" for c in keys) + ", row long, col long, pred double, var double"
+    sizes = cells.groupBy(*group).agg(F.ceil(F.count("*") / block_cells).alias("_blocks"))  # a row for each group
+    cells = cells.join(sizes, group).withColumn("block", F.pmod(F.xxhash64(*cell), F.col("_blocks")))
+    tiles = cells.groupBy(*group, "block").agg(F.collect_list(F.struct(*cell, "lon", "lat")).alias("cells"))
+    out_schema = ", ".join(f"{c} {kinds[c]}" for c in keys) + "".join(f", {c} long" for c in cell) + ", pred double, var double"
 
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -156,7 +170,8 @@ def krige(points: DataFrame, cells: DataFrame, group: list[str], time: list[str]
                     np.stack([r.xs, r.ys], 1), np.asarray(r.weights), np.asarray(r.inverse).reshape(n + 1, n + 1),
                     at[["lon", "lat"]].to_numpy(), cov,
                 )
-                yield pd.DataFrame({**{c: getattr(r, c) for c in keys}, "row": at.row, "col": at.col, "pred": pred, "var": var})
+                known = {c: getattr(r, c) for c in keys} | {c: at[c] for c in cell}
+                yield pd.DataFrame(known | {"pred": pred, "var": var})
 
     return tiles.join(solved, group).mapInPandas(predict, out_schema)
 

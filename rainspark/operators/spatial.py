@@ -100,8 +100,10 @@ def terrain(grid: DataFrame, dx: float, dy: float, keys: tuple[str, ...] = ("til
     )
 
 
-def nearest_distance(grid: DataFrame, points: DataFrame, keys: tuple[str, ...] = ("county",)) -> DataFrame:
+def nearest_distance(
+    grid: DataFrame, points: DataFrame, keys: tuple[str, ...] = ("county",), cell: tuple[str, ...] = ("row", "col")
+) -> DataFrame:
     """Metres from every cell to the nearest point of its group."""
     p = points.select(*keys, F.col("lon").alias("plon"), F.col("lat").alias("plat"))
     dist = S.haversine(F.col("lon"), F.col("lat"), F.col("plon"), F.col("plat"))
-    return grid.join(p, list(keys)).groupBy(*keys, "row", "col").agg(F.min(dist).alias("dist"))
+    return grid.join(p, list(keys)).groupBy(*keys, *cell).agg(F.min(dist).alias("dist"))

@@ -19,6 +19,7 @@ from rainspark.sources import tables
 
 HAV = ("2 * 6371008.8 * asin(sqrt(least(pow(sin(radians({b}lat - {a}lat) / 2), 2) + cos(radians({a}lat)) * cos(radians({b}lat)) "
        "* pow(sin(radians({b}lon - {a}lon) / 2), 2), 1.0)))")
+CELL = ("tile", "row", "col")
 PLANAR = "sqrt(({b}lon - {a}lon) * ({b}lon - {a}lon) + ({b}lat - {a}lat) * ({b}lat - {a}lat))"
 
 
@@ -116,18 +117,18 @@ def c15_variogram_parameters(spark, d):
     return runs.join(params, "month")
 
 
-IDW = f"""w AS (SELECT c.county, s.month, c.tile, c.row, c.col, s.rf, {planar('c.', 's.')} AS dd FROM cells c JOIN station_month s ON s.county = c.county
-  WHERE c.tile = 0), idw AS (SELECT county, month, row, col, coalesce(min(CASE WHEN dd = 0 THEN rf END),
-  sum(CASE WHEN dd > 0 THEN rf / pow(dd, 2) END) / sum(CASE WHEN dd > 0 THEN 1 / pow(dd, 2) END)) AS value FROM w GROUP BY 1, 2, 3, 4)"""
+IDW = f"""w AS (SELECT c.county, s.month, c.tile, c.row, c.col, s.rf, {planar('c.', 's.')} AS dd FROM cells c JOIN station_month s ON s.county = c.county),
+  idw AS (SELECT county, month, tile, row, col, coalesce(min(CASE WHEN dd = 0 THEN rf END),
+  sum(CASE WHEN dd > 0 THEN rf / pow(dd, 2) END) / sum(CASE WHEN dd > 0 THEN 1 / pow(dd, 2) END)) AS value FROM w GROUP BY 1, 2, 3, 4, 5)"""
 
 
 def _idw(spark, d):
-    """Maps of every county and month on the first tile, which covers the whole box; further tiles repeat its cells."""
-    grid = D.cells(spark, d).filter("tile = 0")
-    return I.idw(grid.select("county", "row", "col", "lon", "lat"), D.station_month(spark, d), ["county"], ["month"])
+    """Maps of every county and month on all cells."""
+    grid = D.cells(spark, d).select("county", *CELL, "lon", "lat")
+    return I.idw(grid, D.station_month(spark, d), ["county"], ["month"], cell=CELL)
 
 
-@query(sql("cells station_month", f"WITH {IDW} SELECT county, month, row, col, round(value, 5) AS value FROM idw"))
+@query(sql("cells station_month", f"WITH {IDW} SELECT county, month, tile, row, col, round(value, 5) AS value FROM idw"))
 def k6_c16_idw_map(spark, d):
     return _idw(spark, d).withColumn("value", F.round("value", 5))
 
@@ -224,8 +225,8 @@ def k4_kriging_leave_one_out(spark, d):
 
 @query()
 def k3_kriging_map(spark, d):
-    grid = D.cells(spark, d).filter("tile = 0").select("county", "row", "col", "lon", "lat")
-    return I.krige(_with_params(spark, d), grid, ["county"], ["month"])
+    grid = D.cells(spark, d).select("county", *CELL, "lon", "lat")
+    return I.krige(_with_params(spark, d), grid, ["county"], ["month"], cell=CELL)
 
 
 def _candidates(spark, d):
@@ -422,16 +423,16 @@ def e13_worst_flagged(spark, d):
 def _map_cells(spark, d):
     """Cells of all tiles with terrain and the distance to the nearest station of their county."""
     grid = D.cells(spark, d)
-    near = P.nearest_distance(grid.filter("tile = 0"), places(spark, d)).select("row", "col", "dist")
+    near = P.nearest_distance(grid, places(spark, d), cell=CELL).select(*CELL, "dist")
     shape = P.terrain(grid, 0.1, 0.1)
-    return grid.select("tile", "county", "row", "col", "value").join(shape, ["tile", "row", "col"]).join(near, ["row", "col"])
+    return grid.select("tile", "county", "row", "col", "value").join(shape, ["tile", "row", "col"]).join(near, list(CELL))
 
 
-@query(sql("cells meta", f"""WITH near AS (SELECT c.row, c.col, min({hav('c.', 'm.')}) AS dist FROM cells c JOIN meta m ON m.county = c.county WHERE c.tile = 0 GROUP BY 1, 2)
-SELECT row, col, round(dist, 3) AS dist FROM near"""))
+@query(sql("cells meta", f"""WITH near AS (SELECT c.tile, c.row, c.col, min({hav('c.', 'm.')}) AS dist FROM cells c JOIN meta m ON m.county = c.county GROUP BY 1, 2, 3)
+SELECT tile, row, col, round(dist, 3) AS dist FROM near"""))
 def k15_nearest_station(spark, d):
-    got = P.nearest_distance(D.cells(spark, d).filter("tile = 0"), places(spark, d))
-    return got.select("row", "col", F.round("dist", 3).alias("dist"))
+    got = P.nearest_distance(D.cells(spark, d), places(spark, d), cell=CELL)
+    return got.select(*CELL, F.round("dist", 3).alias("dist"))
 
 
 @query()
@@ -471,13 +472,13 @@ def k9_daily_maps(spark, d):
     """The driver on months: no-rain, kriging or inverse-distance values of every county and month on the grid."""
     pts = month_points(spark, d).withColumnRenamed("month", "date")
     ways = tables.written(I.methods(pts, ["county", "date"]), "ways")
-    grid = D.cells(spark, d).filter("tile = 0").select("county", "row", "col", "lon", "lat")
-    zero = I.no_rain(grid, ways, ["county"]).select("county", "date", "row", "col", "value", F.lit("no_rain").alias("method"))
+    grid = D.cells(spark, d).select("county", *CELL, "lon", "lat")
+    zero = I.no_rain(grid, ways, ["county"], CELL).select("county", "date", *CELL, "value", F.lit("no_rain").alias("method"))
     keys = ["county", "date"]
     kriged = ways.filter("status = 'krige' and n >= 8").select(*keys)
     rest = ways.filter("status in ('too_few', 'flat') or (status = 'krige' and n < 8)").select(*keys)
     target = _with_params(spark, d).withColumnRenamed("month", "date").join(kriged, keys)
-    maps = I.krige(target, grid, ["county"], ["date"])
-    maps = maps.select(*keys, "row", "col", S.back_plain(F.col("pred")).alias("value"), F.lit("krige").alias("method"))
-    other = I.idw(grid, pts.join(rest, keys), ["county"], ["date"]).select(*keys, "row", "col", "value", F.lit("idw").alias("method"))
+    maps = I.krige(target, grid, ["county"], ["date"], cell=CELL)
+    maps = maps.select(*keys, *CELL, S.back_plain(F.col("pred")).alias("value"), F.lit("krige").alias("method"))
+    other = I.idw(grid, pts.join(rest, keys), ["county"], ["date"], cell=CELL).select(*keys, *CELL, "value", F.lit("idw").alias("method"))
     return zero.unionByName(maps).unionByName(other)
