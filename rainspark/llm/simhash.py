@@ -128,7 +128,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Equal fingerprints are one node, so a group of copies costs one row in the search, and membership is joined back.
     Dense groups are contracted by stars first, so that the search lists links between groups, not all pairs in one.
     Nulls: a null text has no words and fingerprint zero, linked like any other; a null id takes part, but names a
-    component only if no other id is in it. Repeated rows share a component. An empty table gives no rows.
+    component only if no other id is in it. The id may be of any ordered type. Repeated rows share a component. An empty table gives no rows.
     """
     rows = stage(fingerprints(df, id_col, text_col, words), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))

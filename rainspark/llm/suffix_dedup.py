@@ -28,9 +28,9 @@ from rainspark.llm.common import bounded_batches, mix64, new_path, partitions
 KMER = 24
 LAST = (1 << 63) - 1  # stands for a null id: later than every document
 
-_BLOCK = "doc_ids array<bigint>, carried array<bigint>, sizes binary, data binary"
+_BLOCK = "doc_ids array<bigint>, carried array<string>, sizes binary, data binary"
 _BLOCK_ARROW = pa.schema(
-    [("doc_ids", pa.list_(pa.int64())), ("carried", pa.list_(pa.int64())), ("sizes", pa.binary()), ("data", pa.binary())]
+    [("doc_ids", pa.list_(pa.int64())), ("carried", pa.list_(pa.string())), ("sizes", pa.binary()), ("data", pa.binary())]
 )
 
 
@@ -435,9 +435,9 @@ def _apply(length: int):
 
 _SPAN = pa.struct([("first", pa.int64()), ("end", pa.int64())])
 _RESULT = pa.schema(
-    [("doc_id", pa.int64()), ("carried", pa.int64()), ("n_bytes", pa.int64()), ("kept", pa.binary()), ("spans", pa.list_(_SPAN))]
+    [("doc_id", pa.int64()), ("carried", pa.string()), ("n_bytes", pa.int64()), ("kept", pa.binary()), ("spans", pa.list_(_SPAN))]
 )
-_RESULT_SQL = "doc_id long, carried long, n_bytes long, kept binary, spans array<struct<first: long, end: long>>"
+_RESULT_SQL = "doc_id long, carried string, n_bytes long, kept binary, spans array<struct<first: long, end: long>>"
 
 
 def _splitters(blocks: DataFrame, parts: int, each: int = 64) -> np.ndarray:
@@ -468,7 +468,7 @@ def remove_repeats(
     block_bytes: int = 4 << 20,
     part_bytes: int = 8 << 20,
 ) -> DataFrame:
-    """doc_id, carried (carry_col), n_bytes, kept (the bytes left) and spans (first and end of each removed run).
+    """doc_id, carried (carry_col as text), n_bytes, kept (the bytes left) and spans (first and end of each removed run).
 
     A byte goes if a string of `length` bytes that covers it also starts in a document with a smaller id; strings are
     judged on the input. Copies inside one document stay. A passage that many documents share costs one entry for
@@ -481,7 +481,7 @@ def remove_repeats(
         raise ValueError(f"length must be between {KMER + 1} and 200")
     spark = docs.sparkSession
     bounded_batches(spark)
-    carried = F.col(carry_col).cast("long") if carry_col else F.lit(None).cast("long")
+    carried = F.col(carry_col).cast("string") if carry_col else F.lit(None).cast("string")
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), carried.alias("carried")
     )
