@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 
 
@@ -13,6 +15,21 @@ def _codec() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
     return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
+@functools.cache
+def _libc() -> ctypes.CDLL | None:
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:
+        return None
+
+
+def give_back() -> None:
+    """Return freed memory to the system. Python workers are reused from stage to stage, and what they keep adds up."""
+    pa.default_memory_pool().release_unused()
+    if _libc():
+        _libc().malloc_trim(0)
+
+
 def squeeze(data: bytes) -> bytes:
     return _codec()[0].compress(data)
 

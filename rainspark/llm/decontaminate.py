@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rainspark.llm.blobs import give_back
 from rainspark.llm.common import bounded_batches
 
 #: Bytes that make words: digits, letters (upper case is lowered first) and all bytes of non-ASCII characters.
@@ -215,6 +216,7 @@ def _marker(step: Broadcast, names: list[str], with_matches: bool):
             out["items"] = pa.array(items, batch.schema.field("items").type)
             out["matches"] = pa.array(matches, batch.schema.field("matches").type)
             yield pa.RecordBatch.from_arrays([out[c] for c in names], names)
+            give_back()
 
     return run
 

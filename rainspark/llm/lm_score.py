@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rainspark.llm.blobs import dump, dump_small, dump_sorted, load, load_sorted, range_cuts
+from rainspark.llm.blobs import dump, dump_small, dump_sorted, give_back, load, load_sorted, range_cuts
 from rainspark.llm.common import bounded_batches, mix64, new_path, partitions, texts
 
 #: Local number and key of the end of a text, which is also the context of its first word.
@@ -106,6 +106,7 @@ def _requests(ranges: int):
                         at = slice(cut[r], cut[r + 1])
                         piece |= {f"keys{n}": dump_sorted(keys[at]), f"counts{n}": dump_small(c[at])}
                     yield pa.RecordBatch.from_pylist([piece], schema=_REQUEST)
+                give_back()
 
     return run
 
@@ -149,6 +150,7 @@ def _merge(table: pa.Table) -> pa.Table:
             at += len(k)
         if n == 0:
             out[0] |= {"tokens": int(total.sum()), "tokens_out": int(deleted.sum()), "types": int((total > 0).sum())}
+    give_back()
     return pa.Table.from_pylist(out, schema=_ANSWER)
 
 
@@ -280,6 +282,7 @@ def score(
                     }
                 )
             )
+        give_back()
         return pa.concat_tables(out)
 
     return (

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rainspark.llm.blobs import give_back
 from rainspark.llm.common import bounded_batches, new_path, partitions, texts
 
 
@@ -233,6 +234,7 @@ def pack(
                 n = pa.array([len(x) for x in coded], pa.int64())
                 small = [(x.astype("<u2") if x.max() < 1 << 16 else x).tobytes() for x in coded]
                 yield pa.RecordBatch.from_arrays([part.column(0), n, pa.array(small, pa.binary())], ["doc_id", "n", "packed"])
+        give_back()
 
     path = new_path(spark, "tokens")
     coded = texts(docs, id_col, text_col).mapInArrow(encode, "doc_id long, n long, packed binary")
@@ -282,6 +284,7 @@ def pack(
                 kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 3
                 columns = zip(*out, strict=True) if out else [[]] * 7
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+        give_back()
 
     joined = coded.join(ranked, "row").select("doc_id", "n", "packed", "rank", "full_rank")
     return joined.mapInArrow(

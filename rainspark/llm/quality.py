@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rainspark.llm.blobs import give_back
 from rainspark.llm.common import bounded_batches
 
 SYMBOLS = "#*$%&|<>"
@@ -214,5 +215,6 @@ def apply_rules(
                 out["kept"].append(not failed and not any(r.rejects(t) for r in ordered))
             new = [pa.array(out[c], pa.int64()) for c in BASE_FIELDS] + [pa.array(out[c], pa.bool_()) for c in named]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *new], [*keep, *BASE_FIELDS, *named])
+        give_back()
 
     return rows.mapInArrow(run, T.StructType([rows.schema[c] for c in keep] + fields))

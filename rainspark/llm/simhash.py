@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rainspark.llm.blobs import give_back
 from rainspark.llm.common import bounded_batches, partitions, stage
 from rainspark.llm.graph import components
 
@@ -41,6 +42,7 @@ def fingerprints(df: DataFrame, id_col: str, text_col: str, words: int) -> DataF
         for batch in batches:
             got = np.array([fingerprint(x, words) for x in batch.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got)], ["doc_id", "fp"])
+        give_back()
 
     bounded_batches(df.sparkSession)
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))

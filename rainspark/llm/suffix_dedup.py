@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rainspark.llm.blobs import dump, dump_small, dump_sorted, load, load_sorted, range_cuts, squeeze, unsqueeze
+from rainspark.llm.blobs import dump, dump_small, dump_sorted, give_back, load, load_sorted, range_cuts, squeeze, unsqueeze
 from rainspark.llm.common import bounded_batches, mix64, new_path, partitions
 
 KMER = 24
@@ -149,6 +149,7 @@ def _ask(ranges: int, bits: int, length: int):
                     at = slice(cut[r], cut[r + 1])
                     piece = [[row["block"]], [r], [dump_sorted(keys[at])], [dump(np.packbits(many[at]))]]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(piece, _ASK.types, strict=True)], _ASK.names)
+                give_back()
 
     return run
 
@@ -169,6 +170,7 @@ def _partners(table: pa.Table) -> pa.Table:
         bits = dump(np.packbits(shared[which[at : at + len(k)]]))
         out.append({"block": r["block"], "part": r["part"], "n": len(k), "shared": bits})
         at += len(k)
+    give_back()
     return pa.Table.from_pylist(out, schema=_SHARED)
 
 
@@ -311,6 +313,7 @@ def _send(cuts: np.ndarray, bits: int, length: int):
                     | {"places": dump_small(first[order[lo:hi]]), "windows": dump_small(windows[order[lo:hi]])}
                     | {"entry": dump_small(entry_of[lo:hi] - a)}
                 )
+        give_back()
         return pa.Table.from_pylist(out, schema=_RUN)
 
     return run
@@ -388,6 +391,7 @@ def _merge(length: int):
                 | {"least": dump(np.array(least[r], np.int64)), "odd": dump_small(np.array([i for i, _ in odd[r]], np.int64))}
                 | {"odd_least": dump(flat)}
             )
+        give_back()
         return pa.Table.from_pylist(out, schema=_FOUND)
 
     return run
@@ -428,6 +432,7 @@ def _apply(length: int):
                 spans = np.stack([np.flatnonzero(step == 1), np.flatnonzero(step == -1)], 1)
                 result = {"doc_id": i, "carried": more, "n_bytes": b - a, "kept": raw[a:b][~gone[a:b]].tobytes()}
                 out.append(result | {"spans": [{"first": x, "end": y} for x, y in spans.tolist()]})
+        give_back()
         return pa.Table.from_pylist(out, schema=_RESULT)
 
     return run
