@@ -114,7 +114,8 @@ def odd_word_length(t: Text) -> bool:
 
 
 def too_many_dup_lines(t: Text) -> bool:
-    return 100 * t.n_dup_lines > 30 * len(t.lines)
+    """Over 30 % of the lines; one or two repeated lines of a short text are no sign."""
+    return t.n_dup_lines > 2 and 100 * t.n_dup_lines > 30 * len(t.lines)
 
 
 def too_few_letters(t: Text) -> bool:
