@@ -11,23 +11,28 @@ from rainspark.llm.common import stage
 def components(edges: DataFrame) -> DataFrame:
     """node, component (least node reachable) for every node of edges(a, b).
 
-    Each round takes the least label among the neighbours and then jumps to the label's own label, so a chain of n
-    nodes ends after about log n rounds. A round is written to the shared folder; only its number of changes comes
-    to the driver.
+    Each level maps a node to the least of itself and its neighbours, jumps once more along that map, and contracts
+    the graph to the names that are left; edges inside a name go, so a dense group is gone after a level or two. The
+    least node of a component always keeps its name. The maps are composed at the end. Every level is written to the
+    shared folder; only whether edges are left comes to the driver.
     """
-    both = stage(edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct(), "edges")
-    labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select(
-        "node", F.least("node", "low").alias("component")), "labels")
-    while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "component"), "b")
-        near = near.groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        step = labels.join(near, "node").select(
-            "node", F.col("component").alias("old"), F.least("component", "near").alias("component")
-        )
-        up = labels.select(F.col("node").alias("component"), F.col("component").alias("above"))
-        new = stage(
-            step.join(up, "component").select("node", "old", F.least("component", "above").alias("component")), "labels"
-        )
-        if new.filter("component <> old").isEmpty():
-            return new.select("node", "component")
-        labels = new.select("node", "component")
+    left = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
+    left = stage(left, "edges")
+    found = None
+    while found is None or not left.isEmpty():
+        both = left.select(F.col("a").alias("node"), F.col("b").alias("to")).union(left.select("b", "a"))
+        near = both.groupBy("node").agg(F.min("to").alias("to"))
+        hooks = stage(near.select("node", F.least("node", "to").alias("name")), "hooks")
+        up = hooks.select(F.col("node").alias("name"), F.col("name").alias("above"))
+        names = stage(hooks.join(up, "name").select("node", F.col("above").alias("name")), "names")
+        ends = left
+        for end in ("a", "b"):
+            ends = ends.join(names.withColumnRenamed("node", end), end).drop(end).withColumnRenamed("name", end)
+        left = ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
+        left = stage(left, "edges")
+        if found is None:
+            found = names.withColumnRenamed("name", "component")
+        else:
+            step = names.select(F.col("node").alias("component"), "name")
+            found = found.join(step, "component", "left").select("node", F.coalesce("name", "component").alias("component"))
+    return found
