@@ -2,24 +2,19 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rainspark.llm import decontaminate, quality, simhash
+from rainspark.llm import decontaminate, quality
 from tests.llm.helpers import SF, edge, nothing, table
 from tests.llm.test_decontaminate import brute as hits
 from tests.llm.test_packing import check
 from tests.llm.test_quality import brute as counts
+from tests.llm.test_similar import brute as groups
 from tests.llm.test_suffix_dedup import brute as repeats
 
 
 def brute(rows, items):
     """The stages in plain Python: (doc_id, text) that are left to pack."""
     left = [(i, t) for i, t in rows if not counts(t)[5] and not any(r.rejects(quality.Text(t)) for r in quality.RULES)]
-    fps = {i: simhash.fingerprint(t, 5) for i, t in left}
-    group = {i: i for i in fps}
-    for a in sorted(fps):
-        for b in sorted(fps):
-            if a < b and (fps[a] ^ fps[b]).bit_count() <= 6 and group[a] != group[b]:
-                low, high = sorted((group[a], group[b]))
-                group = {i: low if g == high else g for i, g in group.items()}
+    group = groups(dict(left))
     left = [(i, t) for i, t in left if group[i] == i]
     cut = []
     for (i, t), (b, gone) in zip(left, repeats(left), strict=True):
