@@ -218,3 +218,14 @@ def test_screen_removes_one_station_a_round(spark):
     got = rows(quality.screen(df, score, least=2).filter("status = 'fail'"), "skn", "round")
     assert got == [(3, 0), (5, 1)]
     assert quality.screen(df, score, least=8).filter("status = 'fail'").count() == 0
+
+
+def test_screen_goes_on_after_twenty_rounds(spark):
+    data = [("BI", date(2024, 1, 1), i, 100.0 + i if i < 23 else 1.0) for i in range(30)]
+    df = spark.createDataFrame(data, "county string, date date, skn long, rf double")
+
+    def score(x):
+        return x.withColumn("prob_bad", F.col("rf") / 200).withColumn("bad_class", F.col("rf") > 50)
+
+    got = rows(quality.screen(df, score, least=2).filter("status = 'fail'"), "skn", "round")
+    assert sorted(got) == [(i, 22 - i) for i in range(23)]
