@@ -11,6 +11,9 @@ The order of work follows distributed string sorting with prefix doubling (Bingm
    with the last output, decides by those lengths alone where they differ and else compares from there on.
 5. Suffixes with the same k-mer come out side by side. Their windows are compared byte by byte, each gets the least
    document that holds it, and the answer goes back to the block that asked.
+
+A k-mer that stands in very many places, with whatever around it, would be one group of any size. Its windows don't go
+by suffix but by their own hash, each once for a block, and so spread over all ranges.
 """
 
 from __future__ import annotations
@@ -126,11 +129,11 @@ def _open(row: dict) -> tuple[bytes, np.ndarray, np.ndarray]:
     return unsqueeze(row["data"]), sizes, ids
 
 
-_ASK = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("keys", pa.binary()), ("many", pa.binary())])
+_ASK = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("keys", pa.binary()), ("many", pa.binary()), ("times", pa.binary())])
 
 
 def _ask(ranges: int, bits: int, length: int):
-    """Every block's distinct k-mer hashes, by range, and whether the block has each in two documents or more."""
+    """Every block's distinct k-mer hashes, by range, whether the block has each in two documents or more, and how often."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,20 +146,27 @@ def _ask(ranges: int, bits: int, length: int):
                 first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
                 changes = np.concatenate([[0], np.cumsum((h[1:] == h[:-1]) & (doc[1:] != doc[:-1]))]) if len(h) else first
                 many = np.diff(np.append(changes[first], changes[-1] if len(h) else 0)) > 0
-                keys = h[first]
+                keys, times = h[first], np.diff(np.append(first, len(h)))
                 cut = range_cuts(keys << np.uint64(64 - bits), ranges)
                 for r in range(ranges):
                     at = slice(cut[r], cut[r + 1])
-                    piece = [[row["block"]], [r], [dump_sorted(keys[at])], [dump(np.packbits(many[at]))]]
+                    piece = [[row["block"]], [r], [dump_sorted(keys[at])], [dump(np.packbits(many[at]))], [dump_small(times[at])]]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(piece, _ASK.types, strict=True)], _ASK.names)
                 give_back()
 
     return run
 
 
-def _partners(table: pa.Table) -> pa.Table:
-    """For a range of hashes: which of each block's keys stand in two documents or more."""
-    rows = table.to_pylist()
+def _partners(most: int):
+    """For a range of hashes: which of each block's keys stand in two documents or more, and which in over `most` places."""
+
+    def run(table: pa.Table) -> pa.Table:
+        return _shared_keys(table.to_pylist(), most)
+
+    return run
+
+
+def _shared_keys(rows: list[dict], most: int) -> pa.Table:
     keys = [load_sorted(r["keys"]) for r in rows]
     _, which, times = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
     shared = times > 1
@@ -165,16 +175,17 @@ def _partners(table: pa.Table) -> pa.Table:
         many = np.unpackbits(load(r["many"]))[: len(k)].astype(bool)
         shared[which[at : at + len(k)][many]] = True
         at += len(k)
+    often = shared & (np.bincount(which, np.concatenate([load(r["times"]) for r in rows]), len(times)) > most)
     at, out = 0, []
     for r, k in zip(rows, keys, strict=True):
         bits = dump(np.packbits(shared[which[at : at + len(k)]]))
-        out.append({"block": r["block"], "part": r["part"], "n": len(k), "shared": bits})
+        out.append({"block": r["block"], "part": r["part"], "n": len(k), "shared": bits, "often": dump(np.packbits(often[which[at : at + len(k)]]))})
         at += len(k)
     give_back()
     return pa.Table.from_pylist(out, schema=_SHARED)
 
 
-_SHARED = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("n", pa.int64()), ("shared", pa.binary())])
+_SHARED = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("n", pa.int64()), ("shared", pa.binary()), ("often", pa.binary())])
 
 
 def front_code(records: np.ndarray) -> tuple[np.ndarray, bytes]:
@@ -275,7 +286,45 @@ _RUN = pa.schema(
 _RUN_SQL = "block long, part int, " + ", ".join(f"{c} binary" for c in ("shared", "rest", "least", "places", "windows", "entry"))
 
 
-def _send(cuts: np.ndarray, bits: int, length: int):
+def _windows(data: bytes, at: np.ndarray, doc: np.ndarray, length: int, chunk: int = 1 << 17) -> tuple[np.ndarray, ...]:
+    """The distinct windows of `length` bytes at these places, the least document of each, and which one every place has."""
+    raw, kind = np.frombuffer(data, np.uint8), f"S{length}"
+    found, which, n = [np.empty(0, kind)], [], 0
+    for a in range(0, len(at), chunk):
+        rows = np.ascontiguousarray(raw[at[a : a + chunk, None] + np.arange(length)]).view(kind).ravel()
+        own, back = np.unique(rows, return_inverse=True)
+        found.append(own)
+        which.append(back + n)
+        n += len(own)
+    distinct, back = np.unique(np.concatenate(found), return_inverse=True)
+    which = back[np.concatenate(which)] if which else np.empty(0, np.int64)
+    least = np.full(len(distinct), LAST)
+    np.minimum.at(least, which, doc)
+    return distinct, least, which
+
+
+def _window_runs(block: int, data: bytes, at: np.ndarray, doc: np.ndarray, length: int, parts: int) -> Iterator[dict]:
+    """The distinct windows at these places as rows of a run without `shared`, dealt out by the windows' own hash."""
+    distinct, least, which = _windows(data, at, doc, length)
+    table = distinct.view(np.uint8).reshape(-1, length)
+    h = np.zeros(len(table), np.uint64)
+    for k in range(length):
+        h = (h + table[:, k]) * np.uint64(0x9E3779B97F4A7C15)
+    part = (mix64(h) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part[which], kind="stable")
+    rank = np.empty(len(distinct), np.int64)
+    for r in np.unique(part).tolist():
+        mine = np.flatnonzero(part == r)
+        rank[mine] = np.arange(len(mine))
+        lo, hi = np.searchsorted(part[which[order]], [r, r + 1])
+        places = order[lo:hi]
+        yield (
+            {"block": block, "part": r, "shared": None, "rest": squeeze(table[mine].tobytes()), "least": dump(least[mine])}
+            | {"places": dump_small(at[places]), "windows": dump_small(np.ones(len(places), np.int64)), "entry": dump_small(rank[which[places]])}
+        )
+
+
+def _send(cuts: np.ndarray, bits: int, length: int, parts: int):
     """A block's suffixes that have partners, as sorted front-coded runs by key range.
 
     An entry is a distinct row of bytes with the least document of the block that holds it. Where the entries stand
@@ -284,13 +333,20 @@ def _send(cuts: np.ndarray, bits: int, length: int):
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
-        parts = sorted(right.to_pylist(), key=lambda r: r["part"])
-        shared = np.concatenate([np.unpackbits(load(p["shared"]))[: p["n"]] for p in parts]).astype(bool)
+        answers = sorted(right.to_pylist(), key=lambda r: r["part"])
+        shared = np.concatenate([np.unpackbits(load(p["shared"]))[: p["n"]] for p in answers]).astype(bool)
+        often = np.concatenate([np.unpackbits(load(p["often"]))[: p["n"]] for p in answers]).astype(bool)
         for row in left.to_pylist():
             data, sizes, ids = _open(row)
             anchor, first, windows, h = anchors(data, sizes, length)
             which = np.unique(h >> np.uint64(64 - bits), return_inverse=True)[1]
-            keep = np.flatnonzero(shared[which])
+            some = np.flatnonzero(often[which])
+            if len(some):
+                n = windows[some]
+                at = np.repeat(first[some] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                holder = ids[np.searchsorted(np.cumsum(sizes), at, "right")]
+                out.extend(_window_runs(row["block"], data, at, holder, length, parts))
+            keep = np.flatnonzero(shared[which] & ~often[which])
             anchor, first, windows = anchor[keep], first[keep], windows[keep]
             doc = ids[np.searchsorted(np.cumsum(sizes), anchor, "right")]
             table = _records(data, anchor, first, windows, length)
@@ -358,8 +414,25 @@ def _merge(length: int):
                     least[r][i] = -1
                     odd[r].append((i, got))
 
+    def alone(rows: list[dict]) -> list[dict]:
+        """Answers for windows that came by their own hash."""
+        if not rows:
+            return []
+        found = [np.frombuffer(unsqueeze(r["rest"]), f"S{length}") for r in rows]
+        distinct, which = np.unique(np.concatenate(found), return_inverse=True)
+        best = np.full(len(distinct), LAST)
+        np.minimum.at(best, which, np.concatenate([load(r["least"]) for r in rows]))
+        ends = np.cumsum([len(x) for x in found])
+        none = {"odd": dump_small(np.empty(0, np.int64)), "odd_least": dump(np.empty(0, np.int64))}
+        return [
+            {c: r[c] for c in ("block", "places", "windows", "entry")} | {"least": dump(best[which[e - len(x) : e]])} | none
+            for r, x, e in zip(rows, found, ends, strict=True)
+        ]
+
     def run(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["block"])
+        out = alone([r for r in rows if r["shared"] is None])
+        rows = [r for r in rows if r["shared"] is not None]
         width = length + span + 2
         docs = [load(r["least"]).tolist() for r in rows]
         least = [[0] * len(d) for d in docs]
@@ -382,7 +455,6 @@ def _merge(length: int):
             group.append([row, doc, [(r, i)]])
         if group:
             resolve(group, least, odd)
-        out = []
         for r, row in enumerate(rows):
             odd[r].sort()
             flat = np.array([d for _, got in odd[r] for d in got], np.int64)
@@ -472,12 +544,13 @@ def remove_repeats(
     carry_col: str | None = None,
     block_bytes: int = 4 << 20,
     part_bytes: int = 8 << 20,
+    group_places: int = 1 << 12,
 ) -> DataFrame:
     """doc_id, carried (carry_col as text), n_bytes, kept (the bytes left) and spans (first and end of each removed run).
 
     A byte goes if a string of `length` bytes that covers it also starts in a document with a smaller id; strings are
     judged on the input. Copies inside one document stay. A passage that many documents share costs one entry for
-    each block of documents, whatever the number of copies.
+    each block of documents and context, whatever the number of copies; k-mers in more than group_places places go by window.
 
     Nulls: a null text is empty; a null id is later than every other, and rows without id don't remove from one another.
     Neither do rows with the same id. Texts shorter than `length` stay whole. An empty table gives no rows.
@@ -494,9 +567,9 @@ def remove_repeats(
     size, n = blocks.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0)), F.count("*")).first()
     parts = max(min(partitions(spark), 4 * max(n, 1)), size // part_bytes, 1)
     bits = min(64, max(32, (size + 1).bit_length() + 12))
-    asked = blocks.mapInArrow(_ask(parts, bits, length), "block long, part int, keys binary, many binary")
-    shared = asked.groupBy("part").applyInArrow(_partners, "block long, part int, n long, shared binary")
+    asked = blocks.mapInArrow(_ask(parts, bits, length), "block long, part int, keys binary, many binary, times binary")
+    shared = asked.groupBy("part").applyInArrow(_partners(group_places), "block long, part int, n long, shared binary, often binary")
     cuts = _splitters(blocks, parts)
-    runs = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_send(cuts, bits, length), _RUN_SQL)
+    runs = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_send(cuts, bits, length, parts), _RUN_SQL)
     found = runs.groupBy("part").applyInArrow(_merge(length), _FOUND_SQL)
     return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_apply(length), _RESULT_SQL)

@@ -91,3 +91,16 @@ def test_loser_tree_merges_front_coded_runs():
         assert [(x, r) for _, x, r in got] == sorted(everything)
         for (_, x, _), (shared, y, _) in zip(got, got[1:], strict=False):
             assert shared == next((i for i in range(6) if x[i] != y[i]), 6)
+
+
+def test_frequent_phrase_with_different_text_around(spark):
+    """A phrase of one k-mer's length in all texts is no group in memory: its windows go by their own hash."""
+    rng = np.random.default_rng(4)
+    phrase, words = "x" * 12 + "0123456789abcdefgh" + "y" * 12, [f"w{i} " for i in range(50)]
+    docs = []
+    for i in rng.permutation(400).tolist():
+        around = ["".join(rng.choice(words, 30)) for _ in range(2)]
+        docs.append((i, around[0] + phrase + around[1] if i % 5 else "the same text around it " + phrase + " and the same behind it"))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    same(suffix_dedup.remove_repeats(df, block_bytes=6000, part_bytes=600, group_places=50).collect(), docs)
+    same(suffix_dedup.remove_repeats(df, block_bytes=6000, part_bytes=600, group_places=1).collect(), docs)
