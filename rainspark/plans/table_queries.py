@@ -19,8 +19,9 @@ MONTHS = [f"X{YEAR}.{m:02d}" for m in range(1, 13)]
 @query(sql("station_day", "SELECT skn, date, rf AS value FROM station_day"))
 def a4_wide_to_long(spark, d):
     days = D.station_day(spark, d)
+    first, last = days.agg(F.min(F.year("date")), F.max(F.year("date"))).first()
     long = []
-    for year in range(1995, 2002):  # a wide file holds a year at most
+    for year in range(first, last + 1):  # a wide file holds a year at most
         names = [f"X{year}.{m:02d}.{k:02d}" for m in range(1, 13) for k in range(1, 32)]
         part = days.filter(F.year("date") == year).withColumn("name", S.wide_name("date"))
         long.append(tables.melt_wide(tables.to_wide(part, ["skn"], "name", "rf", names), ["skn"]))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rainspark.functions import kernels
 from rainspark.functions import scalars as S
 from rainspark.operators import gapfill, ingest, interpolate, merge, metrics, monthly, quality, spatial
+from rainspark.plans import table_queries
 from rainspark.sources import tables
 
 T0 = datetime(2024, 1, 2, 10)
@@ -229,3 +230,10 @@ def test_screen_goes_on_after_twenty_rounds(spark):
 
     got = rows(quality.screen(df, score, least=2).filter("status = 'fail'"), "skn", "round")
     assert sorted(got) == [(i, 22 - i) for i in range(23)]
+
+
+def test_wide_years_come_from_the_dates(spark, monkeypatch):
+    data = [(1, date(y, 3, 5), float(y)) for y in (1988, 1995, 2004)]
+    days = spark.createDataFrame(data, "skn long, date date, rf double")
+    monkeypatch.setattr(table_queries.D, "station_day", lambda *_: days)
+    assert rows(table_queries.a4_wide_to_long(spark, ""), "skn", "date", "value") == data
