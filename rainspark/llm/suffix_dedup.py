@@ -81,9 +81,10 @@ def kmer_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def anchors(data: bytes, sizes: np.ndarray, length: int, chunk: int = 1 << 19) -> tuple[np.ndarray, ...]:
-    """(anchor, first window, number of windows, k-mer hash) of all runs of windows with the same anchor.
+    """(anchor, first window, number of windows, k-mer key) of all runs of windows with the same anchor.
 
-    Windows never cross documents. A window's anchor is the k-mer of least hash in it, the leftmost of equals.
+    Windows never cross documents. A window's anchor is the k-mer of least hash in it, the leftmost of equals. Least
+    hashes are small ones, so the key is mixed once more: equal ranges of keys then hold about equally many anchors.
     """
     n = len(data)
     raw = np.frombuffer(data + bytes(length + KMER), np.uint8)
@@ -120,7 +121,7 @@ def anchors(data: bytes, sizes: np.ndarray, length: int, chunk: int = 1 << 19) -
     if not len(anchor):
         return anchor, first, first, anchor.astype(np.uint64)
     found = np.searchsorted(np.concatenate(places), anchor)
-    return anchor, first, last - first + 1, np.concatenate(hashes)[found]
+    return anchor, first, last - first + 1, mix64(np.concatenate(hashes)[found])
 
 
 def _open(row: dict) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -149,6 +150,8 @@ def _ask(ranges: int, bits: int, length: int):
                 keys, times = h[first], np.diff(np.append(first, len(h)))
                 cut = range_cuts(keys << np.uint64(64 - bits), ranges)
                 for r in range(ranges):
+                    if cut[r] == cut[r + 1]:  # so there are never more rows than keys, however many ranges
+                        continue
                     at = slice(cut[r], cut[r + 1])
                     piece = [[row["block"]], [r], [dump_sorted(keys[at])], [dump(np.packbits(many[at]))], [dump_small(times[at])]]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(piece, _ASK.types, strict=True)], _ASK.names)
@@ -191,7 +194,7 @@ _SHARED = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("n", pa.int64
 def front_code(records: np.ndarray) -> tuple[np.ndarray, bytes]:
     """Of sorted rows of bytes: the length that each shares with the row before, and the bytes from there on."""
     n, width = records.shape
-    shared = np.zeros(n, np.uint8)
+    shared = np.zeros(n, np.uint16)
     if n > 1:
         differ = records[1:] != records[:-1]
         shared[1:] = np.where(differ.any(1), differ.argmax(1), width)
@@ -324,7 +327,25 @@ def _window_runs(block: int, data: bytes, at: np.ndarray, doc: np.ndarray, lengt
         )
 
 
-def _send(cuts: np.ndarray, bits: int, length: int, parts: int):
+def _bits_of(answers: list[dict], name: str) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint8), *(np.unpackbits(load(a[name]))[: a["n"]] for a in answers)]).astype(bool)
+
+
+def range_of(table: np.ndarray, cuts: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The key range of each sorted row of bytes. A cut that came out `times` times stands for a prefix that fills as many
+    ranges; its rows are dealt to these by the rest of their k-mer, so equal k-mers stay together."""
+    words = np.ascontiguousarray(table[:, :KMER]).view(">u8").astype(np.uint64)
+    prefix = words[:, 0] >> np.uint64(1)
+    part = np.searchsorted(cuts, prefix, "right")
+    if len(cuts) and times.max() > 1:
+        at = np.minimum(np.searchsorted(cuts, prefix), len(cuts) - 1)
+        hot = np.flatnonzero((cuts[at] == prefix) & (times[at] > 1))
+        rest = mix64(words[hot, 0] + mix64(words[hot, 1]) * np.uint64(3) + mix64(words[hot, 2]) * np.uint64(5))
+        part[hot] = len(cuts) + 1 + (np.cumsum(times) - times)[at[hot]] + (rest % times[at[hot]].astype(np.uint64)).astype(np.int64)
+    return part
+
+
+def _send(cuts: np.ndarray, times: np.ndarray, bits: int, length: int, parts: int):
     """A block's suffixes that have partners, as sorted front-coded runs by key range.
 
     An entry is a distinct row of bytes with the least document of the block that holds it. Where the entries stand
@@ -334,8 +355,7 @@ def _send(cuts: np.ndarray, bits: int, length: int, parts: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         answers = sorted(right.to_pylist(), key=lambda r: r["part"])
-        shared = np.concatenate([np.unpackbits(load(p["shared"]))[: p["n"]] for p in answers]).astype(bool)
-        often = np.concatenate([np.unpackbits(load(p["often"]))[: p["n"]] for p in answers]).astype(bool)
+        shared, often = _bits_of(answers, "shared"), _bits_of(answers, "often")
         for row in left.to_pylist():
             data, sizes, ids = _open(row)
             anchor, first, windows, h = anchors(data, sizes, length)
@@ -355,13 +375,16 @@ def _send(cuts: np.ndarray, bits: int, length: int, parts: int):
             same = flat[order][1:] == flat[order][:-1]
             entry_of = np.cumsum(np.concatenate([[0], ~same])) if len(order) else np.zeros(0, np.int64)
             heads = order[np.flatnonzero(np.concatenate([[True], ~same]))] if len(order) else order
-            table, least = table[heads], doc[heads]
-            prefix = np.ascontiguousarray(table[:, :8]).view(">u8").ravel() >> np.uint64(1)
-            cut = np.concatenate([[0], np.searchsorted(prefix, cuts), [len(table)]])
-            for r in range(len(cuts) + 1):
-                a, b = cut[r], cut[r + 1]
-                if a == b:
-                    continue
+            table = table[heads]
+            part = range_of(table, cuts, times)
+            dealt = np.argsort(part, kind="stable")
+            table, least, part = table[dealt], doc[heads][dealt], part[dealt]
+            place = np.empty(len(dealt), np.int64)
+            place[dealt] = np.arange(len(dealt))
+            again = np.argsort(place[entry_of], kind="stable")
+            order, entry_of = order[again], place[entry_of][again]
+            names, begin = np.unique(part, return_index=True)
+            for r, a, b in zip(names.tolist(), begin, np.append(begin[1:], len(part)), strict=False):
                 lo, hi = np.searchsorted(entry_of, [a, b])
                 lengths, rest = front_code(table[a:b])
                 out.append(
@@ -518,7 +541,9 @@ _RESULT_SQL = "doc_id long, carried string, n_bytes long, kept binary, spans arr
 
 
 def _splitters(blocks: DataFrame, parts: int, each: int = 64) -> np.ndarray:
-    """The first 8 bytes (less a bit) of suffixes that split all suffixes into about equal parts, from regular samples."""
+    """The first 8 bytes (less a bit) of suffixes that split all suffixes into about equal parts, from regular samples.
+
+    A prefix that fills several parts comes out several times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -533,7 +558,7 @@ def _splitters(blocks: DataFrame, parts: int, each: int = 64) -> np.ndarray:
         return np.zeros(0, np.uint64)
     shares = [i / parts for i in range(1, parts)]
     got = blocks.select("data").mapInArrow(run, "prefix long").agg(F.percentile_approx("prefix", shares, 10 * parts)).first()[0]
-    return np.unique(np.array(got or [], np.int64)).astype(np.uint64)
+    return np.array(got or [], np.int64).astype(np.uint64)
 
 
 def remove_repeats(
@@ -569,7 +594,7 @@ def remove_repeats(
     bits = min(64, max(32, (size + 1).bit_length() + 12))
     asked = blocks.mapInArrow(_ask(parts, bits, length), "block long, part int, keys binary, many binary, times binary")
     shared = asked.groupBy("part").applyInArrow(_partners(group_places), "block long, part int, n long, shared binary, often binary")
-    cuts = _splitters(blocks, parts)
-    runs = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_send(cuts, bits, length, parts), _RUN_SQL)
+    cuts, times = np.unique(_splitters(blocks, parts), return_counts=True)
+    runs = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_send(cuts, times, bits, length, parts), _RUN_SQL)
     found = runs.groupBy("part").applyInArrow(_merge(length), _FOUND_SQL)
     return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_apply(length), _RESULT_SQL)

@@ -104,3 +104,54 @@ def test_frequent_phrase_with_different_text_around(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     same(suffix_dedup.remove_repeats(df, block_bytes=6000, part_bytes=600, group_places=50).collect(), docs)
     same(suffix_dedup.remove_repeats(df, block_bytes=6000, part_bytes=600, group_places=1).collect(), docs)
+
+
+def test_front_coding_of_long_rows():
+    """Rows of more than 255 bytes, as lengths from 139 give."""
+    rng = np.random.default_rng(9)
+    for length in (139, 170, 200):
+        width = 2 * length - suffix_dedup.KMER + 2
+        rows = rng.integers(0, 2, (60, width)).astype(np.uint8)
+        rows[:, : width - 20] = rows[0, : width - 20]
+        runs = []
+        for part in (rows[:30], rows[30:]):
+            part = sorted(map(bytes, part))
+            shared, rest = suffix_dedup.front_code(np.frombuffer(b"".join(part), np.uint8).reshape(-1, width))
+            runs.append(suffix_dedup.front_decode(shared, rest, width))
+        assert [x for _, x, _ in suffix_dedup.merge_runs(runs)] == sorted(map(bytes, rows))
+
+
+def test_long_windows(spark):
+    rng = np.random.default_rng(1)
+    base = "".join(rng.choice(list("abc "), 700))
+    docs = [(i, base[a : a + int(rng.integers(100, 500))]) for i, a in enumerate(rng.integers(0, 400, 40).tolist())]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for length in (139, 200):
+        same(suffix_dedup.remove_repeats(df, length=length, block_bytes=3000, part_bytes=300).collect(), docs, length)
+
+
+def test_keys_fill_all_ranges_alike():
+    data = bytes(np.random.default_rng(3).integers(97, 123, 400_000).astype(np.uint8))
+    key = suffix_dedup.anchors(data, np.array([len(data)]), 50)[3]
+    share = np.bincount((key >> np.uint64(60)).astype(np.int64), minlength=16) / len(key)
+    assert 0.05 < share.min() and share.max() < 0.08
+
+
+def test_a_prefix_in_most_texts_is_split():
+    cuts, times = np.array([5, 9], np.uint64), np.array([1, 4])
+    rows = np.random.default_rng(0).integers(0, 255, (400, 76)).astype(np.uint8)
+    rows[:, :8] = np.frombuffer((18).to_bytes(8, "big"), np.uint8)
+    part = suffix_dedup.range_of(rows, cuts, times)
+    assert set(part.tolist()) == {4, 5, 6, 7}
+    rows[:, 8:24] = 1
+    assert len(set(suffix_dedup.range_of(rows, cuts, times).tolist())) == 1
+
+
+def test_requests_never_outnumber_keys():
+    """However many ranges there are, a block sends no empty pieces: rows grow with the keys, not with blocks x ranges."""
+    data = bytes(np.random.default_rng(3).integers(97, 123, 3000).astype(np.uint8))
+    row = {"block": 0, "doc_ids": [1], "sizes": suffix_dedup.dump_small(np.array([3000])), "data": suffix_dedup.squeeze(data)}
+    batch = suffix_dedup.pa.RecordBatch.from_pylist([row])
+    keys = len(np.unique(suffix_dedup.anchors(data, np.array([3000]), 50)[3]))
+    for ranges in (4, 100_000):
+        assert len(list(suffix_dedup._ask(ranges, 64, 50)(iter([batch])))) <= min(ranges, keys)
