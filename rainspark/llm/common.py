@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import gc
 import uuid
 
 import numpy as np
@@ -16,14 +16,10 @@ LOWER = UPPER.lower()
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir).
-
-    Only where the session names none (local tests) a new temporary folder is made and set.
-    """
+    """The folder that driver and executors share, which the cluster names in spark.checkpoint.dir."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return base.rstrip("/")
 
 
@@ -35,7 +31,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write df once into the shared folder and read it back: it cuts the lineage and survives lost executors."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(*tables: DataFrame, sweep: bool = False) -> None:
+    """Delete staged tables that nothing needs any more.
+
+    With sweep the driver's JVM is asked to collect its garbage, so that Spark drops the shuffle files of plans that are
+    gone as well.
+    """
+    spark = tables[0].sparkSession
+    for df in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if sweep:
+        gc.collect()
+        spark._jvm.System.gc()
 
 
 def partitions(spark: SparkSession) -> int:

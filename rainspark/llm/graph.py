@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rainspark.llm.common import stage
+from rainspark.llm.common import discard, stage
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,7 +14,7 @@ def components(edges: DataFrame) -> DataFrame:
     Each level maps a node to the least of itself and its neighbours, jumps once more along that map, and contracts
     the graph to the names that are left; edges inside a name go, so a dense group is gone after a level or two. The
     least node of a component always keeps its name. The maps are composed at the end. Every level is written to the
-    shared folder; only whether edges are left comes to the driver.
+    shared folder, where only the maps stay; whether edges are left comes to the driver.
     """
     left = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
     left = stage(left, "edges")
@@ -28,8 +28,9 @@ def components(edges: DataFrame) -> DataFrame:
         ends = left
         for end in ("a", "b"):
             ends = ends.join(names.withColumnRenamed("node", end), end).drop(end).withColumnRenamed("name", end)
-        left = ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
+        before, left = left, ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
         left = stage(left, "edges")
+        discard(before, hooks)
         if found is None:
             found = names.withColumnRenamed("name", "component")
         else:
