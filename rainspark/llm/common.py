@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import tempfile
 import uuid
 
 import numpy as np
@@ -16,10 +17,16 @@ LOWER = UPPER.lower()
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, which the cluster names in spark.checkpoint.dir."""
+    """The folder that driver and executors share, which the cluster names in spark.checkpoint.dir.
+
+    Only a session in one process (local tests), where the setting is empty, gets a temporary folder of its own.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
