@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
+from rainspark.functions.scalars import EARTH_RADIUS_M
+
 
 def covariance(model: str, nugget: float, range_: float, sill: float) -> Callable[[np.ndarray], np.ndarray]:
     """Covariance by distance; `sill` is the total. Matern models have smoothness 1/2 (exp), 3/2 or 5/2."""
@@ -23,15 +25,66 @@ def covariance(model: str, nugget: float, range_: float, sill: float) -> Callabl
     return at
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(-1))
 
 
+def great_circle(lon: np.ndarray, lat: np.ndarray, lon2: np.ndarray, lat2: np.ndarray) -> np.ndarray:
+    """Metres between each first and each second place, on a sphere."""
+    x, y, x2, y2 = (np.radians(v) for v in (lon[:, None], lat[:, None], lon2[None, :], lat2[None, :]))
+    a = np.sin((y2 - y) / 2) ** 2 + np.cos(y) * np.cos(y2) * np.sin((x2 - x) / 2) ** 2
+    return 2 * EARTH_RADIUS_M * np.arcsin(np.sqrt(np.minimum(a, 1.0)))
+
+
+def nearest(skn: np.ndarray, lon: np.ndarray, lat: np.ndarray, k: int, digits: int, rows: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """For stations in ascending order of skn: the places of each one's k nearest others, and their distances in metres,
+    rounded to `digits`; of equally far ones the lesser skn is nearer. Distances are held for `rows` stations at once."""
+    n = len(skn)
+    k = min(k, n - 1)
+    at, dist = np.empty((n, k), np.int64), np.empty((n, k))
+    for a in range(0, n, rows):
+        d = np.round(great_circle(lon[a : a + rows], lat[a : a + rows], lon, lat), digits)
+        own = np.arange(len(d))
+        d[own, a + own] = np.inf
+        at[a : a + rows] = np.argsort(d, axis=1, kind="stable")[:, :k]
+        dist[a : a + rows] = np.take_along_axis(d, at[a : a + rows], 1)
+    return at, dist
+
+
+def inverse_distance(d: np.ndarray, z: np.ndarray, power: float) -> np.ndarray:
+    """Mean of z weighted by d ** -power for each row of d; a distance of 0 gives that point's own value (the least one)."""
+    hit = d == 0
+    w = np.power(d, -power, where=~hit, out=np.zeros_like(d))
+    total = w.sum(1)
+    mean = np.divide(w @ z, total, out=np.full(len(d), np.nan), where=total > 0)
+    exact = np.where(hit, z[None, :], np.inf).min(1)
+    return np.where(hit.any(1), exact, mean)
+
+
+def semivariances(xy: np.ndarray, y: np.ndarray, width: float, bins: int) -> tuple[np.ndarray, ...]:
+    """bin, pairs, mean distance and semivariance of all pairs nearer than bins * width, by bins of `width`."""
+    i, j = np.triu_indices(len(y), 1)
+    h = np.sqrt(((xy[i] - xy[j]) ** 2).sum(1))
+    which = np.floor(h / width).astype(np.int64)
+    near = which < bins
+    which, h, g = which[near], h[near], 0.5 * (y[i] - y[j])[near] ** 2
+    n = np.bincount(which, minlength=bins)
+    some = np.flatnonzero(n)
+    return some, n[some], np.bincount(which, h, bins)[some] / n[some], np.bincount(which, g, bins)[some] / n[some]
+
+
 def _system(xy: np.ndarray, cov: Callable) -> np.ndarray:
+    """Inverse of the ordinary kriging system; the pseudo-inverse only where it is singular."""
     n = len(xy)
     k = np.ones((n + 1, n + 1))
-    k[:n, :n] = cov(_distances(xy, xy)) + 1e-9 * np.eye(n)
+    k[:n, :n] = cov(distances(xy, xy)) + 1e-9 * np.eye(n)
     k[n, n] = 0
+    try:
+        inverse = np.linalg.inv(k)
+        if np.isfinite(inverse).all() and abs(k[0] @ inverse[:, 0] - 1) < 1e-6:
+            return inverse
+    except np.linalg.LinAlgError:
+        pass
     return np.linalg.pinv(k)
 
 
@@ -44,8 +97,8 @@ def solve_kriging(xy: np.ndarray, y: np.ndarray, cov: Callable) -> tuple[np.ndar
 def predict(xy, weights, inverse, cells, cov) -> tuple[np.ndarray, np.ndarray]:
     """Prediction and kriging variance at cells."""
     right = np.ones((len(cells), len(xy) + 1))
-    right[:, :-1] = cov(_distances(cells, xy))
-    var = cov(np.zeros(1))[0] - np.einsum("ij,jk,ik->i", right, inverse, right)
+    right[:, :-1] = cov(distances(cells, xy))
+    var = cov(np.zeros(1))[0] - ((right @ inverse) * right).sum(1)
     return right @ weights, np.maximum(var, 0)
 
 
@@ -57,32 +110,101 @@ def leave_one_out(xy: np.ndarray, y: np.ndarray, cov: Callable) -> np.ndarray:
     return y - weights[:-1] / np.diag(inverse)[:-1]
 
 
-def fit_variogram(h, gamma, n, model: str = "exp") -> tuple[float, float, float, float]:
-    """nugget, range, sill and weighted squared error, weights n / h^2.
+def fit_variogram(h, gamma, n, model: str = "exp", nugget=None, range_=None, sill=None) -> tuple[float, float, float, float]:
+    """nugget, range, sill (total) and weighted squared error, weights n / h^2. A value that is given stays fixed.
 
     For a given range the model is linear in nugget and partial sill, which are found by least squares with both kept
-    non-negative; the range is searched on a grid that narrows twice.
+    non-negative; a free range is searched on a grid that narrows twice. With all three given nothing is fitted.
     """
     h, gamma, n = (np.asarray(x, float) for x in (h, gamma, n))
+    nugget, range_, sill = (None if x is None or not np.isfinite(x) else float(x) for x in (nugget, range_, sill))
+    if not len(h):
+        found = (nugget or 0.0, 1.0 if range_ is None else range_, sill if sill is not None else nugget or 0.0)
+        return *found, 0.0
     w = n / np.maximum(h, 1e-9) ** 2
     unit = covariance(model, 0.0, 1.0, 1.0)
 
-    def linear(range_: float) -> tuple[float, float, float]:
-        f = 1 - unit(h / range_) if range_ > 0 else np.ones_like(h)
-        options = [(0.0, max((w * f * gamma).sum() / max((w * f * f).sum(), 1e-300), 0)), ((w * gamma).sum() / w.sum(), 0.0)]
-        a = np.array([[w.sum(), (w * f).sum()], [(w * f).sum(), (w * f * f).sum()]])
-        if np.linalg.det(a) > 1e-12 * a[0, 0] * a[1, 1]:
-            both = np.linalg.solve(a, [(w * gamma).sum(), (w * f * gamma).sum()])
-            if (both >= 0).all():
-                options.append(tuple(both))
-        return min(((float((w * (c0 + c1 * f - gamma) ** 2).sum()), c0, c1) for c0, c1 in options), key=lambda x: x[0])
-
-    if not len(h):
-        return 0.0, 1.0, 0.0, 0.0
-    low, high = max(h.max() / 100, 1e-6), h.max() * 3 + 1e-6
-    for _ in range(3):
+    def linear(ranges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Least error, nugget and partial sill of each range."""
+        f = np.where(ranges[:, None] > 0, 1 - unit(h / np.maximum(ranges[:, None], 1e-12)), 1.0)
+        sw, sf, sff = w.sum(), f @ w, (f * f) @ w
+        sg, sfg = (w * gamma).sum(), f @ (w * gamma)
+        flat = np.full(len(ranges), 1.0)
+        if nugget is not None and sill is not None:
+            options = [(nugget * flat, max(sill - nugget, 0.0) * flat)]
+        elif nugget is not None:
+            options = [(nugget * flat, np.maximum((sfg - nugget * sf) / np.maximum(sff, 1e-300), 0))]
+        elif sill is not None:  # nugget + partial = sill: one unknown in [0, sill]
+            u = f - 1
+            part = ((u * (gamma - sill)) @ w) / np.maximum((u * u) @ w, 1e-300)
+            part = np.clip(part, 0, sill)
+            options = [(sill - part, part)]
+        else:
+            options = [(0 * flat, np.maximum(sfg / np.maximum(sff, 1e-300), 0)), (sg / sw * flat, 0 * flat)]
+            det = sw * sff - sf * sf
+            good = det > 1e-12 * sw * sff
+            c0 = np.divide(sff * sg - sf * sfg, det, out=-flat, where=good)
+            c1 = np.divide(sw * sfg - sf * sg, det, out=-flat, where=good)
+            inside = (c0 >= 0) & (c1 >= 0)
+            options.append((np.where(inside, c0, options[0][0]), np.where(inside, c1, options[0][1])))
+        errors = np.stack([((a[:, None] + b[:, None] * f - gamma) ** 2) @ w for a, b in options])
+        best, at = errors.argmin(0), np.arange(len(ranges))
+        return errors[best, at], np.stack([a for a, _ in options])[best, at], np.stack([b for _, b in options])[best, at]
+
+    if range_ is not None:
+        grid = np.array([range_])
+    else:
+        low, high = max(h.max() / 100, 1e-6), h.max() * 3 + 1e-6
+        for _ in range(2):
+            grid = np.geomspace(low, high, 25)
+            best = int(linear(grid)[0].argmin())
+            low, high = grid[max(best - 1, 0)], grid[min(best + 1, 24)]
         grid = np.geomspace(low, high, 25)
-        best = min(range(25), key=lambda i: linear(grid[i])[0])
-        low, high = grid[max(best - 1, 0)], grid[min(best + 1, 24)]
-    sse, c0, c1 = linear(grid[best])
-    return float(c0), float(grid[best]), float(c0 + c1), sse
+    sse, c0, c1 = linear(grid)
+    best = int(sse.argmin())
+    return float(c0[best]), float(grid[best]), float(c0[best] + c1[best]), float(sse[best])
+
+
+def average_ranks(x: np.ndarray) -> np.ndarray:
+    """Ranks from 1, ties at their average."""
+    _, which, times = np.unique(x, return_inverse=True, return_counts=True)
+    return (np.cumsum(times) - (times - 1) / 2)[which]
+
+
+def rank_relations(
+    a: np.ndarray, b: np.ndarray, same: bool, least_overlap: int, ratio: tuple[float, float]
+) -> Iterator[tuple[int, int, int, float, float, float]]:
+    """(row of a, row of b, common days, Spearman, sum of a, sum of b on these days) of pairs of stations.
+
+    a and b: stations x days with NaN for missing. Overlaps and sums of all pairs come from products of the matrices;
+    only pairs with enough days and a sum ratio that fits one way or the other are ranked. same: b is a, each pair once.
+    """
+    here, there = ~np.isnan(a), ~np.isnan(b)
+    n = here.astype(np.float64) @ there.T.astype(np.float64)
+    sum_a = np.where(here, a, 0.0) @ there.T.astype(np.float64)
+    sum_b = here.astype(np.float64) @ np.where(there, b, 0.0).T
+    with np.errstate(divide="ignore", invalid="ignore"):
+        forth, back = sum_a / sum_b, sum_b / sum_a
+    good = (n >= max(least_overlap, 1)) & (((forth > ratio[0]) & (forth < ratio[1])) | ((back > ratio[0]) & (back < ratio[1])))
+    if same:
+        good &= np.triu(np.ones_like(good), 1)
+    for i, j in np.argwhere(good).tolist():
+        both = here[i] & there[j]
+        x, y = average_ranks(a[i, both]), average_ranks(b[j, both])
+        x, y = x - x.mean(), y - y.mean()
+        spread = np.sqrt((x @ x) * (y @ y))
+        if spread > 0:
+            yield i, j, int(n[i, j]), float(x @ y / spread), float(sum_a[i, j]), float(sum_b[i, j])
+
+
+def best_estimates(rain: np.ndarray, order: np.ndarray, ratio: np.ndarray, holes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean of the first k reporting predictors' rain x ratio on the days `holes`, and how many there were.
+
+    rain: stations x days, NaN for missing; order: the predictors' rows, best first; ratio: theirs in the same order.
+    """
+    value = rain[np.ix_(order, holes)] * ratio[:, None]
+    have = ~np.isnan(value)
+    used = have & (np.cumsum(have, axis=0) <= k)
+    n = used.sum(0)
+    total = np.where(used, value, 0.0).sum(0)
+    return np.divide(total, n, out=np.full(len(holes), np.nan), where=n > 0), n

@@ -16,7 +16,7 @@ from rainspark.functions import scalars as S
 #: Variables that hold rain in the feeds (fixed values).
 RAIN_VARIABLES = ("PC", "PP", "rawPrecip", "RF_1_Tot300s", "precip_accum_five_minute_set_1")
 #: Airport ids that take a leading P (fixed values).
-AIRPORTS = ("HNL", "OGG", "ITO", "LIH", "KOA", "MKK", "LNY", "JHM")
+AIRPORTS = ("HJR", "HKO", "HLI", "HMK", "HNL", "HNY", "HOG", "HTO")
 
 
 def keep_rain(df: DataFrame, variables=RAIN_VARIABLES, col: str = "var") -> DataFrame:
@@ -61,6 +61,24 @@ def increments(df: DataFrame, within: tuple[str, ...] = ("station",), value: str
     return df.withColumn("diff", F.when(diff >= 0, diff)).withColumn("interval", gap)
 
 
+def increments_long(df: DataFrame, value: str = "value") -> DataFrame:
+    """increments() of one continuous series a station, for backfills of many years.
+
+    Windows are per station and month, so no task sorts a station's whole history; the first reading of a month is
+    compared with the last one of the station's month before, which a small aggregate carries over.
+    """
+    month = F.trunc(F.to_date("ts"), "month")
+    rows = df.withColumn("_month", month)
+    last = rows.groupBy("station", "_month").agg(F.max_by(F.struct("ts", value), "ts").alias("_last"))
+    carried = F.lag("_last").over(Window.partitionBy("station").orderBy("_month"))
+    rows = rows.join(last.select("station", "_month", carried.alias("_carried")), ["station", "_month"])
+    w = Window.partitionBy("station", "_month").orderBy("ts")
+    before = F.coalesce(F.lag(F.struct("ts", value)).over(w), F.col("_carried"))
+    diff = F.col(value) - before[value]
+    rows = rows.withColumn("diff", F.when(diff >= 0, diff)).withColumn("interval", (S.seconds("ts") - S.seconds(before["ts"])) / 60)
+    return rows.drop("_month", "_carried")
+
+
 def interval_mode(df: DataFrame, within: tuple[str, ...] = ("station",)) -> DataFrame:
     """The most frequent interval of each station; of equally frequent ones the first seen."""
     counted = df.filter("interval is not null").groupBy(*within, "interval").agg(F.count("*").alias("n"), F.min("ts").alias("seen"))
@@ -86,9 +104,9 @@ def daily_totals(hours: DataFrame, modes: DataFrame | None = None) -> DataFrame:
 
 
 def enough_readings(df: DataFrame, least: int = 23, within: tuple[str, ...] = ("station", "file_day")) -> DataFrame:
-    """Readings of stations with at least `least` distinct instants in the loaded file."""
-    n = F.size(F.collect_set("ts").over(Window.partitionBy(*within)))
-    return df.withColumn("_n", n).filter(F.col("_n") >= least).drop("_n")
+    """Readings of stations with at least `least` distinct instants in the loaded file (B7). Counts are pre-aggregated."""
+    counts = df.groupBy(*within).agg(F.count_distinct("ts").alias("_n")).filter(F.col("_n") >= least)
+    return df.join(counts.drop("_n"), list(within), "left_semi")
 
 
 def complete_days(days: DataFrame, least: float = 0.95, first=None, last=None) -> DataFrame:

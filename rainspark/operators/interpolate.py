@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rainspark.functions import kernels
 from rainspark.functions import scalars as S
+from rainspark.operators import metrics
+from rainspark.sources.tables import written
 
 #: Constants added to the climate mean in the candidate sweep; -1 stands for no climate aid (fixed values).
 ADDED = (-1, 0, 1, 10, 100, 1000, 10000)
@@ -22,36 +24,77 @@ def flag_real(every: DataFrame, raw: DataFrame) -> DataFrame:
     return every.join(real, ["skn", "date"], "left").withColumn("is_fill", F.col("_real").isNull()).drop("_real")
 
 
-def _weighted(pairs: DataFrame, keys: list[str], power: float) -> DataFrame:
-    """Mean of z weighted by distance ** -power; a point at distance 0 gives its own value."""
-    w = F.when(F.col("d") > 0, F.pow("d", F.lit(-power)))
-    exact = F.min(F.when(F.col("d") == 0, F.col("z")))
-    return pairs.groupBy(*keys).agg(F.coalesce(exact, F.sum(F.col("z") * w) / F.sum(w)).alias("value"))
+CELL = ("row", "col")
 
 
-CELL = ("row", "col")
+def _tiles(cells: DataFrame, group: list[str], cell: tuple[str, ...], block_cells: int) -> DataFrame:
+    """Cells as arrays of about block_cells; a group has as many tiles as its size asks for."""
+    sizes = cells.groupBy(*group).agg(F.ceil(F.count("*") / block_cells).alias("_blocks"))  # a row for each group
+    cells = cells.join(sizes, group).withColumn("block", F.pmod(F.xxhash64(*cell), F.col("_blocks")))
+    return cells.groupBy(*group, "block").agg(F.collect_list(F.struct(*cell, "lon", "lat")).alias("cells"))
+
+
+def _fields(column: pa.ChunkedArray, i: int) -> dict[str, np.ndarray]:
+    """The fields of the structs in row i of a list column."""
+    items = column[i].values
+    return {f.name: items.field(f.name).to_numpy(zero_copy_only=False) for f in items.type}
 
 
 def idw(
-    cells: DataFrame, stations: DataFrame, group: list[str], time: list[str], power: float = 2.0, cell: tuple[str, ...] = CELL
+    cells: DataFrame,
+    stations: DataFrame,
+    group: list[str],
+    time: list[str],
+    power: float = 2.0,
+    cell: tuple[str, ...] = CELL,
+    block_cells: int = 400,
 ) -> DataFrame:
     """Inverse-distance map of stations (group, time, lon, lat, rf) on the cells (group, cell, lon, lat).
 
-    Cells meet the stations of their own group only. `cell` names the columns that tell cells apart.
+    Cells meet the stations of their own group only: the stations of each (group, time) travel as one array to the tiles
+    of the group, and a tile is one matrix product. Stations x cells rows never exist. `cell` names the columns (integers)
+    that tell cells apart.
     """
-    s = stations.select(*group, *time, F.col("lon").alias("x"), F.col("lat").alias("y"), F.col("rf").alias("z"))
-    d = S.planar(F.col("lon"), F.col("lat"), F.col("x"), F.col("y"))
-    pairs = cells.join(s, group).withColumn("d", d)
-    return _weighted(pairs, [*group, *time, *cell], power)
+    listed = stations.filter("rf is not null").groupBy(*group, *time)
+    listed = listed.agg(F.collect_list(F.struct(F.col("lon").alias("x"), F.col("lat").alias("y"), F.col("rf").cast("double").alias("z"))).alias("points"))
+    kinds = dict(listed.dtypes)
+    keys = [*group, *time]
+    schema = ", ".join(f"{c} {kinds[c]}" for c in keys) + "".join(f", {c} long" for c in cell) + ", value double"
+
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                at, p = _fields(batch["cells"], i), _fields(batch["points"], i)
+                d = kernels.distances(np.stack([at["lon"], at["lat"]], 1), np.stack([p["x"], p["y"]], 1))
+                same = [pa.array([batch[c][i].as_py()] * len(d), batch[c].type) for c in keys]
+                value = kernels.inverse_distance(d, p["z"], power)
+                yield pa.RecordBatch.from_arrays([*same, *(pa.array(at[c].astype(np.int64)) for c in cell), pa.array(value)], [*keys, *cell, "value"])
+
+    return _tiles(cells, group, cell, block_cells).join(listed, group).select(*keys, "cells", "points").mapInArrow(predict, schema)
 
 
 def idw_loo(stations: DataFrame, group: list[str], power: float = 2.0) -> DataFrame:
-    """Every real station predicted from all others of its group (K7). stations: group, skn, lon, lat, rf, is_fill."""
-    other = stations.select(*group, F.col("skn").alias("b"), F.col("lon").alias("x"), F.col("lat").alias("y"), F.col("rf").alias("z"))
-    pairs = stations.filter("not is_fill").join(other, group).filter("skn <> b")
-    pairs = pairs.withColumn("d", S.planar(F.col("lon"), F.col("lat"), F.col("x"), F.col("y")))
-    out = _weighted(pairs, [*group, "skn", "rf"], power)
-    return out.select(*group, "skn", F.col("rf").alias("obs"), F.col("value").alias("pred"))
+    """Every real station predicted from all others of its group (K7). stations: group, skn, lon, lat, rf, is_fill.
+
+    A group is the stations of one county and time; its distances are one matrix inside the task.
+    """
+    rows = stations.select(*group, "skn", "lon", "lat", F.col("rf").cast("double").alias("rf"), "is_fill")
+    kinds = dict(rows.dtypes)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in (*group, "skn")) + ", obs double, pred double"
+
+    def run(table: pa.Table) -> pa.Table:
+        xy = np.stack([table["lon"].to_numpy(), table["lat"].to_numpy()], 1)
+        rf = table["rf"].to_numpy()
+        real = np.flatnonzero(~table["is_fill"].to_numpy().astype(bool))
+        d = kernels.distances(xy[real], xy)
+        d[np.arange(len(real)), real] = np.inf
+        pred = kernels.inverse_distance(d, rf, power)
+        alone = len(rf) < 2
+        out = table.select([*group, "skn"]).take(pa.array(real))
+        out = out.append_column("obs", pa.array(rf[real])).append_column("pred", pa.array(pred, pa.float64(), mask=np.isnan(pred)))
+        return out.slice(0, 0) if alone else out
+
+    return rows.groupBy(*group).applyInArrow(run, schema)
 
 
 def methods(stations: DataFrame, group: list[str], least: int = 3, least_variance: float = 1e-10) -> DataFrame:
@@ -76,36 +119,114 @@ def no_rain(cells: DataFrame, groups: DataFrame, group: list[str], cell: tuple[s
     )
 
 
-def transform(stations: DataFrame, added: int) -> DataFrame:
-    """Adds the kriging target y and base of back-transformation m for one candidate (H9, K5).
+def transform(stations: DataFrame, added: int | Column) -> DataFrame:
+    """Adds the kriging target y and base of back-transformation m for a candidate (H9, K5).
 
     -1: y = log(rf + 1). Else m = mean + added and y = log((rf + m) / m). A mean of 0 counts as 0.001.
     """
-    mean = S.guarded_mean(F.col("mean_mm"))
-    m = F.lit(1.0) if added < 0 else mean + added
-    y = S.log_plain(F.col("rf")) if added < 0 else S.log_ratio(F.col("rf"), m)
-    return stations.withColumn("m", m).withColumn("y", y).withColumn("added", F.lit(added))
+    added = added if isinstance(added, Column) else F.lit(added)
+    m = F.when(added < 0, 1.0).otherwise(S.guarded_mean(F.col("mean_mm")) + added)
+    y = F.when(added < 0, S.log_plain(F.col("rf"))).otherwise(S.log_ratio(F.col("rf"), F.col("m")))
+    return stations.withColumn("added", added).withColumn("m", m).withColumn("y", y)
 
 
 def variogram(points: DataFrame, group: list[str], width: float, bins: int) -> DataFrame:
-    """Experimental variogram: by distance bin the pairs, mean distance and semivariance (K1). points: group, skn, lon, lat, y."""
-    other = points.select(*group, F.col("skn").alias("b"), F.col("lon").alias("x"), F.col("lat").alias("z"), F.col("y").alias("yb"))
-    h = S.planar(F.col("lon"), F.col("lat"), F.col("x"), F.col("z"))
-    pairs = points.join(other, group).filter("skn < b").withColumn("h", h)
-    pairs = pairs.withColumn("bin", F.floor(F.col("h") / width)).filter(F.col("bin") < bins)
-    half = 0.5 * F.pow(F.col("y") - F.col("yb"), 2)
-    return pairs.groupBy(*group, "bin").agg(F.count("*").alias("n_pairs"), F.avg("h").alias("h"), F.avg(half).alias("gamma"))
+    """Experimental variogram: by distance bin the pairs, mean distance and semivariance (K1). points: group, skn, lon, lat, y.
+
+    A group is the stations of one county and time; its pairs stay inside the task.
+    """
+    rows = points.select(*group, "skn", "lon", "lat", "y")
+    kinds = dict(rows.dtypes)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in group) + ", bin long, n_pairs long, h double, gamma double"
+
+    def run(table: pa.Table) -> pa.Table:
+        xy = np.stack([table["lon"].to_numpy(), table["lat"].to_numpy()], 1)
+        found = kernels.semivariances(xy, table["y"].to_numpy(), width, bins)
+        keys = [pa.array([table[c][0].as_py()] * len(found[0]), table[c].type) for c in group]
+        return pa.Table.from_arrays([*keys, *map(pa.array, found)], [*group, "bin", "n_pairs", "h", "gamma"])
+
+    return rows.groupBy(*group).applyInArrow(run, schema)
 
 
-def fit(bins: DataFrame, group: list[str], model: str = "exp", fixed: tuple[str, ...] = ()) -> DataFrame:
-    """Weighted least-squares variogram parameters of each group (K2). A group is a few bins, one row each."""
+def lookup_params(groups: DataFrame, params: DataFrame, keys: tuple[str, ...] = ("county", "month", "added")) -> DataFrame:
+    """nugget, range and sill of each group by county, month of the year and added constant (C15); null where none is listed.
+
+    params is a small table (counties x months x constants), which Spark broadcasts by its measured size.
+    """
+    return groups.join(params.select(*keys, "nugget", "range", "sill"), list(keys), "left")
+
+
+def fit(bins: DataFrame, group: list[str], model: str = "exp", fixed: DataFrame | None = None) -> DataFrame:
+    """Weighted least-squares variogram parameters of each group (K2). A group is a few bins, one row each.
+
+    fixed: group and any of nugget, range, sill; a value that isn't null is kept and only the others are fitted, so a
+    group with all three is not fitted at all.
+    """
+    kept = [c for c in ("nugget", "range", "sill") if fixed is not None and c in fixed.columns]
+    if fixed is not None:
+        bins = bins.join(fixed.select(*group, *(F.col(c).cast("double").alias(f"_{c}") for c in kept)), group)
     schema = ", ".join(f"{c} {dict(bins.dtypes)[c]}" for c in group) + ", nugget double, range double, sill double, sse double"
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        p = kernels.fit_variogram(pdf.h.to_numpy(), pdf.gamma.to_numpy(), pdf.n_pairs.to_numpy(), model)
-        return pd.DataFrame([[*(pdf[c].iloc[0] for c in group), *p]], columns=[*group, "nugget", "range", "sill", "sse"])
+    def run(table: pa.Table) -> pa.Table:
+        given = {{"nugget": "nugget", "range": "range_", "sill": "sill"}[c]: table[f"_{c}"][0].as_py() for c in kept}
+        p = kernels.fit_variogram(*(table[c].to_numpy() for c in ("h", "gamma", "n_pairs")), model, **given)
+        keys = [pa.array([table[c][0].as_py()], table[c].type) for c in group]
+        return pa.Table.from_arrays([*keys, *(pa.array([x]) for x in p)], [*group, "nugget", "range", "sill", "sse"])
 
-    return bins.groupBy(*group).applyInPandas(run, schema)
+    return bins.groupBy(*group).applyInArrow(run, schema)
+
+
+def sweep(
+    points: DataFrame, params: DataFrame, group: tuple[str, ...] = ("county", "date"), width: float = 0.5, bins: int = 6, model: str = "exp"
+) -> DataFrame:
+    """Leave-one-out predictions of the 14 candidates of every group: seven constants, each with the listed (fixed) and a
+    fitted (free) variogram (K5, B16). Returns group, run, added, is_free, nugget, range, sill, skn, obs, pred.
+
+    points: group, skn, lon, lat, rf, mean_mm, is_fill; all stations predict, real ones are predicted. params: county,
+    month, added, nugget, range, sill. A candidate whose target doesn't vary, whose parameters aren't listed or which
+    has fewer than 3 stations is left out. A group is one county and day, so its 14 systems are solved in one task.
+    """
+    listed = params.groupBy("county", "month").agg(F.collect_list(F.struct("added", "nugget", "range", "sill")).alias("listed"))
+    rows = points.select(*group, "skn", "lon", "lat", F.col("rf").cast("double").alias("rf"), F.col("mean_mm").cast("double").alias("mean_mm"), "is_fill")
+    rows = rows.withColumn("month", F.month("date")).join(listed, ["county", "month"], "left")
+    kinds = dict(rows.dtypes)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in group) + ", run int, added int, is_free boolean, nugget double, range double, sill double"
+    schema += f", skn {kinds['skn']}, obs double, pred double"
+
+    def run(table: pa.Table) -> pa.Table:
+        xy = np.stack([table["lon"].to_numpy(), table["lat"].to_numpy()], 1)
+        rf, mean = table["rf"].to_numpy(), table["mean_mm"].to_numpy()
+        real = np.flatnonzero(~table["is_fill"].to_numpy().astype(bool))
+        fixed = {p["added"]: (p["nugget"], p["range"], p["sill"]) for p in table["listed"][0].as_py() or []}
+        out = []
+        for place, added in enumerate(ADDED):
+            base = np.where(mean == 0, 0.001, mean) + added
+            y = np.log(rf + 1) if added < 0 else np.log((rf + base) / base)
+            if len(y) < 3 or y.var(ddof=1) < 1e-10:
+                continue
+            _, n, h, gamma = kernels.semivariances(xy, y, width, bins)
+            for is_free in (False, True):
+                if not is_free and added not in fixed:
+                    continue
+                p = kernels.fit_variogram(h, gamma, n, model)[:3] if is_free else fixed[added]
+                if is_free and not len(h):
+                    continue
+                p = (p[0], p[1], max(p[2], 1e-4))
+                pred = kernels.leave_one_out(xy, y, kernels.covariance(model, *p))[real]
+                mm = np.exp(np.minimum(pred, 700.0)) - 1
+                mm = np.maximum(mm if added < 0 else mm * base[real], 0.0)
+                out.append((place + is_free * len(ADDED), added, is_free, *p, mm))
+        size = len(real)
+        flat = [np.repeat(np.array(c), size) for c in list(zip(*out, strict=True))[:6]] if out else [np.array([])] * 6
+        kinds_ = [pa.int32(), pa.int32(), pa.bool_(), *[pa.float64()] * 3]
+        again = pa.array(np.tile(real, len(out)))
+        keys = [table[c].take(again) for c in group]
+        columns = [pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(flat, kinds_, strict=True)]
+        pred = np.concatenate([np.zeros(0), *(x[-1] for x in out)])
+        names = [*group, "run", "added", "is_free", "nugget", "range", "sill", "skn", "obs", "pred"]
+        return pa.Table.from_arrays([*keys, *columns, table["skn"].take(again), pa.array(np.tile(rf[real], len(out))), pa.array(pred)], names)
+
+    return rows.groupBy(*group).applyInArrow(run, schema)
 
 
 def krige_loo(points: DataFrame, group: list[str], model: str = "exp") -> DataFrame:
@@ -113,17 +234,17 @@ def krige_loo(points: DataFrame, group: list[str], model: str = "exp") -> DataFr
 
     points: group, skn, lon, lat, y, nugget, range, sill. A group is the stations of one county and date.
     """
-    kinds = dict(points.dtypes)
+    rows = points.select(*group, "skn", "lon", "lat", "y", "nugget", "range", "sill")
+    kinds = dict(rows.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in group) + f", skn {kinds['skn']}, y double, y_pred double"
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("skn")
-        first = pdf.iloc[0]
-        xy, y = pdf[["lon", "lat"]].to_numpy(), pdf.y.to_numpy()
-        pred = kernels.leave_one_out(xy, y, kernels.covariance(model, first["nugget"], first["range"], first["sill"]))
-        return pdf[[*group, "skn", "y"]].assign(y_pred=pred)
+    def run(table: pa.Table) -> pa.Table:
+        xy, y = np.stack([table["lon"].to_numpy(), table["lat"].to_numpy()], 1), table["y"].to_numpy()
+        params = [table[c][0].as_py() for c in ("nugget", "range", "sill")]
+        pred = kernels.leave_one_out(xy, y, kernels.covariance(model, *params))
+        return table.select([*group, "skn", "y"]).append_column("y_pred", pa.array(pred))
 
-    return points.groupBy(*group).applyInPandas(run, schema)
+    return rows.groupBy(*group).applyInArrow(run, schema)
 
 
 def krige(
@@ -140,40 +261,120 @@ def krige(
     The system of each (group, time) is solved once into dual weights; a block of cells meets them as a join on group,
     and a block's predictions are one matrix product. Stations x cells rows never exist.
     """
-    kinds = dict(points.dtypes)
+    rows = points.select(*group, *time, "skn", "lon", "lat", "y", "nugget", "range", "sill")
+    kinds = dict(rows.dtypes)
     keys = [*group, *time]
-    fields = "xs array<double>, ys array<double>, weights array<double>, inverse array<double>, params array<double>"
-    schema = ", ".join(f"{c} {kinds[c]}" for c in keys) + ", " + fields
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("skn")
-        f = pdf.iloc[0]
-        params = [float(f["nugget"]), float(f["range"]), float(f["sill"])]
-        xy = pdf[["lon", "lat"]].to_numpy()
-        weights, inverse = kernels.solve_kriging(xy, pdf.y.to_numpy(), kernels.covariance(model, *params))
-        row = [*(f[c] for c in keys), xy[:, 0].tolist(), xy[:, 1].tolist(), weights.tolist(), inverse.ravel().tolist(), params]
-        return pd.DataFrame([row], columns=[*keys, "xs", "ys", "weights", "inverse", "params"])
-
-    solved = points.groupBy(*keys).applyInPandas(solve, schema)
-    sizes = cells.groupBy(*group).agg(F.ceil(F.count("*") / block_cells).alias("_blocks"))  # a row for each group
-    cells = cells.join(sizes, group).withColumn("block", F.pmod(F.xxhash64(*cell), F.col("_blocks")))
-    tiles = cells.groupBy(*group, "block").agg(F.collect_list(F.struct(*cell, "lon", "lat")).alias("cells"))
+    arrays = ["xs", "ys", "weights", "inverse", "params"]
+    schema = ", ".join(f"{c} {kinds[c]}" for c in keys) + "".join(f", {c} array<double>" for c in arrays)
+
+    def solve(table: pa.Table) -> pa.Table:
+        params = [float(table[c][0].as_py()) for c in ("nugget", "range", "sill")]
+        xy = np.stack([table["lon"].to_numpy(), table["lat"].to_numpy()], 1)
+        weights, inverse = kernels.solve_kriging(xy, table["y"].to_numpy(), kernels.covariance(model, *params))
+        row = [pa.array([x], pa.list_(pa.float64())) for x in (xy[:, 0], xy[:, 1], weights, inverse.ravel(), np.array(params))]
+        return pa.Table.from_arrays([*(pa.array([table[c][0].as_py()], table[c].type) for c in keys), *row], [*keys, *arrays])
+
+    solved = rows.groupBy(*keys).applyInArrow(solve, schema)
     out_schema = ", ".join(f"{c} {kinds[c]}" for c in keys) + "".join(f", {c} long" for c in cell) + ", pred double, var double"
 
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                at = pd.DataFrame([c.asDict() if hasattr(c, "asDict") else c for c in r.cells])
-                cov = kernels.covariance(model, *r.params)
-                n = len(r.xs)
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                at = _fields(batch["cells"], i)
+                xs, ys, weights, inverse, params = (batch[c][i].values.to_numpy() for c in arrays)
+                n = len(xs)
                 pred, var = kernels.predict(
-                    np.stack([r.xs, r.ys], 1), np.asarray(r.weights), np.asarray(r.inverse).reshape(n + 1, n + 1),
-                    at[["lon", "lat"]].to_numpy(), cov,
-                )
-                known = {c: getattr(r, c) for c in keys} | {c: at[c] for c in cell}
-                yield pd.DataFrame(known | {"pred": pred, "var": var})
+                    np.stack([xs, ys], 1), weights, inverse.reshape(n + 1, n + 1), np.stack([at["lon"], at["lat"]], 1), kernels.covariance(model, *params)
+                )
+                same = [pa.array([batch[c][i].as_py()] * len(pred), batch[c].type) for c in keys]
+                columns = [*same, *(pa.array(at[c].astype(np.int64)) for c in cell), pa.array(pred), pa.array(var)]
+                yield pa.RecordBatch.from_arrays(columns, [*keys, *cell, "pred", "var"])
+
+    return _tiles(cells, group, cell, block_cells).join(solved, group).select(*keys, "cells", *arrays).mapInArrow(predict, out_schema)
+
+
+def daily_map(
+    points: DataFrame, cells: DataFrame, params: DataFrame, cell: tuple[str, ...] = CELL, width: float = 0.5, bins: int = 6
+) -> tuple[DataFrame, DataFrame]:
+    """(validation, grid) of every county-day: no-rain, kriging by the best of 14 candidates, or inverse distances (K9).
 
-    return tiles.join(solved, group).mapInPandas(predict, out_schema)
+    points: county, date, skn, lon, lat, rf, mean_mm, is_fill (C10). cells: county, cell, lon, lat, mean_mm (the mean of the
+    cell). params: as for sweep. A group of too few stations gets a status row and no map; one that no candidate survives
+    is mapped by inverse distances, with -9999 for the standard errors.
+
+    validation: county, date, status, n, method, the chosen candidate and its scores. grid: county, date, cell, method,
+    value (mm), anomaly, and se_backtransformed_var and se_anomaly, the back-transformed kriging variance.
+    """
+    keys = ["county", "date"]
+    points = written(points, "points")
+    ways = written(methods(points, keys), "ways")
+    wet = points.join(ways.filter("status in ('krige', 'flat')").select(*keys), keys, "left_semi")
+    swept = sweep(wet, params, ("county", "date"), width, bins)
+    run_keys = [*keys, "run", "added", "is_free", "nugget", "range", "sill"]
+    scored = metrics.scores(swept, run_keys).filter("mae is not null")
+    best = written(metrics.best_run(scored, keys), "best")
+    rest = ways.filter("status in ('krige', 'flat')").join(best.select(*keys), keys, "left_anti").select(*keys)
+    idw_points = points.join(rest, keys, "left_semi")
+    idw_scores = metrics.scores(idw_loo(idw_points, keys), keys)
+    columns = ["n", "r2", "rmse", "mae", "bias", "nse", "kge"]
+    chosen = best.select(*keys, F.lit("krige").alias("method"), "added", "is_free", "nugget", "range", "sill", *columns[1:])
+    chosen = chosen.unionByName(idw_scores.select(*keys, F.lit("idw").alias("method"), *columns[1:]), allowMissingColumns=True)
+    dry = ways.filter("status = 'no_rain'").select(*keys, F.lit("no_rain").alias("method"))
+    validation = ways.join(chosen.unionByName(dry, allowMissingColumns=True), keys, "left").drop("top_real")
+
+    target = transform(points.join(best.select(*keys, F.col("added").alias("_added"), "nugget", "range", "sill"), keys), F.col("_added"))
+    raw = krige(target, cells, ["county"], ["date"], cell=cell).join(best.select(*keys, "added"), keys)
+    raw = raw.join(cells.select("county", *cell, "mean_mm"), ["county", *cell])
+    mean = S.guarded_mean(F.col("mean_mm"))
+    plain = F.col("added") < 0
+    value = F.when(plain, S.back_plain(F.col("pred"))).otherwise(S.back_ratio(F.col("pred"), mean + F.col("added")))
+    se = (F.exp(F.least(F.col("var"), F.lit(700.0))) - 1) * F.when(plain, mean).otherwise(mean + F.col("added"))
+    names = [*keys, *cell]
+    kriged = raw.select(*names, F.lit("krige").alias("method"), value.alias("value"), (value / mean).alias("anomaly"),
+                        se.alias("se_backtransformed_var"), (se / mean).alias("se_anomaly"))
+    none = [F.lit(-9999.0).alias("se_backtransformed_var"), F.lit(-9999.0).alias("se_anomaly")]
+    means = cells.select("county", *cell, S.guarded_mean(F.col("mean_mm")).alias("_mean"))
+    by_distance = idw(cells, idw_points, ["county"], ["date"], cell=cell).join(means, ["county", *cell])
+    by_distance = by_distance.select(*names, F.lit("idw").alias("method"), "value", (F.col("value") / F.col("_mean")).alias("anomaly"), *none)
+    zero = no_rain(cells, ways, ["county"], cell).select(*names, F.lit("no_rain").alias("method"), "value", F.lit(0.0).alias("anomaly"), *none)
+    return validation, kriged.unionByName(by_distance).unionByName(zero)
+
+
+def monthly_levels(points: DataFrame, params: DataFrame, group: list[str], width: float, bins: int, model: str = "matern32") -> DataFrame:
+    """Variograms to try for each group (K2, K17): with the level's nugget fixed, with its range fixed, and with both fixed
+    and a free sill; at the first level also with all free. params: county, level (0 low, 1 med, 2 high), nug, rng.
+
+    Returns group, vario, level, nugget, range, sill.
+    """
+    experimental = written(variogram(points, group, width, bins), "variogram")
+    kinds = ("free_all", "fix_nug", "fix_rng", "free_sil")
+    tried = F.explode(F.when(F.col("level") == 0, F.array(*map(F.lit, kinds))).otherwise(F.array(*map(F.lit, kinds[1:])))).alias("kind")
+    runs = experimental.select(*group).distinct().join(params, "county").select("*", tried)
+    nugget = F.when(F.col("kind").isin("fix_nug", "free_sil"), F.col("nug")).alias("nugget")
+    range_ = F.when(F.col("kind").isin("fix_rng", "free_sil"), F.col("rng")).alias("range")
+    vario = F.when(F.col("kind") == "free_all", "vari_free_all").otherwise(F.concat(F.lit("vari_"), "kind", F.lit("_"), F.col("level").cast("string")))
+    runs = runs.select(*group, vario.alias("vario"), "level", nugget, range_)
+    keys = [*group, "vario", "level"]
+    return fit(experimental.join(runs.select(*keys), group), keys, model, runs).withColumn("sill", F.greatest("sill", F.lit(1e-4))).drop("sse")
+
+
+def monthly_maps(
+    points: DataFrame, runs: DataFrame, cells: DataFrame, cell: tuple[str, ...] = CELL, model: str = "matern32"
+) -> tuple[DataFrame, DataFrame]:
+    """(maps, scores) of every run of monthly_levels.
+
+    maps: county, month, vario, level, cell and value in mm, which isn't clamped, so that negative cells can be counted.
+    scores: leave-one-out errors, with predictions below zero taken as zero. points: county, month, skn, lon, lat, rf, y, m.
+    The mean of a group's m stands for the mean of a cell.
+    """
+    keys = ["county", "month", "vario", "level"]
+    tried = points.join(runs, ["county", "month"])
+    base = points.groupBy("county", "month").agg(F.avg("m").alias("m"))
+    maps = krige(tried, cells, ["county"], ["month", "vario", "level"], model, cell).join(base, ["county", "month"])
+    value = (F.exp(F.least(F.col("pred"), F.lit(700.0))) - 1) * F.col("m")
+    loo = krige_loo(tried, keys, model).join(points.select("county", "month", "skn", "m", F.col("rf").alias("obs")), ["county", "month", "skn"])
+    errors = metrics.scores(loo.withColumn("pred", S.back_ratio(F.col("y_pred"), F.col("m"))), keys).filter("mae is not null")
+    return maps.select(*keys, *cell, value.alias("value")), errors
 
 
 def back(df: DataFrame, y: str = "y_pred") -> DataFrame:

@@ -31,18 +31,32 @@ def missing_days(days: DataFrame, keys: tuple[str, ...] = ("county",)) -> DataFr
     )
 
 
-def completeness(days: DataFrame, least: int = 3) -> DataFrame:
-    """county ('All' for all), month: stations, complete stations, whether there are enough."""
-    per = days.groupBy("county", "skn", S.month_start("date").alias("month")).agg(F.count("rf").alias("n"))
-    full = F.col("n") == F.dayofmonth(F.last_day("month"))
-    both = per.rollup("month", "county").agg(F.count("*").alias("n_stations"), F.count_if(full).alias("n_complete"))
-    both = both.filter("month is not null")
-    return both.select(
-        F.coalesce("county", F.lit("All")).alias("county"),
-        "month",
-        "n_stations",
-        "n_complete",
-        (F.col("n_complete") > least).alias("enough"),
+def completeness(days: DataFrame, months: DataFrame | None = None, least: int = 3) -> DataFrame:
+    """county ('All' for all), month: the check of a month's stations.
+
+    n_stations (with a row), n_complete (with a value on every day that the table has; 0 if it lacks a day of the month),
+    n_accumulated (monthly totals in `months` beyond those, which come from accumulators), n_total, qc (no such totals
+    were needed), enough (over `least` complete), n_missing and missing (days of the month without any row).
+    """
+    month = S.month_start("date").alias("month")
+    per = days.groupBy("county", "skn", month).agg(F.count("rf").alias("n"))
+    present = days.groupBy(month).agg(F.count_distinct("date").alias("days"))  # a row for each month
+    full = F.count_if(F.col("n") == F.col("days")).alias("full")
+    sizes = per.join(present, "month").groupBy("county", "month").agg(F.count("*").alias("n_stations"), full, F.first("days").alias("days"))
+    if months is None:
+        sizes = sizes.withColumn("listed", F.col("full"))
+    else:
+        listed = months.filter("rf is not null").groupBy("county", "month").agg(F.count("*").alias("listed"))
+        sizes = sizes.join(listed, ["county", "month"], "left")
+    whole = F.col("days") == F.dayofmonth(F.last_day("month"))
+    extra = F.coalesce("listed", F.lit(0)) - F.col("full")
+    one = sizes.select("county", "month", "n_stations", F.when(whole, F.col("full")).otherwise(0).alias("n_complete"), extra.alias("n_accumulated"))
+    one = one.withColumn("qc", F.col("n_accumulated") == 0)
+    names = ["n_stations", "n_complete", "n_accumulated"]
+    every = one.groupBy("month").agg(*(F.sum(c).alias(c) for c in names), F.min("qc").alias("qc")).withColumn("county", F.lit("All"))
+    total = (F.col("n_complete") + F.col("n_accumulated")).alias("n_total")
+    return one.unionByName(every).join(missing_days(days, ()), "month").select(
+        "county", "month", *names, total, "qc", (F.col("n_complete") > least).alias("enough"), "n_missing", "missing"
     )
 
 

@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rainspark.functions import kernels
 from rainspark.functions import scalars as S
 
+#: Station networks, best first, for the choice among near-duplicates (fixed values).
+STATION_NETWORKS = [
+    "Mesonet", "HaleNet", "CraterNet", "Little,HaleNet", "HavoNet", "HIPPNET", "USCRN", "ESRL/GMD", "NWS", "USGS", "HydroNet-UaNet",
+    "SCAN", "NREL", "RAWS", "STATE", "NREM", "PrivateObs", "HC&S", "COOP", "CoCoRaHS", "CoCoRaHs",
+]
+
 
 def pair_distances(stations: DataFrame) -> DataFrame:
     """skn, skn_obs, dist (metres) of all station pairs of a county, each way (C11). Distances don't depend on dates."""
@@ -15,21 +24,43 @@ def pair_distances(stations: DataFrame) -> DataFrame:
     return stations.join(other, "county").filter("skn <> skn_obs").select("county", "skn", "skn_obs", dist.alias("dist"))
 
 
-def nearest_reporting(days: DataFrame, pairs: DataFrame, k: int = 10) -> DataFrame:
-    """The k nearest stations that report on the same day, with ranks from 1.
+def nearest_lists(days: DataFrame, k: int = 10, group: tuple[str, ...] = ("county", "date"), digits: int = 3) -> DataFrame:
+    """Each station-day with `near`: its k nearest stations that report in the same group, nearest first.
 
-    days: skn, date, rf (and more, carried for the neighbour with the suffix _obs).
+    days: group, skn, lon, lat and further columns, which stand in every neighbour with the suffix _obs beside skn_obs
+    and dist (metres, to `digits` places; ties go to the lesser skn). A group is one county and day: it grows with the
+    network, not with the years. One shuffle of the station-days; pairs never leave the task.
     """
-    there = days.select("date", *(F.col(c).alias(f"{c}_obs") for c in days.columns if c != "date"))
-    near = days.select("date", "skn").join(pairs, "skn").join(there, ["date", "skn_obs"])
-    w = Window.partitionBy("date", "skn").orderBy("dist", "skn_obs")
-    return near.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)
+    more = [c for c in days.columns if c not in (*group, "skn", "lon", "lat")]
+    rows = days.select(*group, "skn", "lon", "lat", *more)
+    kinds = dict(rows.dtypes)
+    item = ", ".join(["skn_obs: " + kinds["skn"], "dist: double", *(f"{c}_obs: {kinds[c]}" for c in more)])
+    schema = ", ".join(f"{c} {kinds[c]}" for c in (*group, "skn", *more)) + f", near array<struct<{item}>>"
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("skn").combine_chunks()
+        skn, lon, lat = (table[c].to_numpy() for c in ("skn", "lon", "lat"))
+        at, dist = kernels.nearest(skn, lon, lat, k, digits)
+        flat = pa.array(at.ravel())
+        parts = [table["skn"].take(flat), pa.array(dist.ravel()), *(table[c].take(flat) for c in more)]
+        parts = [x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in parts]
+        near = pa.StructArray.from_arrays(parts, ["skn_obs", "dist", *(f"{c}_obs" for c in more)])
+        ends = pa.array(np.arange(len(skn) + 1) * at.shape[1], pa.int32())
+        return table.select([*group, "skn", *more]).append_column("near", pa.ListArray.from_arrays(ends, near))
+
+    return rows.groupBy(*group).applyInArrow(run, schema)
+
+
+def nearest_reporting(days: DataFrame, k: int = 10, group: tuple[str, ...] = ("county", "date"), digits: int = 3) -> DataFrame:
+    """A row for each neighbour, with its place from 1 (E8, C12); see nearest_lists."""
+    listed = nearest_lists(days, k, group, digits).select(*group, "skn", F.posexplode("near").alias("place", "at"))
+    return listed.select(*group, "skn", (F.col("place") + 1).alias("place"), "at.*")
 
 
-def spread_ranks(near: DataFrame, values: list[str], k: int = 10) -> DataFrame:
-    """Neighbour columns side by side: value_1 .. value_k."""
-    cells = [F.max(F.when(F.col("place") == i, F.col(v))).alias(f"{v}_{i}") for v in values for i in range(1, k + 1)]
-    return near.groupBy("date", "skn").agg(*cells)
+def spread_ranks(lists: DataFrame, values: list[str], k: int = 10) -> DataFrame:
+    """Neighbour columns side by side, value_1 .. value_k, instead of the list (K10). No shuffle."""
+    cells = [F.get("near", F.lit(i))[v].alias(f"{v}_{i + 1}") for v in values for i in range(k)]
+    return lists.select(*(c for c in lists.columns if c != "near"), *cells)
 
 
 def source_rank(df: DataFrame, order: list[str]) -> DataFrame:
@@ -100,10 +131,21 @@ def terrain(grid: DataFrame, dx: float, dy: float, keys: tuple[str, ...] = ("til
     )
 
 
+def curvature(shape: DataFrame, dx: float, dy: float, keys: tuple[str, ...] = ("tile",)) -> DataFrame:
+    """terrain()'s rows with curvature, the slope of the slope; null where a neighbour has no slope."""
+    again = terrain(shape.select(*keys, "row", "col", F.col("slope").alias("value")), dx, dy, keys)
+    again = again.select(*keys, "row", "col", F.col("slope").alias("curvature"))
+    return shape.join(again, [*keys, "row", "col"], "left")
+
+
 def nearest_distance(
     grid: DataFrame, points: DataFrame, keys: tuple[str, ...] = ("county",), cell: tuple[str, ...] = ("row", "col")
 ) -> DataFrame:
-    """Metres from every cell to the nearest point of its group."""
-    p = points.select(*keys, F.col("lon").alias("plon"), F.col("lat").alias("plat"))
-    dist = S.haversine(F.col("lon"), F.col("lat"), F.col("plon"), F.col("plat"))
-    return grid.join(p, list(keys)).groupBy(*keys, *cell).agg(F.min(dist).alias("dist"))
+    """Metres from every cell to the nearest point of its group.
+
+    The points of a group are the stations of a network, a bounded list, and travel as one array; a cell takes the least
+    distance over it, so cells x points rows never exist.
+    """
+    listed = points.groupBy(*keys).agg(F.collect_list(F.struct(F.col("lon").alias("x"), F.col("lat").alias("y"))).alias("_points"))
+    dist = F.array_min(F.transform("_points", lambda p: S.haversine(F.col("lon"), F.col("lat"), p["x"], p["y"])))
+    return grid.join(listed, list(keys)).select(*keys, *cell, dist.alias("dist"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rainspark.functions import scalars as S
-from rainspark.operators import ingest
+from rainspark.operators import ingest, merge
 from rainspark.plans import testdata as D
 from rainspark.plans.registry import query
 from rainspark.plans.testdata import sql
@@ -109,12 +109,12 @@ def b7_enough_readings(spark, d):
     return ingest.enough_readings(rows, 6).groupBy("station", "file_day").agg(F.count("*").alias("n"))
 
 
-@query("SELECT CASE WHEN user_id % 10 = 0 THEN 'PHNL' ELSE 'S' || user_id % 10 END AS id, CAST(ts AS DATE) AS date, "
+@query("SELECT CASE WHEN user_id % 10 = 0 THEN 'PHNL' WHEN user_id % 10 = 1 THEN 'PHTO' ELSE 'S' || user_id % 10 END AS id, CAST(ts AS DATE) AS date, "
        "round(sum(value), 4) AS rf, count(*) AS hour_count FROM events GROUP BY 1, 2 HAVING count(*) >= 23")
 def d5_b8_b9_hourly_feed(spark, d):
     user = F.col("user_id") % 10
     e = D.table(spark, d, "events").select(
-        F.when(user == 0, "HNL").otherwise(F.concat(F.lit("S"), user.cast("string"))).alias("id"),
+        F.when(user == 0, "HNL").when(user == 1, "HTO").otherwise(F.concat(F.lit("S"), user.cast("string"))).alias("id"),
         F.lit("n").alias("name"), F.to_date("ts").alias("date"), F.col("value").alias("rf"),
     )
     got = ingest.hourly_feed_to_daily(e, 23)
@@ -271,3 +271,50 @@ def h5_text(spark, d):
         F.right(n, F.lit(3)).alias("tail"), F.regexp_replace(n, "#", "-").alias("dashed"),
         F.concat_ws("_", F.lower(n), F.col("s_suppkey").cast("string")).alias("pasted"),
     )
+
+
+@query(sql("gauge_rows", "SELECT station, ts, round(diff, 4) AS diff, round(intv, 4) AS intv FROM gauge_rows"))
+def e1_e2_long_backfill(spark, d):
+    got = ingest.increments_long(ingest.first_per_instant(D.gauge(spark, d)))
+    return got.select("station", "ts", F.round("diff", 4).alias("diff"), F.round("interval", 4).alias("intv"))
+
+
+#: Column names, in the order of the file, of each network's feed in a1_network_feeds.
+LAYOUT = {
+    "hads": ["staID", "NWS_sid", "var", "obs_time", "value", "random"],
+    "madis": ["varname", "stationId", "dataProvider", "time", "value"],
+    "uhmeso": ["nws_id", "variable", "timestamp", "value"],
+    "synoptic": ["Station_ID", "Date_Time", "var", "value"],
+    "nws": ["nwsli", "NWS_name", "date", "prec_mm_1hr"],
+}
+
+
+@query("""WITH e AS (SELECT *, event_id % 7 AS k, CAST(ts AS DATE) AS day FROM events),
+u AS (SELECT 'hads' AS network, user_id, day, value * 25.4 AS mm FROM e WHERE k IN (0, 1) AND event_id % 3 <> 0
+UNION ALL SELECT 'madis', user_id, day, value FROM e WHERE k IN (0, 1) AND event_id % 5 <> 0
+UNION ALL SELECT 'uhmeso', user_id, day, value FROM e WHERE k IN (0, 1)
+UNION ALL SELECT 'synoptic', user_id, day, value FROM e WHERE k IN (0, 1)
+UNION ALL SELECT 'nws', user_id, day, value FROM e)
+SELECT network, 'S' || user_id AS station, day AS file_day, count(*) AS n, round(sum(mm), 3) AS mm FROM u GROUP BY 1, 2, 3""")
+def a1_network_feeds(spark, d):
+    """Every event as a row of each network's own file, with names and order of columns of its own, read back as rain."""
+    e = D.table(spark, d, "events")
+    out = []
+    for network, columns in LAYOUT.items():
+        feed, rain = tables.FEEDS[network], tables.FEED_RAIN[network]
+        formats = {"minute": "yyyy-MM-dd HH:mm", "second": "yyyy-MM-dd HH:mm:ss", "iso": "yyyy-MM-dd'T'HH:mm:ss'Z'", "day": "yyyy-MM-dd"}
+        cells = {
+            feed.station: F.concat(F.lit("S"), F.col("user_id").cast("string")),
+            feed.variable: F.when(F.col("event_id") % 7 < 2, F.get(F.array(*(F.lit(x) for x in (rain * 2)[:2])), (F.col("event_id") % 7).cast("int"))).otherwise("T") if rain else None,
+            feed.time: F.date_format("ts", formats[feed.kind]),
+            feed.value: F.col("value").cast("string"),
+            feed.sample_flag: F.when(F.col("event_id") % 3 == 0, "R").otherwise(" "),
+            feed.provider: F.when(F.col("event_id") % 5 == 0, "HF-METAR").otherwise("HADS"),
+            feed.name: F.lit("n"),
+        }
+        path = tables.scratch(spark, network)
+        tables.write_feed(e.select(*(cells[c].alias(c) for c in columns), F.date_format("ts", "yyyyMMdd").alias("file_day")), path)
+        got = tables.rain_of_feed(tables.read_network_feed(spark, path, network), network)
+        out.append(got.select(F.lit(network).alias("network"), "station", "file_day", "value"))
+    every = merge.union_networks(out)
+    return every.groupBy("network", "station", "file_day").agg(F.count("*").alias("n"), F.round(F.sum("value"), 3).alias("mm"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,24 +61,28 @@ near AS (SELECT x.date, x.skn, pr.skn_obs, dist, y.rf AS rf_obs, row_number() OV
 FROM station_day x JOIN pr ON pr.skn = x.skn JOIN station_day y ON y.skn = pr.skn_obs AND y.date = x.date QUALIFY place <= 10)"""
 
 
-def _near(spark, d):
-    pairs = P.pair_distances(places(spark, d)).withColumn("dist", F.round("dist", 3))
-    return P.nearest_reporting(D.station_day(spark, d).select("date", "skn", "rf"), pairs)
-
-
 @query(sql("station_day meta", f"WITH {NEAR} SELECT date, skn, skn_obs, place, dist, rf_obs FROM near"))
 def e8_c12_nearest_ten(spark, d):
-    return _near(spark, d).select("date", "skn", "skn_obs", F.col("place").cast("long").alias("place"), "dist", "rf_obs")
+    got = P.nearest_reporting(D.placed_days(spark, d))
+    return got.select("date", "skn", "skn_obs", F.col("place").cast("long").alias("place"), "dist", "rf_obs")
+
+
+NEAR_PROB = NEAR.replace("y.rf AS rf_obs", "y.rf AS rf_obs, y.prob AS prob_obs, y.prob_year AS prob_year_obs").replace("station_day", "prob_day")
+WIDE = ", ".join(
+    f"round(max(CASE WHEN place = {i} THEN {v} END), 6) AS {v}_{i}" for v in ("dist", "rf_obs", "prob_obs", "prob_year_obs") for i in range(1, 11)
+)
 
 
-WIDE = ", ".join(f"max(CASE WHEN place = {i} THEN {v} END) AS {v}_{i}" for v in ("dist", "rf_obs") for i in range(1, 11))
+def _qc_days(spark, d) -> DataFrame:
+    """Station-days with place and both probabilities."""
+    return Q.probabilities(D.in_cell(D.placed_days(spark, d)), D.rain_params(spark, d)).drop("row", "col")
 
 
-@query(sql("station_day meta", f"WITH {NEAR} SELECT s.date, s.skn, s.rf, w.* EXCLUDE (date, skn) FROM station_day s LEFT JOIN "
-           f"(SELECT date, skn, {WIDE} FROM near GROUP BY 1, 2) w ON w.date = s.date AND w.skn = s.skn"))
+@query(sql("prob_day", f"WITH {NEAR_PROB} SELECT s.date, s.skn, s.rf, round(s.prob, 6) AS prob, round(s.prob_year, 6) AS prob_year, "
+           f"w.* EXCLUDE (date, skn) FROM prob_day s LEFT JOIN (SELECT date, skn, {WIDE} FROM near GROUP BY 1, 2) w ON w.date = s.date AND w.skn = s.skn"))
 def k10_qc_features(spark, d):
-    pairs = P.pair_distances(places(spark, d)).withColumn("dist", F.round("dist", 3))
-    return Q.features(D.station_day(spark, d), pairs, ["rf"]).drop("county")
+    got = Q.features(_qc_days(spark, d)).drop("county")
+    return got.select(*(F.round(c, 6).alias(c) if "prob" in c or c.startswith("dist") else c for c in got.columns))
 
 
 @query(sql("station_month", f"WITH {POINTS} SELECT county, month, skn, row_number() OVER (PARTITION BY county, month ORDER BY is_fill, "
@@ -110,11 +112,13 @@ def c14_extract_at_stations(spark, d):
     return P.extract(at.select("skn", "row", "col"), D.cells(spark, d)).select("skn", "tile", "value")
 
 
-@query("SELECT p_partkey, n_nationkey AS month, p_size, n_nationkey / 10 AS nugget FROM part JOIN nation ON n_nationkey = p_size % 12")
+@query(sql("station_day vario_params", "SELECT g.county, date, a.added, nugget, range, sill FROM (SELECT DISTINCT county, date FROM station_day) g "
+           "CROSS JOIN (VALUES (-1), (0), (1), (10), (100), (1000), (10000)) a(added) LEFT JOIN vario_params p ON p.county = g.county "
+           "AND p.month = month(date) AND p.added = a.added"))
 def c15_variogram_parameters(spark, d):
-    params = D.table(spark, d, "nation").select(F.col("n_nationkey").alias("month"), (F.col("n_nationkey") / 10).alias("nugget"))
-    runs = D.table(spark, d, "part").select("p_partkey", "p_size", (F.col("p_size") % 12).alias("month"))
-    return runs.join(params, "month")
+    groups = D.station_day(spark, d).select("county", "date").distinct()
+    runs = groups.select("county", "date", F.month("date").alias("month"), F.explode(F.array(*(F.lit(x) for x in I.ADDED))).alias("added"))
+    return I.lookup_params(runs, D.vario_params(spark, d)).drop("month")
 
 
 IDW = f"""w AS (SELECT c.county, s.month, c.tile, c.row, c.col, s.rf, {planar('c.', 's.')} AS dd FROM cells c JOIN station_month s ON s.county = c.county),
@@ -229,26 +233,22 @@ def k3_kriging_map(spark, d):
     return I.krige(_with_params(spark, d), grid, ["county"], ["month"], cell=CELL)
 
 
-def _candidates(spark, d):
-    """Leave-one-out predictions of all candidates: seven added constants, with fixed and fitted variograms (K5)."""
-    pts = _points_apart(spark, d).withColumn("mean_mm", F.lit(20.0)).filter("not is_fill")
-    keys = ["county", "month", "added"]
-    targets = tables.written(reduce(DataFrame.unionByName, [I.transform(pts, a) for a in I.ADDED]), "targets")
-    free = I.fit(I.variogram(targets, keys, 0.5, 6), keys).withColumn("is_free", F.lit(True))
-    fixed = free.select(*keys, (F.col("sill") * 0.1).alias("nugget"), F.lit(1.0).alias("range"), "sill", "sse", F.lit(False).alias("is_free"))
-    runs = targets.join(tables.written(free.unionByName(fixed), "runs").withColumn("sill", F.greatest("sill", F.lit(1e-4))), keys)
-    runs = tables.written(runs.withColumn("run", (F.col("added") + 2) * 2 + F.col("is_free").cast("int")), "candidates")
-    loo = I.krige_loo(runs, ["county", "month", "run"])
-    known = runs.select("county", "month", "run", "skn", "added", "m", "rf", "is_free", "nugget", "range", "sill")
-    return I.back(loo.join(known, ["county", "month", "run", "skn"]))
+def _daily_points(spark, d) -> DataFrame:
+    """Station-days on the grid with the mean of their cell; every seventh station counts as filled, near-duplicates are gone."""
+    names = F.array(*(F.lit(x) for x in P.STATION_NETWORKS))
+    network = F.get(names, (F.col("skn") % len(P.STATION_NETWORKS)).cast("int"))
+    rows = D.in_cell(D.placed_days(spark, d)).withColumn("is_fill", F.col("skn") % 7 == 0).withColumn("network", network)
+    means = D.cells(spark, d).filter("tile = 0").select("row", "col", (F.col("value") / 100).alias("value"))
+    on_grid = P.extract(rows, means).withColumnRenamed("value", "mean_mm")
+    return P.drop_near(P.source_rank(on_grid, P.STATION_NETWORKS)).drop("rank", "network", "row", "col")
 
 
 @query()
 def k5_candidate_sweep(spark, d):
-    got = _candidates(spark, d).withColumnRenamed("rf", "obs")
-    keys = ["county", "month", "run", "is_free", "nugget", "range", "sill"]
-    scored = M.scores(got, keys).select(*keys, "mae", "rmse", "r2").filter("mae is not null")
-    return M.best_run(scored, ["county", "month"])
+    """The best of the 14 candidates of every county-day."""
+    swept = I.sweep(_daily_points(spark, d), D.vario_params(spark, d))
+    keys = ["county", "date", "run", "added", "is_free", "nugget", "range", "sill"]
+    return M.best_run(M.scores(swept, keys).filter("mae is not null"), ["county", "date"])
 
 
 @query(sql("station_month", f"""WITH {APART}, {LOO}, m AS (SELECT county, month, count(*) AS n, max(obs) AS top, sqrt(avg(pow(obs - pred, 2))) AS rmse,
@@ -279,11 +279,14 @@ def d13_grid_negatives(spark, d):
     return got.withColumn("low", F.round("low", 4)).withColumn("high", F.round("high", 4))
 
 
-@query(sql("station_month", "SELECT month, string_agg(county, ',' ORDER BY county) AS county_list, string_agg(CAST(n AS VARCHAR), ',' ORDER BY county) AS n_list, "
-           "sum(n)::BIGINT AS n_total FROM (SELECT county, month, count(*) AS n FROM station_month GROUP BY 1, 2) GROUP BY 1"))
+@query(sql("station_month", """WITH c AS (SELECT county, month, count(*) AS n, round(min(rf), 3) AS low, count(*) < 10 AS few FROM station_month GROUP BY 1, 2)
+SELECT month, string_agg(county, ',' ORDER BY county) AS county_list, string_agg(CAST(n AS VARCHAR), ',' ORDER BY county) AS n_list,
+sum(n)::BIGINT AS n_total, min(low) AS low_min, string_agg(CAST(few AS VARCHAR), ',' ORDER BY county) AS few_list, bool_or(few) AS few_any FROM c GROUP BY 1"""))
 def d16_joined_rows(spark, d):
-    per = D.station_month(spark, d).groupBy("county", "month").agg(F.count("*").alias("n"))
-    return M.joined_rows(per, ["month"], "county", {"n": "%d"})
+    per = D.station_month(spark, d).groupBy("county", "month").agg(
+        F.count("*").alias("n"), F.round(F.min("rf"), 3).alias("low"), (F.count("*") < 10).alias("few")
+    )
+    return M.joined_rows(per, ["month"], "county", {"n": "%d"}, ("low",), ("few",))
 
 
 RUNS = """runs AS (SELECT l_suppkey AS grp, l_linenumber AS run, l_linenumber % 2 = 0 AS is_free, sum(l_tax) / count(*) AS nugget, avg(l_discount) * 2 AS range,
@@ -300,15 +303,13 @@ def e10_best_run(spark, d):
 
 
 @query("""WITH m AS (SELECT l_suppkey AS grp, 'v' || l_linenumber AS vario, CAST((l_linenumber - 1) // 3 AS BIGINT) AS level, round(avg(l_discount) * 10, 6) AS r2,
-  round(avg(l_quantity), 6) AS mae, round(avg(l_extendedprice), 6) AS rmse, round(avg(l_tax) * 12.5, 6) AS prob_ugly FROM lineitem GROUP BY 1, 2, l_linenumber),
-f AS (SELECT *, min(CASE WHEN prob_ugly < 0.5 THEN level END) OVER (PARTITION BY grp) AS first FROM m),
-k AS (SELECT * FROM f WHERE first IS NULL OR (level = first AND prob_ugly < 0.5)),
-s AS (SELECT *, round(r2, 3) / nullif(round(max(r2) OVER w, 3), 0) * 100 AS s_r2, 100 - round(mae, 3) / nullif(round(max(mae) OVER w, 3), 0) * 100 AS s_mae,
-  100 - round(rmse, 3) / nullif(round(max(rmse) OVER w, 3), 0) * 100 AS s_rmse, 100 - round(prob_ugly, 3) / nullif(round(max(prob_ugly) OVER w, 3), 0) * 100 AS s_ugly
-  FROM k WINDOW w AS (PARTITION BY grp)),
-p AS (SELECT *, list_sort([coalesce(s_r2, 0), coalesce(s_mae, 0), coalesce(s_rmse, 0), coalesce(s_ugly, 0)]) AS four FROM s)
-SELECT grp, vario, level, round((four[2] + four[3]) / 2, 4) AS score FROM p
-QUALIFY row_number() OVER (PARTITION BY grp ORDER BY (four[2] + four[3]) / 2 DESC, s_r2 DESC NULLS LAST, s_mae DESC NULLS LAST, s_rmse DESC NULLS LAST, vario) = 1""")
+  round(avg(l_quantity), 6) AS mae, round(avg(l_extendedprice) / 1000, 6) AS rmse, round(avg(l_tax) * 12.6, 6) AS prob_ugly,
+  CAST(200 + l_suppkey % 7 AS DOUBLE) AS rf_max FROM lineitem GROUP BY 1, 2, l_linenumber),
+f AS (SELECT *, min(CASE WHEN prob_ugly <= 0.5 THEN level END) OVER (PARTITION BY grp) AS first FROM m),
+k AS (SELECT * FROM f WHERE first IS NULL OR (level = first AND prob_ugly <= 0.5)),
+p AS (SELECT *, list_sort([round(r2, 2) * 100, 100 - round(mae) / round(rf_max) * 100, 100 - round(rmse) / round(rf_max) * 100, round(1 - prob_ugly, 2) * 100]) AS four FROM k)
+SELECT grp, vario, level, round((four[2] + four[3]) / 2, 4) AS score FROM p QUALIFY row_number() OVER (PARTITION BY grp ORDER BY (four[2] + four[3]) / 2 DESC,
+  CASE WHEN first IS NULL THEN round(prob_ugly, 2) END, round(r2, 2) DESC, round(mae) DESC, round(rmse) DESC, vario) = 1""")
 def e11_e12_best_variogram(spark, d):
     line = F.col("l_linenumber")
     g = D.table(spark, d, "lineitem").groupBy(
@@ -316,8 +317,8 @@ def e11_e12_best_variogram(spark, d):
     )
     maps = g.agg(
         F.round(F.avg("l_discount") * 10, 6).alias("r2"), F.round(F.avg("l_quantity"), 6).alias("mae"),
-        F.round(F.avg("l_extendedprice"), 6).alias("rmse"), F.round(F.avg("l_tax") * 12.5, 6).alias("prob_ugly"),
-    )
+        F.round(F.avg("l_extendedprice") / 1000, 6).alias("rmse"), F.round(F.avg("l_tax") * 12.6, 6).alias("prob_ugly"),
+    ).withColumn("rf_max", (200 + F.col("grp") % 7).cast("double"))
     return M.best_variogram(maps, ["grp"]).withColumn("score", F.round("score", 4))
 
 
@@ -328,16 +329,10 @@ def e15_minmax(spark, d):
     return got.select("skn", "month", F.round("rf_scaled", 6).alias("rf_scaled"))
 
 
-CDF = ("CASE WHEN z >= 0 THEN 1 - u ELSE u END")
-PROB = """q AS (SELECT skn, date, rf, 2.0 AS mu, 1.2 AS sd, 0.6 AS pop, (ln(CASE WHEN rf > 0 THEN rf ELSE 1 END) - 2.0) / 1.2 AS z FROM station_day),
-t AS (SELECT *, 1 / (1 + 0.2316419 * abs(z)) AS k FROM q),
-u AS (SELECT *, exp(-abs(z) * abs(z) / 2) * 0.3989422804014327 * k * (0.319381530 + k * (-0.356563782 + k * (1.781477937 + k * (-1.821255978 + k * 1.330274429)))) AS u FROM t)"""
-
-
-@query(sql("station_day", f"WITH {PROB} SELECT skn, date, round(CASE WHEN rf > 0 THEN (1 - pop) + pop * ({CDF}) ELSE 1 - pop END, 6) AS prob FROM u"))
+@query(sql("prob_day", "SELECT skn, date, round(prob, 6) AS prob, round(prob_year, 6) AS prob_year FROM prob_day"))
 def h8_rain_probability(spark, d):
-    p = S.rain_probability(F.col("rf"), F.lit(2.0), F.lit(1.2), F.lit(0.6))
-    return D.station_day(spark, d).select("skn", "date", F.round(p, 6).alias("prob"))
+    got = _qc_days(spark, d)
+    return got.select("skn", "date", F.round("prob", 6).alias("prob"), F.round("prob_year", 6).alias("prob_year"))
 
 
 @query(sql("station_day", "SELECT skn, date, round(ln(rf + 1), 8) AS y, round(ln((rf + m) / m), 8) AS z, round(rf / m, 8) AS anomaly, "
@@ -363,55 +358,91 @@ def h11_quality_labels(spark, d):
     return g.agg(F.count("*").alias("n"))
 
 
-@query(sql("station_month", """WITH s AS (SELECT strftime(month, '%Y-%m') AS key, CAST(count(*) AS VARCHAR) AS n, count(DISTINCT county) AS c FROM station_month GROUP BY 1)
-SELECT key, 'n' AS attribute, n AS value FROM s UNION ALL SELECT key, 'counties', CAST(c AS VARCHAR) FROM s
-UNION ALL SELECT key, 'description', 'Rain of ' || key || ' at ' || n || ' stations.' FROM s"""))
+NAMES = "CASE county WHEN 'KA' THEN 'Kauai County' WHEN 'OA' THEN 'Honolulu County (Oahu)' WHEN 'BI' THEN 'Hawaii county' " \
+    "WHEN 'MN' THEN 'Maui County (Maui, Lanai, Molokai & Kahoolawe)' END"
+ERRORS = "' Leave-one-out: mean absolute error ' || CAST(round(mae, 3) AS VARCHAR) || ' mm, largest observed rain ' || CAST(round(top, 3) AS VARCHAR) || ' mm'"
+BEGIN = f"'Rainfall map of ' || {NAMES} || ' for ' || strftime(date, '%Y-%m-%d') || ', in millimetres from midnight to midnight. '"
+
+
+@query(sql("station_day", f"""WITH v AS (SELECT county, date, count(*) AS n, max(rf) AS top, round(avg(rf) / 20, 6) AS mae FROM station_day GROUP BY 1, 2),
+m AS (SELECT *, strftime(date, '%Y%m%d') || county AS key, CASE WHEN top = 0 THEN 'no_rain' WHEN n < 8 THEN 'idw' ELSE 'krige' END AS method FROM v),
+t AS (SELECT *, {BEGIN} || CASE method WHEN 'no_rain' THEN 'None of the ' || n || ' stations had rain, so every cell is 0; there are no errors to report and no standard errors.'
+  WHEN 'idw' THEN 'No variogram could be used, so it comes from inverse distances (power 2) of ' || n || ' stations; standard errors are -9999.' || {ERRORS} || '.'
+  ELSE 'Kriged from ' || n || ' stations.' || {ERRORS} || '; quality: ' || {LABEL.format(x='(mae / top)')} || '.' END AS description FROM m)
+SELECT key, 'n' AS attribute, CAST(n AS VARCHAR) AS value FROM t UNION ALL SELECT key, 'method', method FROM t UNION ALL SELECT key, 'description', description FROM t"""))
 def h12_a12_metadata_sheet(spark, d):
-    g = D.station_month(spark, d).groupBy(F.date_format("month", "yyyy-MM").alias("key"))
-    got = g.agg(F.count("*").alias("n"), F.countDistinct("county").alias("counties"))
-    text = F.format_string("Rain of %s at %d stations.", "key", "n")
+    got = D.station_day(spark, d).groupBy("county", "date").agg(
+        F.count("*").alias("n"), F.max("rf").alias("top"), F.round(F.avg("rf") / 20, 6).alias("mae")
+    )
+    method = F.when(F.col("top") == 0, "no_rain").when(F.col("n") < 8, "idw").otherwise("krige")
+    got = got.withColumn("key", F.concat(F.date_format("date", "yyyyMMdd"), "county")).withColumn("method", method)
+    words = got.select("key", "n", "method", M.map_sentence(F.col("date")).alias("words"))
     path = tables.scratch(spark, "sheet")
-    tables.write_sheet(M.sheet(got, "key", text), path)
+    tables.write_sheet(M.sheet(words, "key", F.col("words")).filter("attribute <> 'words'"), path)
     return spark.read.schema("key string, attribute string, value string").option("sep", "\t").option("header", True).csv(path)
 
 
-def _labelled(spark, d):
-    """Station-days with neighbour features and injected errors: every 97th value is twenty times too high."""
-    pairs = P.pair_distances(places(spark, d))
-    days = D.station_day(spark, d)
-    bad = (F.pmod(F.xxhash64("skn", "date"), F.lit(97)) == 0) & (F.col("rf") > 0)
-    days = days.withColumn("bad", bad).withColumn("rf", F.when(bad, F.col("rf") * 20).otherwise(F.col("rf")))
-    return Q.features(days, pairs, ["rf"], k=3)
+@query(sql("station_day", """WITH v AS (SELECT county, date, count(*) AS n, max(rf) AS top, round(avg(rf) / 20, 3) AS mae FROM station_day GROUP BY 1, 2),
+s AS (SELECT date, sum(n)::BIGINT AS n_total, max(top) AS top, max(mae) AS mae, string_agg(printf('%.3f', mae), ',' ORDER BY county) AS mae_list,
+  coalesce(string_agg(county, ',' ORDER BY county) FILTER (n < 8), '') AS idw_list FROM v GROUP BY 1)
+SELECT date, 'Mosaic rainfall map of all counties for ' || strftime(date, '%Y-%m-%d') || '.' || CASE WHEN idw_list <> '' THEN
+  ' Inverse distances (standard errors -9999) stand in for: ' || idw_list || '.' ELSE '' END || ' It used ' || n_total || ' stations. Mean absolute errors by county: ' ||
+  mae_list || '; overall ' || CAST(round(mae, 3) AS VARCHAR) || ' mm, largest observed rain ' || CAST(round(top, 3) AS VARCHAR) || ' mm; quality: ' ||
+  """ + LABEL.format(x="(mae / nullif(top, 0))") + """ || '.' AS description FROM s"""))
+def h12_d16_state_sentence(spark, d):
+    per = D.station_day(spark, d).groupBy("county", "date").agg(
+        F.count("*").alias("n"), F.max("rf").alias("top"), F.round(F.avg("rf") / 20, 3).alias("mae")
+    )
+    rolled = M.joined_rows(per, ["date"], "county", {"n": "%d", "mae": "%.3f"})
+    more = per.groupBy("date").agg(
+        F.max("top").alias("top_state"), F.max("mae").alias("mae_state"),
+        F.array_join(F.array_sort(F.collect_list(F.when(F.col("n") < 8, F.col("county")))), ",").alias("idw_list"),
+    )
+    return rolled.join(more, "date").select("date", M.state_sentence(F.col("date")).alias("description"))
 
 
-QC_COLS = ["rf", *(f"{v}_{i}" for v in ("dist", "rf_obs") for i in range(1, 4))]
+def _bad():
+    """Which station-days carry an injected error: about one in 97."""
+    return (F.pmod(F.xxhash64("skn", "date"), F.lit(97)) == 0) & (F.col("rf") > 0)
 
 
-@query()
-def k11_bad_value_classifier(spark, d):
-    rows = tables.written(_labelled(spark, d), "labelled")
-    models = Q.train_bad_value(rows, QC_COLS, trees=10)
-    got = Q.score_bad_value(rows, models, QC_COLS)
-    return got.groupBy("county", "bad").agg(F.count("*").alias("n"), F.count_if("bad_class").alias("flagged"))
+def _spoilt_days(spark, d) -> DataFrame:
+    """Placed station-days with injected errors: every 97th value is twenty times too high."""
+    return D.placed_days(spark, d).withColumn("rf", F.when(_bad(), F.col("rf") * 20).otherwise(F.col("rf")))
+
+
+def _qc_features(days, params) -> DataFrame:
+    return Q.features(Q.probabilities(D.in_cell(days), params))
 
 
-def _by_neighbours(pairs):
-    """A score from the nearest three: the value's excess over their mean."""
+def _is_training():
+    """Days that the forests learn from: two of three, by a hash of the date."""
+    return F.pmod(F.xxhash64(F.lit("train"), "date"), F.lit(3)) > 0
 
-    def score(days: DataFrame) -> DataFrame:
-        near = P.nearest_reporting(days.select("date", "skn", "rf"), pairs, 3)
-        means = near.groupBy("date", "skn").agg(F.avg("rf_obs").alias("around"))
-        excess = F.coalesce(F.col("rf") / (F.col("around") + 50), F.lit(0.0))
-        return days.join(means, ["date", "skn"], "left").withColumn("prob_bad", excess).withColumn("bad_class", excess > 2)
 
-    return score
+@query()
+def k11_bad_value_classifier(spark, d):
+    """Injected errors found among days that the forests haven't seen."""
+    rows = tables.written(_qc_features(_spoilt_days(spark, d), D.rain_params(spark, d)).withColumn("bad", _bad()), "labelled")
+    cols = Q.feature_columns()
+    models = Q.train_bad_value(rows.filter(_is_training()), cols, trees=10)
+    got = Q.score_bad_value(rows.filter(~_is_training()), models, cols)
+    return got.groupBy("county", "bad").agg(F.count("*").alias("n"), F.count_if("bad_class").alias("flagged"))
 
 
 @query()
 def k12_iterative_removal(spark, d):
-    rows = _labelled(spark, d).select("county", "date", "skn", "rf")
-    pairs = tables.written(P.pair_distances(places(spark, d)), "pairs")
-    return Q.screen(rows, _by_neighbours(pairs), least=3)
+    """The forests of K11 on all county-days, whose neighbours and probabilities are worked out anew in each round."""
+    days, params, cols = tables.written(_spoilt_days(spark, d), "spoilt"), tables.written(D.rain_params(spark, d), "params"), Q.feature_columns()
+    rows = _qc_features(days.filter(_is_training()), params).withColumn("bad", _bad())
+    models = Q.train_bad_value(rows, cols, trees=10)
+    at = places(spark, d).select("skn", "lon", "lat")
+
+    def score(live: DataFrame) -> DataFrame:
+        got = Q.score_bad_value(_qc_features(live.join(at, "skn"), params), models, cols)
+        return got.select("county", "date", "skn", "rf", "prob_bad", "bad_class")
+
+    return Q.screen(days, score, least=11)
 
 
 @query(sql("station_day", "SELECT county, date, arg_max(skn, {'p': rf, 's': -skn}) AS skn, max(rf) AS prob_bad FROM station_day WHERE rf > 25 GROUP BY 1, 2"))
@@ -420,12 +451,15 @@ def e13_worst_flagged(spark, d):
     return Q.worst(days)
 
 
-def _map_cells(spark, d):
-    """Cells of all tiles with terrain and the distance to the nearest station of their county."""
-    grid = D.cells(spark, d)
-    near = P.nearest_distance(grid, places(spark, d), cell=CELL).select(*CELL, "dist")
-    shape = P.terrain(grid, 0.1, 0.1)
-    return grid.select("tile", "county", "row", "col", "value").join(shape, ["tile", "row", "col"]).join(near, list(CELL))
+def _distances(spark, d) -> DataFrame:
+    """Metres from every cell to the nearest station of its county."""
+    return P.nearest_distance(D.cells(spark, d), places(spark, d), cell=CELL).select("county", *CELL, "dist")
+
+
+def _shapes(maps: DataFrame, near: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Maps (keys, row, col, value) with terrain, curvature and the distance to the nearest station."""
+    shape = P.curvature(P.terrain(maps, 0.1, 0.1, keys), 0.1, 0.1, keys)
+    return maps.join(shape, [*keys, "row", "col"]).join(near, ["county", *CELL])
 
 
 @query(sql("cells meta", f"""WITH near AS (SELECT c.tile, c.row, c.col, min({hav('c.', 'm.')}) AS dist FROM cells c JOIN meta m ON m.county = c.county GROUP BY 1, 2, 3)
@@ -437,48 +471,68 @@ def k15_nearest_station(spark, d):
 
 @query()
 def k15_map_features(spark, d):
-    return Q.map_features(_map_cells(spark, d), ["tile", "county"], 20_000.0)
+    maps = D.cells(spark, d).select("county", *CELL, "value")
+    return Q.map_features(_shapes(maps, _distances(spark, d), ("county", "tile")), ["tile", "county"], 20_000.0)
+
+
+MAP_KEYS = ["county", "tile", "month"]
+
+
+def _spoilt_maps(spark, d) -> DataFrame:
+    """Features of the maps of all county-months; one in three has a chequered pattern added and is ugly."""
+    grid = D.cells(spark, d).select("county", *CELL, "lon", "lat")
+    maps = I.idw(grid, D.station_month(spark, d), ["county"], ["month"], cell=CELL)
+    ugly = F.pmod(F.xxhash64("county", "month"), F.lit(3)) == 0
+    step = F.when(ugly & ((F.col("row") + F.col("col")) % 2 == 0), 6.0).otherwise(0.0)
+    maps = tables.written(maps.withColumn("value", F.col("value") + step), "maps")
+    rows = Q.map_features(_shapes(maps, _distances(spark, d), tuple(MAP_KEYS)), MAP_KEYS, 20_000.0)
+    return tables.written(rows.withColumn("ugly", ugly), "features")
+
+
+def _train_month():
+    return F.month("month") % 2 == 1
 
 
 @query()
 def k16_map_class(spark, d):
-    """Maps of county-months, those with a wide range labelled ugly, scored by the forest trained on them."""
-    maps = _idw(spark, d).groupBy("county", "month").agg(
-        F.min("value").alias("low"), F.max("value").alias("high"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd")
-    )
-    rows = tables.written(maps.withColumn("ugly", F.col("sd") > 2), "maps")
-    cols = ["low", "high", "mean", "sd"]
-    return Q.score_map_class(rows, Q.train_map_class(rows, cols), cols).select("county", "month", "ugly", "prob_ugly", "ugly_class")
+    """A forest on the shapes of the maps of odd months, tried on the maps of even ones."""
+    rows, cols = _spoilt_maps(spark, d), Q.map_feature_columns()
+    model = Q.train_map_class(rows.filter(_train_month()), cols)
+    return Q.score_map_class(rows.filter(~_train_month()), model, cols).select(*MAP_KEYS, "ugly", "prob_ugly", "ugly_class")
+
+
+def _level_params(spark, d) -> DataFrame:
+    """Nugget and range of the levels low, med and high by county."""
+    counties = D.meta(spark, d).select("county").distinct()
+    rows = F.array(*(F.struct(F.lit(i).cast("long").alias("level"), F.lit(n).alias("nug"), F.lit(r).alias("rng")) for i, (n, r) in enumerate(((0.02, 0.3), (0.05, 0.6), (0.1, 1.2)))))
+    return counties.select("county", F.inline(rows))
 
 
 @query()
 def k17_monthly_kriging(spark, d):
-    """Per county and month: leave-one-out errors of four variogram levels, and the best of them."""
-    pts = I.transform(_points_apart(spark, d).withColumn("mean_mm", F.lit(20.0)), 0)
-    fitted = I.fit(I.variogram(pts, ["county", "month"], 0.5, 6), ["county", "month"])
-    levels = F.array(*(F.struct(F.lit(i).alias("level"), F.lit(f).alias("share")) for i, f in enumerate((1.0, 0.5, 0.25, 0.0))))
-    runs = fitted.select("county", "month", "range", F.greatest("sill", F.lit(1e-4)).alias("sill"), F.col("nugget").alias("n0"), F.inline(levels))
-    runs = tables.written(runs.withColumn("nugget", F.col("n0") * F.col("share")), "levels")
-    keys = ["county", "month", "level"]
-    loo = I.krige_loo(pts.join(runs, ["county", "month"]), keys, "matern32")
-    back = I.back(loo.join(pts.select("county", "month", "skn", "m", "added", F.col("rf").alias("obs")), ["county", "month", "skn"]))
-    scored = M.scores(back, keys).filter("mae is not null").withColumn("vario", F.concat(F.lit("level"), F.col("level").cast("string")))
-    scored = scored.withColumn("r2", F.coalesce("r2", F.lit(0.0))).withColumn("prob_ugly", F.lit(0.1))
-    return M.best_variogram(scored, ["county", "month"])
+    """Per county and month: ten variograms over three levels, their maps' class, errors and negative cells, and the best of them."""
+    pts = I.transform(_points_apart(spark, d).withColumn("mean_mm", F.lit(20.0)), 0).filter("not is_fill")
+    pts = tables.written(pts, "points")
+    grid = D.cells(spark, d).select("county", *CELL, "lon", "lat")
+    runs = tables.written(I.monthly_levels(pts, _level_params(spark, d), ["county", "month"], 0.5, 6), "levels")
+    maps, scored = I.monthly_maps(pts, runs, grid, CELL)
+    maps = tables.written(maps, "maps")
+    model = Q.train_map_class(_spoilt_maps(spark, d), Q.map_feature_columns())
+    keys = ["county", "tile", "month", "vario", "level"]
+    shapes = Q.map_features(_shapes(maps, _distances(spark, d), tuple(keys)), keys, 20_000.0)
+    classed = Q.score_map_class(shapes, model, Q.map_feature_columns()).groupBy("county", "month", "vario", "level").agg(F.max("prob_ugly").alias("prob_ugly"))
+    negative = M.grid_negatives(maps, ["county", "month", "vario", "level"]).withColumnRenamed("high", "rf_max")
+    every = scored.join(classed, ["county", "month", "vario", "level"]).join(negative, ["county", "month", "vario", "level"])
+    every = tables.written(every, "checked")
+    best = M.best_variogram(every, ["county", "month"])
+    return best.join(every.select("county", "month", "vario", "level", "r2", "mae", "prob_ugly", "n_cells", "n_negative"), ["county", "month", "vario", "level"])
 
 
 @query()
 def k9_daily_maps(spark, d):
-    """The driver on months: no-rain, kriging or inverse-distance values of every county and month on the grid."""
-    pts = month_points(spark, d).withColumnRenamed("month", "date")
-    ways = tables.written(I.methods(pts, ["county", "date"]), "ways")
-    grid = D.cells(spark, d).select("county", *CELL, "lon", "lat")
-    zero = I.no_rain(grid, ways, ["county"], CELL).select("county", "date", *CELL, "value", F.lit("no_rain").alias("method"))
-    keys = ["county", "date"]
-    kriged = ways.filter("status = 'krige' and n >= 8").select(*keys)
-    rest = ways.filter("status in ('too_few', 'flat') or (status = 'krige' and n < 8)").select(*keys)
-    target = _with_params(spark, d).withColumnRenamed("month", "date").join(kriged, keys)
-    maps = I.krige(target, grid, ["county"], ["date"], cell=CELL)
-    maps = maps.select(*keys, *CELL, S.back_plain(F.col("pred")).alias("value"), F.lit("krige").alias("method"))
-    other = I.idw(grid, pts.join(rest, keys), ["county"], ["date"], cell=CELL).select(*keys, *CELL, "value", F.lit("idw").alias("method"))
-    return zero.unionByName(maps).unionByName(other)
+    """The driver on days: way, chosen candidate and errors of every county-day, and its grids in figures."""
+    grid = D.cells(spark, d).select("county", *CELL, "lon", "lat", (F.col("value") / 100).alias("mean_mm"))
+    validation, maps = I.daily_map(_daily_points(spark, d), grid, D.vario_params(spark, d), CELL)
+    figures = [f(c).alias(f"{c}_{n}") for c in ("value", "anomaly", "se_backtransformed_var") for n, f in (("low", F.min), ("mean", F.avg), ("high", F.max))]
+    grids = maps.groupBy("county", "date", "method").agg(F.count("*").alias("n_cells"), *figures)
+    return validation.join(grids, ["county", "date", "method"], "left")

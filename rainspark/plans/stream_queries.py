@@ -20,8 +20,14 @@ def _source(spark, d, closing: bool = True):
         )
         rows = rows.unionByName(last)
     path = tables.scratch(spark, "stream")
-    rows.repartition(1, F.lit(0)).sortWithinPartitions("ts").write.parquet(path)
-    return spark.readStream.schema(rows.schema).parquet(path)
+    # files are ranges of time and carry their place in it as a folder, so that several batches share state
+    rows = rows.repartitionByRange(8, "ts").sortWithinPartitions("ts")
+    rows.withColumn("part", F.spark_partition_id()).write.partitionBy("part").parquet(path)
+    slices = sorted(r.part for r in spark.read.parquet(path).select("part").distinct().collect())
+    arrivals = tables.scratch(spark, "arrivals")
+    for part in slices:  # one file after another, as feeds arrive; each is written by Spark
+        spark.read.parquet(f"{path}/part={part}").coalesce(1).write.mode("append").parquet(arrivals)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(arrivals)
 
 
 @query(sql("readings", "SELECT station, CAST(date_trunc('day', ts - INTERVAL 10 HOUR - INTERVAL 1 SECOND) AS TIMESTAMP) AS start, round(sum(value), 4) AS rf, "

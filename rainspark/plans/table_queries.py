@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rainspark.functions import scalars as S
-from rainspark.operators import gapfill, merge, monthly, quality
+from rainspark.operators import gapfill, merge, monthly, quality, util
 from rainspark.plans import testdata as D
 from rainspark.plans.registry import query
 from rainspark.plans.testdata import sql
@@ -59,13 +58,13 @@ def a8_upsert(spark, d):
     return merge.upsert(days, new, ["skn", "date"])
 
 
-@query(sql("station_month", "SELECT coalesce(a.skn, b.skn) AS skn, a.v AS x1, b.v AS x2 FROM (SELECT skn, sum(rf) AS v FROM station_month "
-           "WHERE year(month) = 1997 AND skn % 3 <> 0 GROUP BY 1) a FULL JOIN (SELECT skn, sum(rf) AS v FROM station_month "
-           "WHERE year(month) = 1998 AND skn % 2 = 0 GROUP BY 1) b ON a.skn = b.skn"))
+@query(sql("station_month", "SELECT coalesce(a.skn, b.skn) AS skn, round(a.v, 6) AS x1, round(b.v, 6) AS x2 FROM (SELECT skn, sum(rf) AS v FROM station_month "
+           "WHERE rf > 30 GROUP BY 1) a FULL JOIN (SELECT skn, sum(rf) AS v FROM station_month WHERE rf < 8 GROUP BY 1) b ON a.skn = b.skn"))
 def c7_full_outer_columns(spark, d):
+    """Sums of wet and of dry months; a station may lack either."""
     m = D.station_month(spark, d)
-    a = m.filter((F.year("month") == 1997) & (F.col("skn") % 3 != 0)).groupBy("skn").agg(F.sum("rf").alias("x1"))
-    b = m.filter((F.year("month") == 1998) & (F.col("skn") % 2 == 0)).groupBy("skn").agg(F.sum("rf").alias("x2"))
+    a = m.filter("rf > 30").groupBy("skn").agg(F.sum("rf").alias("x1"))
+    b = m.filter("rf < 8").groupBy("skn").agg(F.sum("rf").alias("x2"))
     old = a.withColumn("x2", F.lit(0.0))  # a column to be replaced
     return merge.outer_columns(old, b).select("skn", F.round("x1", 6).alias("x1"), F.round("x2", 6).alias("x2"))
 
@@ -106,12 +105,16 @@ def b11_county_from_island(spark, d):
     return D.meta(spark, d).select("skn", "island", S.county_of("island").alias("county"))
 
 
-@query("SELECT l_suppkey AS skn, CAST(max(l_shipdate) AS DATE) AS last_date FROM lineitem WHERE l_orderkey % 50 = l_suppkey % 50 GROUP BY 1 "
-       "HAVING date_diff('day', CAST(max(l_shipdate) AS DATE), DATE '2002-01-01') < 730.5")
+@query("SELECT l_suppkey AS skn, CAST(max(l_shipdate) AS DATE) AS last_date FROM lineitem WHERE l_quantity > 47 AND l_discount > 0.07 GROUP BY 1 "
+       "HAVING date_diff('day', CAST(max(l_shipdate) AS DATE), (SELECT CAST(max(l_shipdate) AS DATE) + 700 FROM lineitem)) < 730.5")
 def b12_active_stations(spark, d):
-    rows = D.table(spark, d, "lineitem").filter(F.col("l_orderkey") % 50 == F.col("l_suppkey") % 50)
-    days = rows.select(F.col("l_suppkey").alias("skn"), F.to_date("l_shipdate").alias("date"), F.col("l_quantity").alias("rf"))
-    return gapfill.active(merge.last_obs(days), "2002-01-01")
+    """Stations seen in the last month of the table, on a run date 700 days later; days of little rain don't count as seen."""
+    rows = D.table(spark, d, "lineitem").select(
+        F.col("l_suppkey").alias("skn"), F.to_date("l_shipdate").alias("date"),
+        F.when((F.col("l_quantity") > 47) & (F.col("l_discount") > 0.07), F.col("l_quantity")).alias("rf"),
+    )
+    run = rows.agg(F.date_add(F.max("date"), 700)).first()[0]
+    return gapfill.active(merge.last_obs(rows), run)
 
 
 @query(sql("station_day", "SELECT skn, count(CASE WHEN rf > 20 AND skn % 5 <> 0 THEN 1 END) AS n FROM station_day GROUP BY 1 HAVING n > 0"))
@@ -195,11 +198,20 @@ def d8_month_total(spark, d):
     return monthly.month_total(D.station_day(spark, d).withColumn("rf", F.when(F.col("rf") < 40, F.col("rf"))))
 
 
-@query(sql("station_day", """WITH s AS (SELECT county, skn, CAST(date_trunc('month', date) AS DATE) AS month, count(*) AS n FROM station_day GROUP BY 1, 2, 3)
-SELECT coalesce(county, 'All') AS county, month, count(*) AS n_stations, count(*) FILTER (n = day(last_day(month))) AS n_complete,
-count(*) FILTER (n = day(last_day(month))) > 3 AS enough FROM s GROUP BY GROUPING SETS ((county, month), (month))"""))
+@query(sql("station_day", """WITH s AS (SELECT county, skn, CAST(date_trunc('month', date) AS DATE) AS month, count(rf) AS n, sum(rf) AS total FROM station_day GROUP BY 1, 2, 3),
+h AS (SELECT CAST(date_trunc('month', date) AS DATE) AS month, count(DISTINCT date) AS days FROM station_day GROUP BY 1),
+c AS (SELECT county, s.month, count(*) AS n_stations, count(*) FILTER (n = days) AS f, any_value(days) AS days, count(*) FILTER (total > 100) AS listed
+  FROM s JOIN h ON h.month = s.month GROUP BY 1, 2),
+o AS (SELECT county, month, n_stations, CASE WHEN days = day(last_day(month)) THEN f ELSE 0 END AS n_complete, listed - f AS n_accumulated, listed = f AS qc FROM c),
+a AS (FROM o UNION ALL SELECT 'All', month, sum(n_stations)::BIGINT, sum(n_complete)::BIGINT, sum(n_accumulated)::BIGINT, bool_and(qc) FROM o GROUP BY month),
+e AS (SELECT month, CAST(unnest(generate_series(month, last_day(month), INTERVAL 1 DAY)) AS DATE) AS date FROM h),
+g AS (SELECT e.month, count(*) FILTER (d.date IS NULL) AS n_missing, coalesce(string_agg(strftime(e.date, '%Y-%m-%d'), ',' ORDER BY e.date) FILTER (d.date IS NULL), '') AS missing
+  FROM e LEFT JOIN (SELECT DISTINCT date FROM station_day) d ON d.date = e.date GROUP BY 1)
+SELECT a.*, n_complete + n_accumulated AS n_total, n_complete > 3 AS enough, n_missing, missing FROM a JOIN g ON g.month = a.month"""))
 def d9_month_completeness(spark, d):
-    return monthly.completeness(D.station_day(spark, d))
+    days = tables.written(D.station_day(spark, d), "days")
+    months = days.groupBy("county", "skn", S.month_start("date").alias("month")).agg(F.sum("rf").alias("rf"))
+    return monthly.completeness(days, months.withColumn("rf", F.when(F.col("rf") > 100, F.col("rf"))))
 
 
 @query(sql("station_day", """WITH h AS (SELECT DISTINCT skn, date FROM station_day), m AS (SELECT DISTINCT skn, CAST(date_trunc('month', date) AS DATE) AS month FROM h),
@@ -237,35 +249,27 @@ def g1_g2_union_networks(spark, d):
 @query("SELECT s_suppkey AS skn FROM supplier EXCEPT SELECT l_suppkey FROM lineitem WHERE l_quantity > 49.5 AND l_linenumber = 1")
 def g3_set_difference(spark, d):
     have = D.table(spark, d, "lineitem").filter("l_quantity > 49.5 and l_linenumber = 1").select(F.col("l_suppkey").alias("skn"))
-    return D.table(spark, d, "supplier").select(F.col("s_suppkey").alias("skn")).join(have, "skn", "left_anti")
+    return util.minus(D.table(spark, d, "supplier").select(F.col("s_suppkey").alias("skn")), have, ["skn"])
 
 
-SCAFFOLD = """cells_ AS (SELECT s.skn, s.county, t.date, d.rf FROM (SELECT skn, county FROM meta) s JOIN (SELECT DISTINCT county, date FROM station_day) t
+SCAFFOLD = """cells_ AS MATERIALIZED (SELECT s.skn, s.county, t.date, d.rf FROM (SELECT skn, county FROM meta) s JOIN (SELECT DISTINCT county, date FROM station_day) t
 ON s.county = t.county LEFT JOIN station_day d ON d.skn = s.skn AND d.date = t.date)"""
-PAIRS = """p AS (SELECT a.skn AS target_skn, b.skn AS skn, a.rf AS y, b.rf AS x FROM station_day a JOIN station_day b
+PAIRS = """p AS MATERIALIZED (SELECT a.skn AS target_skn, b.skn AS skn, a.rf AS y, b.rf AS x FROM station_day a JOIN station_day b
   ON a.county = b.county AND a.date = b.date AND a.skn <> b.skn),
-r AS (SELECT target_skn, skn, x, y, rank() OVER (PARTITION BY target_skn, skn ORDER BY x) + (count(*) OVER (PARTITION BY target_skn, skn, x) - 1) / 2 AS rx,
+r AS MATERIALIZED (SELECT target_skn, skn, x, y, rank() OVER (PARTITION BY target_skn, skn ORDER BY x) + (count(*) OVER (PARTITION BY target_skn, skn, x) - 1) / 2 AS rx,
   rank() OVER (PARTITION BY target_skn, skn ORDER BY y) + (count(*) OVER (PARTITION BY target_skn, skn, y) - 1) / 2 AS ry FROM p),
-rel AS (SELECT target_skn, skn, count(*) AS n, corr(rx, ry) AS spear, CASE WHEN sum(x) <> 0 THEN sum(y) / sum(x) END AS ratio FROM r GROUP BY 1, 2
+rel AS MATERIALIZED (SELECT target_skn, skn, count(*) AS n, corr(rx, ry) AS spear, CASE WHEN sum(x) <> 0 THEN sum(y) / sum(x) END AS ratio FROM r GROUP BY 1, 2
   HAVING count(*) >= 20 AND corr(rx, ry) > 0.0005 AND sum(x) <> 0 AND sum(y) / sum(x) BETWEEN 0.3 AND 2.7)"""
 
 
-def _cells(spark, d):
-    return gapfill.scaffold(D.meta(spark, d).select("skn", "county"), D.station_day(spark, d))
-
-
-def _relations(spark, d):
-    return gapfill.relations(D.station_day(spark, d), 0.0005, 20)
-
-
 @query(sql("station_day meta", f"WITH {SCAFFOLD} SELECT skn, county, date, rf FROM cells_"))
 def c8_scaffold(spark, d):
-    return _cells(spark, d)
+    return gapfill.scaffold(D.meta(spark, d).select("skn", "county"), D.station_day(spark, d))
 
 
 @query(sql("station_day meta", f"WITH {PAIRS} SELECT target_skn, skn, n, round(spear, 5) AS spear, round(ratio, 5) AS ratio FROM rel"))
 def k14_relations(spark, d):
-    return _relations(spark, d).select("target_skn", "skn", "n", F.round("spear", 5).alias("spear"), F.round("ratio", 5).alias("ratio"))
+    return gapfill.relations(D.station_day(spark, d), 0.0005, 20).select("target_skn", "skn", "n", F.round("spear", 5).alias("spear"), F.round("ratio", 5).alias("ratio"))
 
 
 FILLED = f"""WITH {SCAFFOLD}, {PAIRS}, ranked AS (SELECT h.skn, h.date, s.rf * rel.ratio AS est, row_number() OVER (PARTITION BY h.skn, h.date
@@ -273,28 +277,31 @@ FILLED = f"""WITH {SCAFFOLD}, {PAIRS}, ranked AS (SELECT h.skn, h.date, s.rf * r
   WHERE h.rf IS NULL), est AS (SELECT skn, date, avg(est) AS est, count(*) AS n FROM ranked WHERE place <= 3 GROUP BY 1, 2)"""
 
 
-def _estimates(spark, d):
-    pairs = _relations(spark, d).withColumn("spear", F.round("spear", 9))
-    return gapfill.estimates(_cells(spark, d), D.station_day(spark, d), pairs)
+def _cells_and_estimates(spark, d):
+    """The scaffold and the estimates for its holes; days, scaffold and relations are each written once."""
+    days = tables.written(D.station_day(spark, d), "days")
+    cells = tables.written(gapfill.scaffold(D.meta(spark, d).select("skn", "county"), days), "cells")
+    pairs = tables.written(gapfill.relations(days, 0.0005, 20).withColumn("spear", F.round("spear", 9)), "relations")
+    return cells, gapfill.estimates(cells, days, pairs)
 
 
 @query(sql("station_day meta", FILLED + " SELECT skn, date, round(est, 8) AS est, n FROM est"))
 def c9_e9_h13_predictor_estimates(spark, d):
-    return _estimates(spark, d).select("skn", "date", F.round("est", 8).alias("est"), "n")
+    return _cells_and_estimates(spark, d)[1].select("skn", "date", F.round("est", 8).alias("est"), "n")
 
 
 @query(sql("station_day meta", FILLED + " SELECT c.skn, c.county, c.date, round(coalesce(c.rf, est), 8) AS rf, c.rf IS NULL AND est IS NOT NULL AS is_fill "
            "FROM cells_ c LEFT JOIN est ON est.skn = c.skn AND est.date = c.date"))
 def k13_gap_fill(spark, d):
-    return gapfill.fill(_cells(spark, d), _estimates(spark, d)).withColumn("rf", F.round("rf", 8))
+    return gapfill.fill(*_cells_and_estimates(spark, d)).withColumn("rf", F.round("rf", 8))
 
 
 @query(sql("station_day meta", FILLED + """, f AS (SELECT c.date, c.rf AS a, coalesce(c.rf, est) AS b FROM cells_ c LEFT JOIN est ON est.skn = c.skn AND est.date = c.date)
 SELECT date, count(*) AS n, count(*) - count(a) AS empty_before, count(*) - count(b) AS empty_after,
 CASE WHEN count(*) > count(a) THEN round((count(b) - count(a)) * 100.0 / (count(*) - count(a)), 3) END AS filled_percent FROM f GROUP BY 1"""))
 def d11_fill_tally(spark, d):
-    cells = _cells(spark, d)
-    return gapfill.tally(cells, gapfill.fill(cells, _estimates(spark, d)))
+    cells, found = _cells_and_estimates(spark, d)
+    return gapfill.tally(cells, gapfill.fill(cells, found))
 
 
 @query(sql("station_day", "SELECT date, count(*) AS n_raw, count(*) FILTER (rf < 45) AS n_passed, count(*) - count(*) FILTER (rf < 45) AS n_removed, "
@@ -313,17 +320,14 @@ def b16_group_guards(spark, d):
 @query(sql("station_month", "SELECT skn, month, rf, row_number() OVER (ORDER BY rf DESC, skn, month) AS place FROM station_month QUALIFY place <= 100"))
 def f1_sorted_report(spark, d):
     """The 100 wettest station-months in order: a top-k report, so Spark keeps 100 rows a task."""
-    top = D.station_month(spark, d).select("skn", "month", "rf").orderBy(F.col("rf").desc(), "skn", "month").limit(100)
-    listed = top.agg(F.array_sort(F.collect_list(F.struct((-F.col("rf")).alias("k"), "skn", "month", "rf"))).alias("x"))
-    placed = listed.select(F.posexplode("x").alias("place", "v"))
-    return placed.select("v.skn", "v.month", "v.rf", (F.col("place") + 1).cast("long").alias("place"))
+    top = util.numbered(D.station_month(spark, d).select("skn", "month", "rf"), 100, F.col("rf").desc(), "skn", "month")
+    return util.sort_for_output(top.withColumn("place", F.col("place").cast("long")), "place")
 
 
 @query(sql("station_month", "SELECT county, month, skn, rf FROM station_month QUALIFY row_number() OVER (PARTITION BY county, month ORDER BY rf DESC, skn) <= 3"))
 def f2_top_k_per_group(spark, d):
-    w = Window.partitionBy("county", "month").orderBy(F.col("rf").desc(), "skn")
     m = D.station_month(spark, d).select("county", "month", "skn", "rf")
-    return m.withColumn("place", F.row_number().over(w)).filter("place <= 3").drop("place")
+    return util.top_k(m, ["county", "month"], 3, F.col("rf").desc(), "skn")
 
 
 @query("SELECT l_linenumber, coalesce(list_position(['uhmeso', 'synoptic', 'hads', 'nws', 'madis', 'scan'], network), 2147483647)::BIGINT AS rank "

@@ -94,12 +94,56 @@ def cells(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def placed_days(spark: SparkSession, d: str) -> DataFrame:
+    """station_day with the station's place."""
+    return station_day(spark, d).join(meta(spark, d).select("skn", "lon", "lat"), "skn")
+
+
+def in_cell(df: DataFrame) -> DataFrame:
+    """Adds row and col of the grid cell."""
+    return df.withColumn("row", F.floor((NORTH - F.col("lat")) / STEP)).withColumn("col", F.floor((F.col("lon") - WEST) / STEP))
+
+
+def rain_params(spark: SparkSession, d: str) -> DataFrame:
+    """Log-normal parameters of each cell of the first tile by season."""
+    shift = F.when(F.col("season") == "warm", -0.2).when(F.col("season") == "cool", 0.2).otherwise(0.0)
+    seasons = F.explode(F.array(*(F.lit(x) for x in ("warm", "cool", "year")))).alias("season")
+    grid = cells(spark, d).filter("tile = 0").select("row", "col", "value", seasons)
+    return grid.select(
+        "row", "col", "season", (1 + F.col("value") / 2000 + shift).alias("meanlog"),
+        (1 + F.col("row") % 3 / 10).alias("sdlog"), (0.3 + F.col("col") % 5 / 10).alias("pop"),
+    )
+
+
+ADDED = (-1, 0, 1, 10, 100, 1000, 10000)
+
+
+def vario_params(spark: SparkSession, d: str) -> DataFrame:
+    """Variogram parameters by county, month of the year and added constant; those of December and 10000 are missing."""
+    rows = meta(spark, d).select("county").distinct().select("county", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
+    rows = rows.select("county", "month", F.explode(F.array(*(F.lit(x) for x in ADDED))).alias("added"))
+    rows = rows.filter("not (month = 12 and added = 10000)")
+    return rows.select(
+        "county", "month", "added", (0.05 + F.col("month") / 100).alias("nugget"), (0.3 + F.col("month") / 50).alias("range"),
+        (0.6 + F.abs("added") % 7 / 10).alias("sill"),
+    )
+
+
 def station_month(spark: SparkSession, d: str) -> DataFrame:
     """Mean rain of each station and month, with its place."""
     days = station_day(spark, d).groupBy("skn", S.month_start("date").alias("month")).agg(F.round(F.avg("rf"), 6).alias("rf"))
     return days.join(meta(spark, d).select("skn", "county", "lon", "lat"), "skn")
 
 
+def _prob_sql(mu: str, sd: str, pop: str) -> str:
+    """Zero-inflated log-normal probability of s.rf, with the normal distribution by the same approximation."""
+    z = f"((ln(CASE WHEN s.rf > 0 THEN s.rf ELSE 1 END) - {mu}) / {sd})"
+    k = f"(1 / (1 + 0.2316419 * abs({z})))"
+    u = (f"(exp(-{z} * {z} / 2) * 0.3989422804014327 * {k} * (0.319381530 + {k} * (-0.356563782 + {k} * (1.781477937 + {k} * "
+         f"(-1.821255978 + {k} * 1.330274429)))))")
+    return f"CASE WHEN s.rf > 0 THEN (1 - {pop}) + {pop} * (CASE WHEN {z} >= 0 THEN 1 - {u} ELSE {u} END) ELSE 1 - {pop} END"
+
+
 _NAMES = "[" + ", ".join(f"'{x}'" for x in NETWORKS) + "]"
 _ISLES = "[" + ", ".join(f"'{x}'" for x in ISLANDS) + "]"
 VIEWS = {
@@ -131,6 +175,16 @@ VIEWS = {
         -160.0 + (p_partkey % 50 + 0.5) * 0.1 AS lon, 22.2 - (p_partkey // 50 % 33 + 0.5) * 0.1 AS lat, p_retailprice AS value,
         CASE WHEN p_partkey % 50 < 13 THEN 'BI' WHEN p_partkey % 50 < 26 THEN 'MN' WHEN p_partkey % 50 < 38 THEN 'OA' ELSE 'KA' END
         AS county FROM part""",
+    "rain_params": """SELECT row, col, season, 1 + value / 2000 + CASE season WHEN 'warm' THEN -0.2 WHEN 'cool' THEN 0.2 ELSE 0 END AS meanlog,
+        1 + row % 3 / 10 AS sdlog, 0.3 + col % 5 / 10 AS pop FROM cells CROSS JOIN (VALUES ('warm'), ('cool'), ('year')) t(season) WHERE tile = 0""",
+    "prob_day": f"""SELECT s.skn, s.county, s.date, s.rf, lon, lat, {_prob_sql('h.meanlog', 'h.sdlog', 'h.pop')} AS prob,
+        {_prob_sql('y.meanlog', 'y.sdlog', 'y.pop')} AS prob_year FROM station_day s JOIN meta m ON m.skn = s.skn
+        LEFT JOIN rain_params h ON h.row = floor((22.2 - lat) / 0.1) AND h.col = floor((lon + 160.0) / 0.1)
+          AND h.season = CASE WHEN month(s.date) BETWEEN 5 AND 10 THEN 'warm' ELSE 'cool' END
+        LEFT JOIN rain_params y ON y.row = floor((22.2 - lat) / 0.1) AND y.col = floor((lon + 160.0) / 0.1) AND y.season = 'year'""",
+    "vario_params": """SELECT county, CAST(m AS INTEGER) AS month, a AS added, 0.05 + m / 100 AS nugget, 0.3 + m / 50 AS range, 0.6 + abs(a) % 7 / 10 AS sill
+        FROM (SELECT DISTINCT county FROM meta) CROSS JOIN range(1, 13) r(m) CROSS JOIN (VALUES (-1), (0), (1), (10), (100), (1000), (10000)) t(a)
+        WHERE NOT (m = 12 AND a = 10000)""",
     "station_month": """SELECT skn, CAST(date_trunc('month', date) AS DATE) AS month, round(avg(rf), 6) AS rf, any_value(m.county) AS county,
         any_value(lon) AS lon, any_value(lat) AS lat FROM station_day JOIN meta m USING (skn) GROUP BY 1, 2""",
 }
@@ -141,6 +195,9 @@ _NEEDS = {
     "modes": ["gauge_rows"],
     "gauge_days": ["gauge_rows", "modes"],
     "station_day": ["meta"],
+    "rain_params": ["cells"],
+    "prob_day": ["station_day", "meta", "rain_params"],
+    "vario_params": ["meta"],
     "station_month": ["station_day", "meta"],
 }
 

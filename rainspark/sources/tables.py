@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,9 +17,14 @@ META = "skn long, name string, island string, network string, elev double, lat d
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share (spark.checkpoint.dir; a temporary one only if it is unset)."""
+    """A new path in the folder that the driver and all executors share, which the cluster names in spark.checkpoint.dir.
+
+    Only a session in one process (local tests), where the setting is empty, gets a temporary folder of its own.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -38,6 +44,67 @@ def read_feed(spark: SparkSession, paths: str | list[str], kind: str = "minute",
     return df.select("*", S.parse_utc("ts_text", kind).alias("ts"), day.try_cast("date").alias("file_day"))
 
 
+@dataclass(frozen=True)
+class Feed:
+    """Columns of a network's parsed files and how their times are written; empty names stand for columns it lacks."""
+
+    station: str
+    variable: str
+    time: str
+    kind: str
+    value: str
+    provider: str = ""
+    sample_flag: str = ""
+    name: str = ""
+
+
+#: The files of the networks (fixed values).
+FEEDS = {
+    "hads": Feed("staID", "var", "obs_time", "minute", "value", sample_flag="random", name="NWS_sid"),
+    "madis": Feed("stationId", "varname", "time", "minute", "value", provider="dataProvider"),
+    "uhmeso": Feed("nws_id", "variable", "timestamp", "second", "value"),
+    "synoptic": Feed("Station_ID", "var", "Date_Time", "iso", "value"),
+    "nws": Feed("nwsli", "", "date", "day", "prec_mm_1hr", name="NWS_name"),
+}
+#: Variables of rain, and the factor that makes millimetres of each network's values (fixed values).
+FEED_RAIN = {"hads": ("PC", "PP"), "madis": ("rawPrecip",), "uhmeso": ("RF_1_Tot300s",), "synoptic": ("precip_accum_five_minute_set_1",), "nws": ()}
+FEED_FACTOR = {"hads": 25.4}
+
+
+def read_network_feed(spark: SparkSession, paths: str | list[str], network: str) -> DataFrame:
+    """Files <yyyymmdd>_<network>_parsed.csv of one network, or folders ending in <yyyymmdd>, any number of days in one read
+    (A1, A2, B5, H1).
+
+    Columns are found by the names in the header, whatever their order. Returns station, name, var, ts, value (as it
+    stands in the file), provider, sample_flag, seq (order of arrival inside a file) and file_day. A row whose number or
+    time can't be read has a null there; columns that the network lacks are null. NWS rows have a date and no time of day.
+    """
+    feed = FEEDS[network]
+    df = spark.read.option("header", True).option("recursiveFileLookup", True).csv(paths)
+
+    def col(name: str, kind: str = "string") -> Column:
+        return F.trim(F.col(f"`{name}`")).try_cast(kind) if name in df.columns else F.lit(None).cast(kind)
+
+    ts = col(feed.time).try_cast("timestamp_ntz") if feed.kind == "day" else S.parse_utc(col(feed.time), feed.kind)
+    dated = F.regexp_extract(F.col("_metadata.file_path"), r"(\d{8})(?:_[A-Za-z0-9_]*parsed\.csv$|/[^/]*$)", 1)
+    day = F.to_date(F.nullif(dated, F.lit("")), "yyyyMMdd")
+    return df.select(
+        col(feed.station).alias("station"), col(feed.name).alias("name"), col(feed.variable).alias("var"), ts.alias("ts"),
+        col(feed.value, "double").alias("value"), col(feed.provider).alias("provider"), col(feed.sample_flag).alias("sample_flag"),
+        F.monotonically_increasing_id().alias("seq"), day.alias("file_day"),
+    )
+
+
+def rain_of_feed(rows: DataFrame, network: str, allowed: tuple[str, ...] = (), denied: tuple[str, ...] = ("HF-METAR",)) -> DataFrame:
+    """Rows of rain in millimetres: rain variables, scheduled samples, listed providers, complete cases."""
+    out = rows.filter(F.col("var").isin(*FEED_RAIN[network])) if FEED_RAIN[network] else rows
+    out = out.filter((F.trim("sample_flag") == "") | F.col("sample_flag").isNull()).drop("sample_flag")
+    if network == "madis":
+        out = out.filter(F.col("provider").isin(*allowed)) if allowed else out.filter(~F.coalesce(F.col("provider"), F.lit("")).isin(*denied))
+    out = out.dropna("any", subset=["station", "ts", "value"])
+    return out.withColumn("value", F.col("value") * FEED_FACTOR[network]) if network in FEED_FACTOR else out
+
+
 def write_feed(df: DataFrame, path: str) -> None:
     """Feed rows as CSV, a folder for each file_day."""
     df.write.partitionBy("file_day").option("header", True).csv(path)

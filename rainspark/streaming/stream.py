@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rainspark.functions import scalars as S
-from rainspark.sources.tables import overwrite_partitions
+from rainspark.sources.tables import overwrite_partitions, read_or_empty, written
 
 
 def with_event_time(df: DataFrame, late: str = "2 days") -> DataFrame:
@@ -27,11 +27,16 @@ def dedup(df: DataFrame, late: str = "2 days") -> DataFrame:
     return with_event_time(df, late).dropDuplicatesWithinWatermark(["station", "event_time"])
 
 
-def upsert_sink(df: DataFrame, path: str, checkpoint: str, by: str = "date") -> StreamingQuery:
-    """Each micro-batch replaces the partitions that it has rows of (I3); a repeated batch leaves the same table."""
+def upsert_sink(df: DataFrame, path: str, checkpoint: str, by: str = "date", keys: tuple[str, ...] = ("station", "ts", "seq")) -> StreamingQuery:
+    """Each micro-batch is merged into the partitions that it has rows of (I3): its rows replace those with the same keys,
+    others stay. A repeated batch leaves the same table, and a day may come in several batches."""
 
     def put(batch: DataFrame, _: int) -> None:
-        overwrite_partitions(batch, path, by)
+        batch = written(batch, "batch")
+        have = read_or_empty(batch.sparkSession, path, batch.schema)
+        days = batch.select(by).distinct()
+        kept = have.join(days, by, "left_semi").join(batch.select(*keys).distinct(), list(keys), "left_anti")
+        overwrite_partitions(written(kept.unionByName(batch), "merged"), path, by)
 
     return df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

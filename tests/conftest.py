@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -16,6 +17,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="spark-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -92,9 +92,9 @@ def test_network_priority_and_counts(spark):
 
 
 def test_hourly_feed_and_ids(spark):
-    data = [("HNL", "n", date(2024, 1, 1), 1.0)] * 23 + [("X", "n", date(2024, 1, 1), 1.0)] * 22
+    data = [("HNL", "n", date(2024, 1, 1), 1.0)] * 23 + [("X", "n", date(2024, 1, 1), 1.0)] * 22 + [("OGG", "n", date(2024, 1, 1), 1.0)] * 24
     got = ingest.hourly_feed_to_daily(spark.createDataFrame(data, "id string, name string, date date, rf double"))
-    assert rows(got.withColumn("id", ingest.airport_id("id")), "id", "rf", "hour_count") == [("PHNL", 23.0, 23)]
+    assert rows(got.withColumn("id", ingest.airport_id("id")), "id", "rf", "hour_count") == [("OGG", 24.0, 24), ("PHNL", 23.0, 23)]
 
 
 def test_cap_and_probability(spark):
@@ -107,11 +107,12 @@ def test_cap_and_probability(spark):
 
 def test_gap_fill(spark):
     day = date(2024, 1, 1)
+    # station 9 is the target
     pairs = spark.createDataFrame([(9, i, 0.99 - i / 100, r) for i, r in enumerate([2.0, 1.0, 1.0, 0.5, 1.0])], "target_skn long, skn long, spear double, ratio double")
     cells = spark.createDataFrame([(9, "BI", day, None), (1, "BI", day, 7.0)], "skn long, county string, date date, rf double")
 
     def est(rain):
-        days = spark.createDataFrame([(i, day, x) for i, x in enumerate(rain)], "skn long, date date, rf double")
+        days = spark.createDataFrame([(i, "BI", day, x) for i, x in enumerate(rain)], "skn long, county string, date date, rf double")
         return rows(gapfill.estimates(cells, days, pairs), "skn", "est", "n")
 
     assert est([3.0, None, 4.0, 10.0, 100.0]) == [(9, 5.0, 3)]
@@ -237,3 +238,161 @@ def test_wide_years_come_from_the_dates(spark, monkeypatch):
     days = spark.createDataFrame(data, "skn long, date date, rf double")
     monkeypatch.setattr(table_queries.D, "station_day", lambda *_: days)
     assert rows(table_queries.a4_wide_to_long(spark, ""), "skn", "date", "value") == data
+
+
+def test_relations_against_brute_force(spark):
+    """Overlap, Spearman with ties and ratio of every pair, over several blocks of stations."""
+    rng = np.random.default_rng(6)
+    base = rng.gamma(0.5, 10, 60)
+    rain = {i: np.where(rng.random(60) < 0.3, np.nan, np.round(base * (0.4 + 0.2 * i) + rng.random(60) * 4)) for i in range(9)}
+    data = [(i, "BI" if i < 7 else "KA", date.fromordinal(738000 + d), None if np.isnan(x) else float(x)) for i, v in rain.items() for d, x in enumerate(v)]
+    days = spark.createDataFrame(data, "skn long, county string, date date, rf double")
+    want = {}
+    for a in rain:
+        for b in rain:
+            both = ~np.isnan(rain[a]) & ~np.isnan(rain[b])
+            if a == b or (a < 7) != (b < 7) or both.sum() < 20:
+                continue
+            y, x = rain[a][both], rain[b][both]
+            rank = [np.array([(v < z).sum() + ((v == z).sum() + 1) / 2 for z in v]) for v in (y, x)]
+            spear, ratio = np.corrcoef(*rank)[0, 1], y.sum() / x.sum()
+            if spear > 0.6 and 0.3 < ratio < 2.7:
+                want[a, b] = (int(both.sum()), round(spear, 9), round(ratio, 9))
+    for block in (2, 48):
+        got = gapfill.relations(days, 0.6, 20, block_stations=block).collect()
+        assert {(r.target_skn, r.skn): (r.n, round(r.spear, 9), round(r.ratio, 9)) for r in got} == want and len(got) == len(want) > 10
+
+
+def test_nearest_reporting_ties_and_small_groups(spark):
+    day = date(2024, 1, 1)
+    data = [("BI", day, 1, 0.0, 0.0, 5.0), ("BI", day, 2, 0.1, 0.0, 6.0), ("BI", day, 3, -0.1, 0.0, 7.0), ("KA", day, 4, 0.0, 0.0, 8.0)]
+    df = spark.createDataFrame(data, "county string, date date, skn long, lon double, lat double, rf double")
+    got = rows(spatial.nearest_reporting(df, 2), "skn", "place", "skn_obs", "rf_obs")
+    assert got == [(1, 1, 2, 6.0), (1, 2, 3, 7.0), (2, 1, 1, 5.0), (2, 2, 3, 7.0), (3, 1, 1, 5.0), (3, 2, 2, 6.0)]
+    assert [r.dist_1 for r in spatial.spread_ranks(spatial.nearest_lists(df, 2), ["dist"], 2).filter("skn = 4").collect()] == [None]
+
+
+@pytest.mark.parametrize("fixed", [{"nugget": 0.3}, {"range_": 0.5}, {"sill": 0.9}, {"nugget": 0.1, "range_": 0.5}, {"nugget": 0.1, "sill": 0.8}])
+def test_fixed_variogram_parameters_stay(fixed):
+    """What is given stays; the error is no larger than that of any point on a grid of the free ones."""
+    h = np.linspace(0.1, 3, 12)
+    gamma = 0.2 + 0.8 * (1 - np.exp(-h / 0.7)) + 0.05 * np.sin(9 * h)
+    nugget, range_, sill, sse = kernels.fit_variogram(h, gamma, np.full(12, 50), **fixed)
+    for k, v in fixed.items():
+        assert {"nugget": nugget, "range_": range_, "sill": sill}[k] == pytest.approx(v)
+    w = 50 / h**2
+    grid = {"nugget": np.linspace(0, 1, 11), "range_": np.geomspace(0.05, 5, 30), "sill": np.linspace(0, 2, 21)}
+    grid = {k: [fixed[k]] if k in fixed else v for k, v in grid.items()}
+    best = min(
+        (w * (n + (s - n) * (1 - np.exp(-h / r)) - gamma) ** 2).sum() for n in grid["nugget"] for r in grid["range_"] for s in grid["sill"] if s >= n
+    )
+    assert sse <= best * 1.02 + 1e-9
+
+
+def test_all_fixed_needs_no_fit(spark):
+    bins = spark.createDataFrame([("a", 0.5, 1.0, 3), ("a", 1.0, 2.0, 4)], "g string, h double, gamma double, n_pairs long")
+    fixed = spark.createDataFrame([("a", 0.1, 0.4, 0.9)], "g string, nugget double, range double, sill double")
+    assert rows(interpolate.fit(bins, ["g"], fixed=fixed), "nugget", "range", "sill") == [(0.1, 0.4, 0.9)]
+
+
+def stations(spark, n=14, dry=False):
+    rng = np.random.default_rng(4)
+    data = []
+    for d in (1, 2):
+        for i in range(n):
+            rain = 0.0 if dry or d == 2 else float(rng.gamma(2, 5))
+            data.append(("BI", date(2024, 1, d), i, float(rng.random()), float(rng.random()), rain, 10.0 + i, i % 5 == 0))
+    return data, spark.createDataFrame(data, "county string, date date, skn long, lon double, lat double, rf double, mean_mm double, is_fill boolean")
+
+
+def test_candidate_sweep_against_brute_force(spark):
+    """Every candidate's leave-one-out predictions, by leaving each station out of a kriging system of its own."""
+    data, df = stations(spark)
+    listed = [("BI", 1, a, 0.05, 0.4, 0.8) for a in interpolate.ADDED if a != 10000]
+    params = spark.createDataFrame(listed, "county string, month int, added int, nugget double, range double, sill double")
+    got = {(r.run, r.skn): r for r in interpolate.sweep(df, params).collect()}
+    assert {r.date for r in got.values()} == {date(2024, 1, 1)}  # the dry day's target doesn't vary
+    assert len({run for run, _ in got}) == 13 and not any(r.skn % 5 == 0 for r in got.values())
+    here = [x for x in data if x[1].day == 1]
+    xy, rf, mean = np.array([x[3:5] for x in here]), np.array([x[5] for x in here]), np.array([x[6] for x in here])
+    for (_, skn), r in got.items():
+        base = 1.0 if r.added < 0 else mean + r.added
+        y = np.log(rf + 1) if r.added < 0 else np.log((rf + base) / base)
+        keep = np.arange(len(rf)) != skn
+        cov = kernels.covariance("exp", r.nugget, r.range, r.sill)
+        w, inverse = kernels.solve_kriging(xy[keep], y[keep], cov)
+        z, _ = kernels.predict(xy[keep], w, inverse, xy[skn : skn + 1], cov)
+        mm = max(float((np.exp(z[0]) - 1) * (1.0 if r.added < 0 else base[skn])), 0.0)
+        assert r.obs == rf[skn] and r.pred == pytest.approx(mm, rel=1e-4, abs=1e-4)
+
+
+def test_daily_map_takes_each_way(spark):
+    data, df = stations(spark)
+    few = spark.createDataFrame([("KA", date(2024, 1, 1), 90 + i, 0.1 * i, 0.0, 3.0, 5.0, False) for i in range(4)], df.schema)
+    two = spark.createDataFrame([("OA", date(2024, 1, 1), 80 + i, 0.1 * i, 0.0, 3.0 + i, 5.0, False) for i in range(2)], df.schema)
+    cells = [(c, 0, i, 0.1 * i, 0.5, 4.0) for c in ("BI", "KA", "OA") for i in range(5)]
+    grid = spark.createDataFrame(cells, "county string, row long, col long, lon double, lat double, mean_mm double")
+    params = spark.createDataFrame([("BI", 1, a, 0.05, 0.4, 0.8) for a in interpolate.ADDED], "county string, month int, added int, nugget double, range double, sill double")
+    validation, maps = interpolate.daily_map(df.unionByName(few).unionByName(two), grid, params)
+    ways = {(r.county, r.date.day): r for r in validation.collect()}
+    assert {k: r.method for k, r in ways.items()} == {("BI", 1): "krige", ("BI", 2): "no_rain", ("KA", 1): "idw", ("OA", 1): None}
+    assert ways["OA", 1].status == "too_few" and ways["BI", 1].mae is not None
+    cells_of = {}
+    for r in maps.collect():
+        cells_of.setdefault((r.county, r.date.day), []).append(r)
+    assert {k: len(v) for k, v in cells_of.items()} == {("BI", 1): 5, ("BI", 2): 5, ("KA", 1): 5}
+    assert all(r.value == 0 and r.se_backtransformed_var == -9999 for r in cells_of["BI", 2])
+    assert all(r.value == pytest.approx(3.0) and r.se_anomaly == -9999 for r in cells_of["KA", 1])
+    assert all(r.value >= 0 and r.se_backtransformed_var >= 0 and r.anomaly == pytest.approx(r.value / 4) for r in cells_of["BI", 1])
+
+
+def test_least_bad_map_goes_by_ugliness_first(spark):
+    data = [("g", "a", 0, 0.5, 2.0, 3.0, 50.0, 0.9), ("g", "b", 1, 0.5, 2.0, 3.0, 50.0, 0.7), ("h", "a", 0, 0.5, 2.0, 3.0, 50.0, 0.9), ("h", "b", 1, 0.1, 2.0, 3.0, 50.0, 0.2)]
+    df = spark.createDataFrame(data, "g string, vario string, level long, r2 double, mae double, rmse double, rf_max double, prob_ugly double")
+    assert rows(metrics.best_variogram(df, ["g"]), "g", "vario") == [("g", "b"), ("h", "b")]
+
+
+def test_correlation_flags_of_maps(spark):
+    rng = np.random.default_rng(2)
+    d = np.sort(rng.random(200) * 3000)
+    cells = [("m", float(v), float(0.01 * x + v), 1.0, float(i % 2), float(-x), float(x)) for i, (x, v) in enumerate(zip(d, rng.random(200) * 4 - 1, strict=True))]
+    df = spark.createDataFrame(cells, "g string, value double, slope double, roughness double, tri double, curvature double, dist double")
+    r = quality.map_features(df, ["g"]).first()
+    assert r.negative and r.n_cells == 200 and r.n_near == int((d < 1000).sum())
+    assert r.slope_p and r.curvature_cor == pytest.approx(-1) and r.roughness_cor is None
+    n, cor = 200, np.corrcoef([c[2] for c in cells], d)[0, 1]
+    assert r.slope_r2 == pytest.approx(1 - (1 - cor**2) * (n - 1) / (n - 2))
+    assert abs(np.corrcoef([c[4] for c in cells], d)[0, 1]) < 0.14 and not r.tri_p
+
+
+def test_month_check_counts_accumulator_totals(spark):
+    days = [(i, "BI", date(2024, 2, d), 1.0 if i or d > 3 else None) for i in range(5) for d in range(1, 30)]
+    df = spark.createDataFrame(days, "skn long, county string, date date, rf double")
+    months = spark.createDataFrame([(i, "BI", date(2024, 2, 1), 30.0) for i in range(6)], "skn long, county string, month date, rf double")
+    names = ("county", "n_stations", "n_complete", "n_accumulated", "n_total", "qc", "enough", "n_missing", "missing")
+    assert rows(monthly.completeness(df, months), *names) == [(c, 5, 4, 2, 6, False, True, 0, "") for c in ("All", "BI")]
+    gone = monthly.completeness(df.filter("dayofmonth(date) <> 9"), months)
+    assert rows(gone, *names) == [(c, 5, 0, 2, 2, False, False, 1, "2024-02-09") for c in ("All", "BI")]
+
+
+def test_network_feeds_by_name(spark, tmp_path):
+    (tmp_path / "20240102_hads_parsed.csv").write_text("random,staID,NWS_sid,var,obs_time,value\n,a1,X,PC,2024-01-02 10:05,2\nR,a1,X,PC,2024-01-02 10:10,3\n ,a1,X,TA,2024-01-02 10:15,4\n,a1,X,PP,bad,4\n")
+    got = tables.rain_of_feed(tables.read_network_feed(spark, f"file://{tmp_path}", "hads"), "hads").collect()
+    assert [(r.station, r.name, r["var"], r.ts, round(r.value, 3), r.file_day) for r in got] == [("a1", "X", "PC", datetime(2024, 1, 2, 10, 5), 50.8, date(2024, 1, 2))]
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "20240103_madis_parsed.csv").write_text("stationId,dataProvider,varname,time,value\nS,RAWS,rawPrecip,2024-01-03 00:00,1.5\nS,HF-METAR,rawPrecip,2024-01-03 00:00,1.5\n")
+    rows_ = tables.rain_of_feed(tables.read_network_feed(spark, f"file://{tmp_path}/m", "madis"), "madis").collect()
+    assert [(r.provider, r.value) for r in rows_] == [("RAWS", 1.5)]
+
+
+def test_batches_of_a_day_are_merged(spark):
+    from rainspark.streaming import stream
+
+    schema = "station long, ts timestamp_ntz, seq long, value double, date date"
+    source, path = tables.scratch(spark, "source"), tables.scratch(spark, "sink")
+    for seq in (1, 2):
+        spark.createDataFrame([(1, T0, seq, float(seq), date(2024, 1, 2))], schema).coalesce(1).write.mode("append").parquet(source)
+    for _ in range(2):
+        df = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        stream.upsert_sink(df, path, tables.scratch(spark, "check")).awaitTermination()
+    assert rows(spark.read.parquet(path), "seq", "value") == [(1, 1.0), (2, 2.0)]
