@@ -101,6 +101,12 @@ def solve_counts(combos: np.ndarray, histogram: np.ndarray, rounds: int = 120) -
     return x
 
 
+def round_counts(x: np.ndarray) -> np.ndarray:
+    """Whole counts whose running sums stay within a half of those of x. A solution that is spread over very many
+    combinations, each far below one, so keeps its total; rounding each for itself would leave nothing."""
+    return np.diff(np.rint(np.cumsum(x)), prepend=0).astype(np.int64)
+
+
 @dataclass
 class Plan:
     """Where the k-th tail of each length goes. Its size depends on the window alone, not on the input.
@@ -108,6 +114,7 @@ class Plan:
     first[l] .. first[l + 1] are the entries of length l; entry e takes the tails of rank from[e] on, up to the next
     entry, into the sequences from sequence[e] on, at offset[e]. Ranks from used[l] on are residual: they form one
     stream that starts at residual[l] for each length and is cut into windows; its last window is cut into powers of two.
+    solved and greedy are the numbers of whole windows from least squares and from the greedy pass.
     """
 
     window: int
@@ -120,13 +127,17 @@ class Plan:
     residual_base: int
     residual_ends: list[int]
     full_base: int
+    solved: int = 0
+    greedy: int = 0
 
 
 def make_plan(histogram: np.ndarray, window: int) -> Plan:
-    """Solve, round, pack what is left greedily into exact windows, and lay out the rest as one stream to cut."""
+    """Solve, round, solve again for what is left while that fills a tenth of it, pack residuals greedily into exact
+    windows, and lay out the rest as one stream to cut."""
     left = histogram.copy()
     left[0] = 0
     chosen: list[tuple[tuple[int, ...], int]] = []
+    solved = 0
 
     def take(lengths: tuple[int, ...], most: int) -> None:
         need = {x: lengths.count(x) for x in lengths}
@@ -137,13 +148,19 @@ def make_plan(histogram: np.ndarray, window: int) -> Plan:
             chosen.append((lengths, n))
 
     if left.sum() > 1:
-        combos = combinations(window)
-        combos = combos[((left[combos] > 0) | (combos == 0)).all(1)]
-        if len(combos):
-            x = np.rint(solve_counts(combos, left)).astype(np.int64)
+        every = combinations(window)
+        while True:
+            before = int(left.sum())
+            combos = every[((left[every] > 0) | (every == 0)).all(1)]
+            if not len(combos):
+                break
+            x = round_counts(solve_counts(combos, left))
             order = np.flatnonzero(x)
             for j in order[np.argsort(-x[order], kind="stable")].tolist():
                 take(tuple(c for c in combos[j].tolist() if c), int(x[j]))
+            if 10 * (before - int(left.sum())) < before:
+                break
+        solved = sum(n for _, n in chosen)
         for a in range(window - 1, 0, -1):  # residuals: longest first, best whole fill
             if left[a] and left[window - a]:
                 take((a, window - a), int(left[a]))
@@ -178,7 +195,7 @@ def make_plan(histogram: np.ndarray, window: int) -> Plan:
             ends.append(ends[-1] + (1 << bit))
     table = np.array(flat, np.int64).reshape(-1, 3)
     return Plan(
-        window, first, table[:, 0], table[:, 1], table[:, 2], used, residual, base, ends, base + total // window + len(ends) - 1
+        window, first, table[:, 0], table[:, 1], table[:, 2], used, residual, base, ends, base + total // window + len(ends) - 1, solved, base - solved
     )
 
 

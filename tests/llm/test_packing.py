@@ -98,3 +98,24 @@ def test_least_squares_is_solved():
     for c, n in zip(combos, x, strict=True):
         np.add.at(made, c, n)
     assert (x >= 0).all() and abs(made[1:] - histogram[1:]).max() < 0.05 * histogram[1:].max()
+
+
+def test_whole_fills_come_from_least_squares():
+    """Rounding keeps the solution's total: nine of ten whole windows are its, whatever the size of the table."""
+    for n in (2000, 10_000, 100_000):
+        lengths = np.random.default_rng(n).lognormal(5.5, 1.2, n).astype(np.int64) % 2048
+        plan = packing.make_plan(np.bincount(lengths, minlength=2048), 2048)
+        assert plan.solved > 0.9 * (plan.solved + plan.greedy) > 0.05 * n
+
+
+def test_running_sums_of_rounded_counts():
+    x = np.random.default_rng(1).random(5000) * 0.02
+    got = packing.round_counts(x)
+    assert (got >= 0).all() and abs(np.cumsum(got) - np.cumsum(x)).max() <= 0.5 and got.sum() > 40
+
+
+def test_null_ids_and_repeated_rows(spark):
+    docs = spark.createDataFrame([(None, "a b c"), (None, "a b c"), (5, None), (5, "d e")], "doc_id long, text string")
+    pieces = packing.pack(docs, VOCABULARY, window=64).collect()
+    assert sorted((str(p.doc_id), p.doc_tokens) for p in pieces if p.start == 0) == [("5", 1), ("5", 3), ("None", 4), ("None", 4)]
+    assert sum(p.length for p in pieces) == 12
