@@ -143,11 +143,12 @@ RULES = (
 )
 
 
-def measure(df: DataFrame, rules: tuple[Rule, ...], id_col: str, text_col: str, sample: int) -> dict[str, tuple[float, float]]:
-    """Seconds per text and share of rejections of every rule, on `sample` texts at most (those of least id hash).
+def measure(df: DataFrame, rules: tuple[Rule, ...], text_col: str, sample: int, counted: bool) -> dict[str, tuple[float, float]]:
+    """Seconds per text and share of rejections of every rule, on `sample` rows at most.
 
-    Each rule meets a fresh Text, so its cost holds the features that it needs. The sample only sets the order of the
-    rules, never a verdict.
+    A rule's cost is what it adds: if the counts are worked out for every text anyway (counted), it meets a Text that has
+    them, else a fresh one, and pays for the features that it needs. The sample only sets the order of the rules, never a
+    verdict; whatever rows it has, however often an id is repeated, they are no more than `sample`.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,16 +158,20 @@ def measure(df: DataFrame, rules: tuple[Rule, ...], id_col: str, text_col: str,
             for text in batch.column(0).to_pylist():
                 n += 1
                 for rule in rules:
+                    t = Text(text)
+                    if counted:
+                        for c in BASE_FIELDS:
+                            getattr(t, c)
                     began = time.perf_counter()
-                    total[rule.name][1] += rule.rejects(Text(text))
+                    total[rule.name][1] += rule.rejects(t)
                     total[rule.name][0] += time.perf_counter() - began
         yield pa.RecordBatch.from_pylist(
             [{"name": k, "seconds": s, "rejected": c, "n": n} for k, (s, c) in total.items()],
             schema=pa.schema([("name", pa.string()), ("seconds", pa.float64()), ("rejected", pa.int64()), ("n", pa.int64())]),
         )
 
-    ids = df.select(id_col).orderBy(F.xxhash64(id_col), id_col).limit(sample).distinct()
-    picked = df.join(F.broadcast(ids), id_col, "left_semi").select(text_col)
+    share = min(1.0, 2 * sample / max(df.count(), 1))
+    picked = df.select(text_col).sample(share, 7).limit(sample)
     got = picked.mapInArrow(run, "name string, seconds double, rejected long, n long")
     sums = got.groupBy("name").agg(F.sum("seconds").alias("s"), F.sum("rejected").alias("r"), F.sum("n").alias("n"))
     return {x["name"]: (x["s"] / max(x["n"], 1), x["r"] / max(x["n"], 1)) for x in sums.collect()}
@@ -190,32 +195,36 @@ def apply_rules(
     base_rules: tuple[Rule, ...] = BASE_RULES,
     sample: int = 1000,
     columns: list[str] | None = None,
+    counts: bool = True,
 ) -> DataFrame:
-    """`columns` of df (the id if none are named) with the base counts, base_failed and kept of every row.
+    """`columns` of df (the id if none are named) with the base counts, base_failed and kept of every row; without `counts`
+    only with kept.
 
-    A text meets the rules in the measured order and leaves at the first that rejects it; features are worked out on
-    demand. No shuffle takes place. Nulls: a null text has no words and fails. Repeated rows are judged one by one;
+    A text meets all rules, base rules included, in the measured order and leaves at the first that rejects it; features
+    are worked out on demand. The counts are of every text, rejected or not, so asking for them costs more than the
+    verdict. No shuffle of the table takes place. Nulls: a null text has no words and fails. Repeated rows are judged one by one;
     an empty table gives no rows; a column of df with the name of a result is replaced.
     """
     bounded_batches(df.sparkSession)
-    ordered = order_rules(rules, measure(df, rules, id_col, text_col, sample)) if rules else []
-    named = ["base_failed", "kept"]
-    keep = [c for c in (columns or [id_col]) if c not in (*BASE_FIELDS, *named)]
+    every = (*base_rules, *rules)
+    ordered = order_rules(every, measure(df, every, text_col, sample, counts)) if every else []
+    base_fields, named = (BASE_FIELDS, ["base_failed", "kept"]) if counts else ((), ["kept"])
+    keep = [c for c in (columns or [id_col]) if c not in (*base_fields, *named)]
     rows = df.select(F.col(text_col).alias("_text"), *keep)
-    fields = [T.StructField(c, T.LongType()) for c in BASE_FIELDS] + [T.StructField(c, T.BooleanType()) for c in named]
+    fields = [T.StructField(c, T.LongType()) for c in base_fields] + [T.StructField(c, T.BooleanType()) for c in named]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in (*BASE_FIELDS, *named)}
+            out: dict[str, list] = {c: [] for c in (*base_fields, *named)}
             for text in batch.column(0).to_pylist():
                 t = Text(text)
-                for c in BASE_FIELDS:
+                for c in base_fields:
                     out[c].append(getattr(t, c))
-                failed = any(r.rejects(t) for r in base_rules)
-                out["base_failed"].append(failed)
-                out["kept"].append(not failed and not any(r.rejects(t) for r in ordered))
-            new = [pa.array(out[c], pa.int64()) for c in BASE_FIELDS] + [pa.array(out[c], pa.bool_()) for c in named]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *new], [*keep, *BASE_FIELDS, *named])
+                if counts:
+                    out["base_failed"].append(any(r.rejects(t) for r in base_rules))
+                out["kept"].append(not any(r.rejects(t) for r in ordered))
+            new = [pa.array(out[c], pa.int64()) for c in base_fields] + [pa.array(out[c], pa.bool_()) for c in named]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *new], [*keep, *base_fields, *named])
         give_back()
 
     return rows.mapInArrow(run, T.StructType([rows.schema[c] for c in keep] + fields))

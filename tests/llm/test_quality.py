@@ -37,6 +37,35 @@ def test_verdict_does_not_depend_on_the_order(spark):
     assert {r.doc_id: r.kept for r in queries.op6_quality_cascade(spark, SF).collect()} == want
 
 
+def test_base_rules_stand_in_the_ranking_by_what_they_add(spark):
+    """With the counts paid for, the dear rule on repeated words costs next to nothing; on its own it costs most."""
+    docs = table(spark, "documents")
+    every = (*quality.BASE_RULES, *quality.RULES)
+    paid, alone = (quality.measure(docs, every, "text", 200, counted) for counted in (True, False))
+    assert paid["too_repetitive"][0] < alone["too_repetitive"][0] / 5
+    assert paid["too_repetitive"][0] < paid["too_few_letters"][0] and alone["too_repetitive"][0] > alone["too_few_words"][0]
+    assert {r.name for r in quality.order_rules(every, paid)} == {r.name for r in every}
+
+
+def test_sample_is_a_bound(spark):
+    """A repeated id doesn't bring all its rows."""
+    docs = spark.range(3000).selectExpr("1L as doc_id", "'a b c' as text")
+    measured = quality.measure(docs, (quality.Rule("all", lambda t: True),), "text", 50, False)
+    assert 0 < measured["all"][1] <= 1
+
+
+def test_verdict_without_counts(spark):
+    docs = table(spark, "documents")
+    want = {r.doc_id: r.kept for r in quality.apply_rules(docs).collect()}
+    rows = quality.apply_rules(docs, counts=False)
+    assert rows.columns == ["doc_id", "kept"] and {r.doc_id: r.kept for r in rows.collect()} == want
+
+
+def test_null_ids(spark):
+    docs = spark.createDataFrame([(None, "a b"), (None, None), (1, "x " * 30)], "doc_id long, text string")
+    assert sorted((str(r.doc_id), r.n_words) for r in quality.apply_rules(docs).collect()) == [("1", 30), ("None", 0), ("None", 2)]
+
+
 def test_order_of_rules():
     rules = quality.RULES[:3]
     measured = {rules[0].name: (1.0, 0.1), rules[1].name: (0.1, 0.1), rules[2].name: (0.01, 0.0)}
