@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rainspark.llm.blobs import give_back
-from rainspark.llm.common import bounded_batches
+from rainspark.llm.common import bounded_batches, stage
 
 #: Bytes that make words: digits, letters (upper case is lowered first) and all bytes of non-ASCII characters.
 _FOLD = bytes(
@@ -27,17 +28,22 @@ def words_of(text: str | None) -> list[bytes]:
 
 @dataclass
 class Suite:
-    """Benchmark items of one block: their words as numbers from 1, and all their windows by length."""
+    """Benchmark items of one block: their words as numbers from 1, and all their distinct windows by length.
+
+    windows[length] = sorted distinct keys, and for each where its places begin in `items` and `firsts` (item number and
+    first word); a window that many items share is searched for once.
+    """
 
     ids: list[str]
     vocabulary: dict[bytes, int]
     items: list[np.ndarray]
     pairs: np.ndarray
-    windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+    windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
 def suite(rows: list[tuple[str, str | None]], width: int) -> Suite:
-    """windows[length] = sorted keys, item number and first word of each; an item of fewer words is one window."""
+    """An item of fewer words than `width` is one window; repeated items count once."""
+    rows = list(dict.fromkeys(rows))
     vocabulary: dict[bytes, int] = {}
     items = [np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(t)], np.int64) for _, t in rows]
     found: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
@@ -47,10 +53,13 @@ def suite(rows: list[tuple[str, str | None]], width: int) -> Suite:
             at = np.arange(len(item) - n + 1)
             found.setdefault(n, []).append((suffix_keys(item, at, n), np.full(len(at), k), at))
     pairs = [x[:-1] << 32 | x[1:] for x in items if len(x) > 1]
-    windows = {n: tuple(np.concatenate(x) for x in zip(*got, strict=True)) for n, got in found.items()}
-    return Suite(
-        [i for i, _ in rows], vocabulary, items, np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64), windows
-    )
+    windows = {}
+    for n, got in found.items():
+        keys, which, firsts = (np.concatenate(x) for x in zip(*got, strict=True))
+        order = np.argsort(keys, kind="stable")
+        distinct, begin = np.unique(keys[order], return_index=True)
+        windows[n] = (distinct, np.append(begin, len(keys)), which[order], firsts[order])
+    return Suite([i for i, _ in rows], vocabulary, items, np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64), windows)
 
 
 def suffix_keys(ids: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
@@ -59,8 +68,8 @@ def suffix_keys(ids: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     return np.ascontiguousarray(got).view(f"S{4 * width}").ravel()
 
 
-def occurrences(ids: np.ndarray, s: Suite) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(position, length, item, item's word) of every window that occurs in a shard; ids has 0 for all other words.
+def occurrences(ids: np.ndarray, s: Suite) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(position, length, distinct window) of every window that occurs in a shard; ids has 0 for all other words.
 
     The suffix array holds the shard's suffixes that can start a window: all their first word pairs occur in the
     benchmark. It is ordered by the words a window can compare, and every window is found by binary search.
@@ -74,7 +83,7 @@ def occurrences(ids: np.ndarray, s: Suite) -> tuple[np.ndarray, np.ndarray, np.n
         slot = np.minimum(np.searchsorted(s.pairs, pair), len(s.pairs) - 1)
         paired[where] = s.pairs[slot] == pair
     broken = np.flatnonzero(~paired)  # from each position, word pairs go on up to the next of these
-    for width, (keys, items, firsts) in s.windows.items():
+    for width, (keys, *_) in s.windows.items():
         known = np.flatnonzero(ids > 0)
         if width > 1:
             known = known[paired[known]]
@@ -89,25 +98,52 @@ def occurrences(ids: np.ndarray, s: Suite) -> tuple[np.ndarray, np.ndarray, np.n
         which = np.repeat(np.arange(len(keys)), count)
         rank = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + low[which]
         at = known[order[rank]]
-        out.append((at, np.full(len(at), width), items[which], firsts[which]))
+        out.append((at, np.full(len(at), width), which))
     if not out:
         none = np.zeros(0, np.int64)
-        return none, none, none, none
+        return none, none, none
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def longest(ids: np.ndarray, s: Suite, at: np.ndarray, width: np.ndarray, item: np.ndarray, first: np.ndarray) -> list[dict]:
-    """Maximal verbatim matches: windows that no window one word earlier continues into, extended word by word."""
-    seen = set(zip((at - first).tolist(), item.tolist(), first.tolist(), strict=True))
-    got = []
-    for p, w, k, f in zip(at.tolist(), width.tolist(), item.tolist(), first.tolist(), strict=True):
-        if (p - f, k, f - 1) in seen:
-            continue
-        words, n = s.items[k], w
-        while f + n < len(words) and p + n < len(ids) and words[f + n] == ids[p + n]:
-            n += 1
-        got.append({"at": p, "item": k, "item_word": f, "length": n})
-    return got
+def places(s: Suite, width: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, item, item's word) of all benchmark places of the windows in these rows."""
+    out = [(np.zeros(0, np.int64),) * 3]
+    for n in np.unique(width).tolist():
+        _, begin, items, firsts = s.windows[n]
+        rows = np.flatnonzero(width == n)
+        count = begin[window[rows] + 1] - begin[window[rows]]
+        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin[window[rows]], count)
+        out.append((np.repeat(rows, count), items[at], firsts[at]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def longest(ids: np.ndarray, starts: np.ndarray, s: Suite, at: np.ndarray, width: np.ndarray, window: np.ndarray) -> dict[int, list[dict]]:
+    """Of each document and item the longest verbatim match: the windows that follow one another on both sides make it.
+
+    Places of the suffix array and of the item with the same distance between them are one diagonal; a run of
+    neighbouring windows on it is a match of their number less one plus a window's words. Of equally long ones the first stays.
+    """
+    row, item, first = places(s, width, window)
+    if not len(row):
+        return {}
+    place, words = at[row], width[row]
+    doc = np.searchsorted(starts, place, "right") - 1
+    order = np.lexsort((place, place - first, item, doc))
+    doc, item, first, place, words = (x[order] for x in (doc, item, first, place, words))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (place[1:] - first[1:] != place[:-1] - first[:-1]) | (place[1:] != place[:-1] + 1)
+    begin = np.flatnonzero(fresh)
+    length = np.diff(np.append(begin, len(order))) - 1 + words[begin]
+    best = np.lexsort((place[begin], -length, item[begin], doc[begin]))
+    keep = np.ones(len(best), bool)
+    d, k = doc[begin][best], item[begin][best]
+    keep[1:] = (d[1:] != d[:-1]) | (k[1:] != k[:-1])
+    out: dict[int, list[dict]] = {}
+    for i in best[keep].tolist():
+        j = begin[i]
+        row_ = {"item_id": s.ids[item[j]], "doc_word": int(place[j] - starts[doc[j]]), "item_word": int(first[j]), "length": int(length[i])}
+        out.setdefault(int(doc[j]), []).append(row_)
+    return out
 
 
 _MATCH = T.ArrayType(
@@ -117,18 +153,19 @@ _MATCH = T.ArrayType(
 )
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, width: int, block_bytes: int) -> list[Broadcast]:
-    """The benchmark as broadcasts of about block_bytes at most; its size is measured before any of it is read."""
-    spark = benchmark.sparkSession
-    items = benchmark.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
+def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list[DataFrame]:
+    """The benchmark (id, text) cut by hash into tables of about block_bytes; its size is measured first."""
+    items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), F.col(text_col).alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-size // block_bytes) or 1
     part = F.pmod(F.xxhash64("id", "text"), F.lit(n))
-    out = []
-    for k in range(n):
-        rows = [(r["id"] or "", r["text"]) for r in items.filter(part == k).toLocalIterator()]
-        out.append(spark.sparkContext.broadcast(suite(rows, width)))
-    return out
+    return [items.filter(part == k) for k in range(n)] if n > 1 else [items]
+
+
+def load_suite(block: DataFrame, width: int) -> Broadcast:
+    """One block, which is small by its cut, as a broadcast."""
+    rows = [(r["id"], r["text"]) for r in block.toLocalIterator()]
+    return block.sparkSession.sparkContext.broadcast(suite(rows, width))
 
 
 def scan(
@@ -139,13 +176,16 @@ def scan(
     item_text_col: str = "text",
     columns: list[str] | None = None,
     width: int = 10,
-    block_bytes: int = 32 << 20,
+    block_bytes: int = 16 << 20,
     with_matches: bool = True,
 ) -> DataFrame:
-    """`columns` of docs with n_words, hits (first and last word of each covered run), items and matches.
+    """`columns` of docs with n_words, hits (first and last word of each covered run), items and matches: of each item the
+    longest verbatim match and its places.
 
     Every few megabytes of documents are a shard with its own suffix array; a shard never sees another's rows, and no
-    row is shuffled. The benchmark passes by in blocks, one pipelined step for each. Nulls: a null text has no words;
+    row is shuffled. A benchmark of up to block_bytes, which is measured, is broadcast. A larger one passes by in blocks,
+    one in memory at a time: the documents are written once to the shared folder, each block's hits are written too, and
+    they are joined to the documents at the end. Nulls: a null text has no words;
     a null item id is named by the empty string. Repeated rows are marked one by one, repeated items count once.
     An empty benchmark marks nothing. A column of docs with the name of a result is replaced.
     """
@@ -160,12 +200,23 @@ def scan(
         F.array().cast("array<string>").alias("items"),
         F.array().cast(_MATCH).alias("matches"),
     )
-    steps = blocks(benchmark, item_col, item_text_col, width, block_bytes)
-    for k, step in enumerate(steps):
-        names = (["_text"] if k + 1 < len(steps) else []) + keep + named
-        schema = T.StructType([rows.schema[c] for c in names])
-        rows = rows.mapInArrow(_marker(step, names, with_matches), schema)
-    return rows
+    parts = blocks(benchmark, item_col, item_text_col, block_bytes)
+    names = [*keep, *named]
+    if len(parts) == 1:
+        return rows.mapInArrow(_marker(load_suite(parts[0], width), names, with_matches), T.StructType([rows.schema[c] for c in names]))
+    plain = rows.select("_text", *(F.col(c).alias(f"c{i}") for i, c in enumerate(keep)), *named)
+    plain = stage(plain.withColumn("_row", F.monotonically_increasing_id()), "documents")
+    found = []
+    for part in parts:
+        step = load_suite(part, width)
+        marked = plain.select("_text", "_row", *named).mapInArrow(
+            _marker(step, ["_row", *named], with_matches), T.StructType([plain.schema[c] for c in ("_row", *named)])
+        )
+        found.append(stage(marked.filter((F.size("hits") > 0) | F.lit(part is parts[0])), "hits"))
+        step.destroy()
+    every = reduce(DataFrame.unionByName, found).groupBy("_row")
+    every = every.agg(F.max("n_words").alias("n_words"), *(F.flatten(F.collect_list(c)).alias(c) for c in ("hits", "items", "matches")))
+    return plain.drop(*named, "_text").join(every, "_row").select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(keep)), *named)
 
 
 def shards(batches: Iterator[pa.RecordBatch], size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
@@ -191,7 +242,7 @@ def _marker(step: Broadcast, names: list[str], with_matches: bool):
             counts = np.array([len(x) for x in coded], np.int64)
             starts = np.cumsum(counts + 1) - counts - 1  # a zero after each document keeps matches inside it
             ids = np.concatenate([y for x in coded for y in (x, np.zeros(1, np.int64))]) if coded else np.zeros(0, np.int64)
-            at, width, item, first = occurrences(ids, s)
+            at, width, window = occurrences(ids, s)
             out = {c: batch.column(c) for c in names}
             out["n_words"] = pa.array(counts)
             edges = np.zeros(len(ids) + 1, np.int64)
@@ -205,13 +256,13 @@ def _marker(step: Broadcast, names: list[str], with_matches: bool):
             for d, (a, b) in zip((np.searchsorted(starts, runs[:, 0], "right") - 1).tolist(), runs.tolist(), strict=True):
                 hits[d] = [*hits[d], a - int(starts[d]), b - int(starts[d])]
             owner = np.searchsorted(starts, at, "right") - 1
-            for d, k in np.unique(np.stack([owner, item], 1), axis=0).tolist():
+            seen, first_at = np.unique(np.stack([owner, width, window], 1), axis=0, return_index=True) if len(at) else (np.zeros((0, 3), np.int64), at)
+            which, item, _ = places(s, seen[:, 1], seen[:, 2])  # each document and distinct window once
+            for d, k in np.unique(np.stack([seen[which, 0], item], 1), axis=0).tolist():
                 items[d] = [*items[d], s.ids[k]]
             if with_matches:
-                for m in longest(ids, s, at, width, item, first):
-                    d = int(np.searchsorted(starts, m["at"], "right") - 1)
-                    row = {"item_id": s.ids[m["item"]], "doc_word": m["at"] - int(starts[d]), "item_word": m["item_word"]}
-                    matches[d] = [*matches[d], row | {"length": m["length"]}]
+                for d, rows in longest(ids, starts, s, at, width, window).items():
+                    matches[d] = [*matches[d], *rows]
             out["hits"] = pa.array(hits, batch.schema.field("hits").type)
             out["items"] = pa.array(items, batch.schema.field("items").type)
             out["matches"] = pa.array(matches, batch.schema.field("matches").type)

@@ -26,6 +26,24 @@ def brute(text, items, width=10):
     return len(w), len(hit), sorted(found)
 
 
+def brute_longest(text, items, width=10):
+    """Words of the longest run of a document that stands in an item and holds a window of it, and its first place."""
+    w, best = words(text), (0, None)
+    for _, body in items:
+        b = words(body)
+        n = min(width, len(b))
+        starts = {}
+        for f in range(len(b) - n + 1 if n else 0):
+            starts.setdefault(tuple(b[f : f + n]), []).append(f)
+        for i in range(len(w) - n + 1 if n else 0):
+            for f in starts.get(tuple(w[i : i + n]), ()):
+                m = n
+                while n == width and i + m < len(w) and f + m < len(b) and w[i + m] == b[f + m]:
+                    m += 1
+                best = max(best, (m, i), key=lambda x: (x[0], -(x[1] or 0)))
+    return best
+
+
 def report(spark, docs, items, **more):
     got = decontaminate.scan(docs, items, columns=["doc_id"], **more)
     rows = got.select("*", decontaminate.n_hit().alias("n_hit")).collect()
@@ -41,6 +59,7 @@ def test_query_against_brute_force(spark):
         n, hit, found = brute(docs[r.doc_id], items)
         digest = hashlib.sha256(",".join(found).encode()).hexdigest()
         assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == (n, hit, len(found), digest, hit > 0)
+        assert (r.longest_words, r.longest_at) == brute_longest(docs[r.doc_id], items)
 
 
 def test_short_items_blocks_and_edges(spark):
@@ -68,5 +87,10 @@ def test_longest_matches_and_places(spark):
     rows = {d: r for d, _, r in report(spark, docs, bench)}
     assert [(m.item_id, m.doc_word, m.item_word, m.length) for m in rows[1].matches] == [("1", 2, 3, 22)]
     assert rows[2].matches == []
+    twice = spark.createDataFrame([(1, body), (2, "y " + body), (3, "z " * 12)], "item_id long, text string")
+    for size in (32 << 20, 60):  # in one block and in several, whose hits are joined
+        rows = {d: r for d, _, r in report(spark, docs.withColumn("_row", F.lit("x")), twice, block_bytes=size)}
+        found = sorted((m.item_id, m.doc_word, m.item_word, m.length) for m in rows[1].matches)
+        assert found == [("1", 2, 3, 22), ("2", 2, 4, 22)] and rows[2].matches == []
     kept = decontaminate.decontaminate(docs.withColumn("hits", F.lit(1)), bench).collect()
     assert [(r.doc_id, r.hits) for r in kept] == [(2, 1)]
