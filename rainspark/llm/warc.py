@@ -62,31 +62,48 @@ def record_text(date: str) -> Column:
     )
 
 
-def write_archives(rows: DataFrame, path: str, date: str = "2000-01-01T00:00:00Z", compression: str = "gzip") -> None:
-    """One archive for each partition of rows (as records() gives them); Spark's text writer closes every record."""
-    rows.select(record_text(date).alias("value")).write.option("lineSep", BREAK).option("compression", compression).text(path)
+def write_archives(
+    rows: DataFrame, path: str, date: str = "2000-01-01T00:00:00Z", compression: str = "gzip", most_records: int = 20_000
+) -> None:
+    """Archives of at most most_records records from each partition of rows (as records() gives them).
+
+    Spark's text writer closes every record. An archive is packed as one gzip stream, so it is one split when it is read;
+    the number of records bounds it.
+    """
+    text = rows.select(record_text(date).alias("value")).write.option("lineSep", BREAK).option("compression", compression)
+    text.option("maxRecordsPerFile", most_records).text(path)
 
 
-def _fragments(spark: SparkSession, path: str) -> DataFrame:
-    """file, start, value: what stands between two magics, and its byte offset (in the unpacked file).
+def fragments(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(values, places) of what stands between two magics, both by file, split and line.
 
-    Files are cut at the magic by Spark's reader, in as many tasks as there are splits. An offset is the sum of what
-    stands before it in its split, plus the splits before.
+    values has the text of each fragment, written once to the shared folder. places is narrow: start (its byte offset in
+    the unpacked file), size, head (bytes of the header with its break, null without one) and length (as the header says).
+    Files are cut at the magic by Spark's reader, in as many tasks as there are splits. An offset is the sum of what stands
+    before it in its split, plus the splits before; only narrow rows are put in order for that.
     """
     n = len(MAGIC)
     lines = spark.read.option("lineSep", MAGIC).text(path)
-    lines = lines.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("line"),
-        "value",
-    ).withColumn("size", (F.octet_length("value") + n).cast("long"))
+    values = stage(
+        lines.select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("line"),
+            "value",
+        ),
+        "fragments",
+    )
+    head = F.when(F.contains("value", F.lit(BREAK)), F.octet_length(_head()) + len(BREAK))
+    size = F.octet_length("value").cast("long")
+    lines = values.select("file", "split", "line", size.alias("size"), head.alias("head"), F.when(head.isNotNull(), _length()).alias("length"))
+    lines = stage(lines, "sizes")
     before = Window.partitionBy("file", "split").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
-    lines = lines.withColumn("inside", F.coalesce(F.sum("size").over(before), F.lit(0)))
-    splits = lines.groupBy("file", "split").agg(F.sum("size").alias("size"))
+    inside = F.coalesce(F.sum(F.col("size") + n).over(before), F.lit(0))
+    splits = lines.groupBy("file", "split").agg(F.sum(F.col("size") + n).alias("whole"))
     ahead = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.select("file", "split", F.coalesce(F.sum("size").over(ahead), F.lit(0)).alias("base"))
-    return lines.join(splits, ["file", "split"]).select("file", (F.col("base") + F.col("inside")).alias("start"), "value")
+    splits = splits.select("file", "split", F.coalesce(F.sum("whole").over(ahead), F.lit(0)).alias("base"))
+    places = lines.withColumn("inside", inside).join(splits, ["file", "split"])
+    return values, places.select("file", "split", "line", (F.col("base") + F.col("inside")).alias("start"), "size", "head", "length")
 
 
 def _head() -> Column:
@@ -124,29 +141,27 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     Spark broadcasts if it is small. A file without a record at offset 0 gives no rows.
     """
     n = len(MAGIC)
-    parts = _fragments(spark, path).filter("start > 0")
-    whole = F.when(F.contains("value", F.lit(BREAK)), _length())
-    fields = parts.select(
-        "file",
-        (F.col("start") - n).alias("at"),
-        (F.col("start") + F.octet_length(_head()) + len(BREAK) + whole + len(BREAK)).alias("next"),
-        (F.col("start") + F.octet_length("value")).alias("end"),
+    values, parts = fragments(spark, path)
+    keys = ["file", "split", "line"]
+    at, start = F.col("start") - n, F.col("start")
+    fields = parts.filter("start > 0").select(
+        *keys, at.alias("at"), (start + F.col("head") + F.col("length") + len(BREAK)).alias("next"), (start + F.col("size")).alias("end")
     )
     fields = stage(fields, "candidates")
     good = reachable(fields.filter("next is not null").select("file", "at", "next")).withColumn("good", F.lit(True))
-    marked = fields.join(good, ["file", "at"], "left")
+    marked = stage(fields.join(good, ["file", "at"], "left"), "marked")
     odd = marked.filter("good is null or next <> end")  # rejected, or with payload beyond its fragment
+    cut = odd.select("file").distinct()
     before = Window.partitionBy("file").orderBy("at")
     owner = F.last(F.when(F.col("good"), F.struct("at", "next")), ignorenulls=True).over(before)
     owner = F.when(F.col("at") < owner["next"], owner["at"])
-    odd = stage(odd.select("file", "at", owner.alias("owner")), "exceptions")
-    odd_at = odd.select("file", "at").withColumn("odd", F.lit(True))
-    values = parts.select("file", (F.col("start") - n).alias("at"), "value").join(odd_at, ["file", "at"], "left")
-    single = values.filter("odd is null").select("file", "at", "value")
-    pieces = values.filter("odd").select("file", "at", "value").join(odd, ["file", "at"]).filter("owner is not null")
+    owned = marked.join(cut, "file", "left_semi").select(*keys, "at", "good", "next", "end", owner.alias("owner"))
+    owned = stage(owned.filter("good is null or next <> end").select(*keys, "at", "owner"), "exceptions")
+    single = values.join(marked.filter("good and next = end").select(*keys, "at"), keys).select("file", "at", "value")
+    pieces = values.join(owned.filter("owner is not null").select(*keys, "at", "owner"), keys)
     joined = (
         pieces.groupBy("file", F.col("owner").alias("at"))
-        .agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("x"))
+        .agg(F.array_sort(F.collect_list(F.struct(F.col("at").alias("piece"), "value"))).alias("x"))
         .select("file", "at", F.array_join(F.transform("x", lambda s: s["value"]), MAGIC).alias("value"))
     )
     data = F.col("value").cast("binary")
