@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rainspark.llm.common import partitions
+from rainspark.llm.common import partitions, stage
 
 
 def jump_hash(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -67,6 +67,7 @@ def shard_rows(df: DataFrame, id_col: str, text_col: str, shards: int = 8, bucke
         .withColumn("shard", jump_shard(key, shards))
         .withColumn("grown_shard", jump_shard(key, shards + 1))
     )
+    rows = stage(rows, "shards")  # narrow rows, so that texts are read and hashed once
     sizes = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))

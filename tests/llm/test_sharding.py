@@ -42,3 +42,11 @@ def test_edges(spark):
     assert {(r["size"], r.text_crc32) for r in rows if r.doc_id in (1, 2)} == {(1, 0)}
     assert len({r.shard for r in rows if r.doc_id == 6}) == 1
     assert sharding.shard_rows(nothing(spark), "doc_id", "text").count() == 0
+
+
+def test_null_ids_share_a_shard(spark):
+    docs = spark.createDataFrame([(None, "a"), (None, "b"), (None, "a"), (3, None)], "doc_id long, text string")
+    rows = sharding.shard_rows(docs, "doc_id", "text", 4).collect()
+    assert len({r.shard for r in rows if r.doc_id is None}) == 1
+    for shard in {r.shard for r in rows}:
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))

@@ -76,3 +76,10 @@ def test_edges(spark):
     assert by[1].component_id == by[2].component_id == by[9].component_id == 1
     assert by[4].component_id == 3 and by[6].component_id == 6
     assert simhash.near_duplicates(nothing(spark)).count() == 0
+
+
+def test_null_ids_name_no_other_group(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(None, text), (7, text), (None, "one two three four five six"), (None, None)], "doc_id long, text string")
+    rows = simhash.near_duplicates(docs).collect()
+    assert sorted((str(r.doc_id), str(r.component_id)) for r in rows) == [("7", "7"), ("None", "7"), ("None", "None"), ("None", "None")]
