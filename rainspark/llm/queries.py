@@ -121,7 +121,8 @@ def op9_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    got = decontaminate.scan(docs, items, columns=["doc_id"], with_matches=False)
+    got = decontaminate.scan(docs, items, columns=["doc_id"])
+    longest = F.array_max(F.transform("matches", lambda m: F.struct(m["length"].alias("n"), (-m["doc_word"]).alias("at"))))
     ids = F.array_sort(F.array_distinct("items"))
     return got.select(
         "doc_id",
@@ -130,6 +131,8 @@ def op10_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(ids).cast("long").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
+        F.coalesce(longest["n"], F.lit(0)).alias("longest_words"),
+        (-longest["at"]).alias("longest_at"),
     )
 
 
@@ -170,6 +173,88 @@ FROM t
 """
 
 
+OP6_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+s AS (SELECT r, doc_id, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+o AS (SELECT r, unnest(w) AS x, unnest(range(len(w))) AS i FROM s),
+g AS (SELECT r, i, CASE WHEN lead(x, 4) OVER p IS NOT NULL THEN concat_ws(' ', x, lead(x, 1) OVER p, lead(x, 2) OVER p, lead(x, 3) OVER p, lead(x, 4) OVER p) END AS five
+  FROM o WINDOW p AS (PARTITION BY r ORDER BY i)),
+m AS (SELECT r, i, five IS NOT NULL AND count(*) OVER (PARTITION BY r, five) > 1 AS twice FROM g),
+n AS (SELECT r, count(*) FILTER (inside) AS n_repeat_words FROM (SELECT r, bool_or(twice) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS inside FROM m) GROUP BY r),
+b AS (SELECT s.r, doc_id, len(w)::BIGINT AS n_words, coalesce(length(array_to_string(w, '')), 0)::BIGINT AS word_chars,
+  length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+  len(l) AS n_lines, len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z`]|[^\x00-\x7F]'))) AS lettered,
+  len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*([-*]|•)'))) AS bullets, len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS cut
+  FROM s LEFT JOIN n ON n.r = s.r),
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > 3 * n_words OR NOT word_chars BETWEEN 2 * n_words AND 20 * n_words OR (n_dup_lines > 2 AND 100 * n_dup_lines > 30 * n_lines)
+    OR 100 * lettered < 60 * n_words OR 100 * bullets > 90 * n_lines OR 100 * cut > 30 * n_lines) AS kept
+FROM f
+"""
+
+
+OP9_SQL = r"""
+WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+o AS (SELECT doc_id, max(CASE WHEN coalesce(quality, 1) = 0 OR coalesce(toxic, 0) = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY 1),
+h AS (SELECT host, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$|\.$', '') AS name, count(bad)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS k
+  FROM p LEFT JOIN o ON o.doc_id = p.page_id GROUP BY 1),
+h2 AS (SELECT *, coalesce(nullif(regexp_extract(name, '(?:^|\.)((?:ac|co|com|edu|gov|net|org)\.[a-z]{2})$', 1), ''), regexp_extract(name, '([^.]*)$', 1)) AS suffix FROM h),
+h3 AS MATERIALIZED (SELECT *, CASE WHEN length(name) > length(suffix) + 1 THEN regexp_extract(substr(name, 1, length(name) - length(suffix) - 1), '([^.]*)$', 1) || '.' || suffix
+  ELSE name END AS domain FROM h2),
+mean AS (SELECT CASE WHEN sum(n) > 0 THEN (sum(k) + 0.5) / (sum(n) + 1) ELSE 0.0 END AS m FROM h3),
+a AS (SELECT suffix, sum(n) AS n, sum(k) AS k, any_value(m) AS m FROM h3, mean GROUP BY 1),
+aw AS (SELECT CASE WHEN coalesce(sum(n), 0) = 0 OR coalesce(sum(n * m * (1 - m)), 0) = 0 THEN 20.0 ELSE
+  CASE WHEN sum(n * m * (1 - m)) - sum(m * (1 - m)) <= 0 THEN 20.0
+  WHEN (sum(n * pow(k / n - m, 2)) - sum(m * (1 - m))) / (sum(n * m * (1 - m)) - sum(m * (1 - m))) <= 0 THEN 20.0
+  ELSE least(greatest((1 - (sum(n * pow(k / n - m, 2)) - sum(m * (1 - m))) / (sum(n * m * (1 - m)) - sum(m * (1 - m)))) /
+    ((sum(n * pow(k / n - m, 2)) - sum(m * (1 - m))) / (sum(n * m * (1 - m)) - sum(m * (1 - m)))), 1.0), 20.0) END END AS w FROM a WHERE n > 0),
+b AS (SELECT domain, h3.suffix, sum(h3.n) AS n, sum(h3.k) AS k, any_value((a.k - dk + w * a.m) / (a.n - dn + w)) AS m FROM h3 JOIN a ON a.suffix = h3.suffix
+  JOIN (SELECT domain AS dd, suffix AS ds, sum(n) AS dn, sum(k) AS dk FROM h3 GROUP BY 1, 2) ON dd = domain AND ds = h3.suffix, aw GROUP BY 1, 2),
+bw AS (SELECT CASE WHEN coalesce(sum(n), 0) = 0 OR coalesce(sum(n * m * (1 - m)), 0) = 0 THEN 20.0 ELSE
+  CASE WHEN sum(n * m * (1 - m)) - sum(m * (1 - m)) <= 0 THEN 20.0
+  WHEN (sum(n * pow(k / n - m, 2)) - sum(m * (1 - m))) / (sum(n * m * (1 - m)) - sum(m * (1 - m))) <= 0 THEN 20.0
+  ELSE least(greatest((1 - (sum(n * pow(k / n - m, 2)) - sum(m * (1 - m))) / (sum(n * m * (1 - m)) - sum(m * (1 - m)))) /
+    ((sum(n * pow(k / n - m, 2)) - sum(m * (1 - m))) / (sum(n * m * (1 - m)) - sum(m * (1 - m)))), 1.0), 20.0) END END AS w FROM b WHERE n > 0),
+c AS (SELECT host, h3.n, h3.k, (b.k - h3.k + w * b.m) / (b.n - h3.n + w) AS m FROM h3 JOIN b ON b.domain = h3.domain AND b.suffix = h3.suffix, bw),
+cw AS (SELECT CASE WHEN coalesce(sum(n), 0) = 0 OR coalesce(sum(n * m * (1 - m)), 0) = 0 THEN 20.0 ELSE
+  CASE WHEN sum(n * m * (1 - m)) - sum(m * (1 - m)) <= 0 THEN 20.0
+  WHEN (sum(n * pow(k / n - m, 2)) - sum(m * (1 - m))) / (sum(n * m * (1 - m)) - sum(m * (1 - m))) <= 0 THEN 20.0
+  ELSE least(greatest((1 - (sum(n * pow(k / n - m, 2)) - sum(m * (1 - m))) / (sum(n * m * (1 - m)) - sum(m * (1 - m)))) /
+    ((sum(n * pow(k / n - m, 2)) - sum(m * (1 - m))) / (sum(n * m * (1 - m)) - sum(m * (1 - m)))), 1.0), 20.0) END END AS w FROM c WHERE n > 0),
+q AS (SELECT host, k + w * m AS alpha, n - k + w * (1 - m) AS beta FROM c, cw),
+v AS (SELECT host, alpha / (alpha + beta) - sqrt(alpha / (alpha + beta) * (1 - alpha / (alpha + beta)) / (alpha + beta + 1)) > m AS worse FROM q, mean),
+r AS (SELECT * FROM (VALUES ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'), ('www.example.com/en/', 'www.example.com', '/en/', 'allow'),
+  ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')) t(rule, rhost, rpath, rverdict)),
+f AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(rverdict, length(rule)) AS rverdict FROM p JOIN r
+  ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY 1)
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(rverdict, CASE WHEN worse THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN v ON v.host = p.host LEFT JOIN f ON f.page_id = p.page_id
+"""
+
+
+OP10_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT row_number() OVER () AS k, CAST(item_id AS VARCHAR) AS item, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+widths AS (SELECT DISTINCT least(len(w), 10) AS n FROM b WHERE len(w) > 0),
+iw AS (SELECT k, item, n, i, array_to_string(w[i + 1 : i + n], ' ') AS win FROM (SELECT k, item, w, least(len(w), 10) AS n, unnest(range(len(w) - least(len(w), 10) + 1)) AS i FROM b WHERE len(w) > 0)),
+dw AS (SELECT r, n, i, array_to_string(w[i + 1 : i + n], ' ') AS win FROM (SELECT r, w, n, unnest(range(len(w) - n + 1)) AS i FROM d, widths WHERE len(w) >= n)),
+hit AS MATERIALIZED (SELECT dw.r, iw.k, iw.item, dw.n, dw.i, iw.i AS f FROM dw JOIN iw ON dw.win = iw.win AND dw.n = iw.n),
+words AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS j FROM (SELECT DISTINCT r, i, n FROM hit)) GROUP BY 1),
+its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT r, item FROM hit) GROUP BY 1),
+runs AS (SELECT r, k, i, n, i - row_number() OVER (PARTITION BY r, k, i - f ORDER BY i) AS g, i - f AS diag FROM hit),
+len_ AS (SELECT r, min(i) AS pos, count(*) - 1 + any_value(n) AS words FROM runs GROUP BY r, k, diag, g),
+long_ AS (SELECT r, max(words) AS longest_words, arg_min(pos, {'w': -words, 'p': pos}) AS longest_at FROM len_ GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated, coalesce(longest_words, 0)::BIGINT AS longest_words, longest_at::BIGINT AS longest_at
+FROM d LEFT JOIN words ON words.r = d.r LEFT JOIN its ON its.r = d.r LEFT JOIN long_ ON long_.r = d.r
+"""
+
+
 def queries():
     return {f.__name__: f for f in (
             op1_deleted_interpolation,
@@ -187,4 +272,10 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc_round_trip": OP3_SQL, "op8_chat_format": OP8_SQL}
+    return {
+        "op3_warc_round_trip": OP3_SQL,
+        "op6_quality_cascade": OP6_SQL,
+        "op8_chat_format": OP8_SQL,
+        "op9_url_reputation": OP9_SQL,
+        "op10_suffix_decontamination": OP10_SQL,
+    }
