@@ -165,10 +165,15 @@ def fit_variogram(h, gamma, n, model: str = "exp", nugget=None, range_=None, sil
     return float(c0[best]), float(grid[best]), float(c0[best] + c1[best]), float(sse[best])
 
 
-def average_ranks(x: np.ndarray) -> np.ndarray:
-    """Ranks from 1, ties at their average."""
-    _, which, times = np.unique(x, return_inverse=True, return_counts=True)
-    return (np.cumsum(times) - (times - 1) / 2)[which]
+def value_numbers(rows: np.ndarray) -> list[np.ndarray]:
+    """Each row's values as their numbers in ascending order of distinct values; what stands for NaN isn't used."""
+    return [np.unique(r, return_inverse=True)[1] for r in rows]
+
+
+def average_ranks(numbers: np.ndarray) -> np.ndarray:
+    """Ranks from 1 of values that are given by value_numbers, ties at their average. No sort."""
+    times = np.bincount(numbers)
+    return (np.cumsum(times) - (times - 1) / 2)[numbers]
 
 
 def rank_relations(
@@ -188,10 +193,11 @@ def rank_relations(
     good = (n >= max(least_overlap, 1)) & (((forth > ratio[0]) & (forth < ratio[1])) | ((back > ratio[0]) & (back < ratio[1])))
     if same:
         good &= np.triu(np.ones_like(good), 1)
+    left, right = value_numbers(a), value_numbers(b)
     for i, j in np.argwhere(good).tolist():
-        both = here[i] & there[j]
-        x, y = average_ranks(a[i, both]), average_ranks(b[j, both])
-        x, y = x - x.mean(), y - y.mean()
+        both = np.flatnonzero(here[i] & there[j])
+        middle = (len(both) + 1) / 2
+        x, y = average_ranks(left[i][both]) - middle, average_ranks(right[j][both]) - middle
         spread = np.sqrt((x @ x) * (y @ y))
         if spread > 0:
             yield i, j, int(n[i, j]), float(x @ y / spread), float(sum_a[i, j]), float(sum_b[i, j])
