@@ -34,10 +34,10 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write df once into the shared folder and read it back: it cuts the lineage and survives lost executors."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.staged_path = path
     return out

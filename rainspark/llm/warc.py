@@ -92,6 +92,7 @@ def fragments(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
             "value",
         ),
         "fragments",
+        "zstd",
     )
     head = F.when(F.contains("value", F.lit(BREAK)), F.octet_length(_head()) + len(BREAK))
     size = F.octet_length("value").cast("long")
@@ -133,12 +134,12 @@ def reachable(edges: DataFrame) -> DataFrame:
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """file, at, head and block (bytes) of every record of the archives under path.
+    """file, head and block (bytes) of every record of the archives under path.
 
     Every magic is a candidate: the Content-Length after it gives its successor. Only candidates that the chain from
     the file's start reaches are records, so a magic inside a payload is rejected, and the pieces it cut are put
-    together again. Most records are one fragment; a table of exceptions (rejected or cut ones) marks the others, which
-    Spark broadcasts if it is small. A file without a record at offset 0 gives no rows.
+    together again. Most records are one fragment and go straight through; a narrow table of exceptions (rejected or cut
+    ones, and what stands before a file's first magic) takes the others out, and Spark broadcasts it if it is small. A file without a record at offset 0 gives no rows.
     """
     n = len(MAGIC)
     values, parts = fragments(spark, path)
@@ -157,18 +158,19 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     owner = F.when(F.col("at") < owner["next"], owner["at"])
     owned = marked.join(cut, "file", "left_semi").select(*keys, "at", "good", "next", "end", owner.alias("owner"))
     owned = stage(owned.filter("good is null or next <> end").select(*keys, "at", "owner"), "exceptions")
-    single = values.join(marked.filter("good and next = end").select(*keys, "at"), keys).select("file", "at", "value")
+    others = owned.select(*keys).unionByName(parts.filter("start = 0").select(*keys))
+    single = values.join(stage(others, "others"), keys, "left_anti").select("file", "value")
     pieces = values.join(owned.filter("owner is not null").select(*keys, "at", "owner"), keys)
     joined = (
         pieces.groupBy("file", F.col("owner").alias("at"))
         .agg(F.array_sort(F.collect_list(F.struct(F.col("at").alias("piece"), "value"))).alias("x"))
-        .select("file", "at", F.array_join(F.transform("x", lambda s: s["value"]), MAGIC).alias("value"))
+        .select("file", F.array_join(F.transform("x", lambda s: s["value"]), MAGIC).alias("value"))
     )
     data = F.col("value").cast("binary")
     size = _length().cast("int")
     return (
         single.union(joined)
-        .select("file", "at", _head().alias("head"), F.substring(data, F.octet_length(_head()) + len(BREAK) + 1, size).alias("block"))
+        .select("file", _head().alias("head"), F.substring(data, F.octet_length(_head()) + len(BREAK) + 1, size).alias("block"))
     )
 
 
