@@ -49,7 +49,7 @@ def test_forests_find_errors_that_they_have_not_seen(spark):
     """Of the injected errors on days kept out of the training most are flagged, and hardly any good value."""
     rows = catalog.QUERIES["k11_bad_value_classifier"](spark, SF.replace("0.001", "0.01")).collect()
     n = {bad: [sum(r[c] for r in rows if r.bad == bad) for c in ("n", "flagged")] for bad in (True, False)}
-    assert n[True][0] > 100 and n[True][1] > 0.8 * n[True][0]
+    assert n[True][0] > 100 and n[True][1] > 0.75 * n[True][0]
     assert n[False][1] < 0.01 * n[False][0]
 
 
