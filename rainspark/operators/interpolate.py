@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from rainspark.functions import kernels
 from rainspark.functions import scalars as S
 from rainspark.operators import metrics
+from rainspark.operators.util import spread
 from rainspark.sources.tables import written
 
 #: Constants added to the climate mean in the candidate sweep; -1 stands for no climate aid (fixed values).
@@ -25,13 +26,20 @@ def flag_real(every: DataFrame, raw: DataFrame) -> DataFrame:
 
 
 CELL = ("row", "col")
+#: Largest grid that is broadcast.
+BROADCAST_CELLS = 1_000_000
 
 
 def _tiles(cells: DataFrame, group: list[str], cell: tuple[str, ...], block_cells: int) -> DataFrame:
-    """Cells as arrays of about block_cells; a group has as many tiles as its size asks for."""
+    """Cells as arrays of about block_cells; a group has as many tiles as its size asks for.
+
+    A grid of at most BROADCAST_CELLS cells (some 40 MB), which is counted, goes to all tasks, so that the days of a group
+    stay spread; a larger one is joined by group.
+    """
     sizes = cells.groupBy(*group).agg(F.ceil(F.count("*") / block_cells).alias("_blocks"))  # a row for each group
-    cells = cells.join(sizes, group).withColumn("block", F.pmod(F.xxhash64(*cell), F.col("_blocks")))
-    return cells.groupBy(*group, "block").agg(F.collect_list(F.struct(*cell, "lon", "lat")).alias("cells"))
+    blocked = cells.join(sizes, group).withColumn("block", F.pmod(F.xxhash64(*cell), F.col("_blocks")))
+    tiles = blocked.groupBy(*group, "block").agg(F.collect_list(F.struct(*cell, "lon", "lat")).alias("cells"))
+    return F.broadcast(tiles) if cells.count() <= BROADCAST_CELLS else tiles
 
 
 def _fields(column: pa.ChunkedArray, i: int) -> dict[str, np.ndarray]:
@@ -55,7 +63,7 @@ def idw(
     of the group, and a tile is one matrix product. Stations x cells rows never exist. `cell` names the columns (integers)
     that tell cells apart.
     """
-    listed = stations.filter("rf is not null").groupBy(*group, *time)
+    listed = spread(stations.filter("rf is not null"), *group, *time).groupBy(*group, *time)
     listed = listed.agg(F.collect_list(F.struct(F.col("lon").alias("x"), F.col("lat").alias("y"), F.col("rf").cast("double").alias("z"))).alias("points"))
     kinds = dict(listed.dtypes)
     keys = [*group, *time]
@@ -94,7 +102,7 @@ def idw_loo(stations: DataFrame, group: list[str], power: float = 2.0) -> DataFr
         out = out.append_column("obs", pa.array(rf[real])).append_column("pred", pa.array(pred, pa.float64(), mask=np.isnan(pred)))
         return out.slice(0, 0) if alone else out
 
-    return rows.groupBy(*group).applyInArrow(run, schema)
+    return spread(rows, *group).groupBy(*group).applyInArrow(run, schema)
 
 
 def methods(stations: DataFrame, group: list[str], least: int = 3, least_variance: float = 1e-10) -> DataFrame:
@@ -145,7 +153,7 @@ def variogram(points: DataFrame, group: list[str], width: float, bins: int) -> D
         keys = [pa.array([table[c][0].as_py()] * len(found[0]), table[c].type) for c in group]
         return pa.Table.from_arrays([*keys, *map(pa.array, found)], [*group, "bin", "n_pairs", "h", "gamma"])
 
-    return rows.groupBy(*group).applyInArrow(run, schema)
+    return spread(rows, *group).groupBy(*group).applyInArrow(run, schema)
 
 
 def lookup_params(groups: DataFrame, params: DataFrame, keys: tuple[str, ...] = ("county", "month", "added")) -> DataFrame:
@@ -173,7 +181,7 @@ def fit(bins: DataFrame, group: list[str], model: str = "exp", fixed: DataFrame
         keys = [pa.array([table[c][0].as_py()], table[c].type) for c in group]
         return pa.Table.from_arrays([*keys, *(pa.array([x]) for x in p)], [*group, "nugget", "range", "sill", "sse"])
 
-    return bins.groupBy(*group).applyInArrow(run, schema)
+    return spread(bins, *group).groupBy(*group).applyInArrow(run, schema)
 
 
 def sweep(
@@ -226,7 +234,7 @@ def sweep(
         names = [*group, "run", "added", "is_free", "nugget", "range", "sill", "skn", "obs", "pred"]
         return pa.Table.from_arrays([*keys, *columns, table["skn"].take(again), pa.array(np.tile(rf[real], len(out))), pa.array(pred)], names)
 
-    return rows.groupBy(*group).applyInArrow(run, schema)
+    return spread(rows, *group).groupBy(*group).applyInArrow(run, schema)
 
 
 def krige_loo(points: DataFrame, group: list[str], model: str = "exp") -> DataFrame:
@@ -244,7 +252,7 @@ def krige_loo(points: DataFrame, group: list[str], model: str = "exp") -> DataFr
         pred = kernels.leave_one_out(xy, y, kernels.covariance(model, *params))
         return table.select([*group, "skn", "y"]).append_column("y_pred", pa.array(pred))
 
-    return rows.groupBy(*group).applyInArrow(run, schema)
+    return spread(rows, *group).groupBy(*group).applyInArrow(run, schema)
 
 
 def krige(
@@ -274,7 +282,7 @@ def krige(
         row = [pa.array([x], pa.list_(pa.float64())) for x in (xy[:, 0], xy[:, 1], weights, inverse.ravel(), np.array(params))]
         return pa.Table.from_arrays([*(pa.array([table[c][0].as_py()], table[c].type) for c in keys), *row], [*keys, *arrays])
 
-    solved = rows.groupBy(*keys).applyInArrow(solve, schema)
+    solved = spread(rows, *keys).groupBy(*keys).applyInArrow(solve, schema)
     out_schema = ", ".join(f"{c} {kinds[c]}" for c in keys) + "".join(f", {c} long" for c in cell) + ", pred double, var double"
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rainspark.functions import kernels
 from rainspark.functions import scalars as S
+from rainspark.operators.util import spread
 
 #: Station networks, best first, for the choice among near-duplicates (fixed values).
 STATION_NETWORKS = [
@@ -48,7 +49,7 @@ def nearest_lists(days: DataFrame, k: int = 10, group: tuple[str, ...] = ("count
         ends = pa.array(np.arange(len(skn) + 1) * at.shape[1], pa.int32())
         return table.select([*group, "skn", *more]).append_column("near", pa.ListArray.from_arrays(ends, near))
 
-    return rows.groupBy(*group).applyInArrow(run, schema)
+    return spread(rows, *group).groupBy(*group).applyInArrow(run, schema)
 
 
 def nearest_reporting(days: DataFrame, k: int = 10, group: tuple[str, ...] = ("county", "date"), digits: int = 3) -> DataFrame:

@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from rainspark.functions import scalars as S
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df dealt by keys over as many partitions as the session's shuffles have, for groups that are dear by their number.
+
+    Without a number Spark merges small partitions by their bytes, and thousands of small systems land in a task or two.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def sort_for_output(df: DataFrame, *order: Column | str) -> DataFrame:
     """Rows in an order for a report (F1). Only for what is written out: no operator relies on the order of rows."""
     return df.orderBy(*order)
