@@ -97,3 +97,15 @@ def test_blobs():
         x = rng.integers(0, top + 1, 50)
         assert (blobs.load(blobs.dump_small(x)) == x).all()
     assert len(blobs.load(blobs.dump(np.zeros(0, np.uint32)))) == 0
+
+
+def test_requests_never_outnumber_keys():
+    """However many ranges there are, a block sends no empty pieces: rows grow with the keys, not with blocks x ranges."""
+    rng = np.random.default_rng(5)
+    words = np.concatenate([[lm_score.END_KEY], rng.integers(1, 2**63, 200).astype(np.uint64)])
+    ids = np.append(rng.integers(0, 201, 999), 0).astype(np.uint32)
+    row = {"block": 0, "deleted": False, "doc_ids": [1], "held": [False], "sizes": blobs.dump_small(np.array([1000])), "words": blobs.dump(words), "ids": blobs.dump(ids)}
+    batch = lm_score.pa.RecordBatch.from_pylist([row])
+    keys = len(words) + len(lm_score.bigrams(words, ids)[0])
+    for ranges in (4, 100_000):
+        assert len(list(lm_score._requests(ranges)(iter([batch])))) <= min(ranges, keys)
