@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainspark.llm import chat, decontaminate, lm_score, packing, quality, sharding, simhash, suffix_dedup, url_filter, warc
+from rainspark.llm import chat, decontaminate, fill_middle, lm_score, packing, quality, sharding, simhash, suffix_dedup, url_filter, warc
 from rainspark.llm.common import new_path, stage
 
 URL_RULES = [
@@ -136,6 +136,14 @@ def op10_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = fill_middle.rearrange_texts(table(spark, sf_dir, "documents"))
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return got.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256")
+    )
+
+
 OP8_SQL = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -255,6 +263,21 @@ FROM d LEFT JOIN words ON words.r = d.r LEFT JOIN its ON its.r = d.r LEFT JOIN l
 """
 
 
+#: Tokens are counted, and cuts found, on the list of tokens; list_sum over a prefix of it gives code points.
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '(?s)[A-Za-z]+|[^A-Za-z]') AS w FROM d),
+x AS (SELECT *, len(w) AS n, ('0x' || h[1:8])::UBIGINT AS h1, ('0x' || h[9:16])::UBIGINT AS h2, ('0x' || h[17:24])::UBIGINT AS h3, ('0x' || h[25:32])::UBIGINT AS h4 FROM u),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1))::BIGINT AS a, greatest(h1 % (n + 1), h2 % (n + 1))::BIGINT AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM x),
+s AS (SELECT *, array_to_string(w[1 : a], '') AS pre, array_to_string(w[a + 1 : b], '') AS mid, array_to_string(w[b + 1 : n], '') AS suf FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM s
+"""
+
+
 def queries():
     return {f.__name__: f for f in (
             op1_deleted_interpolation,
@@ -267,6 +290,7 @@ def queries():
             op8_chat_format,
             op9_url_reputation,
             op10_suffix_decontamination,
+            op11_fill_in_middle,
         )
     }
 
@@ -278,4 +302,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_chat_format": OP8_SQL,
         "op9_url_reputation": OP9_SQL,
         "op10_suffix_decontamination": OP10_SQL,
+        "op11_fill_in_middle": OP11_SQL,
     }
