@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainspark.llm import chat, decontaminate, fill_middle, lm_score, packing, quality, sharding, simhash, suffix_dedup, url_filter, warc
+from rainspark.llm import chat, decontaminate, fill_middle, lm_score, packing, quality, sharding, simhash, suffix_dedup, toxicity, url_filter, warc
 from rainspark.llm.common import new_path, stage
 
 URL_RULES = [
@@ -144,6 +144,12 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    nearest = F.transform("evidence", lambda e: e["example"])
+    return got.select("doc_id", "held_out", "score", "predicted", nearest.alias("nearest_ids"))
+
+
 OP8_SQL = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -291,6 +297,7 @@ def queries():
             op9_url_reputation,
             op10_suffix_decontamination,
             op11_fill_in_middle,
+            op13_toxic_neighbours,
         )
     }
 
