@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainspark.llm import chat, decontaminate, fill_middle, lm_score, packing, quality, sharding, simhash, suffix_dedup, toxicity, url_filter, warc
+from rainspark.llm import chat, decontaminate, fill_middle, lexical, lm_score, packing, quality, sharding, simhash, suffix_dedup, toxicity, url_filter, warc
 from rainspark.llm.common import new_path, stage
 
 URL_RULES = [
@@ -144,6 +144,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_blocked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 def op13_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     nearest = F.transform("evidence", lambda e: e["example"])
@@ -284,6 +288,22 @@ FROM s
 """
 
 
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+c AS (SELECT count(*) AS rows_, sum(len(w))::BIGINT AS terms_ FROM d WHERE len(w) > 0),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(w) AS term FROM b) GROUP BY ALL),
+t AS MATERIALIZED (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+f AS (SELECT term, floor(1000 * ln((2 * any_value(rows_) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM t, c GROUP BY term),
+s AS (SELECT item_id, r, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * rows_) // terms_))))::BIGINT AS score
+  FROM q JOIN t USING (term) JOIN f USING (term), c GROUP BY ALL),
+k AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20
+"""
+
+
 def queries():
     return {f.__name__: f for f in (
             op1_deleted_interpolation,
@@ -297,6 +317,7 @@ def queries():
             op9_url_reputation,
             op10_suffix_decontamination,
             op11_fill_in_middle,
+            op12_blocked_search,
             op13_toxic_neighbours,
         )
     }
@@ -310,4 +331,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_url_reputation": OP9_SQL,
         "op10_suffix_decontamination": OP10_SQL,
         "op11_fill_in_middle": OP11_SQL,
+        "op12_blocked_search": OP12_SQL,
     }
