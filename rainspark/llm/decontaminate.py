@@ -192,20 +192,21 @@ def scan(
     named = ["n_words", "hits", "items", "matches"]
     keep = [c for c in (columns or docs.columns) if c not in named]
     bounded_batches(docs.sparkSession)
+    own = [f"c{i}" for i in range(len(keep))]  # own names can't clash
     rows = docs.select(
         F.col(text_col).alias("_text"),
-        *keep,
+        *(F.col(c).alias(o) for c, o in zip(keep, own, strict=True)),
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<long>").alias("hits"),
         F.array().cast("array<string>").alias("items"),
         F.array().cast(_MATCH).alias("matches"),
     )
     parts = blocks(benchmark, item_col, item_text_col, block_bytes)
-    names = [*keep, *named]
+    names = [*own, *named]
     if len(parts) == 1:
-        return rows.mapInArrow(_marker(load_suite(parts[0], width), names, with_matches), T.StructType([rows.schema[c] for c in names]))
-    plain = rows.select("_text", *(F.col(c).alias(f"c{i}") for i, c in enumerate(keep)), *named)
-    plain = stage(plain.withColumn("_row", F.monotonically_increasing_id()), "documents")
+        got = rows.mapInArrow(_marker(load_suite(parts[0], width), names, with_matches), T.StructType([rows.schema[c] for c in names]))
+        return got.toDF(*keep, *named)
+    plain = stage(rows.withColumn("_row", F.monotonically_increasing_id()), "documents")
     found = []
     for part in parts:
         step = load_suite(part, width)
@@ -216,7 +217,7 @@ def scan(
         step.destroy()
     every = reduce(DataFrame.unionByName, found).groupBy("_row")
     every = every.agg(F.max("n_words").alias("n_words"), *(F.flatten(F.collect_list(c)).alias(c) for c in ("hits", "items", "matches")))
-    return plain.drop(*named, "_text").join(every, "_row").select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(keep)), *named)
+    return plain.drop(*named, "_text").join(every, "_row").select(*names).toDF(*keep, *named)
 
 
 def shards(batches: Iterator[pa.RecordBatch], size: int = 8 << 20) -> Iterator[pa.RecordBatch]:

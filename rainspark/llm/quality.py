@@ -210,7 +210,8 @@ def apply_rules(
     ordered = order_rules(every, measure(df, every, text_col, sample, counts)) if every else []
     base_fields, named = (BASE_FIELDS, ["base_failed", "kept"]) if counts else ((), ["kept"])
     keep = [c for c in (columns or [id_col]) if c not in (*base_fields, *named)]
-    rows = df.select(F.col(text_col).alias("_text"), *keep)
+    rows = df.select(F.col(text_col).alias("t"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(keep)))  # own names can't clash
+    rows_out = rows.columns[1:]
     fields = [T.StructField(c, T.LongType()) for c in base_fields] + [T.StructField(c, T.BooleanType()) for c in named]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +225,8 @@ def apply_rules(
                     out["base_failed"].append(any(r.rejects(t) for r in base_rules))
                 out["kept"].append(not any(r.rejects(t) for r in ordered))
             new = [pa.array(out[c], pa.int64()) for c in base_fields] + [pa.array(out[c], pa.bool_()) for c in named]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *new], [*keep, *base_fields, *named])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *new], [*rows_out, *base_fields, *named])
         give_back()
 
-    return rows.mapInArrow(run, T.StructType([rows.schema[c] for c in keep] + fields))
+    got = rows.mapInArrow(run, T.StructType([rows.schema[c] for c in rows_out] + fields))
+    return got.toDF(*keep, *base_fields, *named)

@@ -283,10 +283,10 @@ def _records(data: bytes, anchor: np.ndarray, first: np.ndarray, windows: np.nda
 
 
 _RUN = pa.schema(
-    [("block", pa.int64()), ("part", pa.int32())]
+    [("block", pa.int64()), ("part", pa.int32()), ("alone", pa.bool_())]
     + [(c, pa.binary()) for c in ("shared", "rest", "least", "places", "windows", "entry")]
 )
-_RUN_SQL = "block long, part int, " + ", ".join(f"{c} binary" for c in ("shared", "rest", "least", "places", "windows", "entry"))
+_RUN_SQL = "block long, part int, alone boolean, " + ", ".join(f"{c} binary" for c in ("shared", "rest", "least", "places", "windows", "entry"))
 
 
 def _windows(data: bytes, at: np.ndarray, doc: np.ndarray, length: int, chunk: int = 1 << 17) -> tuple[np.ndarray, ...]:
@@ -307,7 +307,7 @@ def _windows(data: bytes, at: np.ndarray, doc: np.ndarray, length: int, chunk: i
 
 
 def _window_runs(block: int, data: bytes, at: np.ndarray, doc: np.ndarray, length: int, parts: int) -> Iterator[dict]:
-    """The distinct windows at these places as rows of a run without `shared`, dealt out by the windows' own hash."""
+    """The distinct windows at these places as sorted front-coded runs of their own, dealt out by the windows' own hash."""
     distinct, least, which = _windows(data, at, doc, length)
     table = distinct.view(np.uint8).reshape(-1, length)
     h = np.zeros(len(table), np.uint64)
@@ -321,8 +321,9 @@ def _window_runs(block: int, data: bytes, at: np.ndarray, doc: np.ndarray, lengt
         rank[mine] = np.arange(len(mine))
         lo, hi = np.searchsorted(part[which[order]], [r, r + 1])
         places = order[lo:hi]
+        lengths, rest = front_code(table[mine])
         yield (
-            {"block": block, "part": r, "shared": None, "rest": squeeze(table[mine].tobytes()), "least": dump(least[mine])}
+            {"block": block, "part": r, "alone": True, "shared": dump(lengths), "rest": squeeze(rest), "least": dump(least[mine])}
             | {"places": dump_small(at[places]), "windows": dump_small(np.ones(len(places), np.int64)), "entry": dump_small(rank[which[places]])}
         )
 
@@ -388,7 +389,7 @@ def _send(cuts: np.ndarray, times: np.ndarray, bits: int, length: int, parts: in
                 lo, hi = np.searchsorted(entry_of, [a, b])
                 lengths, rest = front_code(table[a:b])
                 out.append(
-                    {"block": row["block"], "part": r, "shared": dump(lengths), "rest": squeeze(rest), "least": dump(least[a:b])}
+                    {"block": row["block"], "part": r, "alone": False, "shared": dump(lengths), "rest": squeeze(rest), "least": dump(least[a:b])}
                     | {"places": dump_small(first[order[lo:hi]]), "windows": dump_small(windows[order[lo:hi]])}
                     | {"entry": dump_small(entry_of[lo:hi] - a)}
                 )
@@ -438,24 +439,36 @@ def _merge(length: int):
                     odd[r].append((i, got))
 
     def alone(rows: list[dict]) -> list[dict]:
-        """Answers for windows that came by their own hash."""
-        if not rows:
-            return []
-        found = [np.frombuffer(unsqueeze(r["rest"]), f"S{length}") for r in rows]
-        distinct, which = np.unique(np.concatenate(found), return_inverse=True)
-        best = np.full(len(distinct), LAST)
-        np.minimum.at(best, which, np.concatenate([load(r["least"]) for r in rows]))
-        ends = np.cumsum([len(x) for x in found])
+        """Answers for windows that came by their own hash: equal ones follow one another in the merge, one a block at most."""
+        docs = [load(r["least"]).tolist() for r in rows]
+        least = [[0] * len(d) for d in docs]
+        place = [0] * len(rows)
+        same: list[tuple[int, int]] = []
+        best = LAST
+
+        def settle() -> None:
+            for r, i in same:
+                least[r][i] = best
+            same.clear()
+
+        for shared, _, r in merge_runs([front_decode(load(x["shared"]), unsqueeze(x["rest"]), length) for x in rows]):
+            if shared < length:
+                settle()
+                best = LAST
+            best = min(best, docs[r][place[r]])
+            same.append((r, place[r]))
+            place[r] += 1
+        settle()
         none = {"odd": dump_small(np.empty(0, np.int64)), "odd_least": dump(np.empty(0, np.int64))}
         return [
-            {c: r[c] for c in ("block", "places", "windows", "entry")} | {"least": dump(best[which[e - len(x) : e]])} | none
-            for r, x, e in zip(rows, found, ends, strict=True)
+            {c: row[c] for c in ("block", "places", "windows", "entry")} | {"least": dump(np.array(x, np.int64))} | none
+            for row, x in zip(rows, least, strict=True)
         ]
 
     def run(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["block"])
-        out = alone([r for r in rows if r["shared"] is None])
-        rows = [r for r in rows if r["shared"] is not None]
+        out = alone([r for r in rows if r["alone"]])
+        rows = [r for r in rows if not r["alone"]]
         width = length + span + 2
         docs = [load(r["least"]).tolist() for r in rows]
         least = [[0] * len(d) for d in docs]
@@ -575,7 +588,9 @@ def remove_repeats(
 
     A byte goes if a string of `length` bytes that covers it also starts in a document with a smaller id; strings are
     judged on the input. Copies inside one document stay. A passage that many documents share costs one entry for
-    each block of documents and context, whatever the number of copies; k-mers in more than group_places places go by window.
+    each block of documents and context, whatever the number of copies. What shares a k-mer is compared as one group in
+    memory; k-mers in more than group_places places send each of their windows as an entry of its own through the same
+    merge instead, where equal ones stream by, so no group grows with the input. Ids are integers.
 
     Nulls: a null text is empty; a null id is later than every other, and rows without id don't remove from one another.
     Neither do rows with the same id. Texts shorter than `length` stay whole. An empty table gives no rows.

@@ -22,7 +22,7 @@ EDGE = [
 
 def edge(spark):
     """EDGE with columns whose names clash with results."""
-    extra = ["component_id", "kept", "shard", "slot", "score", "n_words", "items", "hits", "fp", "key", "block", "size"]
+    extra = ["component_id", "kept", "shard", "slot", "score", "n_words", "items", "hits", "fp", "key", "block", "size", "_text", "_row", "t", "c0", "c1", "h1", "n"]
     return spark.createDataFrame(EDGE, DOCS).withColumns({c: F.lit("x") for c in extra})
 
 

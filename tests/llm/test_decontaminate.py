@@ -94,3 +94,13 @@ def test_longest_matches_and_places(spark):
         assert found == [("1", 2, 3, 22), ("2", 2, 4, 22)] and rows[2].matches == []
     kept = decontaminate.decontaminate(docs.withColumn("hits", F.lit(1)), bench).collect()
     assert [(r.doc_id, r.hits) for r in kept] == [(2, 1)]
+
+
+def test_kept_columns_of_any_name(spark):
+    bench = spark.createDataFrame([(1, "one two three"), (2, "nothing of that")], "item_id long, text string")
+    docs = edge(spark)
+    for size in (32 << 20, 20):
+        got = decontaminate.scan(docs, bench, block_bytes=size)
+        rows = got.collect()
+        assert set(docs.columns) <= set(got.columns) and {(r["_text"], r["_row"], r["c0"]) for r in rows} == {("x", "x", "x")}
+        assert sorted(r.doc_id for r in rows if r["hits"]) == [3, 4]

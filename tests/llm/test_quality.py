@@ -85,3 +85,9 @@ def test_edges(spark):
 def test_wide_vocabulary_windows():
     words = [f"w{i}".encode() for i in range(9000)] + [b"w1", b"w2", b"w3", b"w4", b"w5"]
     assert quality.repeated_words(words, 5) == 10
+
+
+def test_kept_columns_of_any_name(spark):
+    docs = edge(spark)
+    got = quality.apply_rules(docs, columns=docs.columns)
+    assert set(docs.columns) - {"kept", "n_words"} < set(got.columns) and {r["_text"] for r in got.collect()} == {"x"}
