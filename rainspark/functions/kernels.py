@@ -214,3 +214,30 @@ def best_estimates(rain: np.ndarray, order: np.ndarray, ratio: np.ndarray, holes
     n = used.sum(0)
     total = np.where(used, value, 0.0).sum(0)
     return np.divide(total, n, out=np.full(len(holes), np.nan), where=n > 0), n
+
+
+def _horn(v: np.ndarray, dx: float, dy: float) -> np.ndarray:
+    """Degrees of the steepest slope at all cells but the outermost; NaN where any of the nine cells is."""
+    a, b, c = v[:, :-2], v[:, 1:-1], v[:, 2:]
+    east = (c[:-2] + 2 * c[1:-1] + c[2:] - a[:-2] - 2 * a[1:-1] - a[2:]) / (8 * dx)
+    row = a + 2 * b + c
+    south = (row[2:] - row[:-2]) / (8 * dy)
+    return np.degrees(np.arctan(np.sqrt(east * east + south * south))) + 0 * b[1:-1]
+
+
+def shapes(v: np.ndarray, dx: float, dy: float) -> tuple[np.ndarray, ...]:
+    """slope, roughness, tri and curvature (slope of the slope) of a block of cells that comes with two more cells on all sides.
+
+    NaN stands for no value, and comes out where a cell that is needed has none.
+    """
+    slope = _horn(v, dx, dy)
+    inner = v[1:-1, 1:-1]
+    rows, cols = inner.shape[0] - 2, inner.shape[1] - 2
+    own = inner[1:-1, 1:-1]
+    low, high, tri = own.copy(), own.copy(), np.zeros((rows, cols))
+    for i in range(3):
+        for j in range(3):
+            other = inner[i : i + rows, j : j + cols]
+            low, high = np.minimum(low, other), np.maximum(high, other)
+            tri += np.abs(other - own)
+    return slope[1:-1, 1:-1], high - low, tri / 8, _horn(slope, dx, dy)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,18 +29,36 @@ def flag_real(every: DataFrame, raw: DataFrame) -> DataFrame:
 CELL = ("row", "col")
 #: Largest grid that is broadcast.
 BROADCAST_CELLS = 1_000_000
+#: Tiles of a larger grid that one task holds beside a block of times.
+SPAN_TILES = 64
 
 
-def _tiles(cells: DataFrame, group: list[str], cell: tuple[str, ...], block_cells: int) -> DataFrame:
-    """Cells as arrays of about block_cells; a group has as many tiles as its size asks for.
+def _meet(cells: DataFrame, rows: DataFrame, group: list[str], time: list[str], cell: tuple[str, ...], carry: tuple[str, ...], block_cells: int) -> DataFrame:
+    """rows (one for each group and time) with `cells`, an array of about block_cells cells of the group: a row for each tile.
 
-    A grid of at most BROADCAST_CELLS cells (some 40 MB), which is counted, goes to all tasks, so that the days of a group
-    stay spread; a larger one is joined by group.
+    The cells of each group are counted first. A grid of at most BROADCAST_CELLS cells (some 40 MB) goes to all tasks, so
+    that times stay spread. Of a larger one tiles are dealt by span and block of times: every span of tiles goes to all
+    blocks of times and every row to all spans of its group, so a task has a bounded part of both and no key is a group alone.
     """
-    sizes = cells.groupBy(*group).agg(F.ceil(F.count("*") / block_cells).alias("_blocks"))  # a row for each group
-    blocked = cells.join(sizes, group).withColumn("block", F.pmod(F.xxhash64(*cell), F.col("_blocks")))
-    tiles = blocked.groupBy(*group, "block").agg(F.collect_list(F.struct(*cell, "lon", "lat")).alias("cells"))
-    return F.broadcast(tiles) if cells.count() <= BROADCAST_CELLS else tiles
+    spark = cells.sparkSession
+    counted = [(*(r[c] for c in group), r["count"]) for r in cells.groupBy(*group).count().collect()]  # a row for each group
+    total = sum(r[-1] for r in counted)
+    kinds = dict(cells.dtypes)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in group) + ", _blocks long, _spans long"
+    sized = [(*r[:-1], -(-r[-1] // block_cells), -(-r[-1] // (block_cells * SPAN_TILES))) for r in counted]
+    sizes = F.broadcast(spark.createDataFrame(sized, schema))
+    blocked = cells.join(sizes, group).withColumn("_block", F.pmod(F.xxhash64(*cell), F.col("_blocks")))
+    at = F.struct(*cell, "lon", "lat", *(F.col(c).cast("double").alias(c) for c in carry))
+    tiles = blocked.groupBy(*group, "_block").agg(F.collect_list(at).alias("cells"))
+    if total <= BROADCAST_CELLS:
+        return F.broadcast(tiles.drop("_block")).join(rows, group)
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    days = max(1, -(-wanted // max(sum(r[-1] for r in sized), 1)))
+    tiles = tiles.join(sizes, group).withColumn("_span", F.pmod(F.col("_block"), F.col("_spans"))).drop("_block", "_blocks", "_spans")
+    tiles = tiles.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(days - 1).cast("long"))).alias("_days"))
+    rows = rows.join(sizes, group).withColumn("_days", F.pmod(F.xxhash64(*time), F.lit(days)))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_spans") - 1)).alias("_span")).drop("_blocks", "_spans")
+    return tiles.join(rows, [*group, "_span", "_days"]).drop("_span", "_days")
 
 
 def _fields(column: pa.ChunkedArray, i: int) -> dict[str, np.ndarray]:
@@ -55,19 +74,20 @@ def idw(
     time: list[str],
     power: float = 2.0,
     cell: tuple[str, ...] = CELL,
-    block_cells: int = 400,
+    block_cells: int = 2048,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Inverse-distance map of stations (group, time, lon, lat, rf) on the cells (group, cell, lon, lat).
 
     Cells meet the stations of their own group only: the stations of each (group, time) travel as one array to the tiles
     of the group, and a tile is one matrix product. Stations x cells rows never exist. `cell` names the columns (integers)
-    that tell cells apart.
+    that tell cells apart, `carry` further columns (numbers) of cells that the map shall have.
     """
     listed = spread(stations.filter("rf is not null"), *group, *time).groupBy(*group, *time)
     listed = listed.agg(F.collect_list(F.struct(F.col("lon").alias("x"), F.col("lat").alias("y"), F.col("rf").cast("double").alias("z"))).alias("points"))
     kinds = dict(listed.dtypes)
     keys = [*group, *time]
-    schema = ", ".join(f"{c} {kinds[c]}" for c in keys) + "".join(f", {c} long" for c in cell) + ", value double"
+    schema = ", ".join(f"{c} {kinds[c]}" for c in keys) + "".join(f", {c} long" for c in cell) + "".join(f", {c} double" for c in carry) + ", value double"
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,9 +96,10 @@ def idw(
                 d = kernels.distances(np.stack([at["lon"], at["lat"]], 1), np.stack([p["x"], p["y"]], 1))
                 same = [pa.array([batch[c][i].as_py()] * len(d), batch[c].type) for c in keys]
                 value = kernels.inverse_distance(d, p["z"], power)
-                yield pa.RecordBatch.from_arrays([*same, *(pa.array(at[c].astype(np.int64)) for c in cell), pa.array(value)], [*keys, *cell, "value"])
+                own = [*(pa.array(at[c].astype(np.int64)) for c in cell), *(pa.array(at[c], from_pandas=True) for c in carry)]
+                yield pa.RecordBatch.from_arrays([*same, *own, pa.array(value)], [*keys, *cell, *carry, "value"])
 
-    return _tiles(cells, group, cell, block_cells).join(listed, group).select(*keys, "cells", "points").mapInArrow(predict, schema)
+    return _meet(cells, listed, group, time, cell, carry, block_cells).select(*keys, "cells", "points").mapInArrow(predict, schema)
 
 
 def idw_loo(stations: DataFrame, group: list[str], power: float = 2.0) -> DataFrame:
@@ -262,12 +283,13 @@ def krige(
     time: list[str],
     model: str = "exp",
     cell: tuple[str, ...] = CELL,
-    block_cells: int = 400,
+    block_cells: int = 2048,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Ordinary kriging of y to the cells of a group: pred and var (K3).
+    """Ordinary kriging of y to the cells of a group: pred and var, beside the cells' own `carry` columns (K3).
 
-    The system of each (group, time) is solved once into dual weights; a block of cells meets them as a join on group,
-    and a block's predictions are one matrix product. Stations x cells rows never exist.
+    The system of each (group, time) is solved once into dual weights, which meet tiles of cells (see _meet); a tile's
+    predictions are one matrix product. Stations x cells rows never exist.
     """
     rows = points.select(*group, *time, "skn", "lon", "lat", "y", "nugget", "range", "sill")
     kinds = dict(rows.dtypes)
@@ -283,7 +305,7 @@ def krige(
         return pa.Table.from_arrays([*(pa.array([table[c][0].as_py()], table[c].type) for c in keys), *row], [*keys, *arrays])
 
     solved = spread(rows, *keys).groupBy(*keys).applyInArrow(solve, schema)
-    out_schema = ", ".join(f"{c} {kinds[c]}" for c in keys) + "".join(f", {c} long" for c in cell) + ", pred double, var double"
+    out_schema = ", ".join(f"{c} {kinds[c]}" for c in keys) + "".join(f", {c} long" for c in cell) + "".join(f", {c} double" for c in carry) + ", pred double, var double"
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,10 +317,10 @@ def krige(
                     np.stack([xs, ys], 1), weights, inverse.reshape(n + 1, n + 1), np.stack([at["lon"], at["lat"]], 1), kernels.covariance(model, *params)
                 )
                 same = [pa.array([batch[c][i].as_py()] * len(pred), batch[c].type) for c in keys]
-                columns = [*same, *(pa.array(at[c].astype(np.int64)) for c in cell), pa.array(pred), pa.array(var)]
-                yield pa.RecordBatch.from_arrays(columns, [*keys, *cell, "pred", "var"])
+                own = [*(pa.array(at[c].astype(np.int64)) for c in cell), *(pa.array(at[c], from_pandas=True) for c in carry)]
+                yield pa.RecordBatch.from_arrays([*same, *own, pa.array(pred), pa.array(var)], [*keys, *cell, *carry, "pred", "var"])
 
-    return _tiles(cells, group, cell, block_cells).join(solved, group).select(*keys, "cells", *arrays).mapInArrow(predict, out_schema)
+    return _meet(cells, solved, group, time, cell, carry, block_cells).select(*keys, "cells", *arrays).mapInArrow(predict, out_schema)
 
 
 def daily_map(
@@ -331,8 +353,7 @@ def daily_map(
     validation = ways.join(chosen.unionByName(dry, allowMissingColumns=True), keys, "left").drop("top_real")
 
     target = transform(points.join(best.select(*keys, F.col("added").alias("_added"), "nugget", "range", "sill"), keys), F.col("_added"))
-    raw = krige(target, cells, ["county"], ["date"], cell=cell).join(best.select(*keys, "added"), keys)
-    raw = raw.join(cells.select("county", *cell, "mean_mm"), ["county", *cell])
+    raw = krige(target, cells, ["county"], ["date"], cell=cell, carry=("mean_mm",)).join(best.select(*keys, "added"), keys)
     mean = S.guarded_mean(F.col("mean_mm"))
     plain = F.col("added") < 0
     value = F.when(plain, S.back_plain(F.col("pred"))).otherwise(S.back_ratio(F.col("pred"), mean + F.col("added")))
@@ -341,9 +362,8 @@ def daily_map(
     kriged = raw.select(*names, F.lit("krige").alias("method"), value.alias("value"), (value / mean).alias("anomaly"),
                         se.alias("se_backtransformed_var"), (se / mean).alias("se_anomaly"))
     none = [F.lit(-9999.0).alias("se_backtransformed_var"), F.lit(-9999.0).alias("se_anomaly")]
-    means = cells.select("county", *cell, S.guarded_mean(F.col("mean_mm")).alias("_mean"))
-    by_distance = idw(cells, idw_points, ["county"], ["date"], cell=cell).join(means, ["county", *cell])
-    by_distance = by_distance.select(*names, F.lit("idw").alias("method"), "value", (F.col("value") / F.col("_mean")).alias("anomaly"), *none)
+    by_distance = idw(cells, idw_points, ["county"], ["date"], cell=cell, carry=("mean_mm",))
+    by_distance = by_distance.select(*names, F.lit("idw").alias("method"), "value", (F.col("value") / mean).alias("anomaly"), *none)
     zero = no_rain(cells, ways, ["county"], cell).select(*names, F.lit("no_rain").alias("method"), "value", F.lit(0.0).alias("anomaly"), *none)
     return validation, kriged.unionByName(by_distance).unionByName(zero)
 
@@ -355,7 +375,7 @@ def monthly_levels(points: DataFrame, params: DataFrame, group: list[str], width
     Returns group, vario, level, nugget, range, sill.
     """
     experimental = written(variogram(points, group, width, bins), "variogram")
-    kinds = ("free_all", "fix_nug", "fix_rng", "free_sil")
+    kinds = ("free_all", "fix_nug", "fix_rng", "free_sil")  # names of runs (fixed values)
     tried = F.explode(F.when(F.col("level") == 0, F.array(*map(F.lit, kinds))).otherwise(F.array(*map(F.lit, kinds[1:])))).alias("kind")
     runs = experimental.select(*group).distinct().join(params, "county").select("*", tried)
     nugget = F.when(F.col("kind").isin("fix_nug", "free_sil"), F.col("nug")).alias("nugget")
@@ -366,23 +386,98 @@ def monthly_levels(points: DataFrame, params: DataFrame, group: list[str], width
     return fit(experimental.join(runs.select(*keys), group), keys, model, runs).withColumn("sill", F.greatest("sill", F.lit(1e-4))).drop("sse")
 
 
-def monthly_maps(
-    points: DataFrame, runs: DataFrame, cells: DataFrame, cell: tuple[str, ...] = CELL, model: str = "matern32"
-) -> tuple[DataFrame, DataFrame]:
-    """(maps, scores) of every run of monthly_levels.
+#: Added to a climate mean before it divides, so that a mean of zero gives no error (a fixed value).
+TINY = 1e-8
+
+
+def monthly_grids(points: DataFrame, runs: DataFrame, cells: DataFrame, cell: tuple[str, ...] = CELL, model: str = "matern32", carry: tuple[str, ...] = ()) -> DataFrame:
+    """county, moy, month, vario, level, cell, `carry`, and four grids of every run of monthly_levels.
 
-    maps: county, month, vario, level, cell and value in mm, which isn't clamped, so that negative cells can be counted.
-    scores: leave-one-out errors, with predictions below zero taken as zero. points: county, month, skn, lon, lat, rf, y, m.
-    The mean of a group's m stands for the mean of a cell.
+    value (mm) and se_backtransformed_var are back-transformed by the climate mean of the cell and month of the year;
+    anomaly and se_anomaly are both divided by it. value isn't clamped, so that negative cells can be counted.
+    points: county, moy, month, skn, lon, lat, y. cells: county, moy, cell, lon, lat, mean_mm and `carry`.
     """
-    keys = ["county", "month", "vario", "level"]
     tried = points.join(runs, ["county", "month"])
-    base = points.groupBy("county", "month").agg(F.avg("m").alias("m"))
-    maps = krige(tried, cells, ["county"], ["month", "vario", "level"], model, cell).join(base, ["county", "month"])
-    value = (F.exp(F.least(F.col("pred"), F.lit(700.0))) - 1) * F.col("m")
-    loo = krige_loo(tried, keys, model).join(points.select("county", "month", "skn", "m", F.col("rf").alias("obs")), ["county", "month", "skn"])
-    errors = metrics.scores(loo.withColumn("pred", S.back_ratio(F.col("y_pred"), F.col("m"))), keys).filter("mae is not null")
-    return maps.select(*keys, *cell, value.alias("value")), errors
+    maps = krige(tried, cells, ["county", "moy"], ["month", "vario", "level"], model, cell, carry=("mean_mm", *carry))
+    mean = F.col("mean_mm")
+
+    def back_of(c: str) -> Column:
+        return F.round((F.exp(F.least(F.col(c), F.lit(700.0))) - 1) * mean, 10)
+
+    out = maps.select("county", "moy", "month", "vario", "level", *cell, "mean_mm", *carry, back_of("pred").alias("value"), back_of("var").alias("se_backtransformed_var"))
+    return out.withColumns({"anomaly": F.col("value") / (mean + TINY), "se_anomaly": F.col("se_backtransformed_var") / (mean + TINY)}).drop("mean_mm")
+
+
+def monthly_loo(points: DataFrame, runs: DataFrame, model: str = "matern32") -> DataFrame:
+    """county, month, vario, level, skn, obs, pred, obs_anomaly, pred_anomaly and was_negative of every station, real or
+    filled, left out in turn (K4, K17). The anomaly is of the prediction before it is clamped at zero."""
+    keys = ["county", "month", "vario", "level"]
+    loo = krige_loo(points.join(runs, ["county", "month"]), keys, model)
+    loo = loo.join(points.select("county", "month", "skn", "mean_mm", F.col("rf").alias("obs")), ["county", "month", "skn"])
+    pred = F.round((F.exp(F.least(F.col("y_pred"), F.lit(700.0))) - 1) * F.col("mean_mm"), 10)
+    loo = loo.select(*keys, "skn", "obs", pred.alias("_pred"), (F.col("obs") / F.col("mean_mm")).alias("obs_anomaly"), (pred / (F.col("mean_mm") + TINY)).alias("pred_anomaly"))
+    return loo.withColumns({"was_negative": F.col("_pred") < 0, "pred": F.greatest("_pred", F.lit(0.0))}).drop("_pred")
+
+
+def monthly_points(stations: DataFrame, mean: str = "mean_mm") -> DataFrame:
+    """Stations of a month (county, month, skn, lon, lat, rf and the climate mean at the station) with moy, the month of the
+    year, and y = log(rf / mean + 1); a mean of 0 counts as 0.001 (H9, H10)."""
+    rows = stations.withColumn("mean_mm", S.guarded_mean(F.col(mean)))
+    return rows.withColumns({"moy": F.month("month"), "y": S.log_ratio(F.col("rf"), F.col("mean_mm"))})
+
+
+def monthly_map(
+    points: DataFrame,
+    params: DataFrame,
+    cells: DataFrame,
+    classify: Callable[[DataFrame], DataFrame],
+    cell: tuple[str, ...] = CELL,
+    width: float = 0.5,
+    bins: int = 6,
+    model: str = "matern32",
+    carry: tuple[str, ...] = (),
+    least: int = 3,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(grids, validation, left-out predictions) of every county and month.
+
+    Levels are tried in turn: only county-months none of whose maps is good at a level go on to the next, so no map is made
+    that can't be chosen. Then the best run is chosen, among all that were tried where none was good, and of the maps, which
+    are written level by level, a semi-join keeps the chosen run's. A county-month of fewer than `least` stations has no map.
+
+    grids: county, month, vario, cell, value (mm, negative ones as 0), se_backtransformed_var, anomaly, se_anomaly; a state
+    map is spatial.mosaic of them. validation: a row for each run tried, with class, errors in mm and as anomalies, negative
+    cells, and chosen. points: as monthly_points gives them. params: as for monthly_levels. classify(maps) gives county,
+    month, vario, level, prob_ugly of maps with cell, value and `carry`.
+    """
+    group = ["county", "month"]
+    keys = [*group, "vario", "level"]
+    enough = points.groupBy(*group).count().filter(F.col("count") >= least).select(*group)
+    points = written(points.join(enough, group, "left_semi"), "points")
+    runs = written(monthly_levels(points, params, group, width, bins, model), "levels")
+    left = points.select(*group).distinct()
+    maps, checked, loos = [], [], []
+    for level in sorted(r["level"] for r in params.select("level").distinct().collect()):  # low, medium, high
+        here = runs.filter(F.col("level") == level).join(left, group, "left_semi")
+        grids = written(monthly_grids(points, here, cells, cell, model, carry), "maps")
+        loo = written(monthly_loo(points, here, model), "loo")
+        scored = metrics.scores(loo, keys)
+        anomalies = metrics.scores(loo, keys, "obs_anomaly", "pred_anomaly").select(*keys, *(F.col(c).alias(f"{c}_anomaly") for c in ("r2", "rmse", "mae", "bias")))
+        negative = metrics.grid_negatives(grids, keys).withColumnRenamed("high", "rf_max").withColumnRenamed("low", "rf_min")
+        every = here.join(scored, keys).join(anomalies, keys).join(loo.groupBy(*keys).agg(F.bool_or("was_negative").alias("negative_loo")), keys)
+        every = written(every.join(negative, keys).join(classify(grids), keys), "checked")
+        maps.append(grids)
+        checked.append(every)
+        loos.append(loo)
+        good = every.filter("prob_ugly <= 0.5").select(*group).distinct()
+        left = written(left.join(good, group, "left_anti"), "left")
+        if left.isEmpty():
+            break
+    validation = written(reduce(DataFrame.unionByName, checked), "validation")
+    best = written(metrics.best_variogram(validation, group).select(*keys), "best")
+    chosen = reduce(DataFrame.unionByName, maps).join(F.broadcast(best) if best.count() <= BROADCAST_CELLS else best, keys, "left_semi")
+    grids = chosen.select(*group, "vario", *cell, F.greatest("value", F.lit(0.0)).alias("value"), "se_backtransformed_var", "anomaly", "se_anomaly")
+    validation = validation.join(best.withColumn("chosen", F.lit(True)), keys, "left").withColumn("chosen", F.coalesce("chosen", F.lit(False)))
+    return grids, validation, reduce(DataFrame.unionByName, loos).join(best, keys, "left_semi")
 
 
 def back(df: DataFrame, y: str = "y_pred") -> DataFrame:

@@ -105,48 +105,53 @@ def mosaic(cells: DataFrame, keys: tuple[str, ...] = ("row", "col")) -> DataFram
     return cells.groupBy(*keys).agg(F.max("value").alias("value"))
 
 
-def terrain(grid: DataFrame, dx: float, dy: float, keys: tuple[str, ...] = ("tile",)) -> DataFrame:
-    """slope (degrees, Horn), roughness, tri of every cell with all eight neighbours.
+def terrain(grid: DataFrame, dx: float, dy: float, keys: tuple[str, ...] = ("tile",), carry: tuple[str, ...] = (), block: int = 64) -> DataFrame:
+    """keys, row, col, value, `carry`, slope (degrees, Horn), roughness, tri and curvature (slope of the slope) of every cell
+    that has a value and eight neighbours with one; curvature is null where a neighbour has no slope (E16).
 
-    A cell is sent to the nine cells around it and aggregated there: one shuffle, no self-join.
+    A grid goes in blocks of block x block cells, each with a border of two cells from the blocks around it, so a cell is
+    shuffled once, and a second time only if it is that near to another block. Further columns of cells (`carry`) travel
+    along. Where a cell is given twice the larger value counts.
     """
-    shifts = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
-    sent = grid.select(*keys, "row", "col", "value", F.inline(shifts))
-    sent = sent.select(*keys, (F.col("row") + F.col("i")).alias("row"), (F.col("col") + F.col("j")).alias("col"), "i", "j", "value")
-
-    def at(i: int, j: int):
-        return F.max(F.when((F.col("i") == i) & (F.col("j") == j), F.col("value"))).alias(f"v{i + 1}{j + 1}")
-
-    around = sent.groupBy(*keys, "row", "col").agg(
-        *(at(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)),
-        F.count("value").alias("n"),
-        (F.max("value") - F.min("value")).alias("roughness"),
-    )
-    # a cell that was sent with (i, j) lies at (-i, -j) from where it arrives
-    v = {(i, j): F.col(f"v{1 - i}{1 - j}") for i in (-1, 0, 1) for j in (-1, 0, 1)}
-    east = (v[-1, 1] + 2 * v[0, 1] + v[1, 1] - v[-1, -1] - 2 * v[0, -1] - v[1, -1]) / (8 * dx)
-    south = (v[1, -1] + 2 * v[1, 0] + v[1, 1] - v[-1, -1] - 2 * v[-1, 0] - v[-1, 1]) / (8 * dy)
-    tri = sum((F.abs(v[k] - v[0, 0]) for k in v if k != (0, 0)), F.lit(0.0)) / 8
-    return around.filter("n = 9").select(
-        *keys, "row", "col", F.degrees(F.atan(F.sqrt(east * east + south * south))).alias("slope"), "roughness", tri.alias("tri")
-    )
-
-
-def curvature(shape: DataFrame, dx: float, dy: float, keys: tuple[str, ...] = ("tile",)) -> DataFrame:
-    """terrain()'s rows with curvature, the slope of the slope; null where a neighbour has no slope."""
-    again = terrain(shape.select(*keys, "row", "col", F.col("slope").alias("value")), dx, dy, keys)
-    again = again.select(*keys, "row", "col", F.col("slope").alias("curvature"))
-    return shape.join(again, [*keys, "row", "col"], "left")
+    rim = 2
+    around = [
+        F.struct(F.floor((F.col("row") + i) / block).cast("long").alias("_br"), F.floor((F.col("col") + j) / block).cast("long").alias("_bc"))
+        for i in (0, -rim, rim)
+        for j in (0, -rim, rim)
+    ]
+    rows = grid.select(*keys, F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), F.col("value").cast("double").alias("value"), *carry)
+    sent = rows.filter("value is not null").select("*", F.inline(F.array_distinct(F.array(*around))))
+    kinds = dict(rows.dtypes)
+    names = ("slope", "roughness", "tri", "curvature")
+    schema = ", ".join(f"{c} {kinds[c]}" for c in (*keys, "row", "col", "value", *carry)) + "".join(f", {c} double" for c in names)
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("value", "ascending")])
+        top, left = (block * table[c][0].as_py() - rim for c in ("_br", "_bc"))
+        at = table["row"].to_numpy() - top, table["col"].to_numpy() - left
+        v = np.full((block + 2 * rim, block + 2 * rim), np.nan)
+        place = np.full(v.shape, -1)
+        v[at] = table["value"].to_numpy()  # of equal places the last, which is the largest value
+        place[at] = np.arange(table.num_rows)
+        found = kernels.shapes(v, dx, dy)
+        inside = np.nonzero(~np.isnan(found[0]))
+        out = table.select([*keys, "row", "col", "value", *carry]).take(pa.array(place[rim:-rim, rim:-rim][inside]))
+        for name, x in zip(names, found, strict=True):
+            out = out.append_column(name, pa.array(x[inside], mask=np.isnan(x[inside])))
+        return out
+
+    by = [*keys, "_br", "_bc"]
+    return spread(sent, *by).groupBy(*by).applyInArrow(run, schema)
 
 
 def nearest_distance(
-    grid: DataFrame, points: DataFrame, keys: tuple[str, ...] = ("county",), cell: tuple[str, ...] = ("row", "col")
+    grid: DataFrame, points: DataFrame, keys: tuple[str, ...] = ("county",), cell: tuple[str, ...] = ("row", "col"), carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Metres from every cell to the nearest point of its group.
+    """keys, cell, `carry` and dist, the metres from every cell to the nearest point of its group.
 
     The points of a group are the stations of a network, a bounded list, and travel as one array; a cell takes the least
     distance over it, so cells x points rows never exist.
     """
     listed = points.groupBy(*keys).agg(F.collect_list(F.struct(F.col("lon").alias("x"), F.col("lat").alias("y"))).alias("_points"))
     dist = F.array_min(F.transform("_points", lambda p: S.haversine(F.col("lon"), F.col("lat"), p["x"], p["y"])))
-    return grid.join(listed, list(keys)).select(*keys, *cell, dist.alias("dist"))
+    return grid.join(listed, list(keys)).select(*keys, *cell, *carry, dist.alias("dist"))

@@ -181,14 +181,23 @@ def d15_mosaic(spark, d):
     return P.mosaic(D.cells(spark, d))
 
 
-@query(sql("cells", """WITH s AS (SELECT a.tile, a.row, a.col, a.value AS v, b.row - a.row AS i, b.col - a.col AS j, b.value AS b FROM cells a JOIN cells b
-  ON a.tile = b.tile AND abs(a.row - b.row) <= 1 AND abs(a.col - b.col) <= 1),
-g AS (SELECT tile, row, col, count(*) AS n, max(b) - min(b) AS roughness, sum(abs(b - v)) / 8 AS tri,
-  sum(CASE WHEN j <> 0 THEN b * j * (2 - abs(i)) END) / (8 * 0.1) AS e, sum(CASE WHEN i <> 0 THEN b * i * (2 - abs(j)) END) / (8 * 0.1) AS s FROM s GROUP BY 1, 2, 3)
-SELECT tile, row, col, round(degrees(atan(sqrt(e * e + s * s))), 4) AS slope, round(roughness, 4) AS roughness, round(tri, 4) AS tri FROM g WHERE n = 9"""))
+#: Terrain of all cells with eight neighbours, and curvature as the slope of the slope.
+SHAPE = """s AS (SELECT a.tile, a.county, a.row, a.col, a.value AS v, b.row - a.row AS i, b.col - a.col AS j, b.value AS b FROM cells a JOIN cells b
+  ON {same} AND abs(a.row - b.row) <= 1 AND abs(a.col - b.col) <= 1),
+g AS (SELECT tile, county, row, col, v AS value, count(*) AS n, max(b) - min(b) AS roughness, sum(abs(b - v)) / 8 AS tri,
+  sum(CASE WHEN j <> 0 THEN b * j * (2 - abs(i)) END) / (8 * 0.1) AS e, sum(CASE WHEN i <> 0 THEN b * i * (2 - abs(j)) END) / (8 * 0.1) AS s FROM s GROUP BY ALL),
+h AS (SELECT tile, county, row, col, value, degrees(atan(sqrt(e * e + s * s))) AS slope, roughness, tri FROM g WHERE n = 9),
+t AS (SELECT a.tile, a.county, a.row, a.col, b.row - a.row AS i, b.col - a.col AS j, b.slope AS b FROM h a JOIN h b ON {same} AND abs(a.row - b.row) <= 1 AND abs(a.col - b.col) <= 1),
+c AS (SELECT tile, county, row, col, count(*) AS n, sum(CASE WHEN j <> 0 THEN b * j * (2 - abs(i)) END) / (8 * 0.1) AS e,
+  sum(CASE WHEN i <> 0 THEN b * i * (2 - abs(j)) END) / (8 * 0.1) AS s FROM t GROUP BY ALL),
+shape AS (SELECT h.*, CASE WHEN n = 9 THEN degrees(atan(sqrt(e * e + s * s))) END AS curvature FROM h JOIN c ON c.tile = h.tile AND c.county = h.county AND c.row = h.row AND c.col = h.col)"""
+
+
+@query(sql("cells", f"WITH {SHAPE.format(same='a.tile = b.tile')} SELECT tile, row, col, round(slope, 4) AS slope, round(roughness, 4) AS roughness, "
+           "round(tri, 4) AS tri, round(curvature, 4) AS curvature FROM shape"))
 def e16_terrain(spark, d):
     got = P.terrain(D.cells(spark, d), 0.1, 0.1)
-    return got.select("tile", "row", "col", *(F.round(c, 4).alias(c) for c in ("slope", "roughness", "tri")))
+    return got.select("tile", "row", "col", *(F.round(c, 4).alias(c) for c in ("slope", "roughness", "tri", "curvature")))
 
 
 VARIO = f"""z AS (SELECT county, month, skn, lon, lat, ln(rf + 1) AS y FROM pts),
@@ -238,7 +247,7 @@ def _daily_points(spark, d) -> DataFrame:
     names = F.array(*(F.lit(x) for x in P.STATION_NETWORKS))
     network = F.get(names, (F.col("skn") % len(P.STATION_NETWORKS)).cast("int"))
     rows = D.in_cell(D.placed_days(spark, d)).withColumn("is_fill", F.col("skn") % 7 == 0).withColumn("network", network)
-    means = D.cells(spark, d).filter("tile = 0").select("row", "col", (F.col("value") / 100).alias("value"))
+    means = D.cells(spark, d).groupBy("row", "col").agg((F.avg("value") / 100).alias("value"))
     on_grid = P.extract(rows, means).withColumnRenamed("value", "mean_mm")
     return P.drop_near(P.source_rank(on_grid, P.STATION_NETWORKS)).drop("rank", "network", "row", "col")
 
@@ -451,15 +460,11 @@ def e13_worst_flagged(spark, d):
     return Q.worst(days)
 
 
-def _distances(spark, d) -> DataFrame:
-    """Metres from every cell to the nearest station of its county."""
-    return P.nearest_distance(D.cells(spark, d), places(spark, d), cell=CELL).select("county", *CELL, "dist")
-
-
-def _shapes(maps: DataFrame, near: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Maps (keys, row, col, value) with terrain, curvature and the distance to the nearest station."""
-    shape = P.curvature(P.terrain(maps, 0.1, 0.1, keys), 0.1, 0.1, keys)
-    return maps.join(shape, [*keys, "row", "col"]).join(near, ["county", *CELL])
+def _near_grid(spark, d) -> DataFrame:
+    """All cells with the metres to the nearest station of their county; it has no dates and is worked out once."""
+    grid = D.cells(spark, d)
+    dist = P.nearest_distance(grid, places(spark, d), cell=CELL, carry=("lon", "lat", "value"))
+    return tables.written(dist, "grid")
 
 
 @query(sql("cells meta", f"""WITH near AS (SELECT c.tile, c.row, c.col, min({hav('c.', 'm.')}) AS dist FROM cells c JOIN meta m ON m.county = c.county GROUP BY 1, 2, 3)
@@ -469,23 +474,51 @@ def k15_nearest_station(spark, d):
     return got.select(*CELL, F.round("dist", 3).alias("dist"))
 
 
-@query()
+def _features_sql() -> str:
+    """The statistics of K15 of every tile and county, in SQL; near cells are those within 20 km of a station."""
+    cols = ["count(*) AS n_cells", "count(*) FILTER (near) AS n_near", "bool_or(value < 0) AS negative"]
+    for where, only in (("", ""), ("_near", " FILTER (near)")):
+        for c in ("value", *Q.SHAPES):
+            named = {"min": "min", "max": "max", "mean": "avg", "median": "median", "sd": "stddev_samp", "var": "var_samp"}
+            cols += [f"{f}({c}){only} AS {c}_{k}{where}" for k, f in named.items()]
+        cols += [f"covar_pop({c}, dist){only} AS {c}_cov{where}" for c in Q.SHAPES]
+        cols += [f"var_pop({c}){only} AS {c}_vp{where}" for c in (*Q.SHAPES, "dist")]
+    z = 1.959963984540054
+    terms = (z, (z**3 + z) / 4, (5 * z**5 + 16 * z**3 + 3 * z) / 96, (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384)
+    out = ["tile", "county", "n_cells", "n_near", "negative"]
+    for where, n in (("", "n_cells"), ("_near", "n_near")):
+        out += [f"round({c}_{s}{where}, 3) AS {c}_{s}{where}" for c in ("value", *Q.SHAPES) for s in ("min", "max", "mean", "median", "sd", "var")]
+        for c in Q.SHAPES:
+            both = f"{c}_vp{where} * dist_vp{where}"
+            r = f"(CASE WHEN {c}_vp{where} > {Q.FLAT} AND dist_vp{where} > {Q.FLAT} AND {n} > 2 THEN greatest(least({c}_cov{where} / sqrt({both}), 1.0), -1.0) END)"
+            out += [f"round({r}, 4) AS {c}_cor{where}", f"round(1 - (1 - {r} * {r}) * ({n} - 1) / ({n} - 2), 4) AS {c}_r2{where}"]
+            limit = " + ".join(f"{t!r} / pow({n} - 2, {i})" for i, t in enumerate(terms))
+            out += [f"{r} * {r} * ({n} - 2) > (1 - {r} * {r}) * pow({limit}, 2) AS {c}_p{where}"]
+    shape = SHAPE.format(same="a.tile = b.tile AND a.county = b.county")
+    near = f"SELECT c.tile, c.row, c.col, c.county, min({hav('c.', 'm.')}) AS dist FROM cells c JOIN meta m ON m.county = c.county GROUP BY ALL"
+    return sql("cells meta", f"""WITH {shape}, near AS ({near}),
+      w AS (SELECT shape.*, dist, dist < 20000 AS near FROM shape JOIN near n ON n.tile = shape.tile AND n.county = shape.county AND n.row = shape.row AND n.col = shape.col WHERE curvature IS NOT NULL),
+      st AS (SELECT tile, county, {", ".join(cols)} FROM w GROUP BY 1, 2) SELECT {", ".join(out)} FROM st""")
+
+
+@query(_features_sql())
 def k15_map_features(spark, d):
-    maps = D.cells(spark, d).select("county", *CELL, "value")
-    return Q.map_features(_shapes(maps, _distances(spark, d), ("county", "tile")), ["tile", "county"], 20_000.0)
+    shape = P.terrain(_near_grid(spark, d), 0.1, 0.1, ("county", "tile"), ("dist",))
+    got = Q.map_features(shape, ["tile", "county"], 20_000.0)
+    numbers = [c for c, kind in got.dtypes if kind == "double"]
+    return got.withColumns({c: F.round(c, 4 if c.split("_")[1] in ("cor", "r2") else 3) for c in numbers})
 
 
 MAP_KEYS = ["county", "tile", "month"]
 
 
-def _spoilt_maps(spark, d) -> DataFrame:
+def _spoilt_maps(spark, d, grid: DataFrame) -> DataFrame:
     """Features of the maps of all county-months; one in three has a chequered pattern added and is ugly."""
-    grid = D.cells(spark, d).select("county", *CELL, "lon", "lat")
-    maps = I.idw(grid, D.station_month(spark, d), ["county"], ["month"], cell=CELL)
+    maps = I.idw(grid, D.station_month(spark, d), ["county"], ["month"], cell=CELL, carry=("dist",))
     ugly = F.pmod(F.xxhash64("county", "month"), F.lit(3)) == 0
     step = F.when(ugly & ((F.col("row") + F.col("col")) % 2 == 0), 6.0).otherwise(0.0)
-    maps = tables.written(maps.withColumn("value", F.col("value") + step), "maps")
-    rows = Q.map_features(_shapes(maps, _distances(spark, d), tuple(MAP_KEYS)), MAP_KEYS, 20_000.0)
+    shape = P.terrain(maps.withColumn("value", F.col("value") + step), 0.1, 0.1, tuple(MAP_KEYS), ("dist",))
+    rows = Q.map_features(shape, MAP_KEYS, 20_000.0)
     return tables.written(rows.withColumn("ugly", ugly), "features")
 
 
@@ -496,7 +529,7 @@ def _train_month():
 @query()
 def k16_map_class(spark, d):
     """A forest on the shapes of the maps of odd months, tried on the maps of even ones."""
-    rows, cols = _spoilt_maps(spark, d), Q.map_feature_columns()
+    rows, cols = _spoilt_maps(spark, d, _near_grid(spark, d)), Q.map_feature_columns()
     model = Q.train_map_class(rows.filter(_train_month()), cols)
     return Q.score_map_class(rows.filter(~_train_month()), model, cols).select(*MAP_KEYS, "ugly", "prob_ugly", "ugly_class")
 
@@ -508,24 +541,37 @@ def _level_params(spark, d) -> DataFrame:
     return counties.select("county", F.inline(rows))
 
 
+def _monthly(spark, d):
+    """Stations with the climate mean of their cell, grid with the mean of each cell and month of the year, and what classes maps."""
+    near = _near_grid(spark, d)
+    season = 1 + F.col("moy") / 20
+    grid = near.select("*", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("moy")).withColumn("mean_mm", F.col("value") / 60 * season).drop("value")
+    stations = D.in_cell(_points_apart(spark, d)).withColumn("moy", F.month("month"))
+    means = D.cells(spark, d).groupBy("row", "col").agg((F.avg("value") / 60).alias("mean"))
+    stations = stations.join(means, ["row", "col"]).withColumn("mean_mm", F.col("mean") * season).drop("row", "col", "moy", "mean")
+    model = Q.train_map_class(_spoilt_maps(spark, d, near), Q.map_feature_columns())
+    keys = ["county", "tile", "month", "vario", "level"]
+
+    def classify(maps: DataFrame) -> DataFrame:
+        shapes = Q.map_features(P.terrain(maps, 0.1, 0.1, tuple(keys), ("dist",)), keys, 20_000.0)
+        return Q.score_map_class(shapes, model, Q.map_feature_columns()).groupBy("county", "month", "vario", "level").agg(F.max("prob_ugly").alias("prob_ugly"))
+
+    return I.monthly_map(I.monthly_points(stations), _level_params(spark, d), grid, classify, CELL, carry=("dist",))
+
+
 @query()
 def k17_monthly_kriging(spark, d):
-    """Per county and month: ten variograms over three levels, their maps' class, errors and negative cells, and the best of them."""
-    pts = I.transform(_points_apart(spark, d).withColumn("mean_mm", F.lit(20.0)), 0).filter("not is_fill")
-    pts = tables.written(pts, "points")
-    grid = D.cells(spark, d).select("county", *CELL, "lon", "lat")
-    runs = tables.written(I.monthly_levels(pts, _level_params(spark, d), ["county", "month"], 0.5, 6), "levels")
-    maps, scored = I.monthly_maps(pts, runs, grid, CELL)
-    maps = tables.written(maps, "maps")
-    model = Q.train_map_class(_spoilt_maps(spark, d), Q.map_feature_columns())
-    keys = ["county", "tile", "month", "vario", "level"]
-    shapes = Q.map_features(_shapes(maps, _distances(spark, d), tuple(keys)), keys, 20_000.0)
-    classed = Q.score_map_class(shapes, model, Q.map_feature_columns()).groupBy("county", "month", "vario", "level").agg(F.max("prob_ugly").alias("prob_ugly"))
-    negative = M.grid_negatives(maps, ["county", "month", "vario", "level"]).withColumnRenamed("high", "rf_max")
-    every = scored.join(classed, ["county", "month", "vario", "level"]).join(negative, ["county", "month", "vario", "level"])
-    every = tables.written(every, "checked")
-    best = M.best_variogram(every, ["county", "month"])
-    return best.join(every.select("county", "month", "vario", "level", "r2", "mae", "prob_ugly", "n_cells", "n_negative"), ["county", "month", "vario", "level"])
+    """Per county and month the runs tried over three levels, with class, errors and negative cells, and which was chosen."""
+    return _monthly(spark, d)[1]
+
+
+@query()
+def k17_monthly_state_maps(spark, d):
+    """The chosen maps of all counties as one mosaic a month: cells and the range of its four grids."""
+    grids = _monthly(spark, d)[0]
+    names = ("value", "se_backtransformed_var", "anomaly", "se_anomaly")
+    state = grids.groupBy("month", *CELL).agg(*(F.max(c).alias(c) for c in names))
+    return state.groupBy("month").agg(F.count("*").alias("n_cells"), *(f(c).alias(f"{c}_{n}") for c in names for n, f in (("low", F.min), ("mean", F.avg), ("high", F.max))))
 
 
 @query()

@@ -105,10 +105,10 @@ def in_cell(df: DataFrame) -> DataFrame:
 
 
 def rain_params(spark: SparkSession, d: str) -> DataFrame:
-    """Log-normal parameters of each cell of the first tile by season."""
+    """Log-normal parameters of each cell (from its mean over all tiles) by season."""
     shift = F.when(F.col("season") == "warm", -0.2).when(F.col("season") == "cool", 0.2).otherwise(0.0)
     seasons = F.explode(F.array(*(F.lit(x) for x in ("warm", "cool", "year")))).alias("season")
-    grid = cells(spark, d).filter("tile = 0").select("row", "col", "value", seasons)
+    grid = cells(spark, d).groupBy("row", "col").agg(F.round(F.avg("value"), 6).alias("value")).select("row", "col", "value", seasons)
     return grid.select(
         "row", "col", "season", (1 + F.col("value") / 2000 + shift).alias("meanlog"),
         (1 + F.col("row") % 3 / 10).alias("sdlog"), (0.3 + F.col("col") % 5 / 10).alias("pop"),
@@ -176,7 +176,8 @@ VIEWS = {
         CASE WHEN p_partkey % 50 < 13 THEN 'BI' WHEN p_partkey % 50 < 26 THEN 'MN' WHEN p_partkey % 50 < 38 THEN 'OA' ELSE 'KA' END
         AS county FROM part""",
     "rain_params": """SELECT row, col, season, 1 + value / 2000 + CASE season WHEN 'warm' THEN -0.2 WHEN 'cool' THEN 0.2 ELSE 0 END AS meanlog,
-        1 + row % 3 / 10 AS sdlog, 0.3 + col % 5 / 10 AS pop FROM cells CROSS JOIN (VALUES ('warm'), ('cool'), ('year')) t(season) WHERE tile = 0""",
+        1 + row % 3 / 10 AS sdlog, 0.3 + col % 5 / 10 AS pop FROM (SELECT row, col, round(avg(value), 6) AS value FROM cells GROUP BY 1, 2)
+        CROSS JOIN (VALUES ('warm'), ('cool'), ('year')) t(season)""",
     "prob_day": f"""SELECT s.skn, s.county, s.date, s.rf, lon, lat, {_prob_sql('h.meanlog', 'h.sdlog', 'h.pop')} AS prob,
         {_prob_sql('y.meanlog', 'y.sdlog', 'y.pop')} AS prob_year FROM station_day s JOIN meta m ON m.skn = s.skn
         LEFT JOIN rain_params h ON h.row = floor((22.2 - lat) / 0.1) AND h.col = floor((lon + 160.0) / 0.1)
