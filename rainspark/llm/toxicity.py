@@ -25,8 +25,8 @@ class Settings:
     """Parameters of the model.
 
     examples: labelled rows used at most (by hash of the id), the bound of everything fitted; terms: terms kept at
-    most; least_chi2 and least_rows: a term is kept only if its presence goes with the label that clearly and in so many
-    examples; prefixes: beside a whole word its first 4 to 7 characters are terms, since compounds share them;
+    most; least_chi2, least_effect and least_rows: a term is kept only if its presence goes with the label that clearly, that
+    strongly (chi-square by example, so that more examples don't let in ever weaker terms) and in so many examples; prefixes: beside a whole word its first 4 to 7 characters are terms, since compounds share them;
     rest: weight of the words that aren't terms, so that one term in a long text isn't a text full of them;
     neighbours: examples that vote; near: added to the distance 1 - cosine, whose inverse is the weight of a vote;
     block: examples in a block of the index.
@@ -35,6 +35,7 @@ class Settings:
     examples: int = 20000
     terms: int = 1024
     least_chi2: float = 15.0
+    least_effect: float = 0.004
     least_rows: int = 3
     prefixes: tuple[int, ...] = (4, 5, 6, 7)
     rest: float = 0.3
@@ -76,10 +77,13 @@ class Vocabulary:
 
 
 def weigh(ids: np.ndarray, counts: np.ndarray, rest: int, idf: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Coordinates and values of a vector of length 1; the last coordinate, len(idf), stands for all other words."""
+    """Coordinates and values of a vector of length 1; the last coordinate, len(idf), stands for all other words.
+
+    Their number counts to the nearest half power of two, so that texts of about the same length share a vector.
+    """
     values = np.sqrt(counts) * idf[ids]
     if rest:
-        ids, values = np.append(ids, len(idf)), np.append(values, s.rest * math.sqrt(rest))
+        ids, values = np.append(ids, len(idf)), np.append(values, s.rest * 2 ** (round(2 * math.log2(rest)) / 4))
     length = math.sqrt(float(values @ values))
     return ids, values / length if length else values
 
@@ -104,6 +108,7 @@ class Index:
     term_begin: np.ndarray
     term_block: np.ndarray
     term_max: np.ndarray
+    known: dict[tuple[bytes, bytes], int]
 
     def bounds(self, ids: np.ndarray, values: np.ndarray) -> np.ndarray:
         """No vector of a block has a larger product with the query than its bound."""
@@ -113,16 +118,27 @@ class Index:
             out[self.term_block[part]] += v * self.term_max[part]
         return out
 
-    def products(self, low: int, high: int, query: np.ndarray) -> np.ndarray:
-        at, to = self.begin[low], self.begin[high]
-        return np.add.reduceat(query[self.cols[at:to]] * self.vals[at:to], self.begin[low:high] - at)
+    def __post_init__(self) -> None:
+        self.sizes = np.diff(self.begin)
+
+    def products(self, blocks: list[int], query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The vectors of these blocks, and the product of each with the query."""
+        spans = [(self.first[b], self.first[b + 1]) for b in blocks]
+        parts = [slice(self.begin[low], self.begin[high]) for low, high in spans]
+        sizes = np.concatenate([self.sizes[low:high] for low, high in spans])
+        each = query[np.concatenate([self.cols[p] for p in parts])] * np.concatenate([self.vals[p] for p in parts])
+        return np.concatenate([np.arange(low, high) for low, high in spans]), np.add.reduceat(each, np.cumsum(sizes) - sizes)
+
+
+def _key(cols: np.ndarray, vals: np.ndarray) -> tuple[bytes, bytes]:
+    return cols.tobytes(), np.round(vals, DIGITS).tobytes()
 
 
 def build_index(vectors: list[tuple[object, int, np.ndarray, np.ndarray]], width: int, block: int) -> Index:
     """From (id, toxic, coordinates, values) of every example, in the order of ids. Vectors lie next to those with the same largest values."""
     same: dict[tuple[bytes, bytes], list[int]] = {}
     for k, (_, _, cols, vals) in enumerate(vectors):
-        same.setdefault((cols.tobytes(), np.round(vals, DIGITS).tobytes()), []).append(k)
+        same.setdefault(_key(cols, vals), []).append(k)
     groups = list(same.values())
 
     def place(group: list[int]) -> tuple:
@@ -157,6 +173,7 @@ def build_index(vectors: list[tuple[object, int, np.ndarray, np.ndarray]], width
         np.searchsorted(term, np.arange(width + 3)),
         in_block,
         top,
+        {_key(*vectors[g[0]][2:]): i for i, g in enumerate(groups)},
     )
 
 
@@ -177,13 +194,12 @@ def nearest(index: Index, ids: np.ndarray, values: np.ndarray, k: int, without:
         left = without if without >= 0 else -1 - without
     which, cosine = np.zeros(0, np.int64), np.zeros(0)
     limit = -1.0
-    at = 0
+    at, step = 0, 2
     while at < len(order) and bounds[order[at]] >= limit - 10.0**-DIGITS:
-        for b in order[at : at + 4].tolist():
-            low, high = index.first[b], index.first[b + 1]
-            which = np.append(which, np.arange(low, high))
-            cosine = np.append(cosine, np.round(index.products(low, high, query), DIGITS))
-        at += 4
+        opened = order[at : at + step]
+        more, value = index.products(opened[bounds[opened] >= limit - 10.0**-DIGITS].tolist(), query)
+        which, cosine = np.append(which, more), np.append(cosine, np.round(value, DIGITS))
+        at, step = at + step, min(2 * step, 32)
         rank = np.argsort(-cosine, kind="stable")
         which, cosine = which[rank], cosine[rank]
         enough = np.flatnonzero(np.cumsum(n[which] - (which == left)) >= k)
@@ -311,7 +327,7 @@ def pick_terms(examples: DataFrame, s: Settings) -> list[str]:
     seen = a + b
     cross = a * (rows - bad_rows - b) - b * (bad_rows - a)
     chi2 = rows * cross * cross / (seen * (rows - seen) * bad_rows * (rows - bad_rows))
-    kept = counts.filter(seen < rows).withColumn("chi2", chi2).filter(F.col("chi2") > s.least_chi2)
+    kept = counts.filter(seen < rows).withColumn("chi2", chi2).filter(F.col("chi2") > max(s.least_chi2, s.least_effect * rows))
     got = kept.orderBy(F.desc("chi2"), F.desc(F.length("term")), "term").limit(s.terms).collect()  # at most s.terms rows
     return [r["term"] for r in got]
 
@@ -340,6 +356,23 @@ def count_terms(docs: DataFrame, terms: list[str], s: Settings) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, counts array<bigint>, rest bigint")
 
 
+def document_frequencies(counted: DataFrame, size: int) -> np.ndarray:
+    """Rows that hold each term: summed in each task, then over the tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df = np.zeros(size, np.int64)
+        for batch in batches:
+            df += np.bincount(batch.column(0).flatten().to_numpy(), minlength=size)
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(df[at])], ["term", "df"])
+
+    out = np.zeros(size)
+    sums = counted.select("ids").mapInArrow(run, "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
+    for r in sums.collect():  # at most `size` rows
+        out[r["term"]] = r["df"]
+    return out
+
+
 def _vectors(batch: pa.RecordBatch, idf: np.ndarray, s: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for ids, counts, rest in zip(*(batch.column(c).to_pylist() for c in ("ids", "counts", "rest")), strict=True):
         yield weigh(np.array(ids, np.int64), np.array(counts, np.float64), rest, idf, s)
@@ -356,9 +389,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     terms = pick_terms(examples, s)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     counted = stage(count_terms(rows, terms, s), "terms")
-    df = np.zeros(len(terms))
-    for r in counted.select(F.explode("ids").alias("t")).groupBy("t").count().collect():  # at most s.terms rows
-        df[r["t"]] = r["count"]
+    df = document_frequencies(counted, len(terms))
     idf = np.log((1 + counted.count()) / (1 + df)) + 1e-6
     known = stage(count_terms(examples, terms, s).join(F.broadcast(examples.select("doc_id", "toxic")), "doc_id"), "known")
     vectors = []
@@ -380,11 +411,14 @@ def _calibrate(known: DataFrame, model: Model) -> tuple[float, float]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
         n, bad = np.zeros(1001, np.int64), np.zeros(1001, np.int64)
+        bins: dict[int, int] = {}
         for batch in batches:
             for (cols, vals), toxic in zip(_vectors(batch, m.idf, m.settings), batch.column("toxic").to_pylist(), strict=True):
-                own = own_vector(m.index, cols, vals)
-                found = nearest(m.index, cols, vals, m.settings.neighbours, own if toxic else -1 - own)
-                k = round(1000 * vote(found, m.prior, m.settings))
+                own = m.index.known[_key(cols, vals)]
+                left = own if toxic else -1 - own
+                if left not in bins:
+                    bins[left] = round(1000 * vote(nearest(m.index, cols, vals, m.settings.neighbours, left), m.prior, m.settings))
+                k = bins[left]
                 n[k] += 1
                 bad[k] += toxic
         at = np.flatnonzero(n)
@@ -397,17 +431,6 @@ def _calibrate(known: DataFrame, model: Model) -> tuple[float, float]:
     return fit_calibration(*(np.array([r[c] for r in rows], float) / d for c, d in (("bin", 1000), ("n", 1), ("bad", 1))))
 
 
-def own_vector(index: Index, cols: np.ndarray, vals: np.ndarray) -> int:
-    """The vector of the index that an example is part of: the nearest is at cosine 1 and has the same coordinates."""
-    if not len(cols):
-        return int(np.flatnonzero(index.cols[index.begin[:-1]] == index.width + 1)[0])
-    for _, v, _, _ in nearest(index, cols, vals, 1):
-        part = slice(index.begin[v], index.begin[v + 1])
-        if np.array_equal(index.cols[part], cols) and np.array_equal(np.round(index.vals[part], DIGITS), np.round(vals, DIGITS)):
-            return v
-    raise AssertionError("an example isn't in its own index")
-
-
 def score(
     docs: DataFrame,
     labels: DataFrame,
@@ -435,7 +458,7 @@ def score(
         for batch in batches:
             scores, why = [], []
             for cols, vals in _vectors(batch, m.idf, s):
-                key = (cols.tobytes(), np.round(vals, DIGITS).tobytes())
+                key = _key(cols, vals)
                 if key not in known:
                     if len(known) >= 1 << 16:
                         known.clear()
