@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 
@@ -241,3 +242,81 @@ def shapes(v: np.ndarray, dx: float, dy: float) -> tuple[np.ndarray, ...]:
             low, high = np.minimum(low, other), np.maximum(high, other)
             tri += np.abs(other - own)
     return slope[1:-1, 1:-1], high - low, tri / 8, _horn(slope, dx, dy)
+
+
+@dataclass
+class Forest:
+    """Decision trees one after another: the feature and threshold of every node (feature -1 for a leaf), where its children
+    are, the share of bad rows in a leaf, and where trees begin."""
+
+    feature: np.ndarray
+    threshold: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    share: np.ndarray
+    roots: np.ndarray
+
+    def probability(self, x: np.ndarray) -> np.ndarray:
+        """Mean share over the trees for each row of x; all rows go down one level of all trees at a time."""
+        node = np.repeat(self.roots[None, :], len(x), 0)
+        own = np.arange(len(x))[:, None]
+        while True:
+            f = self.feature[node]
+            inner = f >= 0
+            if not inner.any():
+                return self.share[node].mean(1)
+            down = np.where(x[own, np.maximum(f, 0)] <= self.threshold[node], self.left[node], self.right[node])
+            node = np.where(inner, down, node)
+
+
+def screen_group(
+    skn: np.ndarray, lon: np.ndarray, lat: np.ndarray, values: np.ndarray, score: Callable[[np.ndarray, np.ndarray], np.ndarray],
+    k: int, least: int, digits: int, spare: int = 30,
+) -> tuple[np.ndarray, np.ndarray]:
+    """(round of removal or -1, last probability) of the stations of one day, in ascending order of skn.
+
+    The worst flagged station goes, round by round, while more than `least` are left. Every station has a list of its
+    k + spare nearest ones; when one of them goes, only stations that had it among their k nearest get the next on their
+    list and are scored anew. A list that runs out is made again from those left.
+    score(rows, features): rows are places of stations, features their own values, then distances and each value of the k nearest.
+    """
+    n = len(skn)
+    gone, prob, alive = np.full(n, -1), np.zeros(n), np.ones(n, bool)
+    if n <= least:
+        return gone, prob
+    listed, far = nearest(skn, lon, lat, k + spare, digits)
+    listed, far = list(listed), list(far)
+
+    def near(i: int) -> tuple[np.ndarray, np.ndarray]:
+        keep = alive[listed[i]]
+        if keep.sum() < min(k, alive.sum() - 1):  # the list has run out
+            others = np.flatnonzero(alive & (np.arange(n) != i))
+            d = np.round(great_circle(lon[i : i + 1], lat[i : i + 1], lon[others], lat[others])[0], digits)
+            order = np.argsort(d, kind="stable")[: k + spare]
+            listed[i], far[i] = others[order], d[order]
+            keep = np.ones(len(order), bool)
+        return listed[i][keep][:k], far[i][keep][:k]
+
+    around = np.full((n, k), -1)
+    dist = np.full((n, k), -1.0)
+
+    def renew(rows: np.ndarray) -> None:
+        for i in rows.tolist():
+            at, d = near(i)
+            around[i], dist[i] = -1, -1.0
+            around[i, : len(at)], dist[i, : len(at)] = at, d
+        others = np.where(around[rows][:, :, None] >= 0, values[around[rows]], -1.0)  # -1 stands for a missing neighbour
+        prob[rows] = score(rows, np.concatenate([values[rows], dist[rows], *(others[:, :, v] for v in range(values.shape[1]))], axis=1))
+
+    renew(np.arange(n))
+    for turn in range(n - least):
+        flagged = np.flatnonzero(alive & (prob > 0.5))
+        if not len(flagged):
+            break
+        worst = flagged[np.argmax(prob[flagged])]
+        alive[worst] = False
+        gone[worst] = turn
+        if turn + 1 == n - least:
+            break
+        renew(np.flatnonzero(alive & (around == worst).any(1)))
+    return gone, prob

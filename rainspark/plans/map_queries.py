@@ -441,17 +441,13 @@ def k11_bad_value_classifier(spark, d):
 
 @query()
 def k12_iterative_removal(spark, d):
-    """The forests of K11 on all county-days, whose neighbours and probabilities are worked out anew in each round."""
-    days, params, cols = tables.written(_spoilt_days(spark, d), "spoilt"), tables.written(D.rain_params(spark, d), "params"), Q.feature_columns()
-    rows = _qc_features(days.filter(_is_training()), params).withColumn("bad", _bad())
-    models = Q.train_bad_value(rows, cols, trees=10)
-    at = places(spark, d).select("skn", "lon", "lat")
-
-    def score(live: DataFrame) -> DataFrame:
-        got = Q.score_bad_value(_qc_features(live.join(at, "skn"), params), models, cols)
-        return got.select("county", "date", "skn", "rf", "prob_bad", "bad_class")
-
-    return Q.screen(days, score, least=11)
+    """Every county-day screened by forests that learned from the other half of the days."""
+    days = tables.written(Q.probabilities(D.in_cell(_spoilt_days(spark, d)), D.rain_params(spark, d)), "days")
+    cols = Q.feature_columns()
+    half = F.pmod(F.xxhash64(F.lit("half"), "date"), F.lit(2))
+    labelled = tables.written(Q.features(days).withColumn("bad", _bad()), "labelled")
+    out = [Q.screen_days(days.filter(half == h), Q.train_bad_value(labelled.filter(half != h), cols, trees=10), least=11) for h in (0, 1)]
+    return out[0].unionByName(out[1])
 
 
 @query(sql("station_day", "SELECT county, date, arg_max(skn, {'p': rf, 's': -skn}) AS skn, max(rf) AS prob_bad FROM station_day WHERE rf > 25 GROUP BY 1, 2"))
