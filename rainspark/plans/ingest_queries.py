@@ -279,7 +279,7 @@ def e1_e2_long_backfill(spark, d):
     return got.select("station", "ts", F.round("diff", 4).alias("diff"), F.round("interval", 4).alias("intv"))
 
 
-#: Column names, in the order of the file, of each network's feed in a1_network_feeds.
+#: Column names of each network's feed in a1_network_feeds, in the order of files of even days; odd days have them reversed.
 LAYOUT = {
     "hads": ["staID", "NWS_sid", "var", "obs_time", "value", "random"],
     "madis": ["varname", "stationId", "dataProvider", "time", "value"],
@@ -297,7 +297,8 @@ UNION ALL SELECT 'synoptic', user_id, day, value FROM e WHERE k IN (0, 1)
 UNION ALL SELECT 'nws', user_id, day, value FROM e)
 SELECT network, 'S' || user_id AS station, day AS file_day, count(*) AS n, round(sum(mm), 3) AS mm FROM u GROUP BY 1, 2, 3""")
 def a1_network_feeds(spark, d):
-    """Every event as a row of each network's own file, with names and order of columns of its own, read back as rain."""
+    """Every event as a row of each network's own file, with names of columns of its own and two orders of them, read back as
+    rain; one day of the list has no file."""
     e = D.table(spark, d, "events")
     out = []
     for network, columns in LAYOUT.items():
@@ -313,8 +314,11 @@ def a1_network_feeds(spark, d):
             feed.name: F.lit("n"),
         }
         path = tables.scratch(spark, network)
-        tables.write_feed(e.select(*(cells[c].alias(c) for c in columns), F.date_format("ts", "yyyyMMdd").alias("file_day")), path)
-        got = tables.rain_of_feed(tables.read_network_feed(spark, path, network), network)
+        odd = F.dayofmonth("ts") % 2 == 1
+        for part, order in ((~odd, columns), (odd, columns[::-1])):
+            rows = e.filter(part).select(*(cells[c].alias(c) for c in order), F.date_format("ts", "yyyyMMdd").alias("file_day"))
+            tables.write_feed(rows, path)
+        got = tables.rain_of_feed(tables.read_network_feed(spark, [path, f"{path}/file_day=19000101"], network), network)
         out.append(got.select(F.lit(network).alias("network"), "station", "file_day", "value"))
     every = merge.union_networks(out)
     return every.groupBy("network", "station", "file_day").agg(F.count("*").alias("n"), F.round(F.sum("value"), 3).alias("mm"))

@@ -17,13 +17,14 @@ MONTHS = [f"X{YEAR}.{m:02d}" for m in range(1, 13)]
 
 @query(sql("station_day", "SELECT skn, date, rf AS value FROM station_day"))
 def a4_wide_to_long(spark, d):
-    days = D.station_day(spark, d)
-    first, last = days.agg(F.min(F.year("date")), F.max(F.year("date"))).first()
+    days = D.station_day(spark, d).select("skn", F.year("date").alias("year"), F.date_format("date", "MM.dd").alias("name"), "rf")
+    names = [f"{m:02d}.{k:02d}" for m in range(1, 13) for k in range(1, 32)]
+    wide = tables.written(tables.to_wide(days, ["skn", "year"], "name", "rf", names), "wide")  # a file holds a year of a station
+    first, last = wide.agg(F.min("year"), F.max("year")).first()
     long = []
-    for year in range(first, last + 1):  # a wide file holds a year at most
-        names = [f"X{year}.{m:02d}.{k:02d}" for m in range(1, 13) for k in range(1, 32)]
-        part = days.filter(F.year("date") == year).withColumn("name", S.wide_name("date"))
-        long.append(tables.melt_wide(tables.to_wide(part, ["skn"], "name", "rf", names), ["skn"]))
+    for year in range(first, last + 1):
+        named = [F.col(f"`{n}`").alias(f"X{year}.{n}") for n in names]
+        long.append(tables.melt_wide(wide.filter(F.col("year") == year).select("skn", *named), ["skn"]))
     return merge.union_networks(long)
 
 
@@ -35,13 +36,15 @@ def a5_long_to_wide(spark, d):
     return wide.toDF(*(c.replace(".", "_") for c in wide.columns))
 
 
-@query(sql("station_day", "SELECT strftime(date, '%Y_%m') AS month, 2 * count(*) AS n FROM station_day GROUP BY 1"))
+@query(sql("station_day", "SELECT strftime(date, '%Y_%m') AS month, count(*) AS n, round(sum(rf), 2) AS rf FROM station_day GROUP BY 1"))
 def a6_append_month(spark, d):
+    """Two batches are appended, and the first of them again: the table holds every row once."""
     path = tables.scratch(spark, "months")
     days = D.station_day(spark, d).repartition(S.file_key("date"))
-    for _ in range(2):
-        tables.append_month(days, path)
-    return spark.read.parquet(path).groupBy("month").agg(F.count("*").alias("n"))
+    for half in (0, 1, 0):
+        tables.append_month(days.filter(F.pmod(F.dayofmonth("date"), F.lit(2)) == half), path, f"half {half}")
+    got = tables.read_months(spark, path, "skn long, county string, date date, rf double")
+    return got.groupBy("month").agg(F.count("*").alias("n"), F.round(F.sum("rf"), 2).alias("rf"))
 
 
 @query(sql("station_day", "SELECT skn, date, CASE WHEN day(date) <= 10 THEN rf + 1000 ELSE rf END AS rf FROM station_day"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import tempfile
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,19 +73,62 @@ FEED_RAIN = {"hads": ("PC", "PP"), "madis": ("rawPrecip",), "uhmeso": ("RF_1_Tot
 FEED_FACTOR = {"hads": 25.4}
 
 
+def existing(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """Those of the paths (files, folders or patterns) that are there."""
+    found = []
+    for path in [paths] if isinstance(paths, str) else paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if len(p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or []):
+            found.append(path)
+    return found
+
+
+def headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Files by their first line. Tasks read the files and give one line for each; lines and names of files come to the driver."""
+    lines = spark.read.option("recursiveFileLookup", True).text(paths).filter(F.col("_metadata.file_block_start") == 0)
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("place"))
+    first = lines.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    out: dict[str, list[str]] = {}
+    for r in first.orderBy("file").toLocalIterator():
+        out.setdefault(r["header"].lstrip("\ufeff"), []).append(r["file"])
+    return out
+
+
+def column_names(header: str) -> list[str]:
+    """Names in a header line; nameless columns and repeated names get a number, so that the first of a name keeps it."""
+    names: list[str] = []
+    for i, name in enumerate(x.strip() for x in next(csv.reader([header]), [])):
+        names.append(name if name and name.lower() not in (x.lower() for x in names) else f"_c{i}")
+    return names
+
+
 def read_network_feed(spark: SparkSession, paths: str | list[str], network: str) -> DataFrame:
     """Files <yyyymmdd>_<network>_parsed.csv of one network, or folders ending in <yyyymmdd>, any number of days in one read
     (A1, A2, B5, H1).
 
-    Columns are found by the names in the header, whatever their order. Returns station, name, var, ts, value (as it
-    stands in the file), provider, sample_flag, seq (order of arrival inside a file) and file_day. A row whose number or
-    time can't be read has a null there; columns that the network lacks are null. NWS rows have a date and no time of day.
+    Files may differ in their columns and the order of these: they are grouped by their header, and each group is read by
+    the names in it. A path that isn't there counts as a day without rows, like an empty file; with no file at all the table is
+    empty and has the same columns. Returns station, name, var, ts, value (as it stands in the file), provider,
+    sample_flag, seq (order of arrival inside a file) and file_day. A row whose number or time can't be read has a null
+    there; columns that a file lacks are null. NWS rows have a date and no time of day.
     """
     feed = FEEDS[network]
-    df = spark.read.option("header", True).option("recursiveFileLookup", True).csv(paths)
-
+    parts = []
+    there = existing(spark, paths)
+    for header, files in (headers(spark, there) if there else {}).items():
+        names = column_names(header)
+        if names:
+            schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+            parts.append(_feed_rows(spark.read.schema(schema).option("header", True).csv(files), names, feed))
+    if parts:
+        return reduce(DataFrame.unionByName, parts)
+    kinds = "station string, name string, var string, ts timestamp_ntz, value double, provider string, sample_flag string, seq long, file_day date"
+    return spark.createDataFrame([], kinds)
+
+
+def _feed_rows(df: DataFrame, names: list[str], feed: Feed) -> DataFrame:
     def col(name: str, kind: str = "string") -> Column:
-        return F.trim(F.col(f"`{name}`")).try_cast(kind) if name in df.columns else F.lit(None).cast(kind)
+        return F.trim(F.col(f"`{name}`")).try_cast(kind) if name in names else F.lit(None).cast(kind)
 
     ts = col(feed.time).try_cast("timestamp_ntz") if feed.kind == "day" else S.parse_utc(col(feed.time), feed.kind)
     dated = F.regexp_extract(F.col("_metadata.file_path"), r"(\d{8})(?:_[A-Za-z0-9_]*parsed\.csv$|/[^/]*$)", 1)
@@ -107,7 +152,7 @@ def rain_of_feed(rows: DataFrame, network: str, allowed: tuple[str, ...] = (), d
 
 def write_feed(df: DataFrame, path: str) -> None:
     """Feed rows as CSV, a folder for each file_day."""
-    df.write.partitionBy("file_day").option("header", True).csv(path)
+    df.write.mode("append").partitionBy("file_day").option("header", True).csv(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -149,9 +194,31 @@ def to_wide(df: DataFrame, keys: list[str], col: str, value: str, cols: list[str
     return df.groupBy(*keys).pivot(col, cols).agg(F.first(value, ignorenulls=True))
 
 
-def append_month(df: DataFrame, path: str, date_col: str = "date") -> None:
-    """Append rows under their month."""
-    df.withColumn("month", S.file_key(date_col)).write.mode("append").partitionBy("month").parquet(path)
+COMMIT = "batch string, attempt string, number long"
+
+
+def append_month(df: DataFrame, path: str, batch: str, date_col: str = "date") -> None:
+    """Append the rows of a batch (a run date, say) under their months; the same batch again replaces what it wrote.
+
+    Rows are written first, under a name of this attempt, and a line in the table of commits makes them count, so a run
+    that fails halfway leaves nothing that is read, and a repeated one no row twice. One run writes to a path at a time.
+    """
+    spark = df.sparkSession
+    attempt = uuid.uuid4().hex
+    df.withColumn("month", S.file_key(date_col)).withColumn("attempt", F.lit(attempt)).write.mode("append").partitionBy("month", "attempt").parquet(f"{path}/rows")
+    commits = read_or_empty(spark, f"{path}/commits", COMMIT)
+    number = (commits.agg(F.max("number")).first()[0] or 0) + 1
+    spark.createDataFrame([(batch, attempt, number)], COMMIT).coalesce(1).write.mode("append").parquet(f"{path}/commits")
+
+
+def read_months(spark: SparkSession, path: str, schema: str, months: list[str] | None = None) -> DataFrame:
+    """Rows of the last committed attempt of every batch, with month (A6); only folders of these attempts, and of `months`, are read."""
+    commits = read_or_empty(spark, f"{path}/commits", COMMIT)
+    last = [r["attempt"] for r in commits.groupBy("batch").agg(F.max_by("attempt", "number").alias("attempt")).collect()]  # a row for each run
+    if not last:
+        return spark.createDataFrame([], f"{schema}, month string")
+    rows = spark.read.schema(f"{schema}, month string, attempt string").parquet(f"{path}/rows").filter(F.col("attempt").isin(last))
+    return (rows.filter(F.col("month").isin(months)) if months is not None else rows).drop("attempt")
 
 
 def overwrite_partitions(df: DataFrame, path: str, by: str) -> None:
