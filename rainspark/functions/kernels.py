@@ -10,15 +10,18 @@ import numpy as np
 from rainspark.functions.scalars import EARTH_RADIUS_M
 
 
+#: Correlation by distance in ranges. Matern models have smoothness 1/2 (exp), 3/2 or 5/2.
+SHAPES = {
+    "exp": lambda u: np.exp(-u),
+    "matern32": lambda u: (1 + u) * np.exp(-u),
+    "matern52": lambda u: (1 + u + u * u / 3) * np.exp(-u),
+}
+
+
 def covariance(model: str, nugget: float, range_: float, sill: float) -> Callable[[np.ndarray], np.ndarray]:
-    """Covariance by distance; `sill` is the total. Matern models have smoothness 1/2 (exp), 3/2 or 5/2."""
+    """Covariance by distance; `sill` is the total."""
     part = max(sill - nugget, 0.0)
-    shapes = {
-        "exp": lambda u: np.exp(-u),
-        "matern32": lambda u: (1 + u) * np.exp(-u),
-        "matern52": lambda u: (1 + u + u * u / 3) * np.exp(-u),
-    }
-    shape = shapes[model]
+    shape = SHAPES[model]
 
     def at(h: np.ndarray) -> np.ndarray:
         return np.where(h == 0, part + nugget, part * shape(h / max(range_, 1e-12)))
@@ -111,6 +114,85 @@ def leave_one_out(xy: np.ndarray, y: np.ndarray, cov: Callable) -> np.ndarray:
     return y - weights[:-1] / np.diag(inverse)[:-1]
 
 
+def stacked_leave_one_out(d: np.ndarray, y: np.ndarray, params: np.ndarray, model: str) -> np.ndarray:
+    """leave_one_out for many systems of one size at once: distances (systems x n x n), values (systems x n), and nugget, range
+    and sill of each (systems x 3). All inverses are one call; systems that are singular get a pseudo-inverse."""
+    s, n = y.shape
+    nugget, range_, sill = (params[:, k, None, None] for k in range(3))
+    part = np.maximum(sill - nugget, 0.0)
+    k = np.ones((s, n + 1, n + 1))
+    k[:, :n, :n] = np.where(d == 0, part + nugget, part * SHAPES[model](d / np.maximum(range_, 1e-12))) + 1e-9 * np.eye(n)
+    k[:, n, n] = 0
+    try:
+        inverse = np.linalg.inv(k)
+    except np.linalg.LinAlgError:  # one of them is exactly singular
+        inverse = np.full_like(k, np.nan)
+    with np.errstate(invalid="ignore"):
+        good = np.isfinite(inverse).all((1, 2)) & (np.abs((k[:, 0] * inverse[:, :, 0]).sum(1) - 1) < 1e-6)
+    for i in np.flatnonzero(~good).tolist():
+        try:
+            inverse[i] = np.linalg.inv(k[i])
+            if np.isfinite(inverse[i]).all() and abs(k[i, 0] @ inverse[i, :, 0] - 1) < 1e-6:
+                continue
+        except np.linalg.LinAlgError:
+            pass
+        inverse[i] = np.linalg.pinv(k[i])
+    weights = (inverse[:, :n, :n] @ y[:, :, None])[:, :, 0]
+    return y - weights / np.diagonal(inverse, axis1=1, axis2=2)[:, :n]
+
+
+def stacked_semivariances(d: np.ndarray, y: np.ndarray, width: float, bins: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """pairs and mean distance (groups x bins) and semivariances (groups x targets x bins) of groups of one size.
+
+    d: groups x n x n, y: groups x targets x n. Bins without pairs have zeros.
+    """
+    i, j = np.triu_indices(y.shape[2], 1)
+    h = d[:, i, j]
+    which = np.floor(h / width).astype(np.int64)
+    inside = (which[:, :, None] == np.arange(bins)).astype(np.float64)
+    n = inside.sum(1)
+    mean = np.divide((h[:, None, :] @ inside)[:, 0], n, out=np.zeros_like(n), where=n > 0)
+    g = (0.5 * (y[:, :, i] - y[:, :, j]) ** 2) @ inside
+    return n, mean, np.divide(g, n[:, None], out=np.zeros_like(g), where=n[:, None] > 0)
+
+
+def stacked_fits(h: np.ndarray, gamma: np.ndarray, n: np.ndarray, model: str) -> np.ndarray:
+    """nugget, range and sill of many free fits at once (fits x 3): fit_variogram() with nothing fixed, on fits x bins.
+
+    Bins without pairs (n = 0) have no weight. A fit without any bin is NaN.
+    """
+    w = np.where(n > 0, n / np.maximum(h, 1e-9) ** 2, 0.0)
+    own = np.arange(len(h))
+    sw, sg = w.sum(1)[:, None], (w * gamma).sum(1)[:, None]
+
+    def linear(ranges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        f = 1 - SHAPES[model](h[:, None, :] / np.maximum(ranges[:, :, None], 1e-12))
+        wf = f * w[:, None, :]
+        sf, sff, sfg = wf.sum(2), (wf * f).sum(2), (wf * gamma[:, None, :]).sum(2)
+        zero = np.zeros_like(sf)
+        rising = np.maximum(sfg / np.maximum(sff, 1e-300), 0)
+        det = sw * sff - sf * sf
+        with np.errstate(divide="ignore", invalid="ignore"):
+            flat = np.broadcast_to(sg / sw, sf.shape)
+            c0, c1 = (sff * sg - sf * sfg) / det, (sw * sfg - sf * sg) / det
+        inside = (det > 1e-12 * sw * sff) & (c0 >= 0) & (c1 >= 0)
+        c0s, c1s = np.stack([zero, flat, np.where(inside, c0, zero)]), np.stack([rising, zero, np.where(inside, c1, rising)])
+        errors = (((c0s[..., None] + c1s[..., None] * f - gamma[:, None, :]) ** 2) * w[:, None, :]).sum(3)
+        best = errors.argmin(0)[None]
+        return tuple(np.take_along_axis(x, best, 0)[0] for x in (errors, c0s, c1s))
+
+    top = np.where(n > 0, h, 0).max(1)
+    low, high = np.maximum(top / 100, 1e-6), top * 3 + 1e-6
+    for turn in range(3):
+        grid = np.exp(np.log(low)[:, None] + np.linspace(0, 1, 25) * np.log(high / low)[:, None])
+        sse, c0, c1 = linear(grid)
+        best = sse.argmin(1)
+        if turn < 2:
+            low, high = grid[own, np.maximum(best - 1, 0)], grid[own, np.minimum(best + 1, 24)]
+    out = np.stack([c0[own, best], grid[own, best], c0[own, best] + c1[own, best]], 1)
+    return np.where((n > 0).any(1)[:, None], out, np.nan)
+
+
 def fit_variogram(h, gamma, n, model: str = "exp", nugget=None, range_=None, sill=None) -> tuple[float, float, float, float]:
     """nugget, range, sill (total) and weighted squared error, weights n / h^2. A value that is given stays fixed.
 

@@ -205,75 +205,126 @@ def fit(bins: DataFrame, group: list[str], model: str = "exp", fixed: DataFrame
     return spread(bins, *group).groupBy(*group).applyInArrow(run, schema)
 
 
+#: Numbers in the matrices of systems that are solved together, some 32 MB.
+STACK = 1 << 22
+
+
+def _stacks(batch: pa.RecordBatch, column: str, systems: int) -> Iterator[tuple[np.ndarray, dict[str, np.ndarray | pa.Array]]]:
+    """Rows of a batch whose lists of stations are equally long, in parts that STACK allows: the rows, and the fields of their
+    stations as rows x stations, in ascending order of skn; skn itself comes as places in the flat array `_at`."""
+    lists = batch.column(column)
+    ends = lists.offsets.to_numpy()
+    flat = lists.values
+    number = flat.field("skn").to_numpy(zero_copy_only=False)
+    values = {f.name: flat.field(f.name).to_numpy(zero_copy_only=False) for f in flat.type if f.name != "skn"}
+    sizes = np.diff(ends)
+    for n in np.unique(sizes).tolist():
+        rows = np.flatnonzero(sizes == n)
+        step = max(1, STACK // max(systems * (n + 1) ** 2, 1))
+        for low in range(0, len(rows), step):
+            part = rows[low : low + step]
+            at = ends[part][:, None] + np.arange(n)
+            at = np.take_along_axis(at, np.argsort(number[at], axis=1, kind="stable"), 1)
+            yield part, {"_at": at} | {k: v[at] for k, v in values.items()}
+
+
+def _apart(f: dict[str, np.ndarray]) -> np.ndarray:
+    xy = np.stack([f["lon"], f["lat"]], -1)
+    return np.sqrt(((xy[:, :, None] - xy[:, None, :]) ** 2).sum(-1))
+
+
+def _listed(rows: DataFrame, group: list[str], *more: str) -> DataFrame:
+    """A row for each group with its stations as an array; a group is one county and time."""
+    kept = [c for c in rows.columns if c not in group and c not in more]
+    return spread(rows, *group).groupBy(*group).agg(F.collect_list(F.struct(*kept)).alias("stations"), *(F.first(c).alias(c) for c in more))
+
+
 def sweep(
     points: DataFrame, params: DataFrame, group: tuple[str, ...] = ("county", "date"), width: float = 0.5, bins: int = 6, model: str = "exp"
 ) -> DataFrame:
     """Leave-one-out predictions of the 14 candidates of every group: seven constants, each with the listed (fixed) and a
     fitted (free) variogram (K5, B16). Returns group, run, added, is_free, nugget, range, sill, skn, obs, pred.
 
-    points: group, skn, lon, lat, rf, mean_mm, is_fill; all stations predict, real ones are predicted. params: county,
+    points: group, skn, lon, lat, rf, mean_mm, is_fill; all stations with rf predict, real ones are predicted. params: county,
     month, added, nugget, range, sill. A candidate whose target doesn't vary, whose parameters aren't listed or which
-    has fewer than 3 stations is left out. A group is one county and day, so its 14 systems are solved in one task.
+    has fewer than 3 stations is left out. Groups of equal size are worked out together, their fits as one search and
+    their systems as one stack of inverses.
     """
+    keys = list(group)
     listed = params.groupBy("county", "month").agg(F.collect_list(F.struct("added", "nugget", "range", "sill")).alias("listed"))
-    rows = points.select(*group, "skn", "lon", "lat", F.col("rf").cast("double").alias("rf"), F.col("mean_mm").cast("double").alias("mean_mm"), "is_fill")
-    rows = rows.withColumn("month", F.month("date")).join(listed, ["county", "month"], "left")
+    rows = points.filter("rf is not null").select(*keys, "skn", "lon", "lat", F.col("rf").cast("double").alias("rf"), F.col("mean_mm").cast("double").alias("mean_mm"), F.col("is_fill").cast("int").alias("is_fill"))
     kinds = dict(rows.dtypes)
-    schema = ", ".join(f"{c} {kinds[c]}" for c in group) + ", run int, added int, is_free boolean, nugget double, range double, sill double"
+    rows = _listed(rows, keys).withColumn("month", F.month("date")).join(listed, ["county", "month"], "left").select(*keys, "stations", "listed")
+    schema = ", ".join(f"{c} {kinds[c]}" for c in keys) + ", run int, added int, is_free boolean, nugget double, range double, sill double"
     schema += f", skn {kinds['skn']}, obs double, pred double"
+    names = [*keys, "run", "added", "is_free", "nugget", "range", "sill", "skn", "obs", "pred"]
+    adds = np.array(ADDED, float)
 
-    def run(table: pa.Table) -> pa.Table:
-        xy = np.stack([table["lon"].to_numpy(), table["lat"].to_numpy()], 1)
-        rf, mean = table["rf"].to_numpy(), table["mean_mm"].to_numpy()
-        real = np.flatnonzero(~table["is_fill"].to_numpy().astype(bool))
-        fixed = {p["added"]: (p["nugget"], p["range"], p["sill"]) for p in table["listed"][0].as_py() or []}
-        out = []
-        for place, added in enumerate(ADDED):
-            base = np.where(mean == 0, 0.001, mean) + added
-            y = np.log(rf + 1) if added < 0 else np.log((rf + base) / base)
-            if len(y) < 3 or y.var(ddof=1) < 1e-10:
-                continue
-            _, n, h, gamma = kernels.semivariances(xy, y, width, bins)
-            for is_free in (False, True):
-                if not is_free and added not in fixed:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fixed = [{p["added"]: (p["nugget"], p["range"], p["sill"]) for p in x or []} for x in batch.column("listed").to_pylist()]
+            skn = batch.column("stations").values.field("skn")
+            for part, f in _stacks(batch, "stations", 2 * len(ADDED)):
+                if f["rf"].shape[1] < 3:
                     continue
-                p = kernels.fit_variogram(h, gamma, n, model)[:3] if is_free else fixed[added]
-                if is_free and not len(h):
+                d = _apart(f)
+                base = np.where(adds[None, :, None] < 0, 1.0, np.where(f["mean_mm"] == 0, 0.001, f["mean_mm"])[:, None] + adds[None, :, None])
+                y = np.log((f["rf"][:, None] + base) / base)
+                n, h, gamma = kernels.stacked_semivariances(d, y, width, bins)
+                shape = gamma.shape
+                again = [np.broadcast_to(x[:, None], shape).reshape(-1, bins) for x in (h, n)]
+                free = kernels.stacked_fits(again[0], gamma.reshape(-1, bins), again[1], model).reshape(shape[0], shape[1], 3)
+                given = np.array([[fixed[r].get(a, (np.nan,) * 3) for a in ADDED] for r in part.tolist()], float)
+                p = np.stack([given, free], 1)  # rows x (fixed, free) x constants x 3
+                p[..., 2] = np.maximum(p[..., 2], 1e-4)
+                varies = y.var(2, ddof=1) >= 1e-10
+                row, kind, place = np.nonzero(varies[:, None] & np.isfinite(p).all(3))
+                if not len(row):
                     continue
-                p = (p[0], p[1], max(p[2], 1e-4))
-                pred = kernels.leave_one_out(xy, y, kernels.covariance(model, *p))[real]
-                mm = np.exp(np.minimum(pred, 700.0)) - 1
-                mm = np.maximum(mm if added < 0 else mm * base[real], 0.0)
-                out.append((place + is_free * len(ADDED), added, is_free, *p, mm))
-        size = len(real)
-        flat = [np.repeat(np.array(c), size) for c in list(zip(*out, strict=True))[:6]] if out else [np.array([])] * 6
-        kinds_ = [pa.int32(), pa.int32(), pa.bool_(), *[pa.float64()] * 3]
-        again = pa.array(np.tile(real, len(out)))
-        keys = [table[c].take(again) for c in group]
-        columns = [pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(flat, kinds_, strict=True)]
-        pred = np.concatenate([np.zeros(0), *(x[-1] for x in out)])
-        names = [*group, "run", "added", "is_free", "nugget", "range", "sill", "skn", "obs", "pred"]
-        return pa.Table.from_arrays([*keys, *columns, table["skn"].take(again), pa.array(np.tile(rf[real], len(out))), pa.array(pred)], names)
+                chosen = p[row, kind, place]
+                pred = kernels.stacked_leave_one_out(d[row], y[row, place], chosen, model)
+                mm = np.maximum((np.exp(np.minimum(pred, 700.0)) - 1) * base[row, np.where(adds[place] < 0, 0, place)], 0.0)
+                real = f["is_fill"][row] == 0
+                size = real.sum(1)
+                keys_at = pa.array(np.repeat(part[row], size))
+                columns = [np.repeat(x, size) for x in (place + kind * len(ADDED), adds[place], kind, *chosen.T)]
+                types = [pa.int32(), pa.int32(), pa.bool_(), *[pa.float64()] * 3]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c).take(keys_at) for c in keys),
+                        *(pa.array(x.astype(t.to_pandas_dtype()), t) for x, t in zip(columns, types, strict=True)),
+                        skn.take(pa.array(f["_at"][row][real])),
+                        pa.array(f["rf"][row][real]),
+                        pa.array(mm[real]),
+                    ],
+                    names,
+                )
 
-    return spread(rows, *group).groupBy(*group).applyInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def krige_loo(points: DataFrame, group: list[str], model: str = "exp") -> DataFrame:
-    """Leave-one-out prediction of y at every station of a group, from one matrix inverse (K4; Dubrule, 1983).
+    """Leave-one-out prediction of y at every station of a group, from one matrix inverse (K4; Dubrule, 1983); null alone.
 
-    points: group, skn, lon, lat, y, nugget, range, sill. A group is the stations of one county and date.
+    points: group, skn, lon, lat, y, nugget, range, sill. A group is the stations of one county and date; groups of equal size
+    are solved as one stack.
     """
-    rows = points.select(*group, "skn", "lon", "lat", "y", "nugget", "range", "sill")
+    rows = points.select(*group, "skn", "lon", "lat", F.col("y").cast("double").alias("y"), *(F.col(c).cast("double").alias(c) for c in ("nugget", "range", "sill")))
     kinds = dict(rows.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in group) + f", skn {kinds['skn']}, y double, y_pred double"
 
-    def run(table: pa.Table) -> pa.Table:
-        xy, y = np.stack([table["lon"].to_numpy(), table["lat"].to_numpy()], 1), table["y"].to_numpy()
-        params = [table[c][0].as_py() for c in ("nugget", "range", "sill")]
-        pred = kernels.leave_one_out(xy, y, kernels.covariance(model, *params))
-        return table.select([*group, "skn", "y"]).append_column("y_pred", pa.array(pred))
-
-    return spread(rows, *group).groupBy(*group).applyInArrow(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            params = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("nugget", "range", "sill")], 1)
+            skn = batch.column("stations").values.field("skn")
+            for part, f in _stacks(batch, "stations", 1):
+                n = f["y"].shape[1]
+                pred = kernels.stacked_leave_one_out(_apart(f), f["y"], params[part], model) if n > 1 else np.full(f["y"].shape, np.nan)
+                keys_at = pa.array(np.repeat(part, n))
+                out = [*(batch.column(c).take(keys_at) for c in group), skn.take(pa.array(f["_at"].ravel())), pa.array(f["y"].ravel())]
+                yield pa.RecordBatch.from_arrays([*out, pa.array(pred.ravel(), from_pandas=True)], [*group, "skn", "y", "y_pred"])
+
+    return _listed(rows, list(group), "nugget", "range", "sill").mapInArrow(run, schema)
 
 
 def krige(

@@ -148,3 +148,34 @@ def test_monthly_maps_by_hand(spark):
         assert best[c].bias_anomaly == pytest.approx(np.mean([r.obs_anomaly - r.pred_anomaly for r in mine]))
     state = spatial.mosaic(grids, ("month", "row", "col")).collect()
     assert len(state) == 6 and all(s.value == max(made[c, s.row, s.col].value for c in counties) for s in state)
+
+
+def test_stacked_systems_equal_single_ones():
+    rng = np.random.default_rng(6)
+    for n in (2, 5, 12):
+        xy = rng.random((9, n, 2))
+        xy[3, 1] = xy[3, 0]  # two stations at one place, and no nugget: a singular system
+        y = rng.random((9, n))
+        params = np.stack([rng.random(9) / 5, rng.random(9) + 0.1, rng.random(9) + 0.5], 1)
+        params[3, 0] = 0.0
+        d = np.sqrt(((xy[:, :, None] - xy[:, None, :]) ** 2).sum(-1))
+        got = kernels.stacked_leave_one_out(d, y, params, "matern52")
+        for i in range(9):
+            if i != 3:
+                want = kernels.leave_one_out(xy[i], y[i], kernels.covariance("matern52", *params[i]))
+                assert np.allclose(got[i], want, atol=1e-6)
+        pairs, h, gamma = kernels.stacked_semivariances(d, np.stack([y, 2 * y], 1), 0.2, 4)
+        for i in range(9):
+            some, count, mean, half = kernels.semivariances(xy[i], y[i], 0.2, 4)
+            assert np.flatnonzero(pairs[i]).tolist() == some.tolist() and np.allclose(pairs[i][some], count) and np.allclose(h[i][some], mean)
+            assert np.allclose(gamma[i, 0][some], half) and np.allclose(gamma[i, 1], 4 * gamma[i, 0])
+            if len(some) and i != 3:
+                for model in ("exp", "matern32"):
+                    fit = kernels.stacked_fits(h[i : i + 1], gamma[i, :1], pairs[i : i + 1], model)[0]
+                    single = kernels.fit_variogram(mean, half, count, model)
+                    shape = 1 - kernels.SHAPES[model](mean / fit[1])
+                    error = (count / mean**2 * (fit[0] + (fit[2] - fit[0]) * shape - half) ** 2).sum()
+                    assert error == pytest.approx(single[3], rel=1e-6, abs=1e-12)  # a few bins can be met in many ways
+                    assert single[3] < 1e-9 or np.allclose(fit, single[:3], rtol=1e-4, atol=1e-6)
+    none = kernels.stacked_fits(np.zeros((1, 4)), np.zeros((1, 4)), np.zeros((1, 4)), "exp")
+    assert np.isnan(none).all()
