@@ -226,20 +226,45 @@ def k2_variogram_fit(spark, d):
 
 
 def _with_params(spark, d):
-    """Targets with the fit of their group; a tiny nugget keeps stations at one place solvable."""
-    got = _target(spark, d).join(_fitted(spark, d), ["county", "month"])
-    return got.withColumn("sill", F.greatest("sill", F.lit(1e-4)))
-
-
-@query()
+    """Targets with the listed variogram of their county and month of the year (no climate aid)."""
+    params = D.vario_params(spark, d).filter("added = -1").select("county", F.col("month").alias("moy"), "nugget", "range", "sill")
+    return _target(spark, d).withColumn("moy", F.month("month")).join(params, ["county", "moy"])
+
+
+#: Kriging systems in SQL: covariances and the row of ones as a list of lists for each county and month, inverted in place by
+#: Gauss-Jordan steps, one for each pivot. iv holds the inverse, ys the targets with a zero at the end.
+SOLVED = f"""fp AS (SELECT s.county, s.month, skn, lon + skn / 1e5 AS lon, lat, ln(rf + 1) AS y, nugget, range, sill,
+  row_number() OVER (PARTITION BY s.county, s.month ORDER BY skn) AS i FROM station_month s JOIN vario_params p ON p.county = s.county AND p.month = month(s.month) AND p.added = -1),
+pr AS (SELECT a.county, a.month, a.i, b.i AS j, CASE WHEN {planar('a.', 'b.')} = 0 THEN a.sill ELSE (a.sill - a.nugget) * exp(-{planar('a.', 'b.')} / a.range) END
+  + CASE WHEN a.i = b.i THEN 1e-9 ELSE 0 END AS c FROM fp a JOIN fp b ON b.county = a.county AND b.month = a.month),
+rw AS (SELECT county, month, i, list_append(list(c ORDER BY j), 1.0::DOUBLE) AS r FROM pr GROUP BY ALL),
+kr AS (SELECT county, month, list_append(list(r ORDER BY i), list_append(list_transform(range(count(*)), lambda x: 1.0::DOUBLE), 0.0::DOUBLE)) AS a FROM rw GROUP BY ALL),
+gj AS (SELECT county, month, 1 AS k, a FROM kr UNION ALL
+  SELECT county, month, k + 1, list_transform(a, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda x, j: CASE WHEN j = k THEN 1 / x ELSE x / a[k][k] END)
+    ELSE list_transform(r, lambda x, j: CASE WHEN j = k THEN -x / a[k][k] ELSE x - r[k] * a[k][j] / a[k][k] END) END) FROM gj WHERE k <= len(a)),
+iv AS MATERIALIZED (SELECT county, month, a FROM gj WHERE k = len(a) + 1),
+ys AS (SELECT county, month, any_value(sill) AS sill, list_append(list(y ORDER BY i), 0.0) AS ys FROM fp GROUP BY ALL)"""
+
+
+@query(sql("station_month vario_params", f"""WITH RECURSIVE {SOLVED}
+SELECT fp.county, fp.month, skn, round(y, 6) AS y, round(CASE WHEN len(a) > 2 THEN y - list_dot_product(a[i], ys) / a[i][i] END, 5) AS y_pred
+FROM fp JOIN iv ON iv.county = fp.county AND iv.month = fp.month JOIN ys ON ys.county = fp.county AND ys.month = fp.month"""))
 def k4_kriging_leave_one_out(spark, d):
-    return I.krige_loo(_with_params(spark, d), ["county", "month"])
+    got = I.krige_loo(_with_params(spark, d), ["county", "month"])
+    return got.select("county", "month", "skn", F.round("y", 6).alias("y"), F.round("y_pred", 5).alias("y_pred"))
 
 
-@query()
+@query(sql("station_month vario_params cells", f"""WITH RECURSIVE {SOLVED},
+du AS (SELECT iv.county, iv.month, a, sill, list_transform(a, lambda x: list_dot_product(x, ys)) AS w FROM iv JOIN ys ON ys.county = iv.county AND ys.month = iv.month),
+cl AS (SELECT c.county, s.month, tile, row, col, list_append(list((s.sill - s.nugget) * exp(-{planar('c.', 's.')} / s.range) ORDER BY i), 1.0::DOUBLE) AS r
+  FROM cells c JOIN fp s ON s.county = c.county GROUP BY ALL)
+SELECT cl.county, cl.month, tile, row, col, round(list_dot_product(w, r), 5) AS pred,
+  round(greatest(sill - list_dot_product(list_transform(a, lambda x: list_dot_product(x, r)), r), 0), 5) AS var
+FROM cl JOIN du ON du.county = cl.county AND du.month = cl.month"""))
 def k3_kriging_map(spark, d):
     grid = D.cells(spark, d).select("county", *CELL, "lon", "lat")
-    return I.krige(_with_params(spark, d), grid, ["county"], ["month"], cell=CELL)
+    got = I.krige(_with_params(spark, d), grid, ["county"], ["month"], cell=CELL)
+    return got.withColumns({c: F.round(c, 5) for c in ("pred", "var")})
 
 
 def _daily_points(spark, d) -> DataFrame:

@@ -217,6 +217,8 @@ def sql(views: str, body: str) -> str:
         add(name)
     views_sql = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in order)
     body = body.strip()
+    if body.startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {views_sql},\n{body[15:]}"
     if body.startswith("WITH "):
         return f"WITH {views_sql},\n{body[5:]}"
     return f"WITH {views_sql}\n{body}"
