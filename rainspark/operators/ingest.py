@@ -168,6 +168,6 @@ def prefer(dfs: list[DataFrame], order: list[Column] | None = None, keys: tuple[
 def station_days(readings: DataFrame, least: float, value_is_total: bool = False) -> DataFrame:
     """The flagship: readings of accumulating gauges to complete station-days."""
     rows = with_day(first_per_instant(readings.select("station", "ts", "value", "seq")))
-    rows = increments(rows)
+    rows = increments_long(rows)
     days = daily_totals(hourly_totals(rows, "value" if value_is_total else "diff"), interval_mode(rows))
     return complete_days(days, least)

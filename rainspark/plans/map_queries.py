@@ -435,6 +435,41 @@ def h12_d16_state_sentence(spark, d):
     return rolled.join(more, "date").select("date", M.state_sentence(F.col("date")).alias("description"))
 
 
+MONTH_LOO = f"""{APART}, {LOO}, m AS (SELECT county, month, count(*) AS n, max(obs) AS top, sqrt(avg(pow(obs - pred, 2))) AS rmse, avg(abs(obs - pred)) AS mae, avg(obs - pred) AS bias,
+  pow(CASE WHEN count(*) > 1 AND stddev_samp(obs) > 1e-9 AND stddev_samp(pred) > 1e-9 THEN corr(obs, pred) END, 2) AS r2 FROM loo GROUP BY GROUPING SETS ((county, month), (month))),
+f AS (SELECT county, month, n, CASE WHEN top > 0 THEN r2 END AS r2, CASE WHEN top > 0 THEN rmse END AS rmse, CASE WHEN top > 0 THEN mae END AS mae, CASE WHEN top > 0 THEN bias END AS bias FROM m)"""
+
+
+def _month_loo(spark, d):
+    """Left-out predictions of every county and month, and their scores."""
+    loo = tables.written(I.idw_loo(_points_apart(spark, d), ["county", "month"]), "loo")
+    return loo, M.scores(loo, ["county", "month"])
+
+
+TEXT5 = "coalesce(printf('%.5f', round({c}, 5)), 'NA')"
+MONTH_LABEL = "CASE WHEN r2 >= 0.8 THEN 'high' WHEN r2 >= 0.6 THEN 'good' WHEN r2 >= 0.4 THEN 'moderate' WHEN r2 >= 0.2 THEN 'low' ELSE 'lowest' END"
+
+
+@query(sql("station_month", f"""WITH {MONTH_LOO}, t AS (SELECT *, strftime(month, '%Y%m') || county AS key, 'Rainfall map of ' || {NAMES} || ' for ' || strftime(month, '%B %Y') || ' ('
+  || strftime(month, '%Y-%m-%d') || ' to ' || strftime(last_day(month), '%Y-%m-%d') || '), in millimetres. It was kriged from ' || n
+  || ' stations as the logarithm of their ratio to the month''s climate mean. Leave-one-out R squared: ' || coalesce(printf('%.3f', round(r2, 3)), 'NA') || '; quality: ' || {MONTH_LABEL}
+  || '. Errors vary over space; see the standard errors.' AS description FROM f WHERE county IS NOT NULL)
+SELECT key, unnest(['county', 'month', 'first_day', 'last_day', 'n', 'r2', 'rmse', 'mae', 'bias', 'description']) AS attribute, unnest([county, strftime(month, '%Y-%m'),
+  strftime(month, '%Y-%m-%d'), strftime(last_day(month), '%Y-%m-%d'), CAST(n AS VARCHAR), {', '.join(TEXT5.format(c=c) for c in M.MONTH_SCORES)}, description]) AS value FROM t"""))
+def h12_month_sheet(spark, d):
+    """The sheet of every county and month, from the scores of its left-out predictions."""
+    return M.month_sheet(_month_loo(spark, d)[1])
+
+
+@query(sql("station_month", f"""WITH {MONTH_LOO}, c AS (SELECT month, string_agg(county, ',' ORDER BY county) AS county_list, string_agg(CAST(n AS VARCHAR), ',' ORDER BY county) AS n_list,
+  {', '.join(f"string_agg({TEXT5.format(c=c)}, ',' ORDER BY county) AS {c}_list" for c in M.MONTH_SCORES)}, sum(n)::BIGINT AS n_total FROM f WHERE county IS NOT NULL GROUP BY 1)
+SELECT c.*, {', '.join(f'round(f.{c}, 5) AS {c}' for c in M.MONTH_SCORES)} FROM c JOIN f ON f.month = c.month AND f.county IS NULL"""))
+def h12_month_state(spark, d):
+    """All counties of a month in one row."""
+    loo, scored = _month_loo(spark, d)
+    return M.month_state(scored, loo)
+
+
 def _bad():
     """Which station-days carry an injected error: about one in 97."""
     return (F.pmod(F.xxhash64("skn", "date"), F.lit(97)) == 0) & (F.col("rf") > 0)

@@ -43,7 +43,7 @@ def gauge(spark: SparkSession, d: str) -> DataFrame:
 
 def gauge_rows(spark: SparkSession, d: str) -> DataFrame:
     """gauge, first reading of each instant, with local time, date, diff and interval."""
-    return ingest.increments(ingest.with_day(ingest.first_per_instant(gauge(spark, d))))
+    return ingest.increments_long(ingest.with_day(ingest.first_per_instant(gauge(spark, d))))
 
 
 def station_day(spark: SparkSession, d: str) -> DataFrame:
