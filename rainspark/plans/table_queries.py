@@ -11,10 +11,6 @@ from rainspark.plans.registry import query
 from rainspark.plans.testdata import sql
 from rainspark.sources import tables
 
-YEAR = 1998
-MONTHS = [f"X{YEAR}.{m:02d}" for m in range(1, 13)]
-
-
 @query(sql("station_day", "SELECT skn, date, rf AS value FROM station_day"))
 def a4_wide_to_long(spark, d):
     days = D.station_day(spark, d).select("skn", F.year("date").alias("year"), F.date_format("date", "MM.dd").alias("name"), "rf")
@@ -28,12 +24,13 @@ def a4_wide_to_long(spark, d):
     return merge.union_networks(long)
 
 
-@query(sql("station_month", f"SELECT skn, {', '.join(f'''max(CASE WHEN strftime(month, 'X%Y.%m') = '{m}' THEN rf END) AS {m.replace('.', '_')}''' for m in MONTHS)} "
-           "FROM station_month GROUP BY 1"))
+@query(sql("station_month", f"SELECT skn, year(month) AS year, {', '.join(f'max(CASE WHEN month(month) = {m} THEN rf END) AS x{m:02d}' for m in range(1, 13))} "
+           "FROM station_month GROUP BY 1, 2"))
 def a5_long_to_wide(spark, d):
-    m = D.station_month(spark, d).withColumn("name", F.concat(F.lit("X"), F.date_format("month", "yyyy.MM")))
-    wide = tables.to_wide(m, ["skn"], "name", "rf", MONTHS)
-    return wide.toDF(*(c.replace(".", "_") for c in wide.columns))
+    """A row for each station and year, a column for each month."""
+    names = [f"x{m:02d}" for m in range(1, 13)]
+    m = D.station_month(spark, d).select("skn", F.year("month").cast("long").alias("year"), F.concat(F.lit("x"), F.date_format("month", "MM")).alias("name"), "rf")
+    return tables.to_wide(m, ["skn", "year"], "name", "rf", names)
 
 
 @query(sql("station_day", "SELECT strftime(date, '%Y_%m') AS month, count(*) AS n, round(sum(rf), 2) AS rf FROM station_day GROUP BY 1"))
