@@ -26,83 +26,198 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()
 
 
+@dataclass
+class SuffixArray:
+    """All suffixes of a row of word numbers, in order; 0 stands for a word that no benchmark item has, and for an end.
+
+    A suffix goes up to the next 0. ids = the numbers and some more zeros; places[i] = where the i-th suffix begins; keys[i]
+    = its first words as one integer; equal suffixes stay in the order of their places.
+    """
+
+    ids: np.ndarray
+    places: np.ndarray
+    keys: np.ndarray
+
+    @classmethod
+    def of(cls, ids: np.ndarray, bits: int) -> SuffixArray:
+        """By doubling: ordered by the first words that fit into 62 bits, then by twice as many a round, where it is not yet settled."""
+        depth = 62 // bits
+        ids = np.concatenate([ids, np.zeros(max(depth, _STEP), ids.dtype)]).astype(np.int32)
+        places = np.flatnonzero(ids)
+        keys = np.zeros(len(places), np.int64)
+        live = np.ones(len(places), bool)
+        for k in range(depth):
+            word = np.where(live, ids[places + k], 0)
+            live = word > 0
+            keys = keys << bits | word
+        order = np.argsort(keys, kind="stable")
+        places, keys, live = places[order], keys[order], live[order]
+        begin, size = runs_of(keys)
+        group = np.repeat(begin, size)
+        rank = np.zeros(len(ids), np.int64)  # of the words so far, from 1; 0 at an end
+        rank[places] = group + 1
+        ends = np.flatnonzero(ids == 0)
+        open_ = np.flatnonzero(np.repeat(size > 1, size) & live)
+        while len(open_):
+            then = group[open_] * (len(ids) + 1) + rank[places[open_] + depth]
+            order = np.argsort(then, kind="stable")
+            places[open_], then = places[open_[order]], then[order]
+            begin, size = runs_of(then)
+            group[open_] = np.repeat(open_[begin], size)
+            rank[places[open_]] = group[open_] + 1
+            depth *= 2
+            open_ = open_[np.repeat(size > 1, size)]
+            open_ = open_[ends[np.searchsorted(ends, places[open_])] - places[open_] >= depth]  # the others are equal to their ends
+        return cls(ids, places, keys)
+
+
+_STEP = 16
+_ALL = np.iinfo(np.int64).max
+
+
+def runs_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(begin, size) of the runs of equal neighbours."""
+    begin = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+    return begin, np.diff(np.append(begin, len(values)))
+
+
+def compared(x: np.ndarray, at: np.ndarray, y: np.ndarray, to: np.ndarray, depth: int = _ALL) -> tuple[np.ndarray, np.ndarray]:
+    """Of the suffixes of x at `at` and of y at `to`: (words in common, up to depth; sign of the order within depth)."""
+    common, sign = np.zeros(len(at), np.int64), np.zeros(len(at), np.int8)
+    ahead = np.arange(_STEP)
+    for begin in range(0, len(at), 1 << 15):  # so many rows that the words looked at stay a few megabytes
+        live = np.arange(begin, min(begin + (1 << 15), len(at)))
+        while len(live):
+            n = common[live]
+            a, b = x[(at[live] + n)[:, None] + ahead], y[(to[live] + n)[:, None] + ahead]
+            stop = (a != b) | (a == 0) | (n[:, None] + ahead >= depth)
+            ends = stop.any(1)
+            first = np.where(ends, stop.argmax(1), _STEP)
+            common[live] = n + first
+            row, col = np.flatnonzero(ends), first[ends]
+            sign[live[row]] = np.where(common[live[row]] < depth, np.sign(a[row, col] - b[row, col]), 0)
+            live = live[~ends]
+    return common, sign
+
+
+def insertion(a: SuffixArray, s: SuffixArray, to: np.ndarray, low: np.ndarray, high: np.ndarray, depth: int = _ALL, after: bool = False) -> np.ndarray:
+    """Binary search for the suffixes of s at `to` between low and high: how many suffixes of a are less, by `depth` words; with
+    `after` how many are less or equal."""
+    low, high = low.copy(), high.copy()
+    live = np.flatnonzero(low < high)
+    while len(live):
+        mid = (low[live] + high[live]) // 2
+        sign = compared(a.ids, a.places[mid], s.ids, to[live], depth)[1]
+        up = sign < (1 if after else 0)
+        low[live[up]] = mid[up] + 1
+        high[live[~up]] = mid[~up]
+        live = live[low[live] < high[live]]
+    return low
+
+
 @dataclass
 class Suite:
-    """Benchmark items of one block: their words as numbers from 1, and all their distinct windows by length.
+    """Benchmark items of one block: their words as numbers from 1, one after another, and their own suffix array.
 
-    windows[length] = sorted distinct keys, and for each where its places begin in `items` and `firsts` (item number and
-    first word); a window that many items share is searched for once.
+    starts = where each item begins; windows[length] = distinct windows in order: the slot in the suffix array that
+    stands for each, and where its places begin in `items` and `firsts` (item number and first word).
     """
 
     ids: list[str]
     vocabulary: dict[bytes, int]
-    items: list[np.ndarray]
-    pairs: np.ndarray
+    bits: int
+    starts: np.ndarray
+    array: SuffixArray
     windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
+def joined(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers with a 0 after each row, where each row begins): no match goes over an end."""
+    counts = np.array([len(x) for x in rows], np.int64)
+    ids = np.concatenate([y for x in rows for y in (x, np.zeros(1, np.int64))]) if rows else np.zeros(0, np.int64)
+    return ids, np.cumsum(counts + 1) - counts - 1
+
+
 def suite(rows: list[tuple[str, str | None]], width: int) -> Suite:
-    """An item of fewer words than `width` is one window; repeated items count once."""
-    rows = list(dict.fromkeys(rows))
+    """An item of fewer words than `width` is one window; repeated items count once, and their order does not matter."""
+    rows = sorted(set(rows), key=lambda x: (x[0], x[1] or ""))
     vocabulary: dict[bytes, int] = {}
     items = [np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(t)], np.int64) for _, t in rows]
-    found: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
-    for k, item in enumerate(items):
+    bits = max(len(vocabulary).bit_length(), 1)
+    ids, starts = joined(items)
+    array = SuffixArray.of(ids, bits)
+    slot = np.zeros(len(ids), np.int64)
+    slot[array.places] = np.arange(len(array.places))
+    found: dict[int, list[np.ndarray]] = {}
+    for item, start in zip(items, starts.tolist(), strict=True):
         if len(item):
             n = min(width, len(item))
-            at = np.arange(len(item) - n + 1)
-            found.setdefault(n, []).append((suffix_keys(item, at, n), np.full(len(at), k), at))
-    pairs = [x[:-1] << 32 | x[1:] for x in items if len(x) > 1]
+            found.setdefault(n, []).append(start + np.arange(len(item) - n + 1))
     windows = {}
     for n, got in found.items():
-        keys, which, firsts = (np.concatenate(x) for x in zip(*got, strict=True))
-        order = np.argsort(keys, kind="stable")
-        distinct, begin = np.unique(keys[order], return_index=True)
-        windows[n] = (distinct, np.append(begin, len(keys)), which[order], firsts[order])
-    return Suite([i for i, _ in rows], vocabulary, items, np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64), windows)
-
-
-def suffix_keys(ids: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
-    """The first `width` words of the suffixes at `at`, as byte strings that sort like the sequences of numbers."""
-    got = ids[at[:, None] + np.arange(width)].astype(">u4")
-    return np.ascontiguousarray(got).view(f"S{4 * width}").ravel()
+        slots = np.sort(slot[np.concatenate(got)])
+        at = array.places[slots]
+        same = compared(array.ids, at[1:], array.ids, at[:-1], n)[0] >= n
+        begin = np.flatnonzero(np.concatenate([[True], ~same]))
+        item = np.searchsorted(starts, at, "right") - 1
+        windows[n] = (slots[begin], np.append(begin, len(slots)), item, at - starts[item])
+    return Suite([i for i, _ in rows], vocabulary, bits, starts, array, windows)
+
+
+def searched(a: SuffixArray, s: Suite) -> tuple[np.ndarray, np.ndarray]:
+    """Binary search of every suffix of every item in a shard's suffix array: (its rank there, words of its longest match)."""
+    t = s.array
+    low = np.searchsorted(a.keys, t.keys, "left")
+    high = np.where(t.keys & ((1 << s.bits) - 1), np.searchsorted(a.keys, t.keys, "right"), low)  # the key is the whole suffix
+    rank = insertion(a, t, t.places, low, high)
+    length = np.zeros(len(rank), np.int64)
+    for side in (rank - 1, rank):  # the longest match is next to it
+        rows = np.flatnonzero((side >= 0) & (side < len(a.places)))
+        length[rows] = np.maximum(length[rows], compared(a.ids, a.places[side[rows]], t.ids, t.places[rows])[0])
+    return rank, length
+
+
+def occurrences(a: SuffixArray, s: Suite, rank: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(position, length, distinct window) of every window that occurs in a shard: those whose suffix has a match of a window's
+    words or more, at all suffixes around its rank that share them."""
+    out = [(np.zeros(0, np.int64),) * 3]
+    for width, (slots, *_) in s.windows.items():
+        which = np.flatnonzero(length[slots] >= width)
+        to, at = s.array.places[slots[which]], rank[slots[which]]
+        low = insertion(a, s.array, to, np.zeros_like(at), at, width)
+        high = insertion(a, s.array, to, at, np.full_like(at, len(a.places)), width, after=True)
+        count = high - low
+        rows = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
+        out.append((a.places[rows], np.full(len(rows), width), np.repeat(which, count)))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def occurrences(ids: np.ndarray, s: Suite) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(position, length, distinct window) of every window that occurs in a shard; ids has 0 for all other words.
+def longest_runs(a: SuffixArray, starts: np.ndarray, s: Suite, rank: np.ndarray, width: int) -> list[dict | None]:
+    """Of each document the first of its longest runs of words that stand in an item, of up to `width` words.
 
-    The suffix array holds the shard's suffixes that can start a window: all their first word pairs occur in the
-    benchmark. It is ordered by the words a window can compare, and every window is found by binary search.
+    The item suffixes next to a suffix of the shard, before and after it, share the most words with it; which they are follows
+    from the ranks and depends on that suffix and the items alone.
     """
-    out: list[tuple[np.ndarray, ...]] = []
-    paired = np.zeros(len(ids) + 1, bool)
-    if len(ids) > 1 and len(s.pairs):
-        both = (ids[:-1] > 0) & (ids[1:] > 0)
-        where = np.flatnonzero(both)
-        pair = ids[where] << 32 | ids[where + 1]
-        slot = np.minimum(np.searchsorted(s.pairs, pair), len(s.pairs) - 1)
-        paired[where] = s.pairs[slot] == pair
-    broken = np.flatnonzero(~paired)  # from each position, word pairs go on up to the next of these
-    for width, (keys, *_) in s.windows.items():
-        known = np.flatnonzero(ids > 0)
-        if width > 1:
-            known = known[paired[known]]
-            known = known[broken[np.searchsorted(broken, known)] - known >= width - 1]
-        if not len(known):
-            continue
-        suffixes = suffix_keys(ids, known, width)
-        order = np.argsort(suffixes, kind="stable")
-        array = suffixes[order]
-        low, high = np.searchsorted(array, keys, "left"), np.searchsorted(array, keys, "right")
-        count = high - low
-        which = np.repeat(np.arange(len(keys)), count)
-        rank = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + low[which]
-        at = known[order[rank]]
-        out.append((at, np.full(len(at), width), which))
-    if not out:
-        none = np.zeros(0, np.int64)
-        return none, none, none
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+    after = np.cumsum(np.bincount(rank, minlength=len(a.places) + 1))[: len(a.places)]
+    best = np.zeros(len(a.ids), np.int64)  # by place
+    near = np.zeros(len(a.ids), np.int64)
+    for side in (after - 1, after):
+        rows = np.flatnonzero((side >= 0) & (side < len(rank)))
+        at, to = a.places[rows], s.array.places[side[rows]]
+        n = compared(a.ids, at, s.array.ids, to, width)[0]
+        more = n > best[at]
+        best[at[more]], near[at[more]] = n[more], to[more]
+    out: list[dict | None] = [None] * len(starts)
+    if len(starts):
+        most = np.maximum.reduceat(best, starts)
+        owner = np.searchsorted(starts, np.arange(len(best)), "right") - 1
+        first = np.flatnonzero((best > 0) & (best == most[owner]))
+        docs, begin = np.unique(owner[first], return_index=True)
+        at = first[begin]
+        item = np.searchsorted(s.starts, near[at], "right") - 1
+        for d, p, k, f in zip(docs.tolist(), (at - starts[docs]).tolist(), item.tolist(), (near[at] - s.starts[item]).tolist(), strict=True):
+            out[d] = {"item_id": s.ids[k], "doc_word": p, "item_word": f, "length": int(most[d])}
+    return out
 
 
 def places(s: Suite, width: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,7 +232,7 @@ def places(s: Suite, width: np.ndarray, window: np.ndarray) -> tuple[np.ndarray,
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def longest(ids: np.ndarray, starts: np.ndarray, s: Suite, at: np.ndarray, width: np.ndarray, window: np.ndarray) -> dict[int, list[dict]]:
+def longest(starts: np.ndarray, s: Suite, at: np.ndarray, width: np.ndarray, window: np.ndarray) -> dict[int, list[dict]]:
     """Of each document and item the longest verbatim match: the windows that follow one another on both sides make it.
 
     Places of the suffix array and of the item with the same distance between them are one diagonal; a run of
@@ -146,10 +261,8 @@ def longest(ids: np.ndarray, starts: np.ndarray, s: Suite, at: np.ndarray, width
     return out
 
 
-_MATCH = T.ArrayType(
-    T.StructType(
-        [T.StructField("item_id", T.StringType())] + [T.StructField(c, T.LongType()) for c in ("doc_word", "item_word", "length")]
-    )
+_MATCH = T.StructType(
+    [T.StructField("item_id", T.StringType())] + [T.StructField(c, T.LongType()) for c in ("doc_word", "item_word", "length")]
 )
 
 
@@ -179,17 +292,18 @@ def scan(
     block_bytes: int = 16 << 20,
     with_matches: bool = True,
 ) -> DataFrame:
-    """`columns` of docs with n_words, hits (first and last word of each covered run), items and matches: of each item the
-    longest verbatim match and its places.
-
-    Every few megabytes of documents are a shard with its own suffix array; a shard never sees another's rows, and no
-    row is shuffled. A benchmark of up to block_bytes, which is measured, is broadcast. A larger one passes by in blocks,
-    one in memory at a time: the documents are written once to the shared folder, each block's hits are written too, and
-    they are joined to the documents at the end. Nulls: a null text has no words;
+    """`columns` of docs with n_words, hits (first and last word of each covered run), items, matches (of each item with a
+    window in the document the longest verbatim match and its places) and longest: the longest verbatim match with any
+    item, however short, at its first place in the document, with one item that holds it; null without a word in common.
+
+    Every few megabytes of documents are a shard with one suffix array of all its words, in which every suffix of every item is
+    searched; a shard never sees another's rows, and no row is shuffled. Without with_matches the last two are empty. A benchmark of up to block_bytes, which is measured, is broadcast. A larger one passes by in blocks,
+    one in memory at a time: the documents are written once to the shared folder, each block's hits and matches are written too,
+    and they are joined to the documents at the end. Nulls: a null text has no words;
     a null item id is named by the empty string. Repeated rows are marked one by one, repeated items count once.
     An empty benchmark marks nothing. A column of docs with the name of a result is replaced.
     """
-    named = ["n_words", "hits", "items", "matches"]
+    named = ["n_words", "hits", "items", "matches", "longest"]
     keep = [c for c in (columns or docs.columns) if c not in named]
     bounded_batches(docs.sparkSession)
     own = [f"c{i}" for i in range(len(keep))]  # own names can't clash
@@ -199,24 +313,29 @@ def scan(
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<long>").alias("hits"),
         F.array().cast("array<string>").alias("items"),
-        F.array().cast(_MATCH).alias("matches"),
+        F.array().cast(T.ArrayType(_MATCH)).alias("matches"),
+        F.lit(None).cast(_MATCH).alias("longest"),
     )
     parts = blocks(benchmark, item_col, item_text_col, block_bytes)
     names = [*own, *named]
     if len(parts) == 1:
-        got = rows.mapInArrow(_marker(load_suite(parts[0], width), names, with_matches), T.StructType([rows.schema[c] for c in names]))
+        got = rows.mapInArrow(_marker(load_suite(parts[0], width), names, width, with_matches), T.StructType([rows.schema[c] for c in names]))
         return got.toDF(*keep, *named)
     plain = stage(rows.withColumn("_row", F.monotonically_increasing_id()), "documents")
     found = []
     for part in parts:
         step = load_suite(part, width)
         marked = plain.select("_text", "_row", *named).mapInArrow(
-            _marker(step, ["_row", *named], with_matches), T.StructType([plain.schema[c] for c in ("_row", *named)])
+            _marker(step, ["_row", *named], width, with_matches), T.StructType([plain.schema[c] for c in ("_row", *named)])
         )
-        found.append(stage(marked.filter((F.size("hits") > 0) | F.lit(part is parts[0])), "hits"))
+        found.append(stage(marked.filter((F.size("hits") > 0) | F.col("longest").isNotNull() | F.lit(part is parts[0])), "hits"))
         step.destroy()
     every = reduce(DataFrame.unionByName, found).groupBy("_row")
-    every = every.agg(F.max("n_words").alias("n_words"), *(F.flatten(F.collect_list(c)).alias(c) for c in ("hits", "items", "matches")))
+    every = every.agg(
+        F.max("n_words").alias("n_words"),
+        *(F.flatten(F.collect_list(c)).alias(c) for c in ("hits", "items", "matches")),
+        F.max_by("longest", F.when(F.col("longest").isNotNull(), F.struct("longest.length", -F.col("longest.doc_word"), "longest.item_id"))).alias("longest"),
+    )
     return plain.drop(*named, "_text").join(every, "_row").select(*names).toDF(*keep, *named)
 
 
@@ -234,21 +353,21 @@ def shards(batches: Iterator[pa.RecordBatch], size: int = 8 << 20) -> Iterator[p
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _marker(step: Broadcast, names: list[str], with_matches: bool):
+def _marker(step: Broadcast, names: list[str], width: int, with_matches: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = step.value
         get = s.vocabulary.get
         for batch in shards(batches):
             coded = [np.array([get(w, 0) for w in words_of(t)], np.int64) for t in batch.column(0).to_pylist()]
-            counts = np.array([len(x) for x in coded], np.int64)
-            starts = np.cumsum(counts + 1) - counts - 1  # a zero after each document keeps matches inside it
-            ids = np.concatenate([y for x in coded for y in (x, np.zeros(1, np.int64))]) if coded else np.zeros(0, np.int64)
-            at, width, window = occurrences(ids, s)
+            ids, starts = joined(coded)
+            array = SuffixArray.of(ids, s.bits)
+            rank, common = searched(array, s)
+            at, size, window = occurrences(array, s, rank, common)
             out = {c: batch.column(c) for c in names}
-            out["n_words"] = pa.array(counts)
+            out["n_words"] = pa.array([len(x) for x in coded], pa.int64())
             edges = np.zeros(len(ids) + 1, np.int64)
             np.add.at(edges, at, 1)
-            np.add.at(edges, at + width, -1)
+            np.add.at(edges, at + size, -1)
             hit = np.diff(np.concatenate([[0], (np.cumsum(edges) > 0).astype(np.int8)]))
             runs = np.stack([np.flatnonzero(hit == 1), np.flatnonzero(hit == -1) - 1], 1)
             hits = batch.column("hits").to_pylist()
@@ -257,13 +376,16 @@ def _marker(step: Broadcast, names: list[str], with_matches: bool):
             for d, (a, b) in zip((np.searchsorted(starts, runs[:, 0], "right") - 1).tolist(), runs.tolist(), strict=True):
                 hits[d] = [*hits[d], a - int(starts[d]), b - int(starts[d])]
             owner = np.searchsorted(starts, at, "right") - 1
-            seen, first_at = np.unique(np.stack([owner, width, window], 1), axis=0, return_index=True) if len(at) else (np.zeros((0, 3), np.int64), at)
+            seen, first_at = np.unique(np.stack([owner, size, window], 1), axis=0, return_index=True) if len(at) else (np.zeros((0, 3), np.int64), at)
             which, item, _ = places(s, seen[:, 1], seen[:, 2])  # each document and distinct window once
             for d, k in np.unique(np.stack([seen[which, 0], item], 1), axis=0).tolist():
                 items[d] = [*items[d], s.ids[k]]
             if with_matches:
-                for d, rows in longest(ids, starts, s, at, width, window).items():
+                best = longest_runs(array, starts, s, rank, width)
+                for d, rows in longest(starts, s, at, size, window).items():
                     matches[d] = [*matches[d], *rows]
+                    best[d] = max([best[d], *rows], key=lambda m: (m["length"], -m["doc_word"]))
+                out["longest"] = pa.array(best, batch.schema.field("longest").type)
             out["hits"] = pa.array(hits, batch.schema.field("hits").type)
             out["items"] = pa.array(items, batch.schema.field("items").type)
             out["matches"] = pa.array(matches, batch.schema.field("matches").type)

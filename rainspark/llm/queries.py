@@ -122,7 +122,6 @@ def op9_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     got = decontaminate.scan(docs, items, columns=["doc_id"])
-    longest = F.array_max(F.transform("matches", lambda m: F.struct(m["length"].alias("n"), (-m["doc_word"]).alias("at"))))
     ids = F.array_sort(F.array_distinct("items"))
     return got.select(
         "doc_id",
@@ -131,8 +130,8 @@ def op10_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(ids).cast("long").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
-        F.coalesce(longest["n"], F.lit(0)).alias("longest_words"),
-        (-longest["at"]).alias("longest_at"),
+        F.coalesce("longest.length", F.lit(0)).alias("longest_words"),
+        F.col("longest.doc_word").alias("longest_at"),
     )
 
 
@@ -266,7 +265,10 @@ words AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i
 its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT r, item FROM hit) GROUP BY 1),
 runs AS (SELECT r, k, i, n, i - row_number() OVER (PARTITION BY r, k, i - f ORDER BY i) AS g, i - f AS diag FROM hit),
 len_ AS (SELECT r, min(i) AS pos, count(*) - 1 + any_value(n) AS words FROM runs GROUP BY r, k, diag, g),
-long_ AS (SELECT r, max(words) AS longest_words, arg_min(pos, {'w': -words, 'p': pos}) AS longest_at FROM len_ GROUP BY 1)
+lens AS (SELECT unnest(range(1, 10)) AS n),
+ig AS (SELECT DISTINCT array_to_string(w[i + 1 : i + n], ' ') AS gram FROM (SELECT w, n, unnest(range(len(w) - n + 1)) AS i FROM b, lens WHERE len(w) >= n)),
+dg AS (SELECT r, i AS pos, n AS words FROM (SELECT r, n, i, array_to_string(w[i + 1 : i + n], ' ') AS gram FROM (SELECT r, w, n, unnest(range(len(w) - n + 1)) AS i FROM d, lens WHERE len(w) >= n)) JOIN ig USING (gram)),
+long_ AS (SELECT r, max(words) AS longest_words, arg_min(pos, {'w': -words, 'p': pos}) AS longest_at FROM (SELECT r, pos, words FROM len_ UNION ALL SELECT * FROM dg) GROUP BY 1)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(list, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AS contaminated, coalesce(longest_words, 0)::BIGINT AS longest_words, longest_at::BIGINT AS longest_at
 FROM d LEFT JOIN words ON words.r = d.r LEFT JOIN its ON its.r = d.r LEFT JOIN long_ ON long_.r = d.r

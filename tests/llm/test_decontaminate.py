@@ -1,6 +1,8 @@
 import hashlib
+import random
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from rainspark.llm import decontaminate, queries
@@ -26,24 +28,27 @@ def brute(text, items, width=10):
     return len(w), len(hit), sorted(found)
 
 
-def brute_longest(text, items, width=10):
-    """Words of the longest run of a document that stands in an item and holds a window of it, and its first place."""
+def brute_longest(text, items):
+    """Words of the longest run of a document that stands in an item, however short, and its first place."""
     w, best = words(text), (0, None)
     for _, body in items:
         b = words(body)
-        n = min(width, len(b))
         starts = {}
-        for f in range(len(b) - n + 1 if n else 0):
-            starts.setdefault(tuple(b[f : f + n]), []).append(f)
-        for i in range(len(w) - n + 1 if n else 0):
-            for f in starts.get(tuple(w[i : i + n]), ()):
-                m = n
-                while n == width and i + m < len(w) and f + m < len(b) and w[i + m] == b[f + m]:
+        for f, x in enumerate(b):
+            starts.setdefault(x, []).append(f)
+        for i in range(len(w)):
+            for f in starts.get(w[i], ()):
+                m = 1
+                while i + m < len(w) and f + m < len(b) and w[i + m] == b[f + m]:
                     m += 1
                 best = max(best, (m, i), key=lambda x: (x[0], -(x[1] or 0)))
     return best
 
 
+def longest_of(m):
+    return (m.length, m.doc_word) if m else (0, None)
+
+
 def report(spark, docs, items, **more):
     got = decontaminate.scan(docs, items, columns=["doc_id"], **more)
     rows = got.select("*", decontaminate.n_hit().alias("n_hit")).collect()
@@ -73,10 +78,11 @@ def test_short_items_blocks_and_edges(spark):
         texts = {}
         for r in edge(spark).collect():
             texts.setdefault(r.doc_id, []).append(r.text)
-        for doc, got, _ in rows:
+        for doc, got, r in rows:
             assert got in [brute(t, named) for t in texts[doc]], doc
+            assert longest_of(r.longest) in [brute_longest(t, items) for t in texts[doc]], doc
     assert report(spark, nothing(spark), bench) == []
-    assert all(x[1][1:] == (0, []) for x in report(spark, edge(spark), bench.filter("false")))
+    assert all(x[1][1:] == (0, []) and x[2].longest is None for x in report(spark, edge(spark), bench.filter("false")))
 
 
 def test_longest_matches_and_places(spark):
@@ -86,7 +92,8 @@ def test_longest_matches_and_places(spark):
     docs = spark.createDataFrame([(1, text), (2, " ".join(f"x{i}" for i in range(9)))], "doc_id long, text string")
     rows = {d: r for d, _, r in report(spark, docs, bench)}
     assert [(m.item_id, m.doc_word, m.item_word, m.length) for m in rows[1].matches] == [("1", 2, 3, 22)]
-    assert rows[2].matches == []
+    assert rows[2].matches == [] and tuple(rows[2].longest) == ("1", 0, 0, 9)
+    assert tuple(rows[1].longest) == ("1", 2, 3, 22)
     twice = spark.createDataFrame([(1, body), (2, "y " + body), (3, "z " * 12)], "item_id long, text string")
     for size in (32 << 20, 60):  # in one block and in several, whose hits are joined
         rows = {d: r for d, _, r in report(spark, docs.withColumn("_row", F.lit("x")), twice, block_bytes=size)}
@@ -104,3 +111,34 @@ def test_kept_columns_of_any_name(spark):
         rows = got.collect()
         assert set(docs.columns) <= set(got.columns) and {(r["_text"], r["_row"], r["c0"]) for r in rows} == {("x", "x", "x")}
         assert sorted(r.doc_id for r in rows if r["hits"]) == [3, 4]
+
+
+def test_suffix_array_and_search():
+    """Few words, long repeats: every suffix in order, every item suffix at its rank, matches and their places by brute force."""
+    rng = random.Random(3)
+    for words_, copies in ((2, 1), (3, 5), (40, 2)):
+        text = [rng.randint(0, words_) for _ in range(rng.randint(50, 300))] * copies
+        items = [" ".join(f"w{rng.randint(1, words_)}" for _ in range(rng.choice([1, 3, 12, 30]))) for _ in range(12)]
+        items += [" ".join(f"w{x}" for x in text[20:45] if x)]
+        s = decontaminate.suite([(str(i), x) for i, x in enumerate(items)], 10)
+        docs = [np.array([s.vocabulary.get(b"w%d" % x, 0) for x in d], np.int64) for d in (text, text[10:60], [], text[:5])]
+        ids, starts = decontaminate.joined(docs)
+        a = decontaminate.SuffixArray.of(ids, s.bits)
+
+        def tail(row, p):
+            row = row.tolist()
+            return row[p : row.index(0, p)]
+
+        suffixes = [tail(a.ids, p) for p in a.places.tolist()]
+        assert sorted(a.places.tolist()) == np.flatnonzero(ids).tolist() and suffixes == sorted(suffixes)
+        rank, length = decontaminate.searched(a, s)
+        for p, r, n in zip(s.array.places.tolist(), rank.tolist(), length.tolist(), strict=True):
+            t = tail(s.array.ids, p)
+            assert r == sum(x < t for x in suffixes)
+            assert n == max(next((i for i, (u, v) in enumerate(zip(x, t)) if u != v), min(len(x), len(t))) for x in suffixes)
+        got = {(n, w): set() for n, (slots, *_) in s.windows.items() for w in range(len(slots))}
+        for p, n, w in zip(*(x.tolist() for x in decontaminate.occurrences(a, s, rank, length)), strict=True):
+            got[n, w].add(p)
+        for (n, w), at in got.items():
+            window = tail(s.array.ids, s.array.places[s.windows[n][0][w]])[:n]
+            assert at == {p for p in range(len(ids)) if ids[p : p + n].tolist() == window}
