@@ -253,7 +253,7 @@ FROM p LEFT JOIN v ON v.host = p.host LEFT JOIN f ON f.page_id = p.page_id
 
 
 OP10_SQL = r"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
   '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
 b AS (SELECT row_number() OVER () AS k, CAST(item_id AS VARCHAR) AS item, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
   '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
@@ -265,9 +265,9 @@ words AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i
 its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT r, item FROM hit) GROUP BY 1),
 runs AS (SELECT r, k, i, n, i - row_number() OVER (PARTITION BY r, k, i - f ORDER BY i) AS g, i - f AS diag FROM hit),
 len_ AS (SELECT r, min(i) AS pos, count(*) - 1 + any_value(n) AS words FROM runs GROUP BY r, k, diag, g),
-lens AS (SELECT unnest(range(1, 10)) AS n),
-ig AS (SELECT DISTINCT array_to_string(w[i + 1 : i + n], ' ') AS gram FROM (SELECT w, n, unnest(range(len(w) - n + 1)) AS i FROM b, lens WHERE len(w) >= n)),
-dg AS (SELECT r, i AS pos, n AS words FROM (SELECT r, n, i, array_to_string(w[i + 1 : i + n], ' ') AS gram FROM (SELECT r, w, n, unnest(range(len(w) - n + 1)) AS i FROM d, lens WHERE len(w) >= n)) JOIN ig USING (gram)),
+ig AS MATERIALIZED (SELECT DISTINCT array_to_string(w[i + 1 : i + n], ' ') AS gram FROM (SELECT w, n, unnest(range(len(w) - n + 1)) AS i FROM b, (SELECT unnest(range(1, 10)) AS n) WHERE len(w) >= n)),
+dg(r, pos, words) AS (SELECT r, i, 1 FROM (SELECT r, unnest(w) AS gram, unnest(range(len(w))) AS i FROM d) JOIN ig USING (gram)
+  UNION ALL SELECT dg.r, pos, words + 1 FROM dg JOIN d ON d.r = dg.r AND words < least(9, len(w) - pos) JOIN ig ON ig.gram = array_to_string(w[pos + 1 : pos + words + 1], ' ')),
 long_ AS (SELECT r, max(words) AS longest_words, arg_min(pos, {'w': -words, 'p': pos}) AS longest_at FROM (SELECT r, pos, words FROM len_ UNION ALL SELECT * FROM dg) GROUP BY 1)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(list, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AS contaminated, coalesce(longest_words, 0)::BIGINT AS longest_words, longest_at::BIGINT AS longest_at
