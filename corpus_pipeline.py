@@ -27,11 +27,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least id of each group of near-duplicates (five-word shingles, similarity 0.8 or more).
 
+    SimHash fingerprints within four bits give the first links, by op5's pigeonring, and exact checks on whole sets of
+    shingles follow: of those links, and for links of similar texts that lie further apart.
     Rows are told apart by id and text; of rows equal in both one stays. A null id comes after all others.
     """
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("text_hash"))
     rows = docs.select(*COLUMNS, key.alias("key"))
-    first = similar.similar_groups(rows, "key", "text", words=5, similarity=0.8).select(F.col("component_id").alias("key")).distinct()
+    groups = similar.similar_groups(rows, "key", "text", words=5, similarity=0.8, errors=4)
+    first = groups.select(F.col("component_id").alias("key")).distinct()
     kept = rows.join(first, "key", "left_semi")
     again = rows.groupBy("key").count().filter("count > 1").select("key")  # only these rows are shuffled with their texts
     return kept.join(again, "key", "left_anti").unionByName(kept.join(again, "key", "left_semi").dropDuplicates(["key"])).select(COLUMNS)

@@ -124,6 +124,19 @@ def links(fps: DataFrame, errors: int) -> DataFrame:
     return looked.join(listed, (looked["key"] == listed["key"]) & near).select("a", "b", "label_a", "label_b")
 
 
+def labelled(fps: DataFrame, found: DataFrame) -> DataFrame:
+    """fps (distinct fingerprints) with label, the name of the group that the found stars connect; written to the shared folder."""
+    dense = components(found).select(F.col("node").alias("fp"), F.col("component").alias("label"))
+    return stage(fps.join(dense, "fp", "left").withColumn("label", F.coalesce("label", "fp")), "labelled")
+
+
+def spanning_links(fps: DataFrame, errors: int) -> DataFrame:
+    """Links a < b that connect what all links connect: the stars, and one link for each two groups of stars that have any."""
+    found = stage(stars(fps, errors), "stars")
+    between = links(labelled(fps, found), errors).groupBy(F.least("label_a", "label_b"), F.greatest("label_a", "label_b"))
+    return found.unionByName(between.agg(F.min(F.struct("a", "b")).alias("link")).select("link.a", "link.b"))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, errors: int = 4) -> DataFrame:
     """doc_id, fp and component_id (the least doc_id that links reach) of every row.
 
@@ -136,8 +149,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     if errors:
         nodes = stage(nodes, "distinct")
-        dense = components(stars(nodes, errors)).select(F.col("node").alias("fp"), F.col("component").alias("label"))
-        nodes = stage(nodes.join(dense, "fp", "left").withColumn("label", F.coalesce("label", "fp")), "labelled")
+        nodes = labelled(nodes, stars(nodes, errors))
         pairs = links(nodes.select("fp", "label"), errors).select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
         joined = components(pairs).withColumnRenamed("node", "label")
         nodes = nodes.join(joined, "label", "left").withColumn("component", F.coalesce("component", "label"))

@@ -1,8 +1,10 @@
 """Groups of texts whose word shingles have a Jaccard similarity of 0.8 or more, by pigeonring and prefix filtering.
 
-At that similarity 64 majority bits of shingle hashes differ in about ten places and groups that only share passages
-reach as near, so a small Hamming budget on them loses most links. Here the segments on the ring are the positions of
-a min-wise signature: two texts differ at each with a probability of one minus their similarity.
+The first links are those of SimHash fingerprints on their ring of segments (simhash.py), checked on whole sets. At that
+similarity the 64 majority bits differ in about ten places and texts that only share passages reach as near, so a budget
+that can be searched reaches some of the links. The others are looked for between the groups so far, on a second ring,
+whose segments are the positions of a min-wise signature: two texts differ at each with a probability of one minus
+their similarity.
 
 Signatures may lie further apart than the budget by chance. So what the ring has connected is contracted, and an exact
 search goes over the rest: of two similar sets, the n - ceil(similarity * n) + 1 rarest shingles of each (n its size) have one in common.
@@ -27,6 +29,7 @@ from pyspark.sql import types as T
 from rainspark.llm.blobs import dump, dump_sorted, give_back, load, load_sorted, range_cuts, squeeze, unsqueeze
 from rainspark.llm.common import bounded_batches, discard, mix64, partitions, stage
 from rainspark.llm.graph import components
+from rainspark.llm.simhash import fingerprint, spanning_links
 
 #: Positions of a signature, and positions after a key whose low bytes travel with it.
 POSITIONS, AHEAD = 32, 8
@@ -80,26 +83,28 @@ def parities(hashes: np.ndarray) -> np.ndarray:
 
 
 def signed_rows(df: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """doc_id, node (a hash of the set of shingles: equal sets are one node), n (size), bits and sig of every row."""
+    """doc_id, fp, node (a hash of the set of shingles: equal sets are one node), n (size), bits and sig of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, n, bits, sigs = [], [], [], []
-            for text in batch.column(1):
-                hashes = shingle_hashes(text.as_py(), words)
+            fps, node, n, bits, sigs = [], [], [], [], []
+            for cell in batch.column(1):
+                text = cell.as_py()
+                hashes = shingle_hashes(text, words)
+                fps.append(fingerprint(text, words))
                 node.append(node_of(hashes))
                 n.append(len(hashes))
                 bits.append(parities(hashes))
                 sigs.append((signature(hashes) >> np.uint64(33)).astype(np.int32))
             flags = np.array(bits, np.int64).reshape(-1, BITMAP)
-            cols = [batch.column(0), pa.array(node, pa.int64()), pa.array(n, pa.int32())]
+            cols = [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(node, pa.int64()), pa.array(n, pa.int32())]
             cols += [*(pa.array(np.ascontiguousarray(flags[:, k])) for k in range(BITMAP)), _lists(sigs, pa.int32())]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "node", "n", *SKETCH, "sig"])
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "fp", "node", "n", *SKETCH, "sig"])
         give_back()
 
     bounded_batches(df.sparkSession)
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    fields = T.StructType([rows.schema["doc_id"], T.StructField("node", T.LongType()), T.StructField("n", T.IntegerType())])
+    fields = T.StructType([rows.schema["doc_id"]]).add("fp", T.LongType()).add("node", T.LongType()).add("n", T.IntegerType())
     for c in SKETCH:
         fields.add(c, T.LongType())
     return rows.mapInArrow(run, fields.add("sig", T.ArrayType(T.IntegerType())))
@@ -156,7 +161,7 @@ def _named(rows: DataFrame, end: str) -> DataFrame:
     return rows.select("key", *(F.col(c).alias(f"{c}_{end}") for c in rows.columns if c != "key"))
 
 
-def star_pairs(rows: DataFrame, labels: DataFrame, budget: int) -> DataFrame:
+def star_pairs(rows: DataFrame, budget: int) -> DataFrame:
     """Pairs a < b of each node with one member of every key group that it is in, another order for every key."""
     first = rows.groupBy("key").agg(F.min_by(F.struct("node", "ahead"), F.xxhash64("node", "key")).alias("lead"))
     near = (F.col("node") != F.col("lead.node")) & _chain(F.col("ahead"), F.col("lead.ahead"), budget)
@@ -197,12 +202,34 @@ def open_pairs(rows: DataFrame, labels: DataFrame, budget: int, similarity: floa
     return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
-def in_budget(pairs: DataFrame, nodes: DataFrame, budget: int, similarity: float) -> DataFrame:
-    """The pairs whose signatures are within the budget over the whole ring and whose bitmaps allow the similarity."""
+def fingerprint_pairs(prints: DataFrame, labels: DataFrame, errors: int, similarity: float) -> DataFrame:
+    """Pairs a < b of nodes that links of SimHash fingerprints connect and whose sizes and bitmaps allow the similarity.
+
+    prints: fp and node, distinct. Nodes with equal fingerprints are paired with one of them, which stands for them on the ring.
+    Between two groups of stars one link is taken; if its sets differ, the searches that follow look for others.
+    """
+    leads = stage(prints.groupBy("fp").agg(F.min("node").alias("lead")), "leads")
+    near = spanning_links(leads.select("fp"), errors)
+    for end in ("a", "b"):
+        near = near.join(leads.select(F.col("fp").alias(end), F.col("lead").alias(f"lead_{end}")), end)
+    equal = prints.join(leads, "fp").filter("node <> lead").select(F.col("lead").alias("lead_a"), F.col("node").alias("lead_b"))
+    both = near.select("lead_a", "lead_b").union(equal).filter("lead_a <> lead_b")
+    pairs = both.select(F.least("lead_a", "lead_b").alias("a"), F.greatest("lead_a", "lead_b").alias("b")).distinct()
+    return _with_ends(pairs, labels, ["n", *SKETCH]).filter(_can_link(similarity)).select("a", "b")
+
+
+def _with_ends(pairs: DataFrame, nodes: DataFrame, columns: list[str]) -> DataFrame:
     for end in ("a", "b"):
-        pairs = pairs.join(nodes.select(F.col("node").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in ("n", *SKETCH, "sig"))), end)
+        pairs = pairs.join(nodes.select(F.col("node").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in columns)), end)
+    return pairs
+
+
+def in_budget(pairs: DataFrame, nodes: DataFrame, labels: DataFrame, budget: int, similarity: float) -> DataFrame:
+    """The pairs of different labels with signatures within the budget over the whole ring and bitmaps that allow the similarity."""
+    pairs = _with_ends(pairs, labels, ["label", "n", *SKETCH]).filter((F.col("label_a") != F.col("label_b")) & _can_link(similarity))
+    pairs = _with_ends(pairs.select("a", "b"), nodes, ["sig"])
     differ = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x != y), lambda x: x))
-    return pairs.filter((differ <= budget) & _can_link(similarity)).select("a", "b")
+    return pairs.filter(differ <= budget).select("a", "b")
 
 
 def node_texts(nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -364,14 +391,15 @@ def _linked(labels: DataFrame, found: DataFrame) -> DataFrame:
     return out
 
 
-def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, errors: int = 4) -> DataFrame:
     """doc_id and component_id (the least doc_id that links reach) of every row; a link is a Jaccard similarity of
     `similarity` or more between the sets of shingles.
 
-    Every link is verified on whole sets. Most are found as their signatures differ within a budget: some chain on the
-    ring then keeps within proportional budgets, its first positions being equal. Dense groups are contracted by
-    verified stars first, so the search for further links passes over pairs that are already connected. The others are
-    found by a shingle that their sets share among the rarest, so no link between different groups is lost. Nothing is capped.
+    Every link is verified on whole sets. The first ones come from SimHash fingerprints that differ in `errors` bits at
+    most. More are found as their signatures differ within a budget: some chain on the ring then keeps within proportional
+    budgets, its first positions being equal. Dense groups are contracted by verified stars first, so the search for
+    further links passes over pairs that are already connected. The others are found by a shingle that their sets share
+    among the rarest, so no link between different groups is lost. Nothing is capped.
 
     The id must be unique unless rows are equal in text too; it may be of any ordered type and not null. Texts without
     words are one group, and so are texts with equal shingles. Repeated rows share a component. An empty table gives no rows.
@@ -381,13 +409,15 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     signed = stage(signed_rows(docs, "doc_id", "text", words), "signed")
     rows = signed.select("doc_id", "node")
     least = rows.groupBy("node").agg(F.min("doc_id").alias("least"))
-    whole = signed.drop("doc_id").dropDuplicates(["node"]).join(least, "node")
+    whole = signed.drop("doc_id", "fp").dropDuplicates(["node"]).join(least, "node")
     nodes = stage(whole, "nodes")
-    rings = stage(ring(nodes, chain_of(budget)), "rings")
     labels = stage(nodes.select("node", "n", *SKETCH, F.col("node").alias("label")), "labelled")
-    near = in_budget(star_pairs(rings, labels, budget), nodes, budget, similarity)
+    near = fingerprint_pairs(signed.select("fp", "node").distinct(), labels, errors, similarity)
+    labels = _linked(labels, verified(near, nodes, docs, words, similarity))
+    rings = stage(ring(nodes, chain_of(budget)), "rings")
+    near = in_budget(star_pairs(rings, budget), nodes, labels, budget, similarity)
     labels = _linked(labels, verified(near, nodes, docs, words, similarity))
-    near = in_budget(open_pairs(rings, labels, budget, similarity), nodes, budget, similarity)
+    near = in_budget(open_pairs(rings, labels, budget, similarity), nodes, labels, budget, similarity)
     labels = _linked(labels, verified(near, nodes, docs, words, similarity))
     discard(rings)
     listed = prefixes(docs, words, similarity)

@@ -2,12 +2,13 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rainspark.llm import decontaminate, quality
+from rainspark.llm import decontaminate, quality, similar, simhash
 from tests.llm.helpers import SF, edge, nothing, table
 from tests.llm.test_decontaminate import brute as hits
 from tests.llm.test_packing import check
 from tests.llm.test_quality import brute as counts
 from tests.llm.test_similar import brute as groups
+from tests.llm.test_similar import shingles
 from tests.llm.test_suffix_dedup import brute as repeats
 
 
@@ -54,3 +55,21 @@ def test_clean_documents_stay(spark):
 
 def docs_schema():
     return "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_near_duplicates_come_from_fingerprints(spark, monkeypatch):
+    """Without the searches that follow, links of fingerprints within four bits stand, if the sets are similar."""
+    words = [f"w{i}" for i in range(4000)]
+    texts = [" ".join(words), " ".join(w if i != 2000 else "other" for i, w in enumerate(words))]
+    often = "so it goes " * 200
+    texts += [often + "first end of many words that differ", often + "second finish with some few others instead"]
+    texts += [" ".join(f"v{k}-{i}" for i in range(90)) for k in range(3)] + [" ".join(words)]
+    fps = [simhash.fingerprint(t, 5) for t in texts]
+    sets = [shingles(t) for t in texts]
+    near = {(a, b) for b in range(len(texts)) for a in range(b) if (fps[a] ^ fps[b]).bit_count() <= 4}
+    assert near == {(0, 1), (0, 7), (1, 7), (2, 3)} and len(sets[2] & sets[3]) < 0.8 * len(sets[2] | sets[3])
+    none = spark.createDataFrame([], "a long, b long")
+    for name in ("star_pairs", "open_pairs", "prefix_pairs"):
+        monkeypatch.setattr(similar, name, lambda *_: none)
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], docs_schema())
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()) == [0, 2, 3, 4, 5, 6]
