@@ -6,8 +6,7 @@ folder and read again by the next. All stages but the last return the columns of
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainspark.llm import decontaminate, packing, quality, similar, suffix_dedup
@@ -48,26 +47,16 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     rest = F.struct("lang", "source", "n_chars", F.col("text").isNull().alias("no_text"))
     rows = docs.select("doc_id", "text", F.to_json(rest).alias("rest"))
-    left = suffix_dedup.remove_repeats(rows, length=50, carry_col="rest")
+    left = suffix_dedup.remove_repeats(rows, length=50, carry_col="rest", as_text=True)
     whole = F.size("spans") == 0
     fields = F.from_json("carried", "lang string, source string, n_chars long, no_text boolean").alias("rest")
-    left = left.select("doc_id", whole.alias("whole"), "kept", _whole_characters(F.when(~whole, F.col("kept"))).alias("cut"), fields)
-    text = F.when(F.col("whole"), F.when(~F.col("rest.no_text"), F.col("kept").cast("string"))).otherwise(F.col("cut"))
-    n_chars = F.when(F.col("whole"), F.col("rest.n_chars")).otherwise(F.length("cut").cast("long"))
-    kept = left.filter(F.col("whole") | F.col("cut").rlike(r"[^\x20\x09-\x0D]"))
+    left = left.select("doc_id", whole.alias("whole"), "kept", fields)
+    text = F.when(~F.col("whole") | ~F.col("rest.no_text"), F.col("kept"))
+    n_chars = F.when(F.col("whole"), F.col("rest.n_chars")).otherwise(F.length("kept").cast("long"))
+    kept = left.filter(F.col("whole") | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
     return kept.select("doc_id", text.alias("text"), "rest.lang", "rest.source", n_chars.alias("n_chars"))
 
 
-def _whole_characters(data: Column) -> Column:
-    """Bytes as text, without what is left of characters that were cut; null for null."""
-
-    @F.pandas_udf("string")
-    def decode(values: pd.Series) -> pd.Series:
-        return values.map(lambda x: None if x is None else bytes(x).decode("utf-8", "ignore"))
-
-    return decode(data)
-
-
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark table."""
     return decontaminate.decontaminate(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -61,6 +61,7 @@ def blocks_of(docs: DataFrame, block_bytes: int) -> DataFrame:
                     ids, carried, data, size = [], [], [], 0
         if ids:
             yield close()
+        give_back()
 
     path = new_path(docs.sparkSession, "texts")
     docs.mapInArrow(run, _BLOCK).withColumn("block", F.monotonically_increasing_id()).write.parquet(path)
@@ -505,8 +506,9 @@ def _merge(length: int):
     return run
 
 
-def _apply(length: int):
+def _apply(length: int, as_text: bool):
     """Mark the bytes of every window whose least document is earlier than its own, and cut them out."""
+    schema = _result(as_text)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
@@ -538,19 +540,26 @@ def _apply(length: int):
             for i, more, a, b in zip(row["doc_ids"], row["carried"], (ends - sizes).tolist(), ends.tolist(), strict=True):
                 step = np.diff(np.concatenate([[0], gone[a:b].astype(np.int8), [0]]))
                 spans = np.stack([np.flatnonzero(step == 1), np.flatnonzero(step == -1)], 1)
-                result = {"doc_id": i, "carried": more, "n_bytes": b - a, "kept": raw[a:b][~gone[a:b]].tobytes()}
+                kept = raw[a:b][~gone[a:b]].tobytes()
+                result = {"doc_id": i, "carried": more, "n_bytes": b - a, "kept": kept.decode("utf-8", "ignore") if as_text else kept}
                 out.append(result | {"spans": [{"first": x, "end": y} for x, y in spans.tolist()]})
         give_back()
-        return pa.Table.from_pylist(out, schema=_RESULT)
+        return pa.Table.from_pylist(out, schema=schema)
 
     return run
 
 
 _SPAN = pa.struct([("first", pa.int64()), ("end", pa.int64())])
-_RESULT = pa.schema(
-    [("doc_id", pa.int64()), ("carried", pa.string()), ("n_bytes", pa.int64()), ("kept", pa.binary()), ("spans", pa.list_(_SPAN))]
-)
-_RESULT_SQL = "doc_id long, carried string, n_bytes long, kept binary, spans array<struct<first: long, end: long>>"
+
+
+def _result(as_text: bool) -> pa.Schema:
+    kept = pa.string() if as_text else pa.binary()
+    return pa.schema([("doc_id", pa.int64()), ("carried", pa.string()), ("n_bytes", pa.int64()), ("kept", kept), ("spans", pa.list_(_SPAN))])
+
+
+def _result_sql(as_text: bool) -> str:
+    kept = "string" if as_text else "binary"
+    return f"doc_id long, carried string, n_bytes long, kept {kept}, spans array<struct<first: long, end: long>>"
 
 
 def _splitters(blocks: DataFrame, parts: int, each: int = 64) -> np.ndarray:
@@ -583,9 +592,13 @@ def remove_repeats(
     block_bytes: int = 4 << 20,
     part_bytes: int = 8 << 20,
     group_places: int = 1 << 12,
+    as_text: bool = False,
 ) -> DataFrame:
     """doc_id, carried (carry_col as text), n_bytes, kept (the bytes left) and spans (first and end of each removed run).
 
+    With as_text, kept is text, without what is left of characters that were cut. The task that cuts decodes it, so that no
+    second Python worker stands beside its own; idle workers stay with their executor and keep their memory.
+
     A byte goes if a string of `length` bytes that covers it also starts in a document with a smaller id; strings are
     judged on the input. Copies inside one document stay. A passage that many documents share costs one entry for
     each block of documents and context, whatever the number of copies. What shares a k-mer is compared as one group in
@@ -612,4 +625,4 @@ def remove_repeats(
     cuts, times = np.unique(_splitters(blocks, parts), return_counts=True)
     runs = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_send(cuts, times, bits, length, parts), _RUN_SQL)
     found = runs.groupBy("part").applyInArrow(_merge(length), _FOUND_SQL)
-    return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_apply(length), _RESULT_SQL)
+    return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_apply(length, as_text), _result_sql(as_text))

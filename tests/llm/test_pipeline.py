@@ -73,3 +73,22 @@ def test_near_duplicates_come_from_fingerprints(spark, monkeypatch):
         monkeypatch.setattr(similar, name, lambda *_: none)
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], docs_schema())
     assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()) == [0, 2, 3, 4, 5, 6]
+
+
+def test_tasks_of_repeated_passages_have_one_python_worker(spark):
+    """A second one beside it (a UDF on the cut text) stays with the executor and keeps its memory."""
+    once = "".join(chr(0x4E00 + i) for i in range(40))
+    texts = [once, "first " + once[:30] + " last", "ab" + "\u00e9" * 40, "\u00e8" + "\u00e9" * 30 + "\u00ea tail", None, once[:20], once]
+    docs = spark.createDataFrame([(i, t, "en", "s", 7) for i, t in enumerate(texts)], docs_schema())
+    out = corpus_pipeline.passage_dedup(spark, docs, SF)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "ArrowEvalPython" not in plan
+    want = {}
+    for (i, t), (b, gone) in zip(enumerate(texts), repeats(list(enumerate(texts))), strict=True):
+        left = np.frombuffer(b, np.uint8)[~gone].tobytes().decode("utf-8", "ignore")
+        if not gone.any():
+            want[i] = (t, 7)
+        elif left.strip(" "):
+            want[i] = (left, len(left))
+    assert set(want) == {0, 1, 2, 3, 4} and want[1][0] != texts[1] and want[3][0] != texts[3]
+    assert {r.doc_id: (r.text, r.n_chars) for r in out.collect()} == want
