@@ -352,6 +352,13 @@ def test_least_bad_map_goes_by_ugliness_first(spark):
     assert rows(metrics.best_variogram(df, ["g"]), "g", "vario") == [("g", "b"), ("h", "b")]
 
 
+def test_scores_round_halves_as_doubles(spark):
+    """0.285 as a double lies below the half: 28 percent, as SQL's round gives, not 29."""
+    df = spark.createDataFrame([("g", "a", 0, 0.285, 90.0, 80.0, 100.0, 0.5)], "g string, vario string, level long, r2 double, mae double, rmse double, rf_max double, prob_ugly double")
+    assert metrics.best_variogram(df, ["g"]).first().score == pytest.approx(24.0)
+    assert [one(spark, S.round_scaled("x", 2), x=x) for x in (0.285, 0.495, -0.375, 0.284)] == [0.28, 0.5, -0.38, 0.28]
+
+
 def test_correlation_flags_of_maps(spark):
     rng = np.random.default_rng(2)
     d = np.sort(rng.random(200) * 3000)
