@@ -121,6 +121,59 @@ def semivariances(xy: np.ndarray, y: np.ndarray, width: float, bins: int) -> tup
     return some, n[some], np.bincount(which, h, bins)[some] / n[some], np.bincount(which, g, bins)[some] / n[some]
 
 
+def _morton(xy: np.ndarray) -> np.ndarray:
+    """Order of places along a curve that keeps near ones together."""
+    low = xy.min(0)
+    at = ((xy - low) / np.maximum((xy.max(0) - low).max(), 1e-300) * 65535).astype(np.uint64)
+    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        at = (at | (at << np.uint64(shift))) & np.uint64(mask)
+    return np.argsort(at[:, 0] | (at[:, 1] << np.uint64(1)), kind="stable")
+
+
+def semivariances_over_times(xy: np.ndarray, y: np.ndarray, width: float, bins: int, tile: tuple[int, int] = (256, 512)) -> tuple[np.ndarray, ...]:
+    """pairs, sum of distances and sum of semivariances (each times x bins) of stations at many times at once.
+
+    y: stations x times, NaN where a station is absent at a time. Tiles of pairs are worked out once for all times: stations of a
+    tile lie near one another, so it has pairs of few bins, and what it adds to a bin comes from products with a matrix of 0 and 1.
+    """
+    order = _morton(xy)
+    xy, y = xy[order], y[order]
+    n, times = y.shape
+    here = (~np.isnan(y)).astype(np.float64)
+    y = np.where(here > 0, y, 0.0)
+    y = (y - y.sum(0) / np.maximum(here.sum(0), 1)) * here  # semivariances don't depend on the mean; sums lose less without it
+    right = np.concatenate([here, y, y * y], 1)
+    pairs, far, gamma = (np.zeros((times, bins)) for _ in range(3))
+    for b in range(0, n, tile[1]):
+        cols = slice(b, min(b + tile[1], n))
+        for a in range(0, cols.stop, tile[0]):
+            rows = slice(a, min(a + tile[0], n))
+            h = np.sqrt(_squared(xy[rows], xy[cols]))
+            which = h / width
+            if rows.stop > b:  # each pair once
+                twice = np.arange(a, rows.stop)[:, None] >= np.arange(b, cols.stop)
+                which[twice], h[twice] = np.inf, 0.0
+            low, top = int(min(which.min(), bins)), int(min(which.max(), bins))
+            if low == bins:
+                continue
+            here_a, y_a, yy_a = (right[rows, k * times : (k + 1) * times] for k in range(3))
+            ones, own, squares = np.split(right[cols].sum(0), 3)
+            found = [(here_a.sum(0) * ones, (here_a * (h @ right[cols, :times])).sum(0), yy_a.sum(0) * ones + here_a.sum(0) * squares - 2 * y_a.sum(0) * own)]
+            for k in range(low + 1, top + 1):  # pairs of bin k and beyond
+                beyond = (which >= k).astype(np.float64)
+                one, two, three = np.split(beyond @ right[cols], 3, 1)
+                beyond *= h
+                found.append(((here_a * one).sum(0), (here_a * (beyond @ right[cols, :times])).sum(0), (yy_a * one + here_a * three - 2 * y_a * two).sum(0)))
+            found = np.array(found)
+            found[:-1] -= found[1:]
+            for k in range(low, min(top + 1, bins)):
+                some = found[k - low, 0] > 0.5
+                pairs[:, k] += np.where(some, found[k - low, 0], 0)
+                far[:, k] += np.where(some, found[k - low, 1], 0)
+                gamma[:, k] += np.where(some, 0.5 * found[k - low, 2], 0)
+    return pairs, far, np.maximum(gamma, 0.0)
+
+
 def _system(xy: np.ndarray, cov: Callable) -> np.ndarray:
     """Inverse of the ordinary kriging system; the pseudo-inverse only where it is singular."""
     n = len(xy)

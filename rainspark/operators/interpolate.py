@@ -198,21 +198,34 @@ def transform(stations: DataFrame, added: int | Column) -> DataFrame:
 
 
 def variogram(points: DataFrame, group: list[str], width: float, bins: int) -> DataFrame:
-    """Experimental variogram: by distance bin the pairs, mean distance and semivariance (K1). points: group, skn, lon, lat, y.
+    """Experimental variogram: by distance bin the pairs, mean distance and semivariance (K1). points: group, skn, lon, lat, y; the
+    last column of the group is the time.
 
-    A group is the stations of one county and time; its pairs stay inside the task.
+    A group is the stations of one county and time. A task has a block of times, whose pairs go by in tiles, each worked out
+    once for all of them.
     """
-    rows = points.select(*group, "skn", "lon", "lat", "y")
+    rows = points.select(*group, "skn", "lon", "lat", F.col("y").cast("double").alias("y"))
     kinds = dict(rows.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in group) + ", bin long, n_pairs long, h double, gamma double"
+    rows, keys = _by_block(rows, group)
 
     def run(table: pa.Table) -> pa.Table:
-        xy = np.stack([table["lon"].to_numpy(), table["lat"].to_numpy()], 1)
-        found = kernels.semivariances(xy, table["y"].to_numpy(), width, bins)
-        keys = [pa.array([table[c][0].as_py()] * len(found[0]), table[c].type) for c in group]
-        return pa.Table.from_arrays([*keys, *map(pa.array, found)], [*group, "bin", "n_pairs", "h", "gamma"])
+        value, parts = table["y"].to_numpy(), []
+        for at, row, col, xy in _matrices(table, group[-1]):
+            y = np.full((len(xy), col.max() + 1), np.nan)
+            y[row, col] = value[at]
+            pairs, far, gamma = kernels.semivariances_over_times(xy, y, width, bins)
+            first = np.full(y.shape[1], -1)
+            first[col] = at
+            time, bin_ = np.nonzero(pairs)
+            n = pairs[time, bin_]
+            out = table.select(group).take(pa.array(first[time]))
+            for name, x in (("bin", bin_), ("n_pairs", n.astype(np.int64)), ("h", far[time, bin_] / n), ("gamma", gamma[time, bin_] / n)):
+                out = out.append_column(name, pa.array(x))
+            parts.append(out)
+        return pa.concat_tables(parts)
 
-    return spread(rows, *group).groupBy(*group).applyInArrow(run, schema)
+    return rows.groupBy(*keys).applyInArrow(run, schema)
 
 
 def lookup_params(groups: DataFrame, params: DataFrame, keys: tuple[str, ...] = ("county", "month", "added")) -> DataFrame:

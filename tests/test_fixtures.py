@@ -359,6 +359,29 @@ def test_scores_round_halves_as_doubles(spark):
     assert [one(spark, S.round_scaled("x", 2), x=x) for x in (0.285, 0.495, -0.375, 0.284)] == [0.28, 0.5, -0.38, 0.28]
 
 
+def test_left_out_means_and_variograms_of_large_networks_stay_in_tiles(spark, monkeypatch):
+    """Groups of more stations than a tile has equal the plain kernels, and no matrix of all pairs is asked for."""
+    rng = np.random.default_rng(5)
+    xy, y = np.round(rng.random((600, 2)) * 3, 2), rng.random((600, 3))
+    xy[7] = xy[300]  # two stations at one place
+    y[rng.random(y.shape) < 0.2] = np.nan
+    monkeypatch.setattr(kernels, "TILE", (64, 100))
+    asked = []
+    squared = kernels._squared
+    monkeypatch.setattr(kernels, "_squared", lambda a, b: asked.append(len(a) * len(b)) or squared(a, b))
+    pred = kernels.left_out_means(xy, y, 2.0)
+    pairs, far, gamma = kernels.semivariances_over_times(xy, y, 0.5, 4, (64, 100))
+    assert max(asked) <= 6400
+    for t in range(3):
+        at = np.flatnonzero(~np.isnan(y[:, t]))
+        d = kernels.distances(xy[at], xy[at])
+        np.fill_diagonal(d, np.inf)
+        assert np.allclose(pred[at, t], kernels.inverse_distance(d, y[at, t], 2.0))
+        bins, n, h, g = kernels.semivariances(xy[at], y[at, t], 0.5, 4)
+        assert (pairs[t, bins] == n).all() and pairs[t].sum() == n.sum()
+        assert np.allclose(far[t, bins] / n, h) and np.allclose(gamma[t, bins] / n, g)
+
+
 def test_correlation_flags_of_maps(spark):
     rng = np.random.default_rng(2)
     d = np.sort(rng.random(200) * 3000)
