@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 
@@ -40,21 +41,166 @@ def great_circle(lon: np.ndarray, lat: np.ndarray, lon2: np.ndarray, lat2: np.nd
     return 2 * EARTH_RADIUS_M * np.arcsin(np.sqrt(np.minimum(a, 1.0)))
 
 
-def nearest(skn: np.ndarray, lon: np.ndarray, lat: np.ndarray, k: int, digits: int, rows: int = 256) -> tuple[np.ndarray, np.ndarray]:
+def _unit(lon: np.ndarray, lat: np.ndarray) -> np.ndarray:
+    x, y = np.radians(lon), np.radians(lat)
+    return np.stack([np.cos(y) * np.cos(x), np.cos(y) * np.sin(x), np.sin(y)], 1)
+
+
+def _chords(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared chords between each first and each second point of the unit sphere."""
+    out = np.zeros((len(a), len(b)))
+    for i in range(3):
+        d = a[:, i, None] - b[None, :, i]
+        d *= d
+        out += d
+    return out
+
+
+def near_points(q: np.ndarray, u: np.ndarray, k: int, step: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """The places in u of the k points of the unit sphere nearest to each q, in no order, and their squared chords.
+
+    Points are sorted into cubes; a cube and its 26 neighbours hold all points nearer than a cube's width. Where these are fewer
+    than k the cubes are made twice as wide, until one holds everything.
+    """
+    m, n = len(q), len(u)
+    k = min(k, n)
+    at, chord = np.empty((m, k), np.int64), np.empty((m, k))
+    sides = np.sort(u.max(0) - u.min(0)) if n else np.zeros(3)
+    width = max(float(np.sqrt(sides[2] * sides[1] * (k + 3 * np.sqrt(k)) / (np.pi * max(n, 1)))), 1e-6)
+    todo = np.arange(m)
+    while len(todo):
+        side = int(2 / width) + 4
+        everything = width >= 2 or n <= 4 * k
+
+        def cube(points: np.ndarray, width: float = width, side: int = side) -> np.ndarray:
+            return ((np.floor((points + 1) / width).astype(np.int64) + 1) * [side * side, side, 1]).sum(1)
+
+        key = np.zeros(n, np.int64) if everything else cube(u)
+        own = np.zeros(len(todo), np.int64) if everything else cube(q[todo])
+        order = np.argsort(key, kind="stable")
+        key, sorted_u = key[order], u[order]
+        todo = todo[np.argsort(own, kind="stable")]
+        cubes, first = np.unique(np.sort(own), return_index=True)
+        ends = np.append(first[1:], len(todo))
+        column = cubes[:, None] + np.array([i * side * side + j * side for i in (-1, 0, 1) for j in (-1, 0, 1)] if not everything else [0])
+        starts, stops = np.searchsorted(key, column - 1), np.searchsorted(key, column + 1, "right")
+        short = []
+        for c in range(len(cubes)):
+            spans = [np.arange(x, y) for x, y in zip(starts[c].tolist(), stops[c].tolist(), strict=True) if y > x]
+            who = np.concatenate(spans) if spans else np.empty(0, np.int64)
+            for low in range(first[c], ends[c], step):
+                rows = todo[low : min(low + step, ends[c])]
+                if len(who) < k:
+                    short.append(rows)
+                    continue
+                far = _chords(q[rows], sorted_u[who])
+                best = np.argpartition(far, k - 1, axis=1)[:, :k] if len(who) > k else np.broadcast_to(np.arange(k), far.shape)
+                found = np.take_along_axis(far, best, 1)
+                whole = np.full(len(rows), True) if everything else found.max(1) <= (width * (1 - 1e-9)) ** 2
+                at[rows[whole]], chord[rows[whole]] = order[who[best[whole]]], found[whole]
+                short.append(rows[~whole])
+        todo = np.concatenate(short)
+        width *= 2
+    return at, chord
+
+
+def _pairs(lon: np.ndarray, lat: np.ndarray, lon2: np.ndarray, lat2: np.ndarray) -> np.ndarray:
+    """Metres between places, elementwise (great_circle on arrays of one shape)."""
+    x, y, x2, y2 = (np.radians(v) for v in (lon, lat, lon2, lat2))
+    a = np.sin((y2 - y) / 2) ** 2 + np.cos(y) * np.cos(y2) * np.sin((x2 - x) / 2) ** 2
+    return 2 * EARTH_RADIUS_M * np.arcsin(np.sqrt(np.minimum(a, 1.0)))
+
+
+def neighbours(lon: np.ndarray, lat: np.ndarray, k: int, digits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of each station's nearest others, about k, and their distances in metres, rounded to `digits`; of equally far
+    ones the lesser place is nearer. A list that would end among equally far stations ends before them; -1 fills it up."""
+    n = len(lon)
+    u = _unit(lon, lat)
+    most = min(k + 9, n)
+    at, dist = np.sort(near_points(u, u, most)[0], 1), np.empty((n, most))
+    for low in range(0, n, 4096):
+        rows, near = np.arange(low, min(low + 4096, n)), at[low : low + 4096]
+        d = np.round(_pairs(lon[rows, None], lat[rows, None], lon[near], lat[near]), digits)
+        last = d.max(1, keepdims=True) if most < n else np.inf
+        d[(near == rows[:, None]) | (d >= last)] = np.inf
+        order = np.argsort(d, axis=1, kind="stable")
+        dist[rows] = np.take_along_axis(d, order, 1)
+        at[rows] = np.where(np.isfinite(dist[rows]), np.take_along_axis(near, order, 1), -1)
+    return at, dist
+
+
+@lru_cache(maxsize=4)
+def _kept_neighbours(lon: bytes, lat: bytes, k: int, digits: int) -> tuple[np.ndarray, np.ndarray]:
+    return neighbours(np.frombuffer(lon), np.frombuffer(lat), k, digits)
+
+
+def lists_of(lon: np.ndarray, lat: np.ndarray, share: float, k: int, digits: int) -> tuple[np.ndarray, np.ndarray]:
+    """neighbours() long enough for most stations to find k present ones at a time when `share` of all are present. The lists of the
+    last networks are kept: blocks of times that a process works on mostly have the same stations."""
+    longest = min(int((k + 3 * np.sqrt(k)) / share) // 16 * 16 + 16, 512)
+    return _kept_neighbours(lon.astype(np.float64).tobytes(), lat.astype(np.float64).tobytes(), longest, digits)
+
+
+def _all_nearest(rows: np.ndarray, lon: np.ndarray, lat: np.ndarray, k: int, digits: int, step: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """The k nearest others of some stations, by the distances to all."""
+    at, dist = np.empty((len(rows), k), np.int64), np.empty((len(rows), k))
+    for a in range(0, len(rows), step):
+        part = rows[a : a + step]
+        d = np.round(great_circle(lon[part], lat[part], lon, lat), digits)
+        d[np.arange(len(part)), part] = np.inf
+        at[a : a + step] = np.argsort(d, axis=1, kind="stable")[:, :k]
+        dist[a : a + step] = np.take_along_axis(d, at[a : a + step], 1)
+    return at, dist
+
+
+#: Stations of a group from which on neighbours are looked up by cubes.
+MANY = 512
+
+
+def nearest(skn: np.ndarray, lon: np.ndarray, lat: np.ndarray, k: int, digits: int) -> tuple[np.ndarray, np.ndarray]:
     """For stations in ascending order of skn: the places of each one's k nearest others, and their distances in metres,
-    rounded to `digits`; of equally far ones the lesser skn is nearer. Distances are held for `rows` stations at once."""
+    rounded to `digits`; of equally far ones the lesser skn is nearer."""
     n = len(skn)
     k = min(k, n - 1)
-    at, dist = np.empty((n, k), np.int64), np.empty((n, k))
-    for a in range(0, n, rows):
-        d = np.round(great_circle(lon[a : a + rows], lat[a : a + rows], lon, lat), digits)
-        own = np.arange(len(d))
-        d[own, a + own] = np.inf
-        at[a : a + rows] = np.argsort(d, axis=1, kind="stable")[:, :k]
-        dist[a : a + rows] = np.take_along_axis(d, at[a : a + rows], 1)
+    if n < MANY:
+        return _all_nearest(np.arange(n), lon, lat, k, digits)
+    at, dist = neighbours(lon, lat, k, digits)
+    at, dist = at[:, :k], dist[:, :k]
+    short = np.flatnonzero(at[:, -1] < 0)
+    at[short], dist[short] = _all_nearest(short, lon, lat, k, digits)
     return at, dist
 
 
+def nearest_present(lists: tuple[np.ndarray, np.ndarray], present: np.ndarray, lon: np.ndarray, lat: np.ndarray, k: int, digits: int) -> tuple[np.ndarray, ...]:
+    """Of the stations present (places in ascending order) the k nearest others that are present: where each one's list begins
+    (and the end), the places of neighbours and their distances. lists: neighbours() of all stations."""
+    n = len(present)
+    k = min(k, n - 1)
+    if n < MANY:  # few are found sooner by all distances
+        few, dist = _all_nearest(np.arange(n), lon[present], lat[present], k, digits)
+        return np.arange(n + 1) * k, present[few].ravel(), dist.ravel()
+    here = np.zeros(len(lon) + 1, bool)  # the last one stands for -1
+    here[present] = True
+    wide = lists[0].shape[1]
+    have = here.take(lists[0].take(present, 0), mode="wrap")
+    used = have & (np.cumsum(have, axis=1, dtype=np.int16) <= k)
+    found = used.sum(1)
+    short = np.flatnonzero(found < k)
+    pick = np.flatnonzero(used)
+    pick = present[pick // wide] * wide + pick % wide
+    place, dist = lists[0].ravel().take(pick), lists[1].ravel().take(pick)
+    if len(short) == 0:
+        return np.arange(n + 1) * k, place, dist
+    whole = np.ones(n, bool)
+    whole[short] = False
+    places, dists = np.empty((n, k), np.int64), np.empty((n, k))
+    keep = np.repeat(whole, found)
+    places[whole], dists[whole] = place[keep].reshape(-1, k), dist[keep].reshape(-1, k)
+    few, dists[short] = _all_nearest(short, lon[present], lat[present], k, digits)
+    places[short] = present[few]
+    return np.arange(n + 1) * k, places.ravel(), dists.ravel()
+
+
 def inverse_distance(d: np.ndarray, z: np.ndarray, power: float) -> np.ndarray:
     """Mean of z weighted by d ** -power for each row of d; a distance of 0 gives that point's own value (the least one)."""
     hit = d == 0

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from rainspark.functions import kernels
 from rainspark.functions import scalars as S
 from rainspark.operators import metrics
-from rainspark.operators.util import spread
+from rainspark.operators.util import by_block, matrices, spread
 from rainspark.sources.tables import written
 
 #: Constants added to the climate mean in the candidate sweep; -1 stands for no climate aid (fixed values).
@@ -102,41 +102,6 @@ def idw(
     return _meet(cells, listed, group, time, cell, carry, block_cells).select(*keys, "cells", "points").mapInArrow(predict, schema)
 
 
-def _by_block(rows: DataFrame, group: list[str]) -> tuple[DataFrame, list[str]]:
-    """rows dealt by all of `group` but its last column, the time, and a block of times; and the columns of these keys.
-
-    Distances between stations are the same at all times of a block, so they are worked out once for it.
-    """
-    blocks = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
-    keys = [*group[:-1], "_block"]
-    return spread(rows.withColumn("_block", F.pmod(F.xxhash64(group[-1]), F.lit(blocks))), *keys), keys
-
-
-#: Numbers of a matrix of stations and times, some 16 MB.
-MATRIX = 1 << 21
-
-
-def _matrices(table: pa.Table, time: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For parts of a table's times that MATRIX allows: rows of the table, their row and column in a matrix of stations (by number
-    and place) and times, and the places of its stations."""
-    times = table[time].combine_chunks().dictionary_encode().indices.to_numpy()
-    places = np.stack([table[c].to_numpy() for c in ("lon", "lat")], 1)
-    skn = table["skn"].to_numpy()
-    by_time = np.argsort(times, kind="stable")
-    ends = np.append(np.flatnonzero(np.diff(times[by_time])) + 1, len(by_time))
-    low = 0
-    while low < len(ends):
-        first = ends[low - 1] if low else 0
-        size = max(1, MATRIX // max(ends[low] - first, 1))  # about as many stations at any time as at this one
-        high = min(low + min(size, 64), len(ends))
-        rows = by_time[first : ends[high - 1]]
-        order = rows[np.lexsort((places[rows, 1], places[rows, 0], skn[rows]))]
-        new = np.ones(len(order), bool)
-        new[1:] = (skn[order][1:] != skn[order][:-1]) | (places[order][1:] != places[order][:-1]).any(1)
-        yield order, np.cumsum(new) - 1, np.unique(times[order], return_inverse=True)[1], places[order[new]]
-        low = high
-
-
 def idw_loo(stations: DataFrame, group: list[str], power: float = 2.0) -> DataFrame:
     """Every real station predicted from all others of its group (K7). stations: group, skn, lon, lat, rf, is_fill; the last column
     of the group is the time.
@@ -147,12 +112,12 @@ def idw_loo(stations: DataFrame, group: list[str], power: float = 2.0) -> DataFr
     rows = stations.select(*group, "skn", "lon", "lat", F.col("rf").cast("double").alias("rf"), "is_fill")
     kinds = dict(rows.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in (*group, "skn")) + ", obs double, pred double"
-    rows, keys = _by_block(rows, group)
+    rows, keys = by_block(rows, group)
 
     def run(table: pa.Table) -> pa.Table:
         rf, real = table["rf"].to_numpy(), ~table["is_fill"].to_numpy().astype(bool)
         parts = []
-        for at, row, col, xy in _matrices(table, group[-1]):
+        for at, row, col, xy in matrices(table, group[-1]):
             z = np.full((len(xy), col.max() + 1), np.nan)
             z[row, col] = rf[at]
             pred = kernels.left_out_means(xy, z, power)[row, col]
@@ -207,11 +172,11 @@ def variogram(points: DataFrame, group: list[str], width: float, bins: int) -> D
     rows = points.select(*group, "skn", "lon", "lat", F.col("y").cast("double").alias("y"))
     kinds = dict(rows.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in group) + ", bin long, n_pairs long, h double, gamma double"
-    rows, keys = _by_block(rows, group)
+    rows, keys = by_block(rows, group)
 
     def run(table: pa.Table) -> pa.Table:
         value, parts = table["y"].to_numpy(), []
-        for at, row, col, xy in _matrices(table, group[-1]):
+        for at, row, col, xy in matrices(table, group[-1]):
             y = np.full((len(xy), col.max() + 1), np.nan)
             y[row, col] = value[at]
             pairs, far, gamma = kernels.semivariances_over_times(xy, y, width, bins)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -9,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rainspark.functions import kernels
 from rainspark.functions import scalars as S
-from rainspark.operators.util import spread
+from rainspark.operators.util import by_block, matrices, spread
 
 #: Station networks, best first, for the choice among near-duplicates (fixed values).
 STATION_NETWORKS = [
@@ -25,37 +28,71 @@ def pair_distances(stations: DataFrame) -> DataFrame:
     return stations.join(other, "county").filter("skn <> skn_obs").select("county", "skn", "skn_obs", dist.alias("dist"))
 
 
+def _days_near(table: pa.Table, time: str, k: int, digits: int) -> Iterator[tuple[pa.Table, np.ndarray, pa.Array, pa.Array]]:
+    """Each time of a table in ascending order of skn, with where each station's neighbours begin (and the end), their rows in
+    it and their distances. In a large network all times share lists of neighbours, of which a time takes those that report."""
+    for at, row, col, xy in matrices(table, time, None):
+        lon, lat, n = *np.ascontiguousarray(xy.T), col.max() + 1
+        lists = kernels.lists_of(lon, lat, len(at) / (len(xy) * n), k, digits) if len(xy) >= kernels.MANY else None
+        by_time = np.lexsort((row, col))
+        ends = np.searchsorted(col[by_time], np.arange(n + 1))
+        number = np.zeros(len(xy), np.int64)
+        for low, high in itertools.pairwise(ends.tolist()):
+            here = by_time[low:high]
+            number[row[here]] = np.arange(len(here))
+            starts, place, dist = kernels.nearest_present(lists, row[here], lon, lat, k, digits)
+            yield table.take(pa.array(at[here])).combine_chunks(), starts, pa.array(number[place]), pa.array(dist)
+
+
+def _near_columns(days: DataFrame, group: tuple[str, ...]) -> tuple[list[str], DataFrame, dict[str, str]]:
+    more = [c for c in days.columns if c not in (*group, "skn", "lon", "lat")]
+    rows = days.select(*group, "skn", "lon", "lat", *more)
+    return more, rows, dict(rows.dtypes)
+
+
 def nearest_lists(days: DataFrame, k: int = 10, group: tuple[str, ...] = ("county", "date"), digits: int = 3) -> DataFrame:
     """Each station-day with `near`: its k nearest stations that report in the same group, nearest first.
 
     days: group, skn, lon, lat and further columns, which stand in every neighbour with the suffix _obs beside skn_obs
     and dist (metres, to `digits` places; ties go to the lesser skn). A group is one county and day: it grows with the
-    network, not with the years. One shuffle of the station-days; pairs never leave the task.
+    network, not with the years. One shuffle of the station-days, by county and block of days; pairs never leave the task.
     """
-    more = [c for c in days.columns if c not in (*group, "skn", "lon", "lat")]
-    rows = days.select(*group, "skn", "lon", "lat", *more)
-    kinds = dict(rows.dtypes)
+    more, rows, kinds = _near_columns(days, group)
     item = ", ".join(["skn_obs: " + kinds["skn"], "dist: double", *(f"{c}_obs: {kinds[c]}" for c in more)])
     schema = ", ".join(f"{c} {kinds[c]}" for c in (*group, "skn", *more)) + f", near array<struct<{item}>>"
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("skn").combine_chunks()
-        skn, lon, lat = (table[c].to_numpy() for c in ("skn", "lon", "lat"))
-        at, dist = kernels.nearest(skn, lon, lat, k, digits)
-        flat = pa.array(at.ravel())
-        parts = [table["skn"].take(flat), pa.array(dist.ravel()), *(table[c].take(flat) for c in more)]
-        parts = [x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in parts]
-        near = pa.StructArray.from_arrays(parts, ["skn_obs", "dist", *(f"{c}_obs" for c in more)])
-        ends = pa.array(np.arange(len(skn) + 1) * at.shape[1], pa.int32())
-        return table.select([*group, "skn", *more]).append_column("near", pa.ListArray.from_arrays(ends, near))
+        out = []
+        for day, starts, flat, dist in _days_near(table, group[-1], k, digits):
+            parts = [day["skn"].take(flat), dist, *(day[c].take(flat) for c in more)]
+            parts = [x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in parts]
+            near = pa.StructArray.from_arrays(parts, ["skn_obs", "dist", *(f"{c}_obs" for c in more)])
+            out.append(day.select([*group, "skn", *more]).append_column("near", pa.ListArray.from_arrays(pa.array(starts, pa.int32()), near)))
+        return pa.concat_tables(out)
 
-    return spread(rows, *group).groupBy(*group).applyInArrow(run, schema)
+    rows, keys = by_block(rows, group, 1)
+    return rows.groupBy(*keys).applyInArrow(run, schema)
 
 
 def nearest_reporting(days: DataFrame, k: int = 10, group: tuple[str, ...] = ("county", "date"), digits: int = 3) -> DataFrame:
     """A row for each neighbour, with its place from 1 (E8, C12); see nearest_lists."""
-    listed = nearest_lists(days, k, group, digits).select(*group, "skn", F.posexplode("near").alias("place", "at"))
-    return listed.select(*group, "skn", (F.col("place") + 1).alias("place"), "at.*")
+    more, rows, kinds = _near_columns(days, group)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in (*group, "skn")) + f", place int, skn_obs {kinds['skn']}, dist double"
+    schema += "".join(f", {c}_obs {kinds[c]}" for c in more)
+
+    def run(table: pa.Table) -> pa.Table:
+        out = []
+        for day, starts, flat, dist in _days_near(table, group[-1], k, digits):
+            size = np.diff(starts)
+            own = day.select([*group, "skn"]).take(pa.array(np.repeat(np.arange(len(size)), size)))
+            place = (np.arange(len(flat)) - np.repeat(starts[:-1], size) + 1).astype(np.int32)
+            for name, x in (("place", pa.array(place)), ("skn_obs", day["skn"].take(flat)), ("dist", dist), *((f"{c}_obs", day[c].take(flat)) for c in more)):
+                own = own.append_column(name, x)
+            out.append(own)
+        return pa.concat_tables(out)
+
+    rows, keys = by_block(rows, group, 1)
+    return rows.groupBy(*keys).applyInArrow(run, schema)
 
 
 def spread_ranks(lists: DataFrame, values: list[str], k: int = 10) -> DataFrame:

@@ -81,8 +81,8 @@ def _qc_days(spark, d) -> DataFrame:
 @query(sql("prob_day", f"WITH {NEAR_PROB} SELECT s.date, s.skn, s.rf, round(s.prob, 6) AS prob, round(s.prob_year, 6) AS prob_year, "
            f"w.* EXCLUDE (date, skn) FROM prob_day s LEFT JOIN (SELECT date, skn, {WIDE} FROM near GROUP BY 1, 2) w ON w.date = s.date AND w.skn = s.skn"))
 def k10_qc_features(spark, d):
-    got = Q.features(_qc_days(spark, d)).drop("county")
-    return got.select(*(F.round(c, 6).alias(c) if "prob" in c or c.startswith("dist") else c for c in got.columns))
+    days = _qc_days(spark, d).withColumns({c: F.round(c, 6) for c in ("prob", "prob_year")})  # once, not in every neighbour's column
+    return Q.features(days).drop("county")
 
 
 @query(sql("station_month", f"WITH {POINTS} SELECT county, month, skn, row_number() OVER (PARTITION BY county, month ORDER BY is_fill, "

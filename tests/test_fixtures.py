@@ -382,6 +382,22 @@ def test_left_out_means_and_variograms_of_large_networks_stay_in_tiles(spark, mo
         assert np.allclose(far[t, bins] / n, h) and np.allclose(gamma[t, bins] / n, g)
 
 
+def test_neighbours_of_large_networks_come_from_lists(monkeypatch):
+    """Stations of many equal places: lists that all times share give what all distances give, and few distances are worked out."""
+    skn = np.arange(2000)
+    lon, lat = -160 + (skn * 37 % 50) / 10, 18.9 + (skn * 53 % 33) / 10
+    want = kernels._all_nearest(skn, lon, lat, 10, 3)
+    lists = kernels.lists_of(lon, lat, 0.5, 10, 3)
+    monkeypatch.setattr(kernels, "great_circle", None)
+    got = kernels.nearest(skn, lon, lat, 10, 3)
+    assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+    monkeypatch.undo()
+    present = np.flatnonzero(np.random.default_rng(1).random(2000) < 0.5)
+    starts, place, dist = kernels.nearest_present(lists, present, lon, lat, 10, 3)
+    want = kernels._all_nearest(np.arange(len(present)), lon[present], lat[present], 10, 3)
+    assert (place == present[want[0]].ravel()).all() and (dist == want[1].ravel()).all() and (np.diff(starts) == 10).all()
+
+
 def test_correlation_flags_of_maps(spark):
     rng = np.random.default_rng(2)
     d = np.sort(rng.random(200) * 3000)
