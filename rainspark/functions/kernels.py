@@ -111,6 +111,12 @@ def _pairs(lon: np.ndarray, lat: np.ndarray, lon2: np.ndarray, lat2: np.ndarray)
     return 2 * EARTH_RADIUS_M * np.arcsin(np.sqrt(np.minimum(a, 1.0)))
 
 
+def nearest_metres(lon: np.ndarray, lat: np.ndarray, lon2: np.ndarray, lat2: np.ndarray) -> np.ndarray:
+    """Metres from each first place to the nearest of the second ones."""
+    near = near_points(_unit(lon, lat), _unit(lon2, lat2), min(4, len(lon2)))[0]
+    return _pairs(lon[:, None], lat[:, None], lon2[near], lat2[near]).min(1)
+
+
 def neighbours(lon: np.ndarray, lat: np.ndarray, k: int, digits: int) -> tuple[np.ndarray, np.ndarray]:
     """The places of each station's nearest others, about k, and their distances in metres, rounded to `digits`; of equally far
     ones the lesser place is nearer. A list that would end among equally far stations ends before them; -1 fills it up."""

@@ -22,10 +22,18 @@ STATION_NETWORKS = [
 
 
 def pair_distances(stations: DataFrame) -> DataFrame:
-    """skn, skn_obs, dist (metres) of all station pairs of a county, each way (C11). Distances don't depend on dates."""
+    """skn, skn_obs, dist (metres) of all station pairs of a county, each way (C11). Distances don't depend on dates.
+
+    The stations of a county are cut into parts and each part meets all stations of the county in a key of its own, so pairs are
+    dealt over all tasks instead of one for a county.
+    """
+    parts = int(stations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = stations.withColumn("_part", F.pmod(F.xxhash64("skn"), F.lit(parts)).cast("int"))
     other = stations.select("county", *(F.col(c).alias(f"{c}_obs") for c in ("skn", "lon", "lat")))
+    other = other.select("*", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part"))
     dist = S.haversine(F.col("lon"), F.col("lat"), F.col("lon_obs"), F.col("lat_obs"))
-    return stations.join(other, "county").filter("skn <> skn_obs").select("county", "skn", "skn_obs", dist.alias("dist"))
+    met = spread(own, "county", "_part").hint("shuffle_hash").join(spread(other, "county", "_part"), ["county", "_part"])
+    return met.filter("skn <> skn_obs").select("county", "skn", "skn_obs", dist.alias("dist"))
 
 
 def _days_near(table: pa.Table, time: str, k: int, digits: int) -> Iterator[tuple[pa.Table, np.ndarray, pa.Array, pa.Array]]:
@@ -186,9 +194,25 @@ def nearest_distance(
 ) -> DataFrame:
     """keys, cell, `carry` and dist, the metres from every cell to the nearest point of its group.
 
-    The points of a group are the stations of a network, a bounded list, and travel as one array; a cell takes the least
-    distance over it, so cells x points rows never exist.
+    The points of a group are the stations of a network, a bounded list, and travel as one array to blocks of cells. A block has
+    cells of near places, and these are looked up among the points by cubes, each place once; cells x points rows never exist.
     """
-    listed = points.groupBy(*keys).agg(F.collect_list(F.struct(F.col("lon").alias("x"), F.col("lat").alias("y"))).alias("_points"))
-    dist = F.array_min(F.transform("_points", lambda p: S.haversine(F.col("lon"), F.col("lat"), p["x"], p["y"])))
-    return grid.join(listed, list(keys)).select(*keys, *cell, *carry, dist.alias("dist"))
+    rows = grid.select(*keys, *cell, *carry, F.col("lon").alias("_lon"), F.col("lat").alias("_lat"))
+    kinds = dict(rows.dtypes)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in (*keys, *cell, *carry)) + ", dist double"
+    blocks = int(grid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [*keys, "_block"]
+    rows = rows.withColumn("_block", F.pmod(F.xxhash64("_lon", "_lat"), F.lit(blocks)).cast("int"))
+    sent = points.select(*keys, F.col("lon").alias("_x"), F.col("lat").alias("_y")).distinct()
+    sent = sent.join(rows.select(*keys, (F.col("_block") + 0).alias("_block")).distinct(), list(keys))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        at = np.stack([left[c].to_numpy() for c in ("_lon", "_lat")], 1)
+        lon, lat = (right[c].to_numpy() for c in ("_x", "_y"))
+        if not len(at) or not len(lon):
+            return left.slice(0, 0).select([*keys, *cell, *carry]).append_column("dist", pa.array([], pa.float64()))
+        places, number = np.unique(at, axis=0, return_inverse=True)
+        dist = kernels.nearest_metres(places[:, 0], places[:, 1], lon, lat)
+        return left.select([*keys, *cell, *carry]).append_column("dist", pa.array(dist[number.ravel()]))
+
+    return spread(rows, *by).groupBy(*by).cogroup(spread(sent, *by).groupBy(*by)).applyInArrow(run, schema)

@@ -53,7 +53,7 @@ def c10_real_or_filled(spark, d):
 @query(sql("meta", f"SELECT a.county, a.skn, b.skn AS skn_obs, round({hav('a.', 'b.')}, 3) AS dist FROM meta a JOIN meta b "
            "ON a.county = b.county AND a.skn <> b.skn"))
 def c11_h6_pair_distances(spark, d):
-    return P.pair_distances(places(spark, d)).withColumn("dist", F.round("dist", 3))
+    return P.pair_distances(places(spark, d)).withColumn("dist", F.floor(F.col("dist") * 1000 + 0.5) / 1000)  # Spark's round goes by way of decimals
 
 
 NEAR = f"""pr AS (SELECT a.skn, b.skn AS skn_obs, round({hav('a.', 'b.')}, 3) AS dist FROM meta a JOIN meta b ON a.county = b.county AND a.skn <> b.skn),
