@@ -398,6 +398,35 @@ def test_neighbours_of_large_networks_come_from_lists(monkeypatch):
     assert (place == present[want[0]].ravel()).all() and (dist == want[1].ravel()).all() and (np.diff(starts) == 10).all()
 
 
+def test_pairs_of_one_county_are_dealt_over_tasks(spark):
+    places = spark.createDataFrame([("MN", i, -156 + i / 100, 20.0) for i in range(60)], "county string, skn long, lon double, lat double").coalesce(1)
+    got = spatial.pair_distances(places).withColumn("task", F.spark_partition_id())
+    assert got.count() == 60 * 59 and got.select("task").distinct().count() > 1
+
+
+def test_nearest_station_is_looked_up_and_not_tried_for_every_cell(spark):
+    rng = np.random.default_rng(3)
+    lon, lat = -160 + rng.random(700) * 5, 19 + rng.random(700) * 3
+    points = spark.createDataFrame([("MN", float(x), float(y)) for x, y in zip(lon, lat, strict=True)], "county string, lon double, lat double")
+    cells = [("MN", i, i % 20, -160 + i % 20 / 4, 19 + i // 20 % 10 / 4) for i in range(400)]  # two layers of 200 places
+    got = spatial.nearest_distance(spark.createDataFrame(cells, "county string, row long, col long, lon double, lat double"), points)
+    assert "collect_list" not in got._jdf.queryExecution().toString()
+    want = {c[1]: kernels.great_circle(np.array([c[3]]), np.array([c[4]]), lon, lat).min() for c in cells}
+    assert {r.row: r.dist for r in got.collect()} == pytest.approx(want)
+
+
+def test_layers_of_a_grid_share_the_maps_of_their_places(spark):
+    data, df = stations(spark)
+    rows_ = df.filter("county = 'BI'")
+    cells = [("BI", t, i, 0.1 * i, 0.5) for t in range(6) for i in range(5)]
+    layers = spark.createDataFrame(cells, "county string, row long, col long, lon double, lat double")
+    got = interpolate.idw(layers, rows_, ["county"], ["date"])
+    assert "_place" in got._jdf.queryExecution().toString()
+    one_layer = {(r.date, r.col): r.value for r in interpolate.idw(layers.filter("row = 0"), rows_, ["county"], ["date"]).collect()}
+    found = got.collect()
+    assert len(found) == 6 * len(one_layer) and all(r.value == pytest.approx(one_layer[r.date, r.col]) for r in found)
+
+
 def test_correlation_flags_of_maps(spark):
     rng = np.random.default_rng(2)
     d = np.sort(rng.random(200) * 3000)
