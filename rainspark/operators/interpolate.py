@@ -61,6 +61,27 @@ def _meet(cells: DataFrame, rows: DataFrame, group: list[str], time: list[str],
     return tiles.join(rows, [*group, "_span", "_days"]).drop("_span", "_days")
 
 
+#: Cells of a place on average from which on maps are worked out by place.
+COPIES = 4
+
+
+def _by_place(cells: DataFrame, group: list[str], time: list[str], cell: tuple[str, ...], carry: tuple[str, ...], make: Callable) -> DataFrame | None:
+    """The maps of `make` (cells, columns of a cell -> group, time, cell and values) worked out once for each place, where many
+    cells lie at one (layers of a grid); each cell then takes its place's values. None where cells have places of their own."""
+    counted = cells.groupBy(*group).agg(F.count("*").alias("n"), F.count_distinct("lon", "lat").alias("places"))
+    n, places = counted.agg(F.sum("n"), F.sum("places")).first()
+    if not n or n < COPIES * places:
+        return None
+    places = cells.select(*group, "lon", "lat").distinct().withColumn("_place", F.monotonically_increasing_id())
+    places = written(places, "places")
+    maps = make(places, ("_place",))
+    values = [c for c in maps.columns if c not in (*group, *time, "_place")]
+    listed = maps.groupBy(*group, "_place").agg(F.collect_list(F.struct(*time, *values)).alias("_maps"))
+    on = cells.select(*group, *(F.col(c).cast("long").alias(c) for c in cell), *(F.col(c).cast("double").alias(c) for c in carry), "lon", "lat")
+    on = on.join(places, [*group, "lon", "lat"]).drop("lon", "lat").join(listed, [*group, "_place"])
+    return on.select(*group, *cell, *carry, F.inline("_maps")).select(*group, *time, *cell, *carry, *values)
+
+
 def _fields(column: pa.ChunkedArray, i: int) -> dict[str, np.ndarray]:
     """The fields of the structs in row i of a list column."""
     items = column[i].values
@@ -83,6 +104,9 @@ def idw(
     of the group, and a tile is one matrix product. Stations x cells rows never exist. `cell` names the columns (integers)
     that tell cells apart, `carry` further columns (numbers) of cells that the map shall have.
     """
+    by_place = _by_place(cells, group, time, cell, carry, lambda places, at: idw(places, stations, group, time, power, at, block_cells))
+    if by_place is not None:
+        return by_place
     listed = spread(stations.filter("rf is not null"), *group, *time).groupBy(*group, *time)
     listed = listed.agg(F.collect_list(F.struct(F.col("lon").alias("x"), F.col("lat").alias("y"), F.col("rf").cast("double").alias("z"))).alias("points"))
     kinds = dict(listed.dtypes)
@@ -358,6 +382,9 @@ def krige(
     The system of each (group, time) is solved once into dual weights, which meet tiles of cells (see _meet); a tile's
     predictions are one matrix product. Stations x cells rows never exist.
     """
+    by_place = _by_place(cells, group, time, cell, carry, lambda places, at: krige(points, places, group, time, model, at, block_cells))
+    if by_place is not None:
+        return by_place
     rows = points.select(*group, *time, "skn", "lon", "lat", "y", "nugget", "range", "sill")
     kinds = dict(rows.dtypes)
     keys = [*group, *time]
